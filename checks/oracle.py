@@ -226,6 +226,34 @@ VIEWS = {
 }
 
 
+# White space as a browser shows it.
+def shown(text: str) -> str:
+    return f"trim(regexp_replace({text}, '[ \\t\\r\\n\\f]+', ' ', 'g'))"
+
+
+VIEWS["classroom_lessons"] = f"""
+    SELECT course_id AS page_id, section_number, chapter_number, lecture_number, {shown('title')} AS lecture_title,
+        coalesce(duration, '') AS duration, is_completed
+    FROM lessons WHERE section_number % 7 <> 0"""
+VIEWS["flat_lessons"] = """
+    SELECT page_id, section_number, coalesce(chapter_number, 0) AS c, lecture_number AS l, lecture_title, duration, is_completed
+    FROM classroom_lessons
+    UNION ALL
+    SELECT DISTINCT page_id, section_number, 1000000000, 1, 'Loose', '', false
+    FROM classroom_lessons WHERE chapter_number IS NOT NULL"""
+VIEWS["counts"] = """
+    SELECT course_id AS page_id, section_number, length(line) % 2 = 1 AS chaptered,
+        len(list_filter(string_split(line, '. '), lambda x: length(x) % 2 = 0)) AS complete_count,
+        len(string_split(line, '. ')) AS total_count
+    FROM lines"""
+# Lessons as a static page shows them: an empty title falls through to the next text for one source.
+VIEWS["outline_sections"] = """
+    SELECT course_id, section_number, list_sum(cast([1] as bigint[])) AS one,
+        list(struct_pack(n := lecture_number, t := title, d := duration) ORDER BY lecture_number) FILTER (chapter_number IS NULL) AS found
+    FROM lessons GROUP BY ALL"""
+VIEWS["single"] = "SELECT course_id FROM lines GROUP BY ALL HAVING count(*) = 1"
+
+
 def query(body: str) -> str:
     """The query with the views it needs in front, in definition order."""
     needed: set[str] = set()
@@ -490,5 +518,67 @@ QUERIES = {
 }
 
 
+def outline(lists: bool) -> str:
+    """One row per titled section; pages of one section come from their plain list, if that is read."""
+    plain = """
+        UNION ALL
+        SELECT course_id, 'Section 1', list_transform(list_filter(found, lambda x: trim(x.t) <> ''), lambda x: trim(x.t) || '|-')
+        FROM outline_sections WHERE course_id IN (SELECT course_id FROM single)
+            AND len(list_filter(found, lambda x: trim(x.t) <> '')) > 0""" if lists else ""
+    lesson = "trim(x.t) || '|' || CASE WHEN coalesce(x.d, '') = '' THEN '-' ELSE x.d END"
+    return f"""
+        SELECT course_id AS page_id, 'Course ' || course_id AS title,
+            cast(count(*) OVER (PARTITION BY course_id) as integer) AS total_sections,
+            cast(row_number() OVER (PARTITION BY course_id ORDER BY n) as integer) AS section_number,
+            section, array_to_string(coalesce(texts, []), chr(10)) AS lessons
+        FROM (SELECT course_id, section_number AS n, 'Part ' || section_number AS section,
+                  list_transform(list_filter(found, lambda x: x.t <> ''), lambda x: {lesson}) AS texts
+              FROM outline_sections WHERE section_number % 5 <> 0 AND course_id NOT IN (SELECT course_id FROM single)
+              {plain.replace("SELECT course_id, 'Section 1'", "SELECT course_id, 1, 'Section 1'")})"""
+
+
+QUERIES |= {
+    "extract_curriculum_classroom": f"""
+        SELECT page_id, section_number, 'Part ' || section_number AS section_title, chapter_number,
+            'Chapter ' || chapter_number AS chapter_title, lecture_number, lecture_title,
+            {daily('duration')} AS lecture_time, is_completed,
+            cast(row_number() OVER (PARTITION BY page_id ORDER BY section_number, chapter_number, lecture_number)
+                as integer) AS sort_order
+        FROM classroom_lessons""",
+    "extract_curriculum_classroom_flat": f"""
+        SELECT page_id, cast(dense_rank() OVER (PARTITION BY page_id ORDER BY section_number) as integer) AS section_number,
+            'Part ' || section_number AS section_title,
+            cast(row_number() OVER (PARTITION BY page_id, section_number ORDER BY c, l) as integer) AS lecture_number,
+            lecture_title, {full('duration')} AS lecture_time, is_completed,
+            cast(row_number() OVER (PARTITION BY page_id ORDER BY section_number, c, l) as integer) AS sort_order
+        FROM flat_lessons""",
+    "extract_section_counts": """
+        SELECT page_id, 'Part ' || section_number AS section, section_number,
+            cast(complete_count as integer) AS complete_count, cast(total_count as integer) AS total_count
+        FROM counts WHERE section_number % 7 <> 0""",
+    "extract_curriculum_static": outline(lists=True),
+    "extract_curriculum_outline": outline(lists=False),
+    "extract_curriculum_purpose": outline(lists=False),
+    "page_headings": """
+        SELECT page_id, replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&') AS page_title,
+            trim(regexp_replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) AS h1,
+            cast(0 as integer) AS sections
+        FROM pages""",
+    "page_items": f"""
+        SELECT 'course' AS item_type, course_id * 16777216 AS seq, cast(course_id as varchar) AS course_id,
+            'Course number ' || course_id AS course_title, cast(course_id % 101 as double) AS progress_rate,
+            90.75::double AS study_time, '{SITE}/classroom/' || course_id AS url, cast(NULL as integer) AS section_number,
+            cast(NULL as integer) AS chapter_number, cast(NULL as integer) AS lecture_number,
+            cast(NULL as varchar) AS lecture_title, cast(NULL as double) AS lecture_time,
+            cast(NULL as boolean) AS is_completed, cast(NULL as integer) AS sort_order
+        FROM (SELECT doc_id AS course_id FROM documents)
+        UNION ALL
+        SELECT 'lecture', page_id * 16777216 + sort_order, cast(page_id as varchar), 'Course number ' || page_id, NULL, NULL,
+            NULL, section_number, chapter_number, lecture_number, lecture_title, {daily('duration')}, is_completed, sort_order
+        FROM (SELECT *, cast(row_number() OVER (PARTITION BY page_id
+                  ORDER BY section_number, chapter_number, lecture_number) as integer) AS sort_order FROM classroom_lessons)""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: query(sql) for name, sql in QUERIES.items()}

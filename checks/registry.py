@@ -129,6 +129,52 @@ def _flat(v: Views) -> DataFrame:
     return rows.drop("chapter_number", "chapter_title", "duration_rejected")
 
 
+def _classroom(v: Views) -> DataFrame:
+    """Lectures read back from the classroom pages, chapters kept."""
+    found = extraction.extract_pages(v.classroom_pages(), "classroom").select("page_id", "sections")
+    return curriculum.flatten_curriculum(found).drop("duration_rejected")
+
+
+def _classroom_flat(v: Views) -> DataFrame:
+    found = extraction.extract_pages(v.classroom_pages(), "classroom_flat").select("page_id", "sections")
+    return curriculum.flatten_curriculum_flat(found).drop("chapter_number", "chapter_title", "duration_rejected")
+
+
+def _section_counts(v: Views) -> DataFrame:
+    """Title and counts of every readable section of the classroom pages."""
+    return extraction.extract_pages(v.classroom_pages(), "classroom").select(
+        "page_id", F.inline("sections")
+    ).drop("chapters", "lessons")
+
+
+def _outline(profile: str) -> Query:
+    """One row per section of the static pages, its lessons joined to a text."""
+    def build(v: Views) -> DataFrame:
+        lessons = F.transform("lessons", lambda x: F.concat(
+            x["title"], F.lit("|"), F.coalesce(x["duration"], F.lit("-"))))
+        return (
+            extraction.outline_records(v.outline_pages(profile), profile)
+            .select("page_id", "title", "total_sections", F.inline("curriculum"))
+            .select("page_id", "title", "total_sections", "section_number", "section",
+                    F.array_join(lessons, "\n").alias("lessons"))
+        )
+
+    return _on(build)
+
+
+def _page_headings(v: Views) -> DataFrame:
+    """Title and first heading of the raw pages."""
+    return extraction.extract_pages(v.table("pages")).select("page_id", "page_title", "h1", F.size("sections").alias("sections"))
+
+
+def _page_items(v: Views) -> DataFrame:
+    """Course and lecture records of the classroom pages, each page read once."""
+    return collect.page_items(v.classroom_pages()).select(
+        "item_type", "seq", "course_id", "course_title", "progress_rate", "study_time", "url", "section_number",
+        "chapter_number", "lecture_number", "lecture_title", "lecture_time", "is_completed", "sort_order",
+    )
+
+
 def _summary_input(v: Views) -> DataFrame:
     return curriculum.flatten_curriculum(v.curricula())
 
@@ -205,6 +251,15 @@ QUERIES: dict[str, Query] = {
         durations.duration_rejected("duration")).select("page_id", "duration")),
     "drop_unauthenticated": _on(lambda v: collect.drop_unauthenticated(v.page_text()).select("page_id", "url")),
     "course_records": _on(lambda v: collect.course_records(v.page_text().drop("duration"))),
+    # Pages
+    "extract_curriculum_classroom": _on(_classroom),
+    "extract_curriculum_classroom_flat": _on(_classroom_flat),
+    "extract_section_counts": _on(_section_counts),
+    "extract_curriculum_static": _outline("static"),
+    "extract_curriculum_outline": _outline("outline"),
+    "extract_curriculum_purpose": _outline("purpose"),
+    "page_headings": _on(_page_headings),
+    "page_items": _on(_page_items),
     # Curricula and links
     "flatten_curriculum": _on(lambda v: curriculum.flatten_curriculum(v.curricula()).drop("duration_rejected")),
     "flatten_curriculum_flat": _on(_flat),

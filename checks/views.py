@@ -8,12 +8,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from coursepulse.sources.schemas import LESSONS
+
 SITE = "https://learn.example.com"
 SNAPSHOT_DAY = "2024-01-30"
 COMPLETION_DAY = "1998-06-13"
 # Observations before this day make the stored lectures, the rest is the batch.
 BATCH_DAY = "2024-01-16"
 BATCH_TIME = "2024-01-31 00:00:00"
+CLASSROOM = "classroom-sidebar-clip__chapter"
+# Section tag, heading tag, lesson tag, title tag, time class and closing tags per page source.
+OUTLINE_TAGS = {
+    "static": ("<section class='curriculum'>", "h2", "<li class='row'>", "a", "time", "</section>"),
+    "outline": ("<div class='ac-curriculum'>", "h3", "<li class='lecture'>", "a", "time", "</div>"),
+    "purpose": (
+        "<section data-purpose='curriculum-section'>", "h2", "<li data-purpose='curriculum-item'>",
+        "button", "content-summary", "</section>",
+    ),
+}
 
 
 class Views:
@@ -207,6 +219,100 @@ class Views:
             F.col("doc_id").alias("course_id"), F.transform(lines, section).alias("sections")
         )
 
+    def classroom_pages(self) -> DataFrame:
+        """The curricula written out as classroom pages.
+
+        Every seventh section has an unreadable count. Sections with chapters hold a loose lesson
+        and an empty chapter beside them.
+        """
+        def tag(name, class_name, *inner):
+            return F.concat(
+                F.lit(f'<{name} class="{CLASSROOM}{class_name}">'), *inner, F.lit(f"</{name}>\n")
+            )
+
+        def lesson(x):
+            complete = F.when(x["is_completed"], F.lit(f" {CLASSROOM}__clip--complete")).otherwise(F.lit(""))
+            return F.concat(
+                F.lit(f'<div class="{CLASSROOM}__clip'), complete, F.lit('">'),
+                tag("span", "__clip__title", _escape(x["title"])),
+                tag("span", "__clip__time", F.coalesce(x["duration"], F.lit(""))),
+                F.lit("</div>"),
+            )
+
+        def lessons(array):
+            return F.array_join(F.transform(array, lesson), "")
+
+        def chapter(x):
+            return tag("div", "__part", tag("p", "__part__title", x["chapter_title"]), lessons(x["lessons"]))
+
+        def section(x):
+            total = F.when(x["section_number"] % 7 == 0, F.lit("?")).otherwise(x["total_count"].cast("string"))
+            chapters = F.concat(
+                F.array_join(F.transform(x["chapters"], chapter), ""),
+                tag("div", "__part", tag("p", "__part__title", F.lit("Empty"))),
+                tag("div", "__clip", tag("span", "__clip__title", F.lit("Loose"))),
+            )
+            return tag(
+                "div", "",
+                tag("b", "__title__text", x["section"]),
+                tag("i", "__title__number__complete", x["complete_count"].cast("string")),
+                tag("i", "__title__number__total", total),
+                F.coalesce(chapters, lessons(x["lessons"])),
+            )
+
+        number = F.col("course_id").cast("string")
+        html = F.concat(
+            F.lit("<!DOCTYPE html><html><head><title>Classroom - Course number "), number,
+            F.lit("</title></head><body><h1>Course number "), number, F.lit("</h1><p>수강률 <b>"),
+            (F.col("course_id") % 101).cast("string"), F.lit("</b>%</p><p>수강시간 <b>1:30:45</b></p>"),
+            F.array_join(F.transform("sections", section), ""), F.lit("</body></html>"),
+        )
+        return self.curricula().select(
+            F.col("course_id").alias("page_id"),
+            F.concat(F.lit(SITE + "/classroom/"), number).alias("url"), html.alias("html"),
+        )
+
+    def outline_pages(self, profile: str) -> DataFrame:
+        """The curricula without chapters written out as static pages of one page source.
+
+        Every fifth section has no title. Pages of a single section are a plain list.
+        """
+        open_section, heading, open_lesson, name, time, close_section = OUTLINE_TAGS[profile]
+
+        def lesson(x):
+            return F.concat(
+                F.lit(open_lesson), F.lit(f"<{name}>"), _escape(x["title"]), F.lit(f"</{name.split()[0]}>"),
+                F.lit(f'<em class="{time}">'), F.coalesce(x["duration"], F.lit("")), F.lit("</em></li>"),
+            )
+
+        def section(x):
+            title = F.when(
+                x["section_number"] % 5 != 0,
+                F.concat(F.lit(f"<{heading}> "), x["section"], F.lit(f"</{heading}>")),
+            ).otherwise(F.lit(""))
+            return F.concat(
+                F.lit(open_section), title,
+                F.array_join(F.transform(F.coalesce(x["lessons"], F.array().cast(LESSONS)), lesson), ""),
+                F.lit(close_section),
+            )
+
+        def plain(x):
+            items = F.transform(x["lessons"], lambda y: F.concat(F.lit("<li>"), _escape(y["title"])))
+            return F.concat(F.lit('<ul class="curriculum">'), F.array_join(items, ""), F.lit("</ul>"))
+
+        number = F.col("course_id").cast("string")
+        sections = F.col("sections")
+        listed = F.when(F.size(sections) == 1, F.coalesce(plain(sections[0]), F.lit("")))
+        html = F.concat(
+            F.lit("<html><head><title>x</title></head><body><h1 class='title'>\n Course "), number,
+            F.lit(" </h1>"), F.coalesce(listed, F.array_join(F.transform(sections, section), "")),
+            F.lit("</body></html>"),
+        )
+        return self.curricula().select(
+            F.col("course_id").alias("page_id"), F.concat(F.lit(SITE + "/course/"), number).alias("url"),
+            html.alias("html"),
+        )
+
     def listings(self) -> DataFrame:
         """Course boxes of every page's navigation links: relative, absolute or by data attribute."""
         hrefs = F.regexp_extract_all("html", F.lit('<a href="([^"]*)"'), F.lit(1))
@@ -225,6 +331,11 @@ class Views:
         return self.table("pages").select("page_id", F.transform(hrefs, box).alias("boxes"))
 
 
+def _escape(text):
+    """Text as HTML content."""
+    return F.replace(F.replace(text, F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;"))
+
+
 def _title():
     return F.concat("p_name", F.lit(" #"), F.col("p_partkey").cast("string"))
 

@@ -26,11 +26,8 @@ def _number(index: Column) -> Column:
     return (index + 1).cast("int")
 
 
-def _lecture_rows(
-    lessons: Column, section_number, section_title, chapter_number, chapter_title, duration, untitled=None
-):
+def _lessons(lessons: Column, section_number, section_title, chapter_number, chapter_title, untitled=None):
     def one(lesson: Column, index: Column) -> Column:
-        timed = F.nullif(lesson["duration"], F.lit(""))
         return F.struct(
             section_number.alias("section_number"),
             section_title.alias("section_title"),
@@ -40,9 +37,8 @@ def _lecture_rows(
             F.coalesce(
                 lesson["title"], F.lit(untitled), F.concat(F.lit("Lecture "), _number(index).cast("string"))
             ).alias("lecture_title"),
-            duration(timed).alias("lecture_time"),
+            lesson["duration"].alias("duration"),
             F.coalesce(lesson["is_completed"], F.lit(False)).alias("is_completed"),
-            duration_rejected(timed).alias("duration_rejected"),
         )
 
     return F.transform(_or_empty(lessons, LESSONS), one)
@@ -52,50 +48,55 @@ def _section_title(section: Column, number: Column) -> Column:
     return F.coalesce(section["section"], F.concat(F.lit("Section "), number.cast("string")))
 
 
-def lecture_rows(sections: Column, duration: Duration = parse_duration_daily) -> Column:
-    """Lectures of a nested curriculum as one array, chapters kept."""
+def lesson_array(sections: Column) -> Column:
+    """Lessons of a nested curriculum as one array, chapters kept."""
     no_chapter = F.lit(None)
 
-    def section_rows(section: Column) -> Column:
+    def of_section(section: Column) -> Column:
         number = section["section_number"]
         title = _section_title(section, number)
         by_chapter = F.flatten(F.transform(
             _or_empty(section["chapters"], CHAPTERS),
-            lambda chapter: _lecture_rows(
-                chapter["lessons"], number, title,
-                chapter["chapter_number"], chapter["chapter_title"], duration,
+            lambda chapter: _lessons(
+                chapter["lessons"], number, title, chapter["chapter_number"], chapter["chapter_title"]
             ),
         ))
-        direct = _lecture_rows(section["lessons"], number, title, no_chapter, no_chapter, duration)
+        direct = _lessons(section["lessons"], number, title, no_chapter, no_chapter)
         return F.when(F.size(section["chapters"]) > 0, by_chapter).otherwise(direct)
 
-    return F.flatten(F.transform(sections, section_rows))
+    return F.flatten(F.transform(sections, of_section))
 
 
-def lecture_rows_flat(
-    sections: Column, duration: Duration = parse_duration_full,
-    count_empty: bool = False, untitled: str | None = None,
-) -> Column:
-    """Lectures of a curriculum without chapters as one array, sections numbered by position."""
+def lesson_array_flat(sections: Column, count_empty: bool = False, untitled: str | None = None) -> Column:
+    """Lessons of a curriculum without chapters as one array, sections numbered by position."""
     if not count_empty:
         sections = F.filter(sections, lambda section: F.size(section["lessons"]) > 0)
 
-    def section_rows(section: Column, index: Column) -> Column:
+    def of_section(section: Column, index: Column) -> Column:
         number = _number(index)
-        return _lecture_rows(
-            section["lessons"], number, _section_title(section, number),
-            F.lit(None), F.lit(None), duration, untitled,
+        return _lessons(
+            section["lessons"], number, _section_title(section, number), F.lit(None), F.lit(None), untitled
         )
 
-    return F.flatten(F.transform(sections, section_rows))
+    return F.flatten(F.transform(sections, of_section))
+
+
+def timed(lessons: DataFrame, duration: Duration) -> DataFrame:
+    """Lessons with the duration text turned into ``lecture_time`` and ``duration_rejected``."""
+    text = F.nullif(F.col("duration"), F.lit(""))
+    return lessons.withColumns({
+        "lecture_time": duration(text), "duration_rejected": duration_rejected(text),
+    }).drop("duration")
 
 
-def _emit(curricula: DataFrame, rows: Column) -> DataFrame:
+def _emit(curricula: DataFrame, lessons: Column, duration: Duration) -> DataFrame:
+    """One row per lesson. Only the numbering is done in the array; texts are parsed in plain columns."""
     kept = [F.col(c) for c in curricula.columns if c != "sections"]
-    return (
-        curricula.select(*kept, F.posexplode(rows).alias("position", "lecture"))
-        .select(*kept, "lecture.*", _number(F.col("position")).alias("sort_order"))
+    rows = (
+        curricula.select(*kept, F.posexplode(lessons).alias("position", "lesson"))
+        .select(*kept, "lesson.*", _number(F.col("position")).alias("sort_order"))
     )
+    return timed(rows, duration)
 
 
 def flatten_curriculum(curricula: DataFrame, duration: Duration = parse_duration_daily) -> DataFrame:
@@ -105,7 +106,7 @@ def flatten_curriculum(curricula: DataFrame, duration: Duration = parse_duration
     (or section without chapters); ``sort_order`` runs through the course. ``duration_rejected``
     marks malformed clock texts, which count as 0 minutes.
     """
-    return _emit(curricula, lecture_rows(F.col("sections"), duration))
+    return _emit(curricula, lesson_array(F.col("sections")), duration)
 
 
 def flatten_curriculum_flat(
@@ -117,7 +118,7 @@ def flatten_curriculum_flat(
     Sections are numbered densely among the non-empty ones; ``count_empty`` numbers them by their
     position in the list instead. ``untitled`` replaces missing lecture titles.
     """
-    return _emit(curricula, lecture_rows_flat(F.col("sections"), duration, count_empty, untitled))
+    return _emit(curricula, lesson_array_flat(F.col("sections"), count_empty, untitled), duration)
 
 
 def rejected_durations(lectures: DataFrame) -> DataFrame:

@@ -98,13 +98,10 @@ def _section(title, number, lessons, chapters=None, complete=None, total=None):
 
 def _classroom_reader(with_chapters: bool):
     """Sections of a classroom page; empty ones and ones with unreadable counts are left out."""
-    is_ = {name: markup.matcher(selector) for name, selector in CLASSROOM.items()}
-
-    def find(page, element, name):
-        return [e for e in page.inside(element) if is_[name](e)]
+    part = {name: markup.Selector(selector) for name, selector in CLASSROOM.items()}
 
     def text_of(page, element, name, default):
-        found = find(page, element, name)
+        found = page.find(element, part[name])
         return page.text(found[0]) if found else default
 
     def lessons_of(page, element):
@@ -114,23 +111,23 @@ def _classroom_reader(with_chapters: bool):
                 "duration": text_of(page, lesson, "lesson_time", ""),
                 "is_completed": COMPLETE_CLASS in lesson.attrs.get("class", ""),
             }
-            for i, lesson in enumerate(find(page, element, "lesson"), 1)
+            for i, lesson in enumerate(page.find(element, part["lesson"]), 1)
         ]
 
     def chapter_of(title):
-        while title is not None and not is_["chapter"](title):
+        while title is not None and not part["chapter"].matches(title):
             title = title.parent
         return title
 
     def read(page):
-        for number, section in enumerate((e for e in page.elements if is_["section"](e)), 1):
+        for number, section in enumerate(page.everywhere(part["section"]), 1):
             title = text_of(page, section, "section_title", f"Section {number}")
             try:
                 complete = int(text_of(page, section, "complete", "0"))
                 total = int(text_of(page, section, "total", "0"))
             except ValueError:
                 continue
-            titles = find(page, section, "chapter_title") if with_chapters else []
+            titles = page.find(section, part["chapter_title"]) if with_chapters else []
             if titles:
                 holders = [(i, t, chapter_of(t)) for i, t in enumerate(titles, 1)]
                 chapters = [
@@ -150,13 +147,14 @@ def _classroom_reader(with_chapters: bool):
 
 def _outline_reader(outline: Outline):
     """Titled sections of a static page, kept also without lessons; else its plain lists."""
-    is_ = {
-        name: markup.matcher(selector)
+    part = {
+        name: markup.Selector(selector)
         for name, selector in dataclasses.asdict(outline).items() if selector
     }
+    items = markup.Selector("li")
 
     def text_in(page, element, name):
-        return page.first_text([e for e in page.inside(element, include_self=True) if is_[name](e)])
+        return page.first_text(page.find(element, part[name], include_self=True))
 
     def lesson(title, duration):
         return {
@@ -164,18 +162,19 @@ def _outline_reader(outline: Outline):
         }
 
     def titled(page):
-        for section in [e for e in page.elements if is_["sections"](e)]:
+        for section in page.everywhere(part["sections"]):
             title = text_in(page, section, "section_title")
             if not title:
                 continue
-            found = [e for e in page.inside(section, include_self=True) if is_["lessons"](e)]
+            found = page.find(section, part["lessons"], include_self=True)
             texts = [(text_in(page, e, "lesson_title"), text_in(page, e, "duration")) for e in found]
             yield title.strip(), [lesson(t, d) for t, d in texts if t]
 
     def listed(page):
-        for number, items in enumerate((e for e in page.elements if is_["lists"](e)), 1):
-            found = [e for e in page.inside(items, include_self=True) if e.tag == "li"]
-            texts = [page.first_text(page.inside(e, include_self=True)) or "" for e in found]
+        for number, holder in enumerate(page.everywhere(part["lists"]), 1):
+            texts = [
+                page.first_text(page.inside(e)) or "" for e in page.find(holder, items, include_self=True)
+            ]
             lessons = [lesson(t, None) for t in texts if t.strip()]
             if lessons:
                 yield f"Section {number}", lessons
@@ -205,19 +204,17 @@ def extract_pages(pages: DataFrame, profile: str = "classroom") -> DataFrame:
         import pandas as pd
 
         read = _outline_reader(outline) if outline else _classroom_reader(profile == "classroom")
-        is_title, is_heading, is_body = (markup.matcher(s) for s in ("title", own_heading, "body"))
+        of_title, of_heading, of_body = (markup.Selector(s) for s in ("title", own_heading, "body"))
 
         def row(page_id, url, html):
             page = markup.Page(html or "")
-            titles = [e for e in page.elements if is_title(e)]
-            headings = [e for e in page.elements if is_heading(e)]
-            bodies = [e for e in page.elements if is_body(e)]
+            headings, bodies = page.everywhere(of_heading), page.everywhere(of_body)
             if outline:
                 heading = page.first_text(headings)
             else:
                 heading = page.text(headings[0]) if headings else None
             return (
-                page_id, url, page.first_text(titles), heading,
+                page_id, url, page.first_text(page.everywhere(of_title)), heading,
                 page.text(bodies[0] if bodies else page.root), list(read(page)),
             )
 

@@ -7,6 +7,7 @@ and text positions.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from html.parser import HTMLParser
 
 # Fixed element groups of HTML.
@@ -41,6 +42,7 @@ class Page(HTMLParser):
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
         self.elements, self.pieces, self.open = [], [], []
+        self.by_name = {}
         self.joinable = False
         self.root = self._push("", {})
         self.feed(html)
@@ -51,6 +53,8 @@ class Page(HTMLParser):
         parent = self.open[-1] if self.open else None
         element = Element(tag, attrs, parent, len(self.elements), len(self.pieces))
         self.elements.append(element)
+        for name in {tag, *("." + c for c in element.classes)}:
+            self.by_name.setdefault(name, []).append(element)
         self.open.append(element)
         self.joinable = False
         return element
@@ -101,9 +105,23 @@ class Page(HTMLParser):
         self.pieces.append((owner, data))
         self.joinable = True
 
-    def inside(self, element, include_self=False):
-        """Descendants in document order."""
-        return self.elements[element.start + (0 if include_self else 1):element.end]
+    def find(self, element, selector, include_self=False):
+        """Descendants that match, in document order."""
+        low, high = element.start + (0 if include_self else 1), element.end
+        found = {}
+        for name, test in selector.steps:
+            named = self.by_name.get(name, ())
+            for position in range(bisect_left(named, low, key=_start), bisect_left(named, high, key=_start)):
+                if test(named[position]):
+                    found[named[position].start] = named[position]
+        return [found[start] for start in sorted(found)]
+
+    def everywhere(self, selector):
+        return self.find(self.root, selector)
+
+    def inside(self, element):
+        """The element and its descendants."""
+        return self.elements[element.start:element.end]
 
     def text(self, element) -> str:
         """Visible text with white space runs collapsed."""
@@ -119,28 +137,49 @@ class Page(HTMLParser):
         return self.pieces[min(positions)][1] if positions else None
 
 
+def _start(element):
+    return element.start
+
+
 def _simple(selector: str):
     tag, classes, name, value = re.fullmatch(
         r"([\w-]*)((?:\.[\w-]+)*)(?:\[([\w-]+)=\"([^\"]*)\"\])?", selector
     ).groups()
     wanted = [c for c in classes.split(".") if c]
-    return lambda e: (
-        (not tag or e.tag == tag)
-        and all(c in e.classes for c in wanted)
-        and (name is None or e.attrs.get(name) == value)
-    )
 
+    def test(e):
+        return (
+            (not tag or e.tag == tag)
+            and all(c in e.classes for c in wanted)
+            and (name is None or e.attrs.get(name) == value)
+        )
+
+    return ("." + wanted[0] if wanted else tag), test
 
-def matcher(selectors: str):
-    """Test for a list of ``tag.class[attr="value"]`` selectors, each with an optional ancestor."""
-    tests = [[_simple(part) for part in one.split()] for one in selectors.split(",")]
 
-    def has_ancestor(element, test):
-        element = element.parent
-        while element is not None and not test(element):
+class Selector:
+    """A list of ``tag.class[attr="value"]`` selectors, each with optional ancestors.
+
+    ``steps`` pairs the class or tag to look up with the full test.
+    """
+
+    def __init__(self, selectors: str):
+        self.steps = [self._step(one.split()) for one in selectors.split(",")]
+
+    @staticmethod
+    def _step(parts):
+        name, own = _simple(parts[-1])
+        above = [_simple(part)[1] for part in parts[:-1]]
+
+        def has_ancestor(element, test):
             element = element.parent
-        return element is not None
+            while element is not None and not test(element):
+                element = element.parent
+            return element is not None
+
+        if not above:
+            return name, own
+        return name, lambda e: own(e) and all(has_ancestor(e, test) for test in above)
 
-    return lambda e: any(
-        steps[-1](e) and all(has_ancestor(e, test) for test in steps[:-1]) for steps in tests
-    )
+    def matches(self, element) -> bool:
+        return any(test(element) for _, test in self.steps)

@@ -6,16 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.durations import parse_duration_daily
 from ..functions.links import course_id_from_classroom
 from ..functions.page_fields import (
     course_title, is_authenticated, progress_rate, study_minutes, total_minutes,
 )
-from ..operators.curriculum import lecture_rows, lecture_rows_flat
+from ..operators.curriculum import lesson_array, lesson_array_flat, timed
 from ..operators.extraction import extract_pages
 from ..operators.history import SLICE_ROWS
-from ..sources.schemas import ITEMS, LECTURES
+from ..sources.schemas import ITEMS
 
 # Arrival numbers of one page.
 PAGE_STRIDE = 1 << 24
@@ -54,9 +55,9 @@ def page_items(
     Records are numbered by page and position in it. A key occurs at most once in a page, so fold
     such items with ``slice_rows=PAGE_SLICE``.
     """
-    rows_of = lecture_rows if profile == "classroom" else lecture_rows_flat
+    lessons_of = lesson_array if profile == "classroom" else lesson_array_flat
     found = course_records(extract_pages(pages, profile))
-    types = {f.name: f.dataType for f in ITEMS}
+    raw = T.StructType([*ITEMS, T.StructField("duration", T.StringType())])
 
     def item(item_type: str, position: Column, values: dict[str, Column]) -> Column:
         own = {
@@ -66,15 +67,18 @@ def page_items(
             "course_title": F.col("course_title"),
             **values,
         }
-        return F.struct(*[own.get(n, F.lit(None)).cast(t).alias(n) for n, t in types.items()])
+        return F.struct(*[own.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in raw])
 
     course_fields = ("progress_rate", "study_time", "total_lecture_time", "url")
     course = item("course", F.lit(0), {c: F.col(c) for c in course_fields})
-    lecture_fields = [f for f in ITEMS.fieldNames() if f in LECTURES.fieldNames() and f not in ("course_id", "sort_order")]
+    lesson_fields = (
+        "section_number", "section_title", "chapter_number", "chapter_title",
+        "lecture_number", "lecture_title", "is_completed", "duration",
+    )
     lectures = F.transform(
-        rows_of(F.col("sections"), duration),
-        lambda row, i: item(
-            "lecture", i + 1, {**{c: row[c] for c in lecture_fields}, "sort_order": i + 1}
-        ),
+        lessons_of(F.col("sections")),
+        lambda row, i: item("lecture", i + 1, {**{c: row[c] for c in lesson_fields}, "sort_order": i + 1}),
     )
-    return found.select(F.inline(F.concat(F.array(course), lectures)))
+    items = timed(found.select(F.inline(F.concat(F.array(course), lectures))), duration)
+    minutes = F.when(F.col("item_type") == "lecture", F.col("lecture_time"))
+    return items.withColumn("lecture_time", minutes).select(*ITEMS.fieldNames(), "duration_rejected")
