@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
-from html.parser import HTMLParser
+from html import unescape
 
 # Fixed element groups of HTML.
 VOID = frozenset(
@@ -30,31 +30,73 @@ class Element:
 
     def __init__(self, tag, attrs, parent, start, text_start):
         self.tag, self.attrs, self.parent = tag, attrs, parent
-        self.classes = (attrs.get("class") or "").split()
+        self.classes = attrs["class"].split() if "class" in attrs else ()
         self.start, self.end = start, None
         self.text_start, self.text_end = text_start, None
         self.texts = []
 
 
-class Page(HTMLParser):
+# A comment, a tag with its attribute text, a declaration, or a run of text. The possessive
+# quantifiers keep broken quotes from being tried again and again.
+TOKEN = re.compile(
+    r"""<!--(?:.*?-->|.*)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<[!?/][^>]*>|[^<]+|<""",
+    re.DOTALL,
+)
+ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+# Elements whose content holds no tags.
+RAW_END = {name: re.compile(rf"</{name}\b", re.IGNORECASE) for name in ("script", "style", "title", "textarea")}
+
+
+def _attributes(text: str) -> dict:
+    found = {}
+    for name, double, single, bare in ATTRIBUTE.findall(text):
+        value = double or single or bare
+        found.setdefault(name.lower(), unescape(value) if "&" in value else value)
+    return found
+
+
+class Page:
     """Elements and text pieces of a page in document order."""
 
     def __init__(self, html: str):
-        super().__init__(convert_charrefs=True)
         self.elements, self.pieces, self.open = [], [], []
         self.by_name = {}
         self.joinable = False
         self.root = self._push("", {})
-        self.feed(html)
-        self.close()
+        self._read(html)
         self._pop_to(0)
 
+    def _read(self, html):
+        position, size = 0, len(html)
+        while position < size:
+            token = TOKEN.match(html, position)
+            position = token.end()
+            closing, name, attributes = token.groups()
+            if name is None:
+                text = token.group()
+                if text[0] != "<" or text == "<":
+                    self._text(text)
+                else:
+                    self.joinable = False
+            elif closing:
+                self._end(name.lower())
+            else:
+                tag = name.lower()
+                self._begin(tag, attributes)
+                if tag in RAW_END:
+                    end = RAW_END[tag].search(html, position)
+                    stop = end.start() if end else size
+                    if stop > position:
+                        self._text(html[position:stop], plain=tag in ("script", "style"))
+                    position = stop
+
     def _push(self, tag, attrs):
         parent = self.open[-1] if self.open else None
         element = Element(tag, attrs, parent, len(self.elements), len(self.pieces))
         self.elements.append(element)
-        for name in {tag, *("." + c for c in element.classes)}:
-            self.by_name.setdefault(name, []).append(element)
+        self.by_name.setdefault(tag, []).append(element)
+        for name in dict.fromkeys(element.classes):
+            self.by_name.setdefault("." + name, []).append(element)
         self.open.append(element)
         self.joinable = False
         return element
@@ -69,7 +111,7 @@ class Page(HTMLParser):
         if tag in BLOCK:
             self.pieces.append((None, "\n"))
 
-    def handle_starttag(self, tag, attrs):
+    def _begin(self, tag, attributes):
         barriers = CLOSED_BY_SIBLING.get(tag)
         if barriers:
             for depth in range(len(self.open) - 1, 0, -1):
@@ -79,24 +121,20 @@ class Page(HTMLParser):
                 if self.open[depth].tag in barriers:
                     break
         self._break(tag)
-        self._push(tag, {name: value or "" for name, value in attrs})
+        self._push(tag, _attributes(attributes) if attributes else {})
         if tag in VOID:
             self._pop_to(len(self.open) - 1)
 
-    def handle_startendtag(self, tag, attrs):
-        self.handle_starttag(tag, attrs)
-
-    def handle_endtag(self, tag):
+    def _end(self, tag):
         for depth in range(len(self.open) - 1, 0, -1):
             if self.open[depth].tag == tag:
                 self._pop_to(depth)
                 self._break(tag)
                 return
 
-    def handle_comment(self, data):
-        self.joinable = False
-
-    def handle_data(self, data):
+    def _text(self, data, plain=False):
+        if "&" in data and not plain:
+            data = unescape(data)
         owner = self.open[-1]
         if self.joinable:
             self.pieces[-1] = (owner, self.pieces[-1][1] + data)
