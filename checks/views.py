@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from coursepulse.operators.extraction import spread
 from coursepulse.sources.schemas import LESSONS
 
 SITE = "https://learn.example.com"
@@ -215,7 +216,7 @@ class Views:
             )
 
         lines = F.split("text", "\n")
-        return self.table("documents").select(
+        return spread(self.table("documents")).select(
             F.col("doc_id").alias("course_id"), F.transform(lines, section).alias("sections")
         )
 

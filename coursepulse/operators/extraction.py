@@ -1,7 +1,7 @@
 """Archived pages to page fields and nested curricula.
 
-Reading markup is the one step Spark has no expression for. It runs as ``mapInPandas`` over the
-page table: each page is independent, so the work splits by input partition without a shuffle.
+Reading markup is the one step Spark has no expression for. It runs as ``mapInArrow`` over the page
+table: each page is independent, so the work splits by input partition without a shuffle.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..functions.text import strip
 from ..sources.schemas import SECTIONS
@@ -189,6 +190,18 @@ def _outline_reader(outline: Outline):
     return read
 
 
+def spread(pages: DataFrame) -> DataFrame:
+    """Pages in at least as many partitions as there are cores.
+
+    Reading markup is bound by the processor, so an archive of few splits is dealt out first. An
+    archive with enough of them, as any large one has, is left where it is.
+    """
+    if pages.isStreaming:
+        return pages
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
+
+
 def extract_pages(pages: DataFrame, profile: str = "classroom") -> DataFrame:
     """Page title, first heading, visible text and nested curriculum of every archived page.
 
@@ -200,8 +213,10 @@ def extract_pages(pages: DataFrame, profile: str = "classroom") -> DataFrame:
     outline = OUTLINES.get(profile)
     own_heading = outline.page_title if outline else "h1"
 
+    arrow_schema = to_arrow_schema(EXTRACTED)
+
     def read_batches(batches):
-        import pandas as pd
+        import pyarrow as pa
 
         read = _outline_reader(outline) if outline else _classroom_reader(profile == "classroom")
         of_title, of_heading, of_body = (markup.Selector(s) for s in ("title", own_heading, "body"))
@@ -213,16 +228,17 @@ def extract_pages(pages: DataFrame, profile: str = "classroom") -> DataFrame:
                 heading = page.first_text(headings)
             else:
                 heading = page.text(headings[0]) if headings else None
-            return (
-                page_id, url, page.first_text(page.everywhere(of_title)), heading,
-                page.text(bodies[0] if bodies else page.root), list(read(page)),
-            )
+            return {
+                "page_id": page_id, "url": url, "page_title": page.first_text(page.everywhere(of_title)),
+                "h1": heading, "body_text": page.text(bodies[0] if bodies else page.root),
+                "sections": list(read(page)),
+            }
 
         for batch in batches:
-            rows = [row(*values) for values in zip(batch["page_id"], batch["url"], batch["html"])]
-            yield pd.DataFrame(rows, columns=EXTRACTED.fieldNames())
+            columns = [batch.column(name).to_pylist() for name in ("page_id", "url", "html")]
+            yield pa.RecordBatch.from_pylist([row(*values) for values in zip(*columns)], arrow_schema)
 
-    return pages.select("page_id", "url", "html").mapInPandas(read_batches, EXTRACTED)
+    return spread(pages.select("page_id", "url", "html")).mapInArrow(read_batches, EXTRACTED)
 
 
 def outline_records(pages: DataFrame, profile: str) -> DataFrame:

@@ -47,6 +47,10 @@ ATTRIBUTE = re.compile(r"""([^\s=>"'/]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]
 RAW_END = {name: re.compile(rf"</{name}\b", re.IGNORECASE) for name in ("script", "style", "title", "textarea")}
 
 
+SPACES = re.compile(r"[ \t\r\n\f]+")
+NOTHING = ((), ())
+
+
 def _attributes(text: str) -> dict:
     found = {}
     for name, double, single, bare in ATTRIBUTE.findall(text):
@@ -94,13 +98,18 @@ class Page:
         parent = self.open[-1] if self.open else None
         element = Element(tag, attrs, parent, len(self.elements), len(self.pieces))
         self.elements.append(element)
-        self.by_name.setdefault(tag, []).append(element)
+        self._index(tag, element)
         for name in dict.fromkeys(element.classes):
-            self.by_name.setdefault("." + name, []).append(element)
+            self._index("." + name, element)
         self.open.append(element)
         self.joinable = False
         return element
 
+    def _index(self, name, element):
+        starts, named = self.by_name.setdefault(name, ([], []))
+        starts.append(element.start)
+        named.append(element)
+
     def _pop_to(self, depth):
         while len(self.open) > depth:
             element = self.open.pop()
@@ -146,13 +155,13 @@ class Page:
     def find(self, element, selector, include_self=False):
         """Descendants that match, in document order."""
         low, high = element.start + (0 if include_self else 1), element.end
-        found = {}
+        found = []
         for name, test in selector.steps:
-            named = self.by_name.get(name, ())
-            for position in range(bisect_left(named, low, key=_start), bisect_left(named, high, key=_start)):
-                if test(named[position]):
-                    found[named[position].start] = named[position]
-        return [found[start] for start in sorted(found)]
+            starts, named = self.by_name.get(name, NOTHING)
+            found += filter(test, named[bisect_left(starts, low):bisect_left(starts, high)])
+        if len(selector.steps) > 1:
+            found = [one for _, one in sorted({e.start: e for e in found}.items())]
+        return found
 
     def everywhere(self, selector):
         return self.find(self.root, selector)
@@ -163,11 +172,11 @@ class Page:
 
     def text(self, element) -> str:
         """Visible text with white space runs collapsed."""
-        parts = (
+        parts = [
             data for owner, data in self.pieces[element.text_start:element.text_end]
             if owner is None or owner.tag not in HIDDEN
-        )
-        return re.sub(r"[ \t\r\n\f]+", " ", "".join(parts)).strip()
+        ]
+        return SPACES.sub(" ", "".join(parts)).strip()
 
     def first_text(self, elements):
         """First own text piece of the given elements, in document order; None without any."""
@@ -175,10 +184,6 @@ class Page:
         return self.pieces[min(positions)][1] if positions else None
 
 
-def _start(element):
-    return element.start
-
-
 def _simple(selector: str):
     tag, classes, name, value = re.fullmatch(
         r"([\w-]*)((?:\.[\w-]+)*)(?:\[([\w-]+)=\"([^\"]*)\"\])?", selector
