@@ -216,8 +216,12 @@ def extract_pages(pages: DataFrame, profile: str = "classroom") -> DataFrame:
     arrow_schema = to_arrow_schema(EXTRACTED)
 
     def read_batches(batches):
+        import gc
+
         import pyarrow as pa
 
+        # A page is a tree without reference cycles; collecting between pages only costs time.
+        gc.disable()
         read = _outline_reader(outline) if outline else _classroom_reader(profile == "classroom")
         of_title, of_heading, of_body = (markup.Selector(s) for s in ("title", own_heading, "body"))
 
@@ -234,9 +238,12 @@ def extract_pages(pages: DataFrame, profile: str = "classroom") -> DataFrame:
                 "sections": list(read(page)),
             }
 
-        for batch in batches:
-            columns = [batch.column(name).to_pylist() for name in ("page_id", "url", "html")]
-            yield pa.RecordBatch.from_pylist([row(*values) for values in zip(*columns)], arrow_schema)
+        try:
+            for batch in batches:
+                columns = [batch.column(name).to_pylist() for name in ("page_id", "url", "html")]
+                yield pa.RecordBatch.from_pylist([row(*values) for values in zip(*columns)], arrow_schema)
+        finally:
+            gc.enable()
 
     return spread(pages.select("page_id", "url", "html")).mapInArrow(read_batches, EXTRACTED)
 
