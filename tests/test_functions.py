@@ -25,7 +25,7 @@ DURATIONS = {
     "1:x:3": (0.0, 0.0, None),
     "0:00": (0.0, 0.0, None),
     "x시간": (0.0, 0.0, None),
-    "10분:": (10.0, 10.0, None),
+    "10분:": (0.0, 0.0, None),
     "1시간 5분 : 2분:3:4": (65.0, 65.0, None),
     "-5": (0.0, 0.0, None),
 }
