@@ -89,7 +89,7 @@ def _stream_items(spark: SparkSession, folder: str) -> DataFrame:
     schema = batch.table("events").schema
 
     class Streamed(Views):
-        def table(self, name: str) -> DataFrame:
+        def read(self, name: str) -> DataFrame:
             reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
             return reader.parquet(folder)
 

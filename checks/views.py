@@ -34,8 +34,14 @@ class Views:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self.tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
+        if name not in self.tables:
+            self.tables[name] = self.read(name)
+        return self.tables[name]
+
+    def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
     def snapshots(self) -> DataFrame:
