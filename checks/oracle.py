@@ -518,6 +518,13 @@ QUERIES = {
 }
 
 
+def decoded(text: str) -> str:
+    """Text with the entities of the raw pages replaced."""
+    for entity, char in (("&quot;?", '"'), ("&#x27;?", "''"), ("&lt;?", "<"), ("&gt;?", ">"), ("&amp;?", "&")):
+        text = f"regexp_replace({text}, '{entity}', '{char}', 'g')"
+    return text
+
+
 def outline(lists: bool) -> str:
     """One row per titled section; pages of one section come from their plain list, if that is read."""
     plain = """
@@ -559,10 +566,9 @@ QUERIES |= {
     "extract_curriculum_static": outline(lists=True),
     "extract_curriculum_outline": outline(lists=False),
     "extract_curriculum_purpose": outline(lists=False),
-    "page_headings": """
-        SELECT page_id, replace(regexp_extract(html, '<title>([^<]*)</title>', 1), '&amp;', '&') AS page_title,
-            trim(regexp_replace(replace(regexp_extract(html, '<h1>([^<]*)</h1>', 1), '&amp;', '&'), '\\s+', ' ', 'g')) AS h1,
-            cast(0 as integer) AS sections
+    "page_headings": f"""
+        SELECT page_id, {decoded("regexp_extract(html, '<title>([^<]*)</title>', 1)")} AS page_title,
+            {shown(decoded("regexp_extract(html, '<h1>([^<]*)</h1>', 1)"))} AS h1, cast(0 as integer) AS sections
         FROM pages""",
     "page_items": f"""
         SELECT 'course' AS item_type, course_id * 16777216 AS seq, cast(course_id as varchar) AS course_id,
