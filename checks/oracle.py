@@ -545,6 +545,7 @@ def outline(lists: bool) -> str:
 
 
 QUERIES |= {
+    "extract_listings": QUERIES["placeholder_courses"],
     "extract_curriculum_classroom": f"""
         SELECT page_id, section_number, 'Part ' || section_number AS section_title, chapter_number,
             'Chapter ' || chapter_number AS chapter_title, lecture_number, lecture_title,

@@ -16,6 +16,7 @@ from coursepulse.operators.history import LECTURE_KEY, completion_history
 from coursepulse.plans import collect, update
 from coursepulse.sources import migrations
 from coursepulse.sources.published import PublishedTables
+from coursepulse.sources.readers import spread
 from coursepulse.sources.schemas import CRAWL_LOGS, ITEMS, LECTURES
 from coursepulse.streaming.items import stream_items
 
@@ -164,7 +165,8 @@ def _outline(profile: str) -> Query:
 
 def _page_headings(v: Views) -> DataFrame:
     """Title and first heading of the raw pages."""
-    return extraction.extract_pages(v.table("pages")).select("page_id", "page_title", "h1", F.size("sections").alias("sections"))
+    return extraction.extract_pages(spread(v.table("pages"))).select(
+        "page_id", "page_title", "h1", F.size("sections").alias("sections"))
 
 
 def _page_items(v: Views) -> DataFrame:
@@ -260,6 +262,8 @@ QUERIES: dict[str, Query] = {
     "extract_curriculum_purpose": _outline("purpose"),
     "page_headings": _on(_page_headings),
     "page_items": _on(_page_items),
+    "extract_listings": _on(lambda v: curriculum.placeholder_courses(curriculum.resolve_course_links(
+        extraction.extract_listings(v.listing_pages()), SITE))),
     # Curricula and links
     "flatten_curriculum": _on(lambda v: curriculum.flatten_curriculum(v.curricula()).drop("duration_rejected")),
     "flatten_curriculum_flat": _on(_flat),

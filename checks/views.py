@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coursepulse.operators.extraction import spread
+from coursepulse.sources.readers import spread
 from coursepulse.sources.schemas import LESSONS
 
 SITE = "https://learn.example.com"
@@ -335,7 +335,28 @@ class Views:
                 F.lit(None).cast("string").alias("data_key"),
             )
 
-        return self.table("pages").select("page_id", F.transform(hrefs, box).alias("boxes"))
+        return spread(self.table("pages")).select("page_id", F.transform(hrefs, box).alias("boxes"))
+
+    def listing_pages(self) -> DataFrame:
+        """The course boxes written out as listing pages."""
+        def attribute(name, value):
+            return F.coalesce(F.concat(F.lit(f' {name}="'), value, F.lit('"')), F.lit(""))
+
+        def box(x):
+            return F.concat(
+                F.lit('<div class="vn-me-courses__box"><a href="/help">?</a>'),
+                F.coalesce(F.concat(F.lit('<a href="'), x["href"], F.lit('">go</a>')), F.lit("")),
+                F.lit("<button data-e2e='classroom-enter-button'"),
+                attribute("data-course-id", x["data_course_id"]), F.lit("></button>"),
+                F.lit("<button>"), F.lit("</button></div>"),
+            )
+
+        def marked(x):
+            return F.replace(box(x), F.lit("<button data-e2e='classroom-enter-button'"), F.concat(
+                F.lit("<button data-e2e='classroom-enter-button'"), attribute("data-id", x["data_id"])))
+
+        html = F.array_join(F.transform("boxes", marked), "\n")
+        return self.listings().select("page_id", F.lit(None).cast("string").alias("url"), html.alias("html"))
 
 
 def _escape(text):

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from ..functions.links import CLASSROOM_PATH
 from ..functions.text import strip
-from ..sources.schemas import SECTIONS
+from ..sources.schemas import BOXES, SECTIONS
 from . import markup
 
 # Tasks get the reader with the function, so executors need no copy of this package.
@@ -78,6 +79,10 @@ CLASSROOM = {
 }
 COMPLETE_CLASS = "classroom-sidebar-clip__chapter__clip--complete"
 
+# Fixed selectors of the listing page.
+LISTING_BOX = ".vn-me-courses__box"
+LISTING_BUTTON = 'button[data-e2e="classroom-enter-button"]'
+
 PROFILES = ("classroom", "classroom_flat", *OUTLINES)
 
 EXTRACTED = T.StructType([
@@ -190,23 +195,28 @@ def _outline_reader(outline: Outline):
     return read
 
 
-def spread(pages: DataFrame) -> DataFrame:
-    """Pages in at least as many partitions as there are cores.
+def _read_rows(batches, row, arrow_schema):
+    """Apply ``row`` to every (page_id, url, html) of the batches."""
+    import gc
 
-    Reading markup is bound by the processor, so an archive of few splits is dealt out first. An
-    archive with enough of them, as any large one has, is left where it is.
-    """
-    if pages.isStreaming:
-        return pages
-    cores = pages.sparkSession.sparkContext.defaultParallelism
-    return pages.repartition(cores) if pages.rdd.getNumPartitions() < cores else pages
+    import pyarrow as pa
+
+    # A page is a tree without reference cycles; collecting between pages only costs time.
+    gc.disable()
+    try:
+        for batch in batches:
+            columns = [batch.column(name).to_pylist() for name in ("page_id", "url", "html")]
+            yield pa.RecordBatch.from_pylist([row(*values) for values in zip(*columns)], arrow_schema)
+    finally:
+        gc.enable()
 
 
 def extract_pages(pages: DataFrame, profile: str = "classroom") -> DataFrame:
     """Page title, first heading, visible text and nested curriculum of every archived page.
 
     ``pages`` has page_id, url and html. ``profile`` is one of ``PROFILES``. A page without a
-    curriculum has an empty ``sections``.
+    curriculum has an empty ``sections``. Reading is bound by the processor: deal an archive of few
+    splits out first, as ``read_page_archive`` does.
     """
     if profile not in PROFILES:
         raise ValueError(f"unknown profile {profile!r}, expected one of {PROFILES}")
@@ -216,12 +226,6 @@ def extract_pages(pages: DataFrame, profile: str = "classroom") -> DataFrame:
     arrow_schema = to_arrow_schema(EXTRACTED)
 
     def read_batches(batches):
-        import gc
-
-        import pyarrow as pa
-
-        # A page is a tree without reference cycles; collecting between pages only costs time.
-        gc.disable()
         read = _outline_reader(outline) if outline else _classroom_reader(profile == "classroom")
         of_title, of_heading, of_body = (markup.Selector(s) for s in ("title", own_heading, "body"))
 
@@ -238,14 +242,9 @@ def extract_pages(pages: DataFrame, profile: str = "classroom") -> DataFrame:
                 "sections": list(read(page)),
             }
 
-        try:
-            for batch in batches:
-                columns = [batch.column(name).to_pylist() for name in ("page_id", "url", "html")]
-                yield pa.RecordBatch.from_pylist([row(*values) for values in zip(*columns)], arrow_schema)
-        finally:
-            gc.enable()
+        yield from _read_rows(batches, row, arrow_schema)
 
-    return spread(pages.select("page_id", "url", "html")).mapInArrow(read_batches, EXTRACTED)
+    return pages.select("page_id", "url", "html").mapInArrow(read_batches, EXTRACTED)
 
 
 def outline_records(pages: DataFrame, profile: str) -> DataFrame:
@@ -258,3 +257,33 @@ def outline_records(pages: DataFrame, profile: str) -> DataFrame:
             F.col("sections").alias("curriculum"), F.size("sections").alias("total_sections"),
         )
     )
+
+
+def extract_listings(pages: DataFrame) -> DataFrame:
+    """Course boxes of archived listing pages, as ``resolve_course_links`` takes them.
+
+    A box gives the href of its first classroom link and the data attributes of its enter button, or
+    of its first button where the enter button has none.
+    """
+    schema = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("boxes", BOXES)])
+    arrow_schema = to_arrow_schema(schema)
+    names = {"data_course_id": "data-course-id", "data_id": "data-id", "data_key": "data-key"}
+
+    def read_batches(batches):
+        box, enter, button, link = (markup.Selector(s) for s in (LISTING_BOX, LISTING_BUTTON, "button", "a"))
+
+        def read_box(page, element):
+            hrefs = (e.attrs.get("href", "") for e in page.find(element, link))
+            buttons = page.find(element, enter)[:1] + page.find(element, button)[:1]
+            marked = [e.attrs for e in buttons if any(e.attrs.get(name) for name in names.values())]
+            attrs = marked[0] if marked else {}
+            found = {field: attrs.get(name) for field, name in names.items()}
+            return {"href": next((h for h in hrefs if CLASSROOM_PATH in h), None), **found}
+
+        def row(page_id, url, html):
+            page = markup.Page(html or "")
+            return {"page_id": page_id, "boxes": [read_box(page, e) for e in page.everywhere(box)]}
+
+        yield from _read_rows(batches, row, arrow_schema)
+
+    return pages.select("page_id", "url", "html").mapInArrow(read_batches, schema)

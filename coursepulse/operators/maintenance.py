@@ -186,9 +186,10 @@ def delete_lectures(lectures: DataFrame, courses: DataFrame) -> DataFrame:
 
 
 def count_deleted(lectures: DataFrame, courses: DataFrame) -> DataFrame:
-    """How many lectures ``delete_lectures`` takes away."""
-    return lectures.join(courses.select("course_id"), "course_id", "left_semi").agg(
-        F.count("*").alias("deleted")
+    """How many lectures ``delete_lectures`` takes away, from counts per course."""
+    per_course = lectures.groupBy("course_id").agg(F.count("*").alias("n"))
+    return per_course.join(courses.select("course_id"), "course_id", "left_semi").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("deleted")
     )
 
 

@@ -71,7 +71,9 @@ def publish_items(
     }
     stored = {name: tables.read(name, parts[name], last) for name in parts}
     changed = apply_items(stored, items, as_of, slice_rows)
-    return tables.publish({name: (changed[name], parts[name]) for name in parts}, batch_id, last)
+    # Tables that no record of the batch concerns are left as they are.
+    concerned = [name for name in parts if parts["lectures" if name == "lectures" else "courses"]]
+    return tables.publish({name: (changed[name], parts[name]) for name in concerned}, batch_id, last)
 
 
 def recollect(

@@ -66,6 +66,9 @@ SECTIONS = T.ArrayType(
     ])
 )
 
+# Course boxes of one listing page.
+BOXES = T.ArrayType(_struct("href STRING, data_course_id STRING, data_id STRING, data_key STRING"))
+
 # One crawled record: a course, a lecture, or something else that is passed through.
 # ``seq`` is its unique arrival number, ``payload`` the text of other records.
 ITEMS = _struct(

@@ -1,6 +1,6 @@
 import pytest
 
-from coursepulse.operators import extraction, markup
+from coursepulse.operators import curriculum, extraction, markup
 from coursepulse.plans import collect
 
 P = "classroom-sidebar-clip__chapter"
@@ -83,6 +83,21 @@ def test_outline_records(spark, profile, html):
     assert [(x.title, x.duration) for x in rows[0].curriculum[0].lessons] == [("x", "2:00")]
 
 
+def test_listing_boxes(spark):
+    html = """
+        <div class="vn-me-courses__box"><a href="/help">h</a><a href="/classroom/1">a</a><a href="/classroom/2">b</a></div>
+        <div class="vn-me-courses__box"><button>x</button><button data-e2e="classroom-enter-button" data-id="3"></button></div>
+        <div class="vn-me-courses__box"><button data-key="4" data-course-id="">x</button><button data-e2e="classroom-enter-button"></button></div>
+        <div class="vn-me-courses__box"><button>x</button></div><a href="/classroom/9">outside</a>"""
+    pages = spark.createDataFrame([(1, None, html)], "page_id BIGINT, url STRING, html STRING")
+    boxes = extraction.extract_listings(pages)
+    assert [tuple(b) for b in boxes.first().boxes] == [
+        ("/classroom/1", None, None, None), (None, None, "3", None), (None, "", None, "4"), (None, None, None, None)]
+    links = curriculum.resolve_course_links(boxes, "https://s").collect()
+    assert [(r.position, r.url) for r in links] == [
+        (1, "https://s/classroom/1"), (2, "https://s/classroom/3"), (3, "https://s/classroom/4")]
+
+
 def test_unknown_profile(spark):
     with pytest.raises(ValueError, match="unknown profile"):
         extraction.extract_pages(spark.range(1), "nope")
