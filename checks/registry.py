@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,7 @@ def shared_folder(spark: SparkSession) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base is None:
         return tempfile.mkdtemp(prefix="coursepulse-")
-    return f"{base.rstrip('/')}/coursepulse-{spark.sparkContext.applicationId}-{spark.sparkContext._jvm.java.util.UUID.randomUUID()}"
+    return f"{base.rstrip('/')}/coursepulse-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
 
 
 def _on(build: Callable[[Views], DataFrame]) -> Query:
@@ -65,8 +66,8 @@ def _apply_items(v: Views) -> DataFrame:
     """All tables after the whole item set arrives at empty ones, as one list of kinds."""
     spark = v.spark
     tables = {
-        "courses": v.courses().limit(0),
-        "course_progress_snapshots": v.snapshots().limit(0),
+        "courses": spark.createDataFrame([], v.courses().schema),
+        "course_progress_snapshots": spark.createDataFrame([], v.snapshots().schema),
         "crawl_logs": spark.createDataFrame([], CRAWL_LOGS),
         "lectures": spark.createDataFrame([], LECTURES),
     }
@@ -108,7 +109,7 @@ def _recollect(v: Views) -> DataFrame:
 
 def _log(v: Views) -> DataFrame:
     log = maintenance.crawl_log(v.course_items(), BATCH_TIME)
-    return log.withColumn("logged_at", F.col("logged_at").cast("timestamp_ntz"))
+    return log.drop("log_id").withColumn("logged_at", F.col("logged_at").cast("timestamp_ntz"))
 
 
 def _old_lectures(v: Views) -> DataFrame:

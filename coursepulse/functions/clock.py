@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .text import column
+
 AsOf = dt.date | dt.datetime | str | Column | None
 
 
@@ -40,7 +42,7 @@ def day_name(ts: Column | str) -> Column:
 
 def on_day(ts: Column | str, day: Column) -> Column:
     """``ts`` falls on ``day``, as a half-open range so that Parquet min/max pruning applies."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
+    ts = column(ts)
     return (ts >= day) & (ts < F.date_add(day, 1))
 
 

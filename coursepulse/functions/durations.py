@@ -5,17 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import HOUR_UNIT, MINUTE_UNIT, first_group, strip, whole_number
+from .text import HOUR_UNIT, MINUTE_UNIT, column, first_group, strip, whole_number
 
 # Fixed patterns of the duration texts.
 HOURS_PATTERN = r"(\d+)\s*시간"
 MINUTES_PATTERN = r"(\d+)\s*분"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def _clock(c: Column) -> tuple[Column, list[Column]]:
     """Number of colon parts (NULL without a colon) and the first three as integers."""
     parts = F.split(strip(c), ":")
@@ -38,7 +34,7 @@ def parse_duration_daily(text: Column | str) -> Column:
 
     A colon form with a non-integer part gives 0; ``duration_rejected`` marks it.
     """
-    c = _col(text)
+    c = column(text)
     count, (a, b, s) = _clock(c)
     minutes = (
         F.when(count == 3, a * 60 + b + _seconds(s))
@@ -50,7 +46,7 @@ def parse_duration_daily(text: Column | str) -> Column:
 
 def parse_duration_full(text: Column | str) -> Column:
     """As the daily dialect, unrounded; two parts are m:s only if the first exceeds 60, else h:m."""
-    c = _col(text)
+    c = column(text)
     count, (a, b, s) = _clock(c)
     minutes = (
         F.when(count == 3, a * 60 + b + s / 60)
@@ -63,7 +59,7 @@ def parse_duration_full(text: Column | str) -> Column:
 
 def duration_rejected(text: Column | str) -> Column:
     """True where a two- or three-part colon form holds something that is not an integer."""
-    c = _col(text)
+    c = column(text)
     count, (a, b, s) = _clock(c)
     bad = ((count == 3) & (a.isNull() | b.isNull() | s.isNull())) | (
         (count == 2) & (a.isNull() | b.isNull())
@@ -73,7 +69,7 @@ def duration_rejected(text: Column | str) -> Column:
 
 def parse_duration_strict(text: Column | str) -> Column:
     """Minutes, or NULL for anything empty, malformed, zero or negative; bare digits are minutes."""
-    c = strip(_col(text))
+    c = strip(column(text))
     count, (a, b, s) = _clock(c)
     worded = F.split(c, HOUR_UNIT)
     after = F.get(worded, F.lit(1))

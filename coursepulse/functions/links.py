@@ -5,19 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import whole_number
+from .text import column, whole_number
 
 # Fixed path segment in front of the course id.
 CLASSROOM_PATH = "/classroom/"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def course_id_from_classroom(url: Column | str) -> Column:
     """Text after the last classroom segment up to a query string; the whole url without one."""
-    return F.substring_index(F.substring_index(_col(url), CLASSROOM_PATH, -1), "?", 1)
+    return F.substring_index(F.substring_index(column(url), CLASSROOM_PATH, -1), "?", 1)
 
 
 def course_id_from_path(url: Column | str) -> Column:
@@ -26,7 +22,7 @@ def course_id_from_path(url: Column | str) -> Column:
     Deliberately different from ``course_id_from_classroom``: a query string makes this one NULL,
     a trailing slash makes the other one non-numeric.
     """
-    tail = F.substring_index(F.regexp_replace(_col(url), "/+$", ""), "/", -1)
+    tail = F.substring_index(F.regexp_replace(column(url), "/+$", ""), "/", -1)
     return F.when(tail.rlike(r"^\d+$"), whole_number(tail))
 
 
@@ -35,10 +31,10 @@ def course_link(href, data_course_id, data_id, data_key, site: str) -> Column:
 
     NULL when neither leads to a classroom link. Relative links get ``site`` in front.
     """
-    href = _col(href)
+    href = column(href)
     linked = F.when(
         href.contains(CLASSROOM_PATH),
         F.when(href.startswith("/"), F.concat(F.lit(site), href)).otherwise(href),
     )
-    key = F.coalesce(*(F.nullif(_col(c), F.lit("")) for c in (data_course_id, data_id, data_key)))
+    key = F.coalesce(*(F.nullif(column(c), F.lit("")) for c in (data_course_id, data_id, data_key)))
     return F.coalesce(linked, F.concat(F.lit(site + CLASSROOM_PATH), key))

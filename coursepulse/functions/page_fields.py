@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import first_group, strip
+from .text import column, first_group, strip
 
 # Fixed patterns of the progress bar and the login page.
 PROGRESS_PATTERN = r"(?U)수강률\s*(\d+(?:\.\d+)?)\s*%"
@@ -15,13 +15,9 @@ LOGIN_TITLE = "인증"
 LOGIN_PATH = "sign-in"
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
 def course_title(page_title, h1, course_id) -> Column:
     """Title from the page title, from the heading when that is shorter than 10, else a placeholder."""
-    title, heading = _col(page_title), _col(h1)
+    title, heading = column(page_title), column(h1)
     after_dash = F.when(
         title.contains(" - "), F.substring(title, F.instr(title, " - ") + 3, F.length(title))
     )
@@ -30,7 +26,7 @@ def course_title(page_title, h1, course_id) -> Column:
         (F.coalesce(F.length(named), F.lit(0)) < 10) & (F.length(heading) > 10), strip(heading)
     ).otherwise(named)
     return F.when(
-        F.coalesce(F.length(named), F.lit(0)) < 5, strip(F.concat(F.lit("Course "), _col(course_id)))
+        F.coalesce(F.length(named), F.lit(0)) < 5, strip(F.concat(F.lit("Course "), column(course_id)))
     ).otherwise(named)
 
 
@@ -39,21 +35,21 @@ def _number(text: Column, pattern: str, group: int = 1) -> Column:
 
 
 def progress_rate(body_text) -> Column:
-    return F.coalesce(_number(_col(body_text), PROGRESS_PATTERN), F.lit(0.0))
+    return F.coalesce(_number(column(body_text), PROGRESS_PATTERN), F.lit(0.0))
 
 
 def study_minutes(body_text) -> Column:
     """h:m:s, or m:s when there are two parts; seconds rounded to two places of a minute."""
-    a, b, s = (_number(_col(body_text), STUDY_PATTERN, i) for i in (1, 2, 3))
+    a, b, s = (_number(column(body_text), STUDY_PATTERN, i) for i in (1, 2, 3))
     return F.coalesce(a * 60 + b + F.round(s / 60, 2), a + F.round(b / 60, 2), F.lit(0.0))
 
 
 def total_minutes(body_text) -> Column:
     """h:m:s, seconds not rounded."""
-    h, m, s = (_number(_col(body_text), TOTAL_PATTERN, i) for i in (1, 2, 3))
+    h, m, s = (_number(column(body_text), TOTAL_PATTERN, i) for i in (1, 2, 3))
     return F.coalesce(h * 60 + m + s / 60, F.lit(0.0))
 
 
 def is_authenticated(page_title, url) -> Column:
     """False (or NULL, which a filter drops too) for login pages."""
-    return ~_col(page_title).contains(LOGIN_TITLE) & ~_col(url).contains(LOGIN_PATH)
+    return ~column(page_title).contains(LOGIN_TITLE) & ~column(url).contains(LOGIN_PATH)

@@ -11,6 +11,11 @@ MINUTE_UNIT = "분"
 DAY_UNIT = "일"
 
 
+def column(c: Column | str) -> Column:
+    """A column, or the column of that name."""
+    return F.col(c) if isinstance(c, str) else c
+
+
 def strip(c: Column) -> Column:
     """Remove all leading and trailing white space, not spaces only."""
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")

@@ -7,6 +7,7 @@ table: each page is independent, so the work splits by input partition without a
 from __future__ import annotations
 
 import dataclasses
+import sys
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -19,8 +20,9 @@ from ..functions.text import strip
 from ..sources.schemas import BOXES, SECTIONS
 from . import markup
 
-# Tasks get the reader with the function, so executors need no copy of this package.
-cloudpickle.register_pickle_by_value(markup)
+# Tasks get this module and the reader with the function, so executors need no copy of the package.
+for _module in (sys.modules[__name__], markup):
+    cloudpickle.register_pickle_by_value(_module)
 
 
 @dataclasses.dataclass(frozen=True)

@@ -46,7 +46,7 @@ def fold_observations(
     marked = sliced.withColumn("last_open", F.max(F.when(~done, seq)).over(in_slice))
     after_open = done & (F.col("last_open").isNull() | (seq > F.col("last_open")))
     per_slice = marked.groupBy(*key, "slice").agg(
-        F.max_by(F.struct(*attributes, "is_completed"), seq).alias("last"),
+        F.max_by(F.struct(*attributes, "is_completed"), F.struct("seq")).alias("last"),
         F.max("last_open").alias("last_open"),
         F.bool_or(done).alias("any_done"),
         F.min(F.when(after_open, F.struct("seq", F.col(time).alias("time")))).alias("run_start"),
@@ -58,7 +58,7 @@ def fold_observations(
     )
     in_last_run = F.col("open_slice").isNull() | (F.col("slice") >= F.col("open_slice"))
     return joined.groupBy(*key).agg(
-        F.max_by("last", "slice").alias("last"),
+        F.max_by("last", F.struct("slice")).alias("last"),
         F.max("open_slice").isNotNull().alias("any_open"),
         F.bool_or("any_done").alias("any_done"),
         F.min(F.when(in_last_run, F.col("run_start")))["time"].alias("run_start"),

@@ -44,7 +44,7 @@ def _last_per_course(items: DataFrame, fields: list[str]) -> DataFrame:
     return (
         valid_course_items(items)
         .groupBy("course_id")
-        .agg(F.max_by(F.struct(*fields), "seq").alias("item"))
+        .agg(F.max_by(F.struct(*fields), F.struct("seq")).alias("item"))
     )
 
 
@@ -99,12 +99,14 @@ def upsert_snapshots(snapshots: DataFrame, items: DataFrame, as_of: AsOf = None)
 
 
 def crawl_log(items: DataFrame, as_of: AsOf = None, status: str = "success", error: str | None = None) -> DataFrame:
-    """Log rows for the valid course records of a batch."""
+    """Log rows for the valid course records of a batch, with an id that a replay gives again."""
+    now = as_of_time(as_of)
     return valid_course_items(items).select(
+        F.xxhash64("course_id", "seq", now).alias("log_id"),
         "course_id",
         F.lit(status).alias("crawl_status"),
         F.lit(error).cast("string").alias("error_message"),
-        as_of_time(as_of).alias("logged_at"),
+        now.alias("logged_at"),
     )
 
 

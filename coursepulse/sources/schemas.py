@@ -34,7 +34,7 @@ SNAPSHOTS = _struct(
 )
 
 CRAWL_LOGS = _struct(
-    "course_id BIGINT, crawl_status STRING, error_message STRING, logged_at TIMESTAMP"
+    "log_id BIGINT, course_id BIGINT, crawl_status STRING, error_message STRING, logged_at TIMESTAMP"
 )
 
 TABLES = {

@@ -82,7 +82,7 @@ def test_table_and_feed_round_trip(spark, tmp_path):
     text = "".join(open(f"{tmp_path}/feed/{f}", encoding="utf-8").read() for f in os.listdir(f"{tmp_path}/feed") if f.endswith("json"))
     assert "제목 하나입니다" in text
     assert values(readers.read_page_archive(spark, f"{tmp_path}/feed", "json", ITEMS)) == values(rows)
-    log = spark.createDataFrame([(1, "success", None, None)], TABLES["crawl_logs"])
+    log = spark.createDataFrame([(5, 1, "success", None, None)], TABLES["crawl_logs"])
     for _ in range(2):
         writers.append_crawl_log(log, f"{tmp_path}/crawl_logs")
     assert readers.read_table(spark, str(tmp_path), "crawl_logs").count() == 2
