@@ -22,6 +22,8 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import ship
+
 UNDETERMINED = "und"
 RESULT = "lang_pred string, score double, margin double, rejected boolean"
 
@@ -101,6 +103,7 @@ def judge(raw: bytes, compressors: dict[str, zstandard.ZstdCompressor], narrow:
 
 def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "language") -> DataFrame:
     """``docs`` with a struct column ``out``: lang_pred, score, margin and rejected."""
+    ship(docs.sparkSession)
 
     @F.pandas_udf(RESULT)
     def compare(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:

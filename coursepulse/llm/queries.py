@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, language, mixing
+from . import exact, language, mixing, pieces
 from .shared import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +18,11 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def model_path() -> str:
+    """The public BPE piece model; SENTENCEPIECE_MODEL names another file."""
+    return os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
+
+
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents")
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
@@ -30,6 +36,15 @@ def op4_exact(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document: number and digest of the piece ids, and whether decoding them gives the text again."""
+    model = pieces.read_model(model_path())
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    both = pieces.decode(pieces.encode(docs, model), model)
+    return both.select("doc_id", F.size("pieces").alias("n_pieces"), F.sha2(F.to_json("pieces"), 256).alias("pieces_sha256"),
+                       (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     taken = mixing.mix(_read(spark, folder, "documents")).documents
     return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -38,6 +53,7 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op3_language": op3_language,
     "op4_exact": op4_exact,
+    "op5_pieces": op5_pieces,
     "op9_mixing": op9_mixing,
 }
 

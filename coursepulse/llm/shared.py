@@ -6,7 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+import zipfile
 from functools import cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +25,21 @@ def _own_folder() -> str:
     return f"file://{folder}"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that tasks import it as the driver does."""
+    if spark.sparkContext.applicationId not in _shipped:
+        package = Path(__file__).parents[1]
+        packed = Path(tempfile.mkdtemp(prefix="llm-package-"), f"{package.name}.zip")
+        with zipfile.ZipFile(packed, "w") as archive:
+            for file in package.rglob("*.py"):
+                archive.write(file, file.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(packed))
+        _shipped.add(spark.sparkContext.applicationId)
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder for ``name`` below ``spark.checkpoint.dir``.
 
