@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, language, mixing, pieces
+from . import exact, language, mixing, pieces, toxicity
 from .shared import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,14 @@ def op5_pieces(spark: SparkSession, folder: str) -> DataFrame:
                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
+def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _read(spark, folder, "documents"), _read(spark, folder, "labels")
+    held_out = F.coalesce(remainder(F.col("doc_id"), 5) == 0, F.lit(False))
+    grammar = toxicity.fit(docs, labels.filter(~held_out))
+    return toxicity.score(docs.select("doc_id", "text"), grammar, out="score").select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     taken = mixing.mix(_read(spark, folder, "documents")).documents
     return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -54,6 +62,7 @@ QUERIES: dict[str, Query] = {
     "op3_language": op3_language,
     "op4_exact": op4_exact,
     "op5_pieces": op5_pieces,
+    "op6_toxicity": op6_toxicity,
     "op9_mixing": op9_mixing,
 }
 
