@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, language, mixing, pieces, toxicity
+from . import exact, language, licences, mixing, pieces, toxicity
 from .shared import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,12 +58,20 @@ def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Per document and licence family: notices found, and the best probability and overlap among them."""
+    found = licences.scan(_read(spark, folder, "documents"), licences.fit(spark))
+    return found.groupBy(F.col("id").alias("doc_id"), "family").agg(
+        F.sum("n").alias("n_notices"), F.max("probability").alias("probability"), F.max("overlap").alias("overlap"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_language": op3_language,
     "op4_exact": op4_exact,
     "op5_pieces": op5_pieces,
     "op6_toxicity": op6_toxicity,
     "op9_mixing": op9_mixing,
+    "op10_licences": op10_licences,
 }
 
 ORACLE_SQL: dict[str, str] = {
