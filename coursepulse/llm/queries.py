@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, language, licences, mixing, pieces, toxicity
+from . import exact, language, licences, mixing, pieces, toxicity, vectors
 from .shared import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,11 @@ def model_path() -> str:
     return os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
 
 
+def op1_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    found = vectors.links(_read(spark, folder, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
 def op3_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents")
     held_out = F.coalesce(remainder(F.col("doc_id"), 4) == 2, F.lit(False))
@@ -66,6 +71,7 @@ def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_embeddings": op1_embeddings,
     "op3_language": op3_language,
     "op4_exact": op4_exact,
     "op5_pieces": op5_pieces,
@@ -75,6 +81,19 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_embeddings": """
+        WITH RECURSIVE sound AS (
+          SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+          WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x != 0)) > 0),
+        links AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id != b.vec_id
+          WHERE list_cosine_similarity(a.v, b.v) >= 0.95),
+        reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+        SELECT vec_id, coalesce((SELECT count(*) FROM links WHERE a = vec_id), 0)::BIGINT AS n_links,
+               least(vec_id, coalesce(least.b, vec_id)) AS component_id,
+               vec_id = least(vec_id, coalesce(least.b, vec_id)) AS kept
+        FROM embeddings LEFT JOIN least ON vec_id = least.a""",
     "op4_exact": r"""
         WITH texts AS (
           SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),
