@@ -23,6 +23,7 @@ from itertools import pairwise
 from math import inf
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame, SparkSession
@@ -31,22 +32,51 @@ from pyspark.sql import functions as F
 from .shared import ship
 
 MARK = "▁"
-CACHED_WORDS = 150_000
+CACHED_WORDS = 100_000
 CACHED_CHARS = 64
-CACHED_PAIRS = 500_000
+CACHED_PAIRS = 300_000
 
 
-class Encoder:
-    """The model in a task: automaton, table of best paths, and a bounded memory of words met before."""
+class Decoder:
+    """The pieces of a model, and the way back from ids to text."""
 
     def __init__(self, model: bytes):
-        read = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self._read(sentencepiece.SentencePieceProcessor(model_proto=model))
+
+    def _read(self, read: sentencepiece.SentencePieceProcessor) -> None:
         ids = range(read.vocab_size())
         self.pieces = [read.id_to_piece(i) for i in ids]
         self.bytes = {int(self.pieces[i][3:5], 16): i for i in ids if read.is_byte(i)}
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.unknown = read.unk_id()
         self.silent = {i for i in ids if read.is_control(i)}
+
+    def decode(self, ids) -> str:
+        if self.byte_of.keys().isdisjoint(ids):
+            text = "".join([self.pieces[i] for i in ids if i not in self.silent])
+        else:
+            parts, raw = [], bytearray()
+            for i in ids:
+                if i in self.byte_of:
+                    raw.append(self.byte_of[i])
+                    continue
+                if raw:
+                    parts.append(raw.decode("utf-8", "replace"))
+                    raw.clear()
+                if i not in self.silent:
+                    parts.append(self.pieces[i])
+            parts.append(raw.decode("utf-8", "replace"))
+            text = "".join(parts)
+        return text.replace(MARK, " ").removeprefix(" ")
+
+
+class Encoder(Decoder):
+    """The model in a task: automaton, table of best paths, and a bounded memory of words met before."""
+
+    def __init__(self, model: bytes):
+        read = sentencepiece.SentencePieceProcessor(model_proto=model)
+        self._read(read)
+        ids = range(read.vocab_size())
         special = {*self.byte_of, *self.silent, self.unknown}
         self.rank = {p: i for i, p in enumerate(self.pieces) if i not in special and not read.is_unused(i)}
         self.score = [read.get_score(i) for i in ids]
@@ -148,24 +178,6 @@ class Encoder:
         ids.frombytes(b"".join(found))
         return ids
 
-    def decode(self, ids) -> str:
-        if self.byte_of.keys().isdisjoint(ids):
-            text = "".join([self.pieces[i] for i in ids if i not in self.silent])
-        else:
-            parts, raw = [], bytearray()
-            for i in ids:
-                if i in self.byte_of:
-                    raw.append(self.byte_of[i])
-                    continue
-                if raw:
-                    parts.append(raw.decode("utf-8", "replace"))
-                    raw.clear()
-                if i not in self.silent:
-                    parts.append(self.pieces[i])
-            parts.append(raw.decode("utf-8", "replace"))
-            text = "".join(parts)
-        return text.replace(MARK, " ").removeprefix(" ")
-
 
 def read_model(path: str) -> bytes:
     """The bytes of a model file on the driver; they go to the tasks with the job (some hundred kilobytes)."""
@@ -173,15 +185,15 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
-_made: dict[int, Encoder] = {}
+_made: dict[tuple, Decoder] = {}
 
 
-def _encoder(model: bytes) -> Encoder:
-    """One encoder per worker and model: its memory of words lasts from task to task."""
-    key = hash(model)
+def _once(kind: type, model: bytes) -> Decoder:
+    """One encoder or decoder per worker and model: its memory of words lasts from task to task."""
+    key = (kind, hash(model))
     if key not in _made:
         _made.clear()
-        _made[key] = Encoder(model)
+        _made[key] = kind(model)
     return _made[key]
 
 
@@ -196,9 +208,9 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", out: str = "pieces
 
     @F.pandas_udf("array<int>")
     def to_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = _encoder(sent.value)
+        encoder = _once(Encoder, sent.value)
         for batch in batches:
-            yield pd.Series([encoder.encode(t) for t in batch], dtype=object)
+            yield pd.Series([np.frombuffer(encoder.encode(t), np.int32) for t in batch], dtype=object)
 
     return docs.withColumn(out, to_ids(F.col(text)))
 
@@ -209,8 +221,8 @@ def decode(rows: DataFrame, model: bytes, pieces: str = "pieces", out: str = "de
 
     @F.pandas_udf("string")
     def to_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encoder = _encoder(sent.value)
+        decoder = _once(Decoder, sent.value)
         for batch in batches:
-            yield pd.Series([encoder.decode([] if ids is None else ids.tolist()) for ids in batch], dtype=object)
+            yield pd.Series([decoder.decode([] if ids is None else ids.tolist()) for ids in batch], dtype=object)
 
     return rows.withColumn(out, to_text(F.col(pieces)))
