@@ -2,8 +2,7 @@
 
 A sequence is an array of 64-bit units: the bytes of a text, or the hashes of its words. The hash of a stretch is a
 polynomial in its units modulo 2**64, so hashes of all stretches of one length come from one running sum. A winnowed
-anchor is the position of the least stretch of ``span`` units in a window; equal windows choose equal anchors, so two
-equal stretches of ``window`` units share one.
+anchor is the least stretch of one length in a window; equal windows choose equal anchors.
 """
 
 from __future__ import annotations
@@ -55,22 +54,22 @@ def stretches(running: np.ndarray, length: int) -> np.ndarray:
     return mix((running[length:] - running[:n]) * _inverse[:n] + np.uint64(length))
 
 
-def winnow(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Positions that are the least of some ``width`` neighbouring hashes, the leftmost of equal ones, in order."""
+def least(hashes: np.ndarray, width: int) -> np.ndarray:
+    """For each window of ``width`` neighbouring hashes, the position of the least one, the leftmost of equal ones."""
     found = []
     low = np.uint64(CHUNK * 2 - 1)
     for start in range(0, len(hashes) - width + 1, CHUNK):
         part = hashes[start:start + CHUNK + width - 1]
-        least = (part & ~low) | np.arange(len(part), dtype=np.uint64)
+        # The leading bits of the hash, then the position: the smallest of these numbers is the leftmost least.
+        best = (part & ~low) | np.arange(len(part), dtype=np.uint64)
         reach = 1
         while reach * 2 <= width:
-            least = np.minimum(least[:-reach], least[reach:])
+            best = np.minimum(best[:-reach], best[reach:])
             reach *= 2
         if reach < width:
-            least = np.minimum(least[: len(part) - width + 1], least[width - reach:])
-        chosen = (least & low).astype(np.int64)
-        found.append(start + chosen[np.concatenate([[True], chosen[1:] != chosen[:-1]])])
-    return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
+            best = np.minimum(best[: len(part) - width + 1], best[width - reach:])
+        found.append(start + (best & low).astype(np.int64))
+    return np.concatenate(found) if found else np.zeros(0, np.int64)
 
 
 _WHITE = np.zeros(256, bool)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, language, licences, mixing, pieces, toxicity, vectors
+from . import exact, language, licences, mixing, pieces, substrings, suffixes, toxicity, vectors
 from .shared import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +18,11 @@ def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op2_substrings(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.remove_passages(_read(spark, folder, "documents"), bodies=False)
+    return found.select(F.col("id").alias("doc_id"), F.col("n_units").alias("n_words"), "n_removed", "kept_sha256")
+
+
 def model_path() -> str:
     """The public BPE piece model; SENTENCEPIECE_MODEL names another file."""
     return os.environ.get("SENTENCEPIECE_MODEL", "/opt/tokenizers/piece_bpe_32k.model")
@@ -58,6 +63,11 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.remove_strings(_read(spark, folder, "documents"), bodies=False)
+    return found.select(F.col("id").alias("doc_id"), F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
     taken = mixing.mix(_read(spark, folder, "documents")).documents
     return taken.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -72,10 +82,12 @@ def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_embeddings": op1_embeddings,
+    "op2_substrings": op2_substrings,
     "op3_language": op3_language,
     "op4_exact": op4_exact,
     "op5_pieces": op5_pieces,
     "op6_toxicity": op6_toxicity,
+    "op8_suffixes": op8_suffixes,
     "op9_mixing": op9_mixing,
     "op10_licences": op10_licences,
 }
@@ -94,6 +106,22 @@ ORACLE_SQL: dict[str, str] = {
                least(vec_id, coalesce(least.b, vec_id)) AS component_id,
                vec_id = least(vec_id, coalesce(least.b, vec_id)) AS kept
         FROM embeddings LEFT JOIN least ON vec_id = least.a""",
+    "op2_substrings": r"""
+        WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        windows AS (
+          SELECT doc_id, p, sha256(array_to_string(words[p:p + 19], ' ')) AS content
+          FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 19)) AS p FROM docs)),
+        firsts AS (SELECT content, min(struct_pack(d := doc_id, q := p)) AS f FROM windows GROUP BY content),
+        covered AS (
+          SELECT doc_id, list(DISTINCT p + step) AS gone
+          FROM windows JOIN firsts USING (content), range(20) AS r(step)
+          WHERE f != struct_pack(d := doc_id, q := p) GROUP BY doc_id),
+        marked AS (
+          SELECT doc_id, words, [i IN coalesce(gone, []) FOR i IN generate_series(1, len(words))] AS mask
+          FROM docs LEFT JOIN covered USING (doc_id))
+        SELECT doc_id, len(words)::BIGINT AS n_words, len(list_filter(mask, lambda m: m))::BIGINT AS n_removed,
+               sha256(array_to_string(list_filter(words, lambda w, i: NOT mask[i]), ' ')) AS kept_sha256
+        FROM marked""",
     "op4_exact": r"""
         WITH texts AS (
           SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents),

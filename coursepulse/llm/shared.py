@@ -79,3 +79,15 @@ def words(text: Column) -> Column:
 def remainder(id_column: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null for a null id."""
     return F.crc32(id_column.cast("string").cast("binary")) % parts
+
+
+def one_per_id(docs: DataFrame, id_col: str, text: str) -> DataFrame:
+    """id and body of the documents that have an id. Rows that share an id are one document: the greatest text counts.
+
+    Only ids are shuffled to look for repeated ones; texts are, where there are any, of those alone.
+    """
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("body")).filter("id IS NOT NULL")
+    again = stage(rows.groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1").select("id"), "ids")
+    if again.isEmpty():
+        return rows
+    return rows.join(again, "id", "left_anti").unionByName(rows.join(again, "id", "left_semi").groupBy("id").agg(F.max("body").alias("body")))
