@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ship
+from .shared import ship, stage
 
 # The grammar's word lists. Insults and threats match as word beginnings, the others as whole words.
 INSULTS = ("idiot", "moron", "stupid", "scum", "worthless", "pathetic", "imbecil", "imbécil", "abruti", "connard", "dummkopf",
@@ -167,7 +167,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, id_col: str,
     for value, n in sizes.items():
         edge = F.when(F.col("label") == value, F.lit(min(1.0, sample_docs / n))).otherwise(edge)
     chosen = known.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) <= edge * (1 << 30))
-    return own.join(chosen, "id")
+    # The sample is bounded, so its ids go to every task, and no text of another document moves.
+    return own.join(F.broadcast(chosen), "id")
 
 
 def learn_stems(sample: DataFrame, lengths: tuple[int, ...] = (4, 5, 6, 7), most: int = 2000, precision: float = 0.9,
@@ -210,7 +211,7 @@ def _counts(toxic: Counter, clean: Counter) -> pa.RecordBatch:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", id_col: str = "doc_id", text: str = "text",
         sample_docs: int = 10_000, pull: float = 1.0) -> Grammar:
     """Stems and event weights from the sample. ``pull``: strength of the pull towards the grammar's own weights."""
-    sample = labelled_sample(docs, labels, label, id_col, text, sample_docs)
+    sample = stage(labelled_sample(docs, labels, label, id_col, text, sample_docs).select("body", "label"), "sample")
     learned = learn_stems(sample)
     insults = tuple(dict.fromkeys([*learned, *INSULTS]))
     rows = read(sample, insults, "body", "events").groupBy("events", "label").count().collect()
