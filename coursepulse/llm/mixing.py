@@ -138,10 +138,12 @@ def _placed(sized: DataFrame, sources: DataFrame) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
-    """The documents that the mix takes words of, with their own columns.
-
-    A document of which the mix takes more than its own words once is in the result once: repetition is a matter of
-    the schedule, not of the table.
-    """
-    taken = mix(docs, id_col, text, source, **options).documents.filter("taken > 0")
-    return docs.join(taken.select(F.col("id").alias(id_col)), id_col, "left_semi").select(*docs.columns)
+    """The rows of the mix, with their own columns: a document as often as the mix takes its words, to the nearest whole
+    number (0, 1 or 2 times by default). Rows that share an id, null included, are taken equally often."""
+    taken = mix(docs, id_col, text, source, **options).documents.groupBy(F.col("id").alias("mixed__id")).agg(
+        F.coalesce(F.round(F.try_divide(F.sum("taken"), F.sum("size"))), F.lit(0)).cast("int").alias("mixed__times"))
+    return (
+        docs.join(taken.filter("mixed__times > 0"), F.col(id_col).eqNullSafe(F.col("mixed__id")))
+        .withColumn("mixed__time", F.explode(F.sequence(F.lit(1), F.col("mixed__times"))))
+        .select(*docs.columns)
+    )

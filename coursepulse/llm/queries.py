@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, language, licences, mixing, pieces, substrings, suffixes, toxicity, vectors
+from . import exact, language, licences, mixing, nearcopies, pieces, substrings, suffixes, toxicity, vectors
 from .shared import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,6 +63,11 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op7_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    found = nearcopies.near_copies(_read(spark, folder, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", (F.col("id") == F.col("component_id")).alias("kept"))
+
+
 def op8_suffixes(spark: SparkSession, folder: str) -> DataFrame:
     found = suffixes.remove_strings(_read(spark, folder, "documents"), bodies=False)
     return found.select(F.col("id").alias("doc_id"), F.col("n_units").alias("n_bytes"), "n_removed", "n_spans", "kept_sha256")
@@ -87,6 +92,7 @@ QUERIES: dict[str, Query] = {
     "op4_exact": op4_exact,
     "op5_pieces": op5_pieces,
     "op6_toxicity": op6_toxicity,
+    "op7_minhash": op7_minhash,
     "op8_suffixes": op8_suffixes,
     "op9_mixing": op9_mixing,
     "op10_licences": op10_licences,
@@ -128,6 +134,25 @@ ORACLE_SQL: dict[str, str] = {
         groups AS (SELECT body, min(doc_id) AS keep_id, count(*) AS group_size FROM texts GROUP BY body)
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(body) AS text_sha256
         FROM texts JOIN groups USING (body)""",
+    "op7_minhash": r"""
+        WITH RECURSIVE docs AS (
+          SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[^\x20\x09-\x0D]+') AS words FROM documents),
+        shingles AS (
+          SELECT DISTINCT doc_id, array_to_string(words[p:p + 4], ' ') AS s
+          FROM (SELECT doc_id, words, unnest(generate_series(1, greatest(len(words) - 4, 1))) AS p FROM docs WHERE len(words) > 0)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        pairs AS (
+          SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS common
+          FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id != b.doc_id GROUP BY 1, 2),
+        links AS (
+          SELECT a, b FROM pairs JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+          WHERE 100 * common >= 85 * (x.n + y.n - common)),
+        reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+        least AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+        SELECT docs.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(docs.doc_id, coalesce(least.b, docs.doc_id)) AS component_id,
+               docs.doc_id = least(docs.doc_id, coalesce(least.b, docs.doc_id)) AS kept
+        FROM docs LEFT JOIN sizes USING (doc_id) LEFT JOIN least ON docs.doc_id = least.a""",
     "op9_mixing": r"""
         WITH sized AS (
           SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
