@@ -24,10 +24,11 @@ def ratio(numerator: str, denominator: str, digits: int = 2) -> str:
 
 
 def duration(a: str, b: str) -> str:
+    space = f"CASE ({b}) % 3 WHEN 1 THEN chr(160) WHEN 2 THEN chr(12288) ELSE '' END"
     return f"""CASE ({a}) % 12
         WHEN 0 THEN cast({b} as varchar) || '분'
-        WHEN 1 THEN cast({b} as varchar) || '시간'
-        WHEN 2 THEN cast({b} as varchar) || '시간 ' || cast(({a}) % 60 as varchar) || '분'
+        WHEN 1 THEN cast({b} as varchar) || {space} || '시간'
+        WHEN 2 THEN cast({b} as varchar) || '시간 ' || cast(({a}) % 60 as varchar) || {space} || '분'
         WHEN 3 THEN cast(({a}) % 90 as varchar) || ':' || cast({b} as varchar)
         WHEN 4 THEN cast({b} as varchar) || ':' || cast(({a}) % 60 as varchar) || ':' || cast(({a}) % 59 as varchar)
         WHEN 5 THEN cast({a} as varchar)
@@ -47,9 +48,14 @@ def _colons(s: str) -> str:
     return f"CASE WHEN contains({s}, ':') THEN len(string_split({s}, ':')) ELSE 1 END"
 
 
+# White space, no-break and wide spaces too.
+BLANKS = r"[\s\x{A0}\x{3000}]*"
+BLANK = "' ' || chr(160) || chr(12288)"
+
+
 def _worded(s: str) -> str:
-    return (f"coalesce(try_cast(regexp_extract({s}, '([0-9]+)\\s*시간', 1) as bigint) * 60, 0)"
-            f" + coalesce(try_cast(regexp_extract({s}, '([0-9]+)\\s*분', 1) as bigint), 0)")
+    return (f"coalesce(try_cast(regexp_extract({s}, '([0-9]+){BLANKS}시간', 1) as bigint) * 60, 0)"
+            f" + coalesce(try_cast(regexp_extract({s}, '([0-9]+){BLANKS}분', 1) as bigint), 0)")
 
 
 def daily(s: str) -> str:
@@ -76,9 +82,9 @@ def strict(s: str) -> str:
         WHEN {_colons(s)} = 2 THEN {a} + round(cast({b} as double) / 60, 2)
         WHEN contains({s}, ':') THEN 0.0
         WHEN contains({s}, '시간') THEN
-            try_cast(trim(string_split({s}, '시간')[1]) as bigint) * 60.0
-            + CASE WHEN contains({after}, '분') THEN try_cast(trim(replace({after}, '분', '')) as bigint) ELSE 0 END
-        WHEN contains({s}, '분') THEN cast(try_cast(trim(replace({s}, '분', '')) as bigint) as double)
+            try_cast(trim(string_split({s}, '시간')[1], {BLANK}) as bigint) * 60.0
+            + CASE WHEN contains({after}, '분') THEN try_cast(trim(replace({after}, '분', ''), {BLANK}) as bigint) ELSE 0 END
+        WHEN contains({s}, '분') THEN cast(try_cast(trim(replace({s}, '분', ''), {BLANK}) as bigint) as double)
         WHEN regexp_full_match({s}, '[0-9]+') THEN cast({s} as double) END"""
     return f"(SELECT CASE WHEN v > 0 THEN cast(v as double) END FROM (SELECT {value} AS v))"
 
@@ -234,7 +240,7 @@ def shown(text: str) -> str:
 VIEWS["classroom_lessons"] = f"""
     SELECT course_id AS page_id, section_number, chapter_number, lecture_number, {shown('title')} AS lecture_title,
         coalesce(duration, '') AS duration, is_completed
-    FROM lessons WHERE section_number % 7 <> 0"""
+    FROM lessons WHERE section_number % 7 <> 0 AND course_id % 97 <> 5"""
 VIEWS["flat_lessons"] = """
     SELECT page_id, section_number, coalesce(chapter_number, 0) AS c, lecture_number AS l, lecture_title, duration, is_completed
     FROM classroom_lessons
@@ -318,7 +324,7 @@ VALID = "(SELECT * FROM observations WHERE sort_order <> 77)"
 BATCH = "(SELECT * FROM observations WHERE sort_order <> 77 AND observed_at >= DATE '2024-01-16')"
 
 QUERIES = {
-    "weekly_delta": f"SELECT course_id, snapshot_date, progress_rate, study_time, total_lecture_time, weekly_study, progress_delta FROM {DELTA}",
+    "weekly_delta": f"SELECT course_id, snapshot_date, progress_rate, study_time, total_lecture_time, created_at, weekly_study, progress_delta FROM {DELTA}",
     "current_week_status": f"""
         SELECT c.course_title, s.progress_rate, s.study_time, {hm('s.study_time')} AS study_hm, s.snapshot_date
         FROM snapshots s JOIN courses c ON s.course_id = c.course_id WHERE s.snapshot_date = {NEWEST}""",
@@ -390,14 +396,14 @@ QUERIES = {
         FROM lectures JOIN courses USING (course_id) WHERE {ON_DAY}""",
     "month_stats": f"""
         SELECT {STATS}, {ratio('count(*)', '30', 1)} AS per_day
-        FROM lectures WHERE year(completed_at) = 1998 AND month(completed_at) = 6""",
+        FROM lectures WHERE year(completed_at) = 1998 AND month(completed_at) = 6 AND completed_at < DATE '1998-06-14'""",
     "recent_completed": f"""
         SELECT {RECENT} FROM lectures JOIN courses USING (course_id)
-        WHERE is_completed AND completed_at IS NOT NULL ORDER BY course_id, {ORDER} LIMIT 50""",
+        WHERE is_completed AND completed_at < DATE '1998-06-14' ORDER BY course_id, {ORDER} LIMIT 50""",
     "recent_completed_per_course": f"""
         SELECT course_id, cast(rank as integer) AS rank, {RECENT}
         FROM (SELECT *, row_number() OVER (PARTITION BY course_id ORDER BY {ORDER}) AS rank
-              FROM lectures JOIN courses USING (course_id) WHERE is_completed AND completed_at IS NOT NULL)
+              FROM lectures JOIN courses USING (course_id) WHERE is_completed AND completed_at < DATE '1998-06-14')
         WHERE rank <= 5""",
     "today_vs_yesterday": f"""
         SELECT '오늘' AS day_label, count(*) AS lecture_count, {ratio('sum(lecture_time)', '60')} AS study_hours
@@ -456,12 +462,6 @@ QUERIES = {
         SELECT course_id, 'success' AS crawl_status, cast(NULL as varchar) AS error_message,
             TIMESTAMP '2024-01-31 00:00:00' AS logged_at FROM {ITEMS}""",
     "upsert_lectures": folded("stored_lectures", BATCH),
-    "apply_items": f"""
-        SELECT 'course' AS kind, course_id, cast(NULL as varchar) AS lecture_title FROM {ITEMS}
-        UNION ALL SELECT 'lecture', course_id, lecture_title FROM ({folded(None, VALID)})
-        UNION ALL SELECT 'log', course_id, NULL FROM {ITEMS}
-        UNION ALL SELECT 'snapshot', course_id, NULL FROM {ITEMS}""",
-    "stream_items": folded(None, VALID),
     "replace_curriculum": f"""
         SELECT course_id, section_number, section_title, cast(chapter_number as integer) AS chapter_number,
             chapter_title, cast(lecture_number as integer) AS lecture_number, lecture_title, lecture_time, is_completed,
@@ -507,8 +507,10 @@ QUERIES = {
             cast(row_number() OVER (PARTITION BY course_id ORDER BY section_number, lecture_number) as integer) AS sort_order
         FROM lessons WHERE chapter_number IS NULL""",
     "section_summary": """
-        SELECT course_id, section_number, count(*) AS lesson_count, count(*) FILTER (is_completed) AS complete_count
-        FROM lessons GROUP BY ALL""",
+        SELECT l.course_id, l.section_number, count(*) AS lesson_count, count(*) FILTER (is_completed) AS complete_count,
+            any_value(c.complete_count) AS declared_complete, any_value(c.total_count) AS total_count
+        FROM lessons l JOIN counts c ON c.page_id = l.course_id AND c.section_number = l.section_number
+        GROUP BY l.course_id, l.section_number""",
     "resolve_course_links": "SELECT page_id, position, url FROM links",
     "placeholder_courses": f"""
         SELECT page_id, {CLASSROOM_ID.format(u='url')} AS course_id, 'Course ' || {CLASSROOM_ID.format(u='url')} AS course_title,
@@ -518,6 +520,26 @@ QUERIES = {
 }
 
 
+# Every column of every table after the batch, each under the name of its table.
+AFTER_BATCH = " UNION ALL BY NAME ".join(
+    f"SELECT '{kind}' AS kind, * FROM ({QUERIES[name]})" for kind, name in (
+        ("courses", "upsert_courses"), ("course_progress_snapshots", "upsert_snapshots"),
+        ("lectures", "upsert_lectures"), ("crawl_logs", "crawl_log")))
+QUERIES |= {"apply_items": AFTER_BATCH, "stream_items": AFTER_BATCH}
+
+
+# The given tables as the engine names their types.
+DESCRIBED = {
+    "lineitem": {
+        "l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int", "l_quantity": "double",
+        "l_extendedprice": "double", "l_discount": "double", "l_tax": "double", "l_returnflag": "string",
+        "l_linestatus": "string", "l_shipdate": "timestamp_ntz",
+    },
+    "events": {"event_id": "bigint", "user_id": "bigint", "ts": "timestamp_ntz", "event_type": "string", "value": "double", "props": "string"},
+    "documents": {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"},
+}
+
+
 def decoded(text: str) -> str:
     """Text with the entities of the raw pages replaced."""
     for entity, char in (("&quot;?", '"'), ("&#x27;?", "''"), ("&lt;?", "<"), ("&gt;?", ">"), ("&amp;?", "&")):
@@ -562,8 +584,8 @@ QUERIES |= {
         FROM flat_lessons""",
     "extract_section_counts": """
         SELECT page_id, 'Part ' || section_number AS section, section_number,
-            cast(complete_count as integer) AS complete_count, cast(total_count as integer) AS total_count
-        FROM counts WHERE section_number % 7 <> 0""",
+            complete_count, CASE WHEN section_number % 9 = 0 THEN 99999999999 ELSE total_count END AS total_count
+        FROM counts WHERE section_number % 7 <> 0 AND page_id % 97 <> 5""",
     "extract_curriculum_static": outline(lists=True),
     "extract_curriculum_outline": outline(lists=False),
     "extract_curriculum_purpose": outline(lists=False),
@@ -571,17 +593,26 @@ QUERIES |= {
         SELECT page_id, {decoded("regexp_extract(html, '<title>([^<]*)</title>', 1)")} AS page_title,
             {shown(decoded("regexp_extract(html, '<h1>([^<]*)</h1>', 1)"))} AS h1, cast(0 as integer) AS sections
         FROM pages""",
+    "rejected_pages": "SELECT doc_id AS page_id, 'no markup' AS rejected FROM documents WHERE doc_id % 97 = 5",
+    "read_page_archive": "SELECT page_id, url, cast(length(html) as integer) AS length FROM pages",
+    "read_table": f"SELECT {LECTURE_COLUMNS} FROM lectures",
+    "write_feed": f"SELECT page_id AS seq, text_id AS course_id, {COURSE_VALUES} FROM course_items",
+    "describe_table": " UNION ALL ".join(
+        f"""SELECT '{table}' AS table_name, '{name}' AS col_name, '{kind}' AS data_type, true AS nullable,
+            count({name}) AS filled FROM {table}"""
+        for table, columns in DESCRIBED.items() for name, kind in columns.items()),
     "page_items": f"""
-        SELECT 'course' AS item_type, course_id * 16777216 AS seq, cast(course_id as varchar) AS course_id,
+        SELECT 'course' AS item_type, course_id AS seq, 0 AS position, cast(course_id as varchar) AS course_id,
             'Course number ' || course_id AS course_title, cast(course_id % 101 as double) AS progress_rate,
-            90.75::double AS study_time, '{SITE}/classroom/' || course_id AS url, cast(NULL as integer) AS section_number,
-            cast(NULL as integer) AS chapter_number, cast(NULL as integer) AS lecture_number,
+            90.75::double AS study_time, 0.0::double AS total_lecture_time, '{SITE}/classroom/' || course_id AS url,
+            cast(NULL as integer) AS section_number, cast(NULL as varchar) AS section_title, cast(NULL as integer) AS chapter_number, cast(NULL as integer) AS lecture_number,
             cast(NULL as varchar) AS lecture_title, cast(NULL as double) AS lecture_time,
-            cast(NULL as boolean) AS is_completed, cast(NULL as integer) AS sort_order
-        FROM (SELECT doc_id AS course_id FROM documents)
+            cast(NULL as boolean) AS is_completed, cast(NULL as integer) AS sort_order, false AS duration_rejected
+        FROM (SELECT doc_id AS course_id FROM documents WHERE doc_id % 97 <> 5)
         UNION ALL
-        SELECT 'lecture', page_id * 16777216 + sort_order, cast(page_id as varchar), 'Course number ' || page_id, NULL, NULL,
-            NULL, section_number, chapter_number, lecture_number, lecture_title, {daily('duration')}, is_completed, sort_order
+        SELECT 'lecture', page_id, sort_order, cast(page_id as varchar), 'Course number ' || page_id, NULL, NULL, NULL,
+            NULL, section_number, 'Part ' || section_number, chapter_number, lecture_number, lecture_title,
+            {daily('duration')}, is_completed, sort_order, duration = 'a:b'
         FROM (SELECT *, cast(row_number() OVER (PARTITION BY page_id
                   ORDER BY section_number, chapter_number, lecture_number) as integer) AS sort_order FROM classroom_lessons)""",
 }

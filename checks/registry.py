@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,21 +15,17 @@ from coursepulse.operators.history import LECTURE_KEY, completion_history
 from coursepulse.plans import collect, update
 from coursepulse.sources import migrations
 from coursepulse.sources.published import PublishedTables
-from coursepulse.sources.readers import spread
-from coursepulse.sources.schemas import CRAWL_LOGS, ITEMS, LECTURES
+from coursepulse.sources.readers import read_page_archive, read_table
+from coursepulse.sources.scratch import scratch_folder
+from coursepulse.sources.schemas import CRAWL_LOGS, ITEMS, LECTURES, TABLES
+from coursepulse.sources.writers import write_feed
 from coursepulse.streaming.items import stream_items
 
 from .views import BATCH_TIME, COMPLETION_DAY, SITE, SNAPSHOT_DAY, Views
 
 Query = Callable[[SparkSession, str], DataFrame]
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder under the cluster's checkpoint folder, or a local one where none is set."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        return tempfile.mkdtemp(prefix="coursepulse-")
-    return f"{base.rstrip('/')}/coursepulse-{spark.sparkContext.applicationId}-{uuid.uuid4().hex}"
+# Part files, and so micro-batches, of the checked stream.
+STREAM_PARTS = 4
 
 
 def _on(build: Callable[[Views], DataFrame]) -> Query:
@@ -54,53 +48,67 @@ def _text_items(rows: DataFrame) -> DataFrame:
     ])
 
 
-def _all_items(v: Views) -> DataFrame:
-    return _text_items(v.course_items()).unionByName(_text_items(v.lecture_items()))
-
-
 def _gaps(v: Views) -> DataFrame:
     return selection.coverage_audit(v.courses(), v.lectures())
 
 
-def _apply_items(v: Views) -> DataFrame:
-    """All tables after the whole item set arrives at empty ones, as one list of kinds."""
-    spark = v.spark
-    tables = {
-        "courses": spark.createDataFrame([], v.courses().schema),
-        "course_progress_snapshots": spark.createDataFrame([], v.snapshots().schema),
-        "crawl_logs": spark.createDataFrame([], CRAWL_LOGS),
-        "lectures": spark.createDataFrame([], LECTURES),
+def _batch(v: Views) -> DataFrame:
+    """The course records, and the lecture records since the batch day."""
+    return _text_items(v.course_items()).unionByName(_text_items(v.batch_items()))
+
+
+def _stored(v: Views) -> dict[str, DataFrame]:
+    """The tables as they were before the batch."""
+    return {
+        "courses": v.courses(), "course_progress_snapshots": v.snapshots(), "lectures": v.stored_lectures(),
+        "crawl_logs": v.spark.createDataFrame([], CRAWL_LOGS),
     }
-    after = update.apply_items(tables, _all_items(v), BATCH_TIME)
 
-    def rows(kind: str, name: str, title=None) -> DataFrame:
-        label = F.col(title) if title else F.lit(None).cast("string")
-        return after[name].select(F.lit(kind).alias("kind"), "course_id", label.alias("lecture_title"))
 
-    return (
-        rows("course", "courses")
-        .unionByName(rows("lecture", "lectures", "lecture_title"))
-        .unionByName(rows("log", "crawl_logs"))
-        .unionByName(rows("snapshot", "course_progress_snapshots"))
-    )
+def _all_columns(tables: dict[str, DataFrame]) -> DataFrame:
+    """All rows of the tables with the name of their table; columns that a table lacks are NULL.
 
+    The ids of log rows are hashes and stay out.
+    """
+    def typed(name: str) -> DataFrame:
+        columns = [
+            F.col(f.name).cast("timestamp_ntz" if f.dataType.typeName() == "timestamp" else f.dataType).alias(f.name)
+            for f in TABLES[name] if f.name != "log_id"
+        ]
+        return tables[name].select(F.lit(name).alias("kind"), *columns)
 
-def _stream_items(spark: SparkSession, folder: str) -> DataFrame:
-    """The event table as a file stream into published tables; the lectures they end up with."""
-    batch = Views(spark, folder)
-    schema = batch.table("events").schema
+    rows = typed("courses")
+    for name in ("course_progress_snapshots", "lectures", "crawl_logs"):
+        rows = rows.unionByName(typed(name), allowMissingColumns=True)
+    return rows
 
-    class Streamed(Views):
-        def read(self, name: str) -> DataFrame:
-            reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
-            return reader.parquet(folder)
 
-    scratch = shared_folder(spark)
-    tables = PublishedTables(spark, f"{scratch}/tables", buckets=8)
-    stream_items(
-        _text_items(Streamed(spark, folder).lecture_items()), tables, f"{scratch}/checkpoint", BATCH_TIME
-    ).awaitTermination()
-    return tables.read("lectures").withColumn("completed_at", F.col("completed_at").cast("timestamp_ntz"))
+def _apply_items(v: Views) -> DataFrame:
+    """All tables, every column, after the batch meets the stored state."""
+    return _all_columns(update.apply_items(_stored(v), _batch(v), BATCH_TIME))
+
+
+def _stream_items(spark: SparkSession, folder: str) -> DataFrame:
+    """The batch as a stream of part files, one a trigger, into published tables that hold the state before; every
+    column of the tables that they end up with."""
+    v = Views(spark, folder)
+    scratch = scratch_folder(spark, "stream")
+    tables = PublishedTables(spark, f"{scratch}/tables")
+    state, empty = _stored(v), tables.newest()
+    tables.publish({
+        name: (rows, [] if name == "crawl_logs" else tables.touched(name, rows, empty)) for name, rows in state.items()
+    }, empty)
+    # Lecture records in the order of their numbers, course records (one a course) dealt out. The stream takes the
+    # files in the order in which they were written.
+    records = _batch(v)
+    low, high = v.batch_items().agg(F.min("seq"), F.max("seq")).first()
+    in_order = F.floor((F.col("seq") - low) * STREAM_PARTS / (high - low + 1))
+    part = F.when(F.col("item_type") == "course", F.col("seq") % STREAM_PARTS).otherwise(in_order)
+    for number in range(STREAM_PARTS):
+        records.filter(part == number).coalesce(1).write.mode("append").json(f"{scratch}/items")
+    stream = spark.readStream.schema(ITEMS).option("maxFilesPerTrigger", 1).json(f"{scratch}/items")
+    stream_items(stream, tables, f"{scratch}/checkpoint", BATCH_TIME).awaitTermination()
+    return _all_columns({name: tables.read(name) for name in TABLES})
 
 
 def _recollect(v: Views) -> DataFrame:
@@ -133,22 +141,61 @@ def _flat(v: Views) -> DataFrame:
 
 def _classroom(v: Views) -> DataFrame:
     """Lectures read back from the classroom pages, chapters kept."""
-    found = extraction.extract_pages(v.classroom_pages(), "classroom").select("page_id", "sections")
+    found = extraction.extract_pages(v.classroom_pages(), "classroom", ("sections",)).select("page_id", "sections")
     return curriculum.flatten_curriculum(found).drop("duration_rejected")
 
 
 def _classroom_flat(v: Views) -> DataFrame:
-    found = extraction.extract_pages(v.classroom_pages(), "classroom_flat").select("page_id", "sections")
+    found = extraction.extract_pages(v.classroom_pages(), "classroom_flat", ("sections",)).select("page_id", "sections")
     return curriculum.flatten_curriculum_flat(found).drop("chapter_number", "chapter_title", "duration_rejected")
 
 
 def _section_counts(v: Views) -> DataFrame:
     """Title and counts of every readable section of the classroom pages."""
-    return extraction.extract_pages(v.classroom_pages(), "classroom").select(
+    return extraction.extract_pages(v.classroom_pages(), "classroom", ("sections",)).select(
         "page_id", F.inline("sections")
     ).drop("chapters", "lessons")
 
 
+def _rejected_pages(v: Views) -> DataFrame:
+    """The classroom pages that could not be read, and why."""
+    return extraction.extract_pages(v.classroom_pages(), "classroom").filter("rejected IS NOT NULL").select(
+        "page_id", "rejected")
+
+
+def _read_back(v: Views) -> DataFrame:
+    """The lecture table as written and read back with its declared schema."""
+    root = scratch_folder(v.spark, "table")
+    migrations.add_columns(v.lectures(), LECTURES).write.parquet(f"{root}/lectures")
+    rows = read_table(v.spark, root, "lectures")
+    return rows.withColumn("completed_at", F.col("completed_at").cast("timestamp_ntz"))
+
+
+def _archive(v: Views) -> DataFrame:
+    """The raw pages through the archive reader."""
+    pages = read_page_archive(v.spark, f"{v.folder}/pages.parquet")
+    return pages.select("page_id", "url", F.length("html").alias("length"))
+
+
+def _feed(v: Views) -> DataFrame:
+    """The course records as a feed of JSON lines, read back."""
+    path = scratch_folder(v.spark, "feed")
+    write_feed(_text_items(v.course_items()), path)
+    return v.spark.read.schema(ITEMS).json(path).select(
+        "seq", "course_id", "course_title", "progress_rate", "study_time", "total_lecture_time", "url")
+
+
+def _described(v: Views) -> DataFrame:
+    """Columns of three given tables, and how many rows have them filled."""
+    def described(name: str) -> DataFrame:
+        table = v.table(name)
+        filled = table.agg(*[F.count(c).alias(c) for c in table.columns])
+        counts = filled.unpivot([], table.columns, "col_name", "filled")
+        return migrations.describe_table(table).join(counts, "col_name").withColumn("table_name", F.lit(name))
+
+    return described("lineitem").unionByName(described("events")).unionByName(described("documents"))
+
+
 def _outline(profile: str) -> Query:
     """One row per section of the static pages, its lessons joined to a text."""
     def build(v: Views) -> DataFrame:
@@ -166,27 +213,24 @@ def _outline(profile: str) -> Query:
 
 def _page_headings(v: Views) -> DataFrame:
     """Title and first heading of the raw pages."""
-    return extraction.extract_pages(spread(v.table("pages"))).select(
+    return extraction.extract_pages(v.table("pages"), fields=("page_title", "h1", "sections")).select(
         "page_id", "page_title", "h1", F.size("sections").alias("sections"))
 
 
 def _page_items(v: Views) -> DataFrame:
     """Course and lecture records of the classroom pages, each page read once."""
     return collect.page_items(v.classroom_pages()).select(
-        "item_type", "seq", "course_id", "course_title", "progress_rate", "study_time", "url", "section_number",
-        "chapter_number", "lecture_number", "lecture_title", "lecture_time", "is_completed", "sort_order",
+        "item_type", "seq", "position", "course_id", "course_title", "progress_rate", "study_time", "total_lecture_time",
+        "url", "section_number", "section_title", "chapter_number", "lecture_number", "lecture_title", "lecture_time",
+        "is_completed", "sort_order", "duration_rejected",
     )
 
 
-def _summary_input(v: Views) -> DataFrame:
-    return curriculum.flatten_curriculum(v.curricula())
-
-
 QUERIES: dict[str, Query] = {
     # Snapshots
     "week_over_week": _with_snapshots(progress.week_over_week),
     "weekly_delta": _on(lambda v: delta.weekly_delta(
-        clock.visible_as_of(v.snapshots(), "snapshot_date", SNAPSHOT_DAY)).drop("created_at")),
+        clock.visible_as_of(v.snapshots(), "snapshot_date", SNAPSHOT_DAY))),
     "current_week_status": _with_snapshots(progress.current_week_status),
     "trend_4w": _on(lambda v: progress.trend_4w(v.snapshots(), SNAPSHOT_DAY)),
     "weekly_volume_4w": _on(lambda v: progress.weekly_volume_4w(v.snapshots(), SNAPSHOT_DAY)),
@@ -204,8 +248,9 @@ QUERIES: dict[str, Query] = {
     "daily_stats_7d": _on(lambda v: done.daily_stats_7d(v.lectures(), COMPLETION_DAY)),
     "completed_on": _with_lectures(done.completed_on),
     "month_stats": _on(lambda v: done.month_stats(v.lectures(), COMPLETION_DAY)),
-    "recent_completed": _on(lambda v: done.recent_completed(v.lectures(), v.courses())),
-    "recent_completed_per_course": _on(lambda v: done.recent_completed_per_course(v.lectures(), v.courses())),
+    "recent_completed": _on(lambda v: done.recent_completed(v.lectures(), v.courses(), as_of=COMPLETION_DAY)),
+    "recent_completed_per_course": _on(lambda v: done.recent_completed_per_course(
+        v.lectures(), v.courses(), as_of=COMPLETION_DAY)),
     "today_vs_yesterday": _on(lambda v: done.today_vs_yesterday(v.lectures(), COMPLETION_DAY)),
     "weekday_pattern_30d": _on(lambda v: done.weekday_pattern_30d(v.lectures(), COMPLETION_DAY)),
     # Selection and audit
@@ -221,6 +266,9 @@ QUERIES: dict[str, Query] = {
     "chapter_mix": _on(lambda v: migrations.chapter_mix(v.stored_lectures().withColumn(
         "lecture_title", F.concat(F.lit("Lecture "), F.col("lecture_number").cast("string"))))),
     "add_columns": _on(_migrated),
+    "describe_table": _on(_described),
+    "read_table": _on(_read_back),
+    "write_feed": _on(_feed),
     # Maintenance
     "week_start": _on(lambda v: v.table("events").select("event_id", clock.week_start("ts").alias("week"))),
     "completion_history": _on(lambda v: completion_history(
@@ -263,12 +311,14 @@ QUERIES: dict[str, Query] = {
     "extract_curriculum_purpose": _outline("purpose"),
     "page_headings": _on(_page_headings),
     "page_items": _on(_page_items),
+    "rejected_pages": _on(_rejected_pages),
+    "read_page_archive": _on(_archive),
     "extract_listings": _on(lambda v: curriculum.placeholder_courses(curriculum.resolve_course_links(
         extraction.extract_listings(v.listing_pages()), SITE))),
     # Curricula and links
     "flatten_curriculum": _on(lambda v: curriculum.flatten_curriculum(v.curricula()).drop("duration_rejected")),
     "flatten_curriculum_flat": _on(_flat),
-    "section_summary": _on(lambda v: curriculum.section_summary(_summary_input(v))),
+    "section_summary": _on(lambda v: curriculum.section_summary(v.curricula())),
     "resolve_course_links": _on(lambda v: curriculum.resolve_course_links(v.listings(), SITE)),
     "placeholder_courses": _on(lambda v: curriculum.placeholder_courses(
         curriculum.resolve_course_links(v.listings(), SITE))),

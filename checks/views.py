@@ -8,7 +8,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from coursepulse.sources.readers import spread
 from coursepulse.sources.schemas import LESSONS
 
 SITE = "https://learn.example.com"
@@ -44,6 +43,10 @@ class Views:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def dealt(self, name: str) -> DataFrame:
+        """A table whose files are one split each, in as many partitions as the session shuffles into."""
+        return self.table(name).repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+
     def snapshots(self) -> DataFrame:
         """Weekly cumulative minutes per course; weeks without a click are missed weeks."""
         weeks = (
@@ -222,7 +225,7 @@ class Views:
             )
 
         lines = F.split("text", "\n")
-        return spread(self.table("documents")).select(
+        return self.dealt("documents").select(
             F.col("doc_id").alias("course_id"), F.transform(lines, section).alias("sections")
         )
 
@@ -253,7 +256,13 @@ class Views:
             return tag("div", "__part", tag("p", "__part__title", x["chapter_title"]), lessons(x["lessons"]))
 
         def section(x):
-            total = F.when(x["section_number"] % 7 == 0, F.lit("?")).otherwise(x["total_count"].cast("string"))
+            # A count that is no number, or that fits no column, makes a section unreadable.
+            total = (
+                F.when(x["section_number"] % 14 == 0, F.lit("99999999999999999999999"))
+                .when(x["section_number"] % 7 == 0, F.lit("?"))
+                .when(x["section_number"] % 9 == 0, F.lit("99999999999"))
+                .otherwise(x["total_count"].cast("string"))
+            )
             chapters = F.concat(
                 F.array_join(F.transform(x["chapters"], chapter), ""),
                 tag("div", "__part", tag("p", "__part__title", F.lit("Empty"))),
@@ -276,7 +285,8 @@ class Views:
         )
         return self.curricula().select(
             F.col("course_id").alias("page_id"),
-            F.concat(F.lit(SITE + "/classroom/"), number).alias("url"), html.alias("html"),
+            F.concat(F.lit(SITE + "/classroom/"), number).alias("url"),
+            F.when(F.col("course_id") % 97 != 5, html).alias("html"),  # some pages were never fetched
         )
 
     def outline_pages(self, profile: str) -> DataFrame:
@@ -335,7 +345,7 @@ class Views:
                 F.lit(None).cast("string").alias("data_key"),
             )
 
-        return spread(self.table("pages")).select("page_id", F.transform(hrefs, box).alias("boxes"))
+        return self.dealt("pages").select("page_id", F.transform(hrefs, box).alias("boxes"))
 
     def listing_pages(self) -> DataFrame:
         """The course boxes written out as listing pages."""
@@ -378,10 +388,12 @@ def _duration(a, b):
     """A duration text in one of the shapes the parsers know, picked by ``a``."""
     a_text, b_text = a.cast("string"), b.cast("string")
     kind = a % 12
+    # Nothing, a no-break space or a wide space before the unit.
+    space = F.element_at(F.array(F.lit(""), F.lit("\u00a0"), F.lit("\u3000")), (b % 3 + 1).cast("int"))
     return (
         F.when(kind == 0, F.concat(b_text, F.lit("분")))
-        .when(kind == 1, F.concat(b_text, F.lit("시간")))
-        .when(kind == 2, F.concat(b_text, F.lit("시간 "), (a % 60).cast("string"), F.lit("분")))
+        .when(kind == 1, F.concat(b_text, space, F.lit("시간")))
+        .when(kind == 2, F.concat(b_text, F.lit("시간 "), (a % 60).cast("string"), space, F.lit("분")))
         .when(kind == 3, F.concat((a % 90).cast("string"), F.lit(":"), b_text))
         .when(kind == 4, F.concat(b_text, F.lit(":"), (a % 60).cast("string"), F.lit(":"), (a % 59).cast("string")))
         .when(kind == 5, a_text)

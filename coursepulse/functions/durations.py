@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from .text import HOUR_UNIT, MINUTE_UNIT, column, first_group, strip, whole_number
 
 # Fixed patterns of the duration texts.
-HOURS_PATTERN = r"(\d+)\s*시간"
-MINUTES_PATTERN = r"(\d+)\s*분"
+WHITE = r"[\s\x1C-\x1F\x85\p{Z}]*"  # no-break and wide spaces too
+HOURS_PATTERN = rf"(\d+){WHITE}시간"
+MINUTES_PATTERN = rf"(\d+){WHITE}분"
 
 
 def _clock(c: Column) -> tuple[Column, list[Column]]:

@@ -14,9 +14,6 @@ from ..functions.clock import AsOf, as_of_date, day_name, on_day, visible_as_of
 TODAY_LABEL = "오늘"
 YESTERDAY_LABEL = "어제"
 
-# Largest list of courses that is broadcast; longer ones are left to Spark's own size check.
-MAX_BROADCAST_COURSES = 10_000
-
 # Tie-break after completed_at: the natural lecture key, then the titles.
 LECTURE_ORDER = ("section_number", "chapter_number", "lecture_number", "lecture_title", "lecture_time")
 
@@ -109,19 +106,19 @@ def completed_on(lectures: DataFrame, courses: DataFrame, day: AsOf) -> DataFram
 
 
 def month_stats(lectures: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """The month's count, minutes, hours and count per day of the full month."""
+    """Count, minutes and hours of the month so far, and count per day of the full month."""
     today = as_of_date(as_of)
     first = F.trunc(today, "month")
     in_month = (F.col("completed_at") >= first) & (F.col("completed_at") < F.add_months(first, 1))
     return (
-        lectures.filter(in_month)
+        visible_as_of(lectures, "completed_at", as_of).filter(in_month)
         .agg(*_stats())
         .withColumn("per_day", F.round(F.col("lecture_count") / F.day(F.last_day(today)), 1))
     )
 
 
-def _completed(lectures: DataFrame) -> DataFrame:
-    return lectures.filter(F.col("is_completed") & F.col("completed_at").isNotNull())
+def _completed(lectures: DataFrame, as_of: AsOf) -> DataFrame:
+    return visible_as_of(lectures, "completed_at", as_of).filter("is_completed")
 
 
 def _completion_order() -> list[Column]:
@@ -135,22 +132,20 @@ def _recent_columns() -> list[Column | str]:
     ]
 
 
-def recent_completed(lectures: DataFrame, courses: DataFrame, limit: int = 50) -> DataFrame:
-    """First ``limit`` completed lectures by course, latest first within a course.
+def recent_completed(lectures: DataFrame, courses: DataFrame, limit: int = 50, as_of: AsOf = None) -> DataFrame:
+    """First ``limit`` lectures completed until ``as_of`` by course, latest first within a course.
 
     Each course contributes a row or more, so only the ``limit`` lowest course ids can matter. They
-    are found from the id column alone; the wide rows are then joined to that list, whose size is
-    ``limit`` by construction, and never shuffled as a whole.
+    are found from the id column alone; the wide rows are then joined to that list, which Spark knows to be
+    no longer than ``limit``.
     """
-    done = _completed(lectures)
+    done = _completed(lectures, as_of)
     first_courses = (
         courses.select("course_id", "course_title")
         .join(done.select("course_id").distinct(), "course_id", "left_semi")
         .orderBy("course_id")
         .limit(limit)
     )
-    if limit <= MAX_BROADCAST_COURSES:
-        first_courses = F.broadcast(first_courses)
     return (
         done.join(first_courses, "course_id")
         .orderBy("course_id", *_completion_order())
@@ -160,15 +155,15 @@ def recent_completed(lectures: DataFrame, courses: DataFrame, limit: int = 50) -
 
 
 def recent_completed_per_course(
-    lectures: DataFrame, courses: DataFrame, n: int = 5
+    lectures: DataFrame, courses: DataFrame, n: int = 5, as_of: AsOf = None
 ) -> DataFrame:
-    """Latest ``n`` completed lectures of every course.
+    """Latest ``n`` lectures of every course completed until ``as_of``.
 
     Spark cuts each group to ``n`` rows before the shuffle, so a hot course does not travel whole.
     """
     latest_first = Window.partitionBy("course_id").orderBy(*_completion_order())
     newest = (
-        _completed(lectures).withColumn("rank", F.row_number().over(latest_first)).filter(F.col("rank") <= n)
+        _completed(lectures, as_of).withColumn("rank", F.row_number().over(latest_first)).filter(F.col("rank") <= n)
     )
     return (
         _with_title(newest, courses)

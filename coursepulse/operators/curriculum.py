@@ -126,11 +126,24 @@ def rejected_durations(lectures: DataFrame) -> DataFrame:
     return lectures.filter("duration_rejected")
 
 
-def section_summary(lectures: DataFrame) -> DataFrame:
-    """Lessons and completed lessons per section of a course."""
-    return lectures.groupBy("course_id", "section_number").agg(
-        F.count("*").alias("lesson_count"), F.count_if("is_completed").alias("complete_count")
-    )
+def section_summary(curricula: DataFrame) -> DataFrame:
+    """Per section of a course: its lessons and completed lessons, and the counts that the page itself declares.
+
+    Counted inside the row; sections without lessons are left out.
+    """
+    def of_section(section: Column) -> Column:
+        by_chapter = F.flatten(F.transform(section["chapters"], lambda chapter: chapter["lessons"]))
+        lessons = F.coalesce(F.when(F.size(section["chapters"]) > 0, by_chapter), section["lessons"])
+        return F.struct(
+            section["section_number"].alias("section_number"),
+            F.size(lessons).cast("bigint").alias("lesson_count"),
+            F.size(F.filter(lessons, lambda lesson: lesson["is_completed"])).cast("bigint").alias("complete_count"),
+            section["complete_count"].cast("bigint").alias("declared_complete"),
+            section["total_count"].cast("bigint").alias("total_count"),
+        )
+
+    kept = [F.col(c) for c in curricula.columns if c != "sections"]
+    return curricula.select(*kept, F.inline(F.transform("sections", of_section))).filter("lesson_count > 0")
 
 
 def resolve_course_links(listings: DataFrame, site: str) -> DataFrame:

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import dataclasses
 import sys
+from collections.abc import Sequence
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -94,7 +95,9 @@ EXTRACTED = T.StructType([
     T.StructField("h1", T.StringType()),
     T.StructField("body_text", T.StringType()),
     T.StructField("sections", SECTIONS),
+    T.StructField("rejected", T.StringType()),
 ])
+LARGEST_COUNT = 2**63 - 1
 
 
 def _section(title, number, lessons, chapters=None, complete=None, total=None):
@@ -135,6 +138,8 @@ def _classroom_reader(with_chapters: bool):
                 total = int(text_of(page, section, "total", "0"))
             except ValueError:
                 continue
+            if max(abs(complete), abs(total)) > LARGEST_COUNT:
+                continue
             titles = page.find(section, part["chapter_title"]) if with_chapters else []
             if titles:
                 holders = [(i, t, chapter_of(t)) for i, t in enumerate(titles, 1)]
@@ -213,46 +218,61 @@ def _read_rows(batches, row, arrow_schema):
         gc.enable()
 
 
-def extract_pages(pages: DataFrame, profile: str = "classroom") -> DataFrame:
+def extract_pages(pages: DataFrame, profile: str = "classroom", fields: Sequence[str] | None = None) -> DataFrame:
     """Page title, first heading, visible text and nested curriculum of every archived page.
 
-    ``pages`` has page_id, url and html. ``profile`` is one of ``PROFILES``. A page without a
-    curriculum has an empty ``sections``. Reading is bound by the processor: deal an archive of few
-    splits out first, as ``read_page_archive`` does.
+    ``pages`` has page_id, url and html. ``profile`` is one of ``PROFILES``. Of ``fields`` (all by default) only those
+    asked for are looked up and sent, page_id always. A page without a curriculum has an empty ``sections``. A page
+    that cannot be read does not end the job: its fields are NULL and ``rejected`` says why.
     """
     if profile not in PROFILES:
         raise ValueError(f"unknown profile {profile!r}, expected one of {PROFILES}")
     outline = OUTLINES.get(profile)
     own_heading = outline.page_title if outline else "h1"
-
-    arrow_schema = to_arrow_schema(EXTRACTED)
+    wanted = T.StructType([f for f in EXTRACTED if f.name == "page_id" or fields is None or f.name in fields])
+    arrow_schema = to_arrow_schema(wanted)
 
     def read_batches(batches):
         read = _outline_reader(outline) if outline else _classroom_reader(profile == "classroom")
         of_title, of_heading, of_body = (markup.Selector(s) for s in ("title", own_heading, "body"))
 
-        def row(page_id, url, html):
-            page = markup.Page(html or "")
-            headings, bodies = page.everywhere(of_heading), page.everywhere(of_body)
+        def heading_of(page):
+            headings = page.everywhere(of_heading)
             if outline:
-                heading = page.first_text(headings)
-            else:
-                heading = page.text(headings[0]) if headings else None
-            return {
-                "page_id": page_id, "url": url, "page_title": page.first_text(page.everywhere(of_title)),
-                "h1": heading, "body_text": page.text(bodies[0] if bodies else page.root),
-                "sections": list(read(page)),
-            }
+                return page.first_text(headings)
+            return page.text(headings[0]) if headings else None
+
+        def body_of(page):
+            bodies = page.everywhere(of_body)
+            return page.text(bodies[0] if bodies else page.root)
+
+        readers = {
+            "page_title": lambda page: page.first_text(page.everywhere(of_title)),
+            "h1": heading_of,
+            "body_text": body_of,
+            "sections": lambda page: list(read(page)),
+        }
+        readers = {name: reader for name, reader in readers.items() if name in arrow_schema.names}
+
+        def row(page_id, url, html):
+            known = {"page_id": page_id, "url": url}
+            if html is None:
+                return known | {"rejected": "no markup"}
+            try:
+                page = markup.Page(html)
+                return known | {name: reader(page) for name, reader in readers.items()}
+            except Exception as error:  # one page must not end the job; the reason is kept
+                return known | {"rejected": f"{type(error).__name__}: {error}"[:500]}
 
         yield from _read_rows(batches, row, arrow_schema)
 
-    return pages.select("page_id", "url", "html").mapInArrow(read_batches, EXTRACTED)
+    return pages.select("page_id", "url", "html").mapInArrow(read_batches, wanted)
 
 
 def outline_records(pages: DataFrame, profile: str) -> DataFrame:
     """url, title, curriculum and its size for pages that have a static curriculum."""
     return (
-        extract_pages(pages, profile)
+        extract_pages(pages, profile, ("url", "h1", "sections"))
         .filter(F.size("sections") > 0)
         .select(
             "page_id", "url", F.coalesce(strip(F.col("h1")), F.lit("Unknown Title")).alias("title"),
@@ -265,7 +285,7 @@ def extract_listings(pages: DataFrame) -> DataFrame:
     """Course boxes of archived listing pages, as ``resolve_course_links`` takes them.
 
     A box gives the href of its first classroom link and the data attributes of its enter button, or
-    of its first button where the enter button has none.
+    of its first button where the enter button has none. A page that cannot be read has NULL boxes.
     """
     schema = T.StructType([T.StructField("page_id", T.LongType()), T.StructField("boxes", BOXES)])
     arrow_schema = to_arrow_schema(schema)
@@ -283,8 +303,11 @@ def extract_listings(pages: DataFrame) -> DataFrame:
             return {"href": next((h for h in hrefs if CLASSROOM_PATH in h), None), **found}
 
         def row(page_id, url, html):
-            page = markup.Page(html or "")
-            return {"page_id": page_id, "boxes": [read_box(page, e) for e in page.everywhere(box)]}
+            try:
+                page = markup.Page(html or "")
+                return {"page_id": page_id, "boxes": [read_box(page, e) for e in page.everywhere(box)]}
+            except Exception:  # one page must not end the job: NULL boxes mark it
+                return {"page_id": page_id, "boxes": None}
 
         yield from _read_rows(batches, row, arrow_schema)
 

@@ -2,9 +2,10 @@
 
 An item-at-a-time reader flips a lecture between open and done. The last state and the time of the
 flip that led to it depend only on where the last "open" observation stands, so the fold has a
-closed form. The log is cut into slices of the arrival number ``seq``: a key that holds a third of
-the log is spread over many tasks, a window group never exceeds ``SLICE_ROWS`` rows, and only one
-summary row per key and slice goes on to the second, small step.
+closed form: one aggregation finds the last observation and the last open one of every key, and a
+second one, over the done observations joined to that, the first after it. Both combine on the map
+side, and the join has one row per key on the other side, so a key that holds a third of the log is
+split by adaptive execution. Nothing depends on how arrival numbers are spaced.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ from pyspark.sql import functions as F
 LECTURE_KEY = ("course_id", "section_number", "chapter_number", "lecture_number")
 # A NULL in one of these never matches a stored row; a NULL chapter does.
 MATCHED_KEY = ("course_id", "section_number", "lecture_number")
-SLICE_ROWS = 1_000_000
 
 
 def matchable() -> Column:
@@ -26,55 +26,56 @@ def matchable() -> Column:
     return matched
 
 
-def fold_observations(
-    log: DataFrame, attributes: list[str], time: str, slice_rows: int = SLICE_ROWS
-) -> DataFrame:
+def arrival(df: DataFrame) -> Column:
+    """Arrival order of records: ``seq``, and ``position`` among records of one number where there is that column."""
+    return F.struct("seq", *([F.coalesce("position", F.lit(0)).alias("position")] if "position" in df.columns else []))
+
+
+def fold_observations(log: DataFrame, attributes: list[str], time: str) -> DataFrame:
     """One row per lecture key.
 
     ``last`` holds the attributes and ``is_completed`` of the last observation, ``any_open`` and
     ``any_done`` tell which states occurred, ``run_start`` is the time of the first done observation
-    after the last open one. ``seq`` must be a unique integer arrival number.
+    after the last open one.
     """
     key = list(LECTURE_KEY)
-    done, seq = F.col("is_completed"), F.col("seq")
-
-    sliced = log.withColumns({
-        "is_completed": F.coalesce(done, F.lit(False)),
-        "slice": F.floor(seq / slice_rows),
-    })
-    in_slice = Window.partitionBy(*key, "slice")
-    marked = sliced.withColumn("last_open", F.max(F.when(~done, seq)).over(in_slice))
-    after_open = done & (F.col("last_open").isNull() | (seq > F.col("last_open")))
-    per_slice = marked.groupBy(*key, "slice").agg(
-        F.max_by(F.struct(*attributes, "is_completed"), F.struct("seq")).alias("last"),
-        F.max("last_open").alias("last_open"),
+    done = F.col("is_completed")
+    states = log.withColumns({"is_completed": F.coalesce(done, F.lit(False)), "arrival": arrival(log)})
+    per_key = states.groupBy(*key).agg(
+        F.max_by(F.struct(*attributes, "is_completed"), "arrival").alias("last"),
+        F.max(F.when(~done, F.col("arrival"))).alias("last_open"),
         F.bool_or(done).alias("any_done"),
-        F.min(F.when(after_open, F.struct("seq", F.col(time).alias("time")))).alias("run_start"),
-    )
-
-    in_key = Window.partitionBy(*key)
-    joined = per_slice.withColumn(
-        "open_slice", F.max(F.when(F.col("last_open").isNotNull(), F.col("slice"))).over(in_key)
     )
-    in_last_run = F.col("open_slice").isNull() | (F.col("slice") >= F.col("open_slice"))
-    return joined.groupBy(*key).agg(
-        F.max_by("last", F.struct("slice")).alias("last"),
-        F.max("open_slice").isNotNull().alias("any_open"),
-        F.bool_or("any_done").alias("any_done"),
-        F.min(F.when(in_last_run, F.col("run_start")))["time"].alias("run_start"),
+    same_key = F.lit(True)
+    for name in key:
+        same_key &= F.col(f"l.{name}").eqNullSafe(F.col(f"k.{name}"))
+    after_open = F.col("k.last_open").isNull() | (F.col("l.arrival") > F.col("k.last_open"))
+    # Only keys that end done have a run.
+    ends_done = per_key.filter("last.is_completed").select(*key, "last_open")
+    runs = (
+        states.filter(done).select(*key, "arrival", F.col(time).alias("time")).alias("l")
+        .join(ends_done.alias("k"), same_key)
+        .filter(after_open)
+        .groupBy(*[F.col(f"l.{name}") for name in key])
+        .agg(F.min(F.struct("l.arrival", "l.time"))["time"].alias("run_start"))
     )
+    same_key = F.lit(True)
+    for name in key:
+        same_key &= F.col(f"k.{name}").eqNullSafe(F.col(f"r.{name}"))
+    return per_key.alias("k").join(runs.alias("r"), same_key, "left").select(
+        *[F.col(f"k.{name}") for name in key], "last", F.col("last_open").isNotNull().alias("any_open"), "any_done", "run_start")
 
 
-def completion_history(observations: DataFrame, slice_rows: int = SLICE_ROWS) -> DataFrame:
+def completion_history(observations: DataFrame) -> DataFrame:
     """Current lecture state from a log of (key, is_completed, observed_at, seq) observations.
 
     ``completed_at`` is the time of the first done observation after the last open one. Records
     without a matching key each stand for themselves.
     """
     attributes = [
-        c for c in observations.columns if c not in (*LECTURE_KEY, "seq", "is_completed", "observed_at")
+        c for c in observations.columns if c not in (*LECTURE_KEY, "seq", "position", "is_completed", "observed_at")
     ]
-    folded = fold_observations(observations.filter(matchable()), attributes, "observed_at", slice_rows)
+    folded = fold_observations(observations.filter(matchable()), attributes, "observed_at")
     done = F.col("last.is_completed")
     matched = folded.select(
         *LECTURE_KEY, *[F.col(f"last.{c}") for c in attributes], done,

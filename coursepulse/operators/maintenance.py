@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clock import AsOf, as_of_date, as_of_time, week_start
@@ -16,7 +16,7 @@ from ..functions.durations import parse_duration_strict
 from ..functions.links import course_id_from_path
 from ..functions.text import whole_number
 from .curriculum import flatten_curriculum_flat
-from .history import LECTURE_KEY, SLICE_ROWS, fold_observations, matchable
+from .history import LECTURE_KEY, arrival, fold_observations, matchable
 
 UNKNOWN_TITLE = "Unknown Title"
 COURSE_FIELDS = ["course_title", "progress_rate", "study_time", "total_lecture_time", "url", "display_order"]
@@ -39,13 +39,9 @@ def valid_course_items(items: DataFrame) -> DataFrame:
     )
 
 
-def _last_per_course(items: DataFrame, fields: list[str]) -> DataFrame:
-    """The record that arrived last per course, picked with partial aggregation."""
-    return (
-        valid_course_items(items)
-        .groupBy("course_id")
-        .agg(F.max_by(F.struct(*fields), F.struct("seq")).alias("item"))
-    )
+def last_per_course(valid: DataFrame) -> DataFrame:
+    """course_id and ``item``, the valid record that arrived last per course, picked with partial aggregation."""
+    return valid.groupBy("course_id").agg(F.max_by(F.struct(*COURSE_FIELDS), arrival(valid)).alias("item"))
 
 
 def upsert_courses(
@@ -57,7 +53,11 @@ def upsert_courses(
     it), and sets ``updated_at``; ``is_target_course`` stays. ``keep_nonnull`` keeps stored values
     where the record has none. New courses have no ``updated_at``.
     """
-    batch = _last_per_course(items, COURSE_FIELDS)
+    return merge_courses(courses, last_per_course(valid_course_items(items)), as_of, keep_nonnull)
+
+
+def merge_courses(courses: DataFrame, batch: DataFrame, as_of: AsOf = None, keep_nonnull: bool = False) -> DataFrame:
+    """``upsert_courses`` for records that are reduced already."""
     stored = courses.withColumn("stored", F.lit(True))
     seen = F.col("item").isNotNull()
 
@@ -80,9 +80,13 @@ def upsert_snapshots(snapshots: DataFrame, items: DataFrame, as_of: AsOf = None)
 
     Only the week of ``as_of`` is joined. Earlier weeks pass through unshuffled.
     """
+    return merge_snapshots(snapshots, last_per_course(valid_course_items(items)), as_of)
+
+
+def merge_snapshots(snapshots: DataFrame, batch: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """``upsert_snapshots`` for records that are reduced already."""
     week = week_start(as_of_date(as_of))
     values = ["progress_rate", "study_time", "total_lecture_time"]
-    batch = _last_per_course(items, values)
     this_week = F.col("snapshot_date").eqNullSafe(week)
     seen = F.col("item").isNotNull()
     created = as_of_time(as_of, snapshots.schema["created_at"].dataType)
@@ -100,9 +104,14 @@ def upsert_snapshots(snapshots: DataFrame, items: DataFrame, as_of: AsOf = None)
 
 def crawl_log(items: DataFrame, as_of: AsOf = None, status: str = "success", error: str | None = None) -> DataFrame:
     """Log rows for the valid course records of a batch, with an id that a replay gives again."""
+    return log_rows(valid_course_items(items), as_of, status, error)
+
+
+def log_rows(valid: DataFrame, as_of: AsOf = None, status: str = "success", error: str | None = None) -> DataFrame:
+    """``crawl_log`` for records that are known to be valid."""
     now = as_of_time(as_of)
-    return valid_course_items(items).select(
-        F.xxhash64("course_id", "seq", now).alias("log_id"),
+    return valid.select(
+        F.xxhash64("course_id", arrival(valid), now).alias("log_id"),
         "course_id",
         F.lit(status).alias("crawl_status"),
         F.lit(error).cast("string").alias("error_message"),
@@ -119,48 +128,50 @@ def valid_lecture_items(items: DataFrame) -> DataFrame:
     ).filter(F.col("course_id").isNotNull())
 
 
-def upsert_lectures(
-    lectures: DataFrame, items: DataFrame, as_of: AsOf = None, slice_rows: int = SLICE_ROWS
-) -> DataFrame:
+def upsert_lectures(lectures: DataFrame, items: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Lectures after a batch of lecture records, folded in arrival order onto the stored state.
 
     open to done sets ``completed_at`` to ``as_of``, done to open clears it, an unchanged state (and
     a stored NULL state) keeps it. New lectures get ``as_of`` when they arrive done. Chapter numbers
     match null-safely; a NULL section or lecture number never matches, so such records are inserted.
+    Of stored rows that share a key the first by ``sort_order`` is updated, the others stay.
     """
     valid = valid_lecture_items(items)
     now = as_of_time(as_of, lectures.schema["completed_at"].dataType)
     valid = valid.withColumn("observed_at", now)
-    batch = fold_observations(valid.filter(matchable()), LECTURE_FIELDS, "observed_at", slice_rows)
-
-    new, old = F.col("n.last"), F.col("o.is_completed")
-    stored, seen = F.col("o.stored"), F.col("n.last").isNotNull()
-    was_open = stored.isNull() | ~F.coalesce(old, F.lit(True))
+    batch = fold_observations(valid.filter(matchable()), LECTURE_FIELDS, "observed_at")
+    batch = batch.select(*LECTURE_KEY, F.struct("last", "any_open", "any_done", "run_start").alias("new"))
+
+    # Stored rows and the batch's one row per key meet in one window, which groups NULL chapters too.
+    stored = lectures.filter(matchable()).withColumn("stored", F.lit(True))
+    typed = batch.select(*[F.col(c).cast(lectures.schema[c].dataType).alias(c) for c in LECTURE_KEY], "new")
+    both = stored.unionByName(typed.withColumn("stored", F.lit(False)), allowMissingColumns=True)
+    same_key = Window.partitionBy(*LECTURE_KEY)
+    others = [c for c in lectures.columns if c not in (*LECTURE_KEY, "sort_order")]
+    first = Window.partitionBy(*LECTURE_KEY).orderBy(F.desc("stored"), "sort_order", *others)
+    met = both.withColumn("place", F.row_number().over(first)).withColumn("new", F.max("new").over(same_key))
+
+    new, old = F.col("new.last"), F.col("is_completed")
+    seen = F.col("new").isNotNull() & (F.col("place") == 1)
+    was_open = ~F.col("stored") | ~F.coalesce(old, F.lit(True))
     was_done = F.coalesce(old, F.lit(False))
-    arrived_done = F.when(F.col("n.any_open") | was_open, F.col("n.run_start")).otherwise(F.col("o.completed_at"))
-    arrived_open = F.when(~F.col("n.any_done") & ~was_done, F.col("o.completed_at"))
+    arrived_done = F.when(F.col("new.any_open") | was_open, F.col("new.run_start")).otherwise(F.col("completed_at"))
+    arrived_open = F.when(~F.col("new.any_done") & ~was_done, F.col("completed_at"))
     completed_at = (
-        F.when(~seen, F.col("o.completed_at"))
+        F.when(~seen, F.col("completed_at"))
         .when(new["is_completed"], arrived_done)
         .otherwise(arrived_open)
     )
 
     def merged(name: str) -> Column:
         if name in LECTURE_KEY:
-            return F.coalesce(F.col(f"n.{name}"), F.col(f"o.{name}"))
+            return F.col(name)
         if name == "completed_at":
             return completed_at
-        return F.when(seen, new[name].cast(lectures.schema[name].dataType)).otherwise(F.col(f"o.{name}"))
-
-    same_key = F.lit(True)
-    for name in LECTURE_KEY:
-        left, right = F.col(f"o.{name}"), F.col(f"n.{name}")
-        same_key &= left.eqNullSafe(right) if name == "chapter_number" else left == right
-    result = (
-        lectures.withColumn("stored", F.lit(True)).alias("o")
-        .join(batch.alias("n"), same_key, "full_outer")
-        .select(*[merged(c).alias(c) for c in lectures.columns])
-    )
+        return F.when(seen, new[name].cast(lectures.schema[name].dataType)).otherwise(F.col(name))
+
+    # A key that no stored row has is new: its own row of the batch comes first.
+    result = met.filter("stored OR place = 1").select(*[merged(c).alias(c) for c in lectures.columns])
 
     done = F.coalesce(F.col("is_completed"), F.lit(False))
     inserted = valid.filter(~matchable()).select(*[
@@ -168,18 +179,24 @@ def upsert_lectures(
         .cast(lectures.schema[c].dataType).alias(c)
         for c in lectures.columns
     ])
-    return result.unionByName(inserted)
+    return result.unionByName(lectures.filter(~matchable())).unionByName(inserted)
 
 
 def replace_curriculum(lectures: DataFrame, curricula: DataFrame) -> DataFrame:
-    """Lectures with those of the given curricula replaced: renumbered, open, no chapters."""
-    fresh = flatten_curriculum_flat(curricula, parse_duration_strict, count_empty=True, untitled="")
+    """Lectures with those of the given curricula replaced: renumbered, open, no chapters.
+
+    Of several curricula of a course the last counts: by ``seq`` where there is such a column, else by content.
+    """
+    order = "seq" if "seq" in curricula.columns else F.struct(*[c for c in curricula.columns if c != "course_id"])
+    rest = [c for c in curricula.columns if c != "course_id"]
+    last = curricula.groupBy("course_id").agg(F.max_by(F.struct(*rest), order).alias("last")).select("course_id", "last.*")
+    fresh = flatten_curriculum_flat(last, parse_duration_strict, count_empty=True, untitled="")
     types = lectures.schema
     fixed = {"is_completed": F.lit(False), "completed_at": F.lit(None)}
     rows = fresh.select(*[
         fixed.get(c, F.col(c)).cast(types[c].dataType).alias(c) for c in lectures.columns
     ])
-    return delete_lectures(lectures, curricula).unionByName(rows)
+    return delete_lectures(lectures, last).unionByName(rows)
 
 
 def delete_lectures(lectures: DataFrame, courses: DataFrame) -> DataFrame:

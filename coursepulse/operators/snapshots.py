@@ -155,7 +155,7 @@ def goal_attainment(
         .select(
             "snapshot_date", "total_minutes", hours_minutes(total).alias("total_hm"),
             F.lit(goal).alias("goal_minutes"),
-            F.round(total / goal * 100, 2).alias("attainment_rate"),
+            F.round(F.try_divide(total, F.lit(goal)) * 100, 2).alias("attainment_rate"),
             F.when(total >= goal, GOAL_REACHED).when(total >= near, GOAL_NEAR).otherwise(GOAL_MISSED)
             .alias("status"),
         )

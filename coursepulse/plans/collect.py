@@ -15,13 +15,8 @@ from ..functions.page_fields import (
 )
 from ..operators.curriculum import lesson_array, lesson_array_flat, timed
 from ..operators.extraction import extract_pages
-from ..operators.history import SLICE_ROWS
 from ..sources.schemas import ITEMS
 
-# Arrival numbers of one page.
-PAGE_STRIDE = 1 << 24
-PAGE_SLICE = SLICE_ROWS * PAGE_STRIDE
-
 
 def drop_unauthenticated(pages: DataFrame) -> DataFrame:
     """Pages that are not a login page; pages without a title or url are dropped too."""
@@ -52,17 +47,17 @@ def page_items(
     """Item records of archived pages: each page's course record, then its lectures.
 
     A page is read once; both kinds of record are elements of one array that is then exploded.
-    Records are numbered by page and position in it. A key occurs at most once in a page, so fold
-    such items with ``slice_rows=PAGE_SLICE``.
+    They arrive in the order of their pages (``seq``) and of their ``position`` in the page.
     """
     lessons_of = lesson_array if profile == "classroom" else lesson_array_flat
-    found = course_records(extract_pages(pages, profile))
+    found = course_records(extract_pages(pages, profile, ("url", "page_title", "h1", "body_text", "sections")))
     raw = T.StructType([*ITEMS, T.StructField("duration", T.StringType())])
 
     def item(item_type: str, position: Column, values: dict[str, Column]) -> Column:
         own = {
             "item_type": F.lit(item_type),
-            "seq": F.col("page_id") * PAGE_STRIDE + position,
+            "seq": F.col("page_id"),
+            "position": position,
             "course_id": F.col("course_id"),
             "course_title": F.col("course_title"),
             **values,

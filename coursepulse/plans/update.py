@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.clock import AsOf, as_of_date, week_start
-from ..operators.history import SLICE_ROWS, LECTURE_KEY
+from ..operators.history import LECTURE_KEY
 from ..operators.maintenance import (
-    crawl_log, delete_lectures, upsert_courses, upsert_lectures, upsert_snapshots,
+    delete_lectures, last_per_course, log_rows, merge_courses, merge_snapshots, upsert_lectures,
     valid_course_items, valid_lecture_items,
 )
 from ..operators.selection import coverage_audit
@@ -34,51 +37,74 @@ def route_items(items: DataFrame) -> Routed:
     return Routed(items.filter(kind == COURSE_ITEM), items.filter(kind == LECTURE_ITEM), items.filter(~known))
 
 
-def apply_items(
-    tables: dict[str, DataFrame], items: DataFrame, as_of: AsOf = None, slice_rows: int = SLICE_ROWS
-) -> dict[str, DataFrame]:
-    """The four tables after a batch: courses, snapshots and log from course records, lectures from the rest."""
+def apply_items(tables: dict[str, DataFrame], items: DataFrame, as_of: AsOf = None) -> dict[str, DataFrame]:
+    """The four tables after a batch: courses, snapshots and log from course records, lectures from the rest.
+
+    Records of other types concern no table; ``route_items`` gives them.
+    """
     routed = route_items(items)
+    # Ids are read and records reduced to the last of each course once, for courses and snapshots alike.
+    valid = valid_course_items(routed.courses)
+    last = last_per_course(valid)
     return {
-        "courses": upsert_courses(tables["courses"], routed.courses, as_of),
-        "course_progress_snapshots": upsert_snapshots(
-            tables["course_progress_snapshots"], routed.courses, as_of
-        ),
-        "crawl_logs": tables["crawl_logs"].unionByName(crawl_log(routed.courses, as_of)),
-        "lectures": upsert_lectures(tables["lectures"], routed.lectures, as_of, slice_rows),
+        "courses": merge_courses(tables["courses"], last, as_of),
+        "course_progress_snapshots": merge_snapshots(tables["course_progress_snapshots"], last, as_of),
+        "crawl_logs": tables["crawl_logs"].unionByName(log_rows(valid, as_of)),
+        "lectures": upsert_lectures(tables["lectures"], routed.lectures, as_of),
     }
 
 
 def publish_items(
-    tables: PublishedTables, items: DataFrame, as_of: AsOf = None, batch_id: int = -1,
-    slice_rows: int = SLICE_ROWS,
+    tables: PublishedTables, items: DataFrame, as_of: AsOf = None, mark: tuple[str, int] | None = None,
+    pass_on: Callable[[DataFrame], None] | None = None,
 ) -> int:
     """Apply a batch to the published tables in one commit and return its number.
 
-    Only the parts the batch falls into are read and rewritten. A ``batch_id`` that is already in
-    is skipped, so a replayed stream batch changes nothing.
+    The records are written to ``staging`` under the tables' root first, so ``items`` is evaluated once whatever it
+    takes to make it. Only the parts the batch falls into are read and rewritten. ``as_of`` None is the time at the
+    start. ``mark`` is a stream's name and its batch number: a batch that this stream has brought before is
+    skipped. ``pass_on`` gets the records of other types once the commit is visible.
     """
+    spark = tables.spark
     last = tables.newest()
-    if 0 <= batch_id <= last.batch_id:
+    if mark and mark[1] <= last.marks.get(mark[0], -1):
         return last.number
-    routed = route_items(items)
-    week = str(tables.spark.range(1).select(week_start(as_of_date(as_of))).first()[0])
-    parts = {
-        "courses": tables.touched("courses", valid_course_items(routed.courses)),
-        "lectures": tables.touched("lectures", valid_lecture_items(routed.lectures)),
-        "course_progress_snapshots": [week],
-        "crawl_logs": [],
-    }
-    stored = {name: tables.read(name, parts[name], last) for name in parts}
-    changed = apply_items(stored, items, as_of, slice_rows)
-    # Tables that no record of the batch concerns are left as they are.
-    concerned = [name for name in parts if parts["lectures" if name == "lectures" else "courses"]]
-    return tables.publish({name: (changed[name], parts[name]) for name in concerned}, batch_id, last)
+    if as_of is None:
+        as_of = spark.range(1).select(F.current_timestamp().cast("string")).first()[0]
+    with staged(tables, items) as records:
+        routed = route_items(records)
+        week = str(spark.range(1).select(week_start(as_of_date(as_of))).first()[0])
+        parts = {
+            "courses": tables.touched("courses", valid_course_items(routed.courses), last),
+            "lectures": tables.touched("lectures", valid_lecture_items(routed.lectures), last),
+            "course_progress_snapshots": [week],
+            "crawl_logs": [],
+        }
+        stored = {name: tables.read(name, parts[name], last) for name in parts}
+        changed = apply_items(stored, records, as_of)
+        # Tables that no record of the batch concerns are left as they are.
+        concerned = [name for name in parts if parts["lectures" if name == "lectures" else "courses"]]
+        number = tables.publish({name: (changed[name], parts[name]) for name in concerned}, last, mark)
+        if pass_on:
+            pass_on(routed.other)
+    return number
+
+
+@contextmanager
+def staged(tables: PublishedTables, rows: DataFrame) -> Iterator[DataFrame]:
+    """``rows`` as written beside the tables; the files go when the work on them ends."""
+    folder = f"{tables.root}/staging/{uuid.uuid4().hex}"
+    rows.write.parquet(folder)
+    try:
+        yield tables.spark.read.schema(rows.schema).parquet(folder)
+    finally:
+        path = tables.spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(tables.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def recollect(
     courses: DataFrame, lectures: DataFrame, fresh: DataFrame, as_of: AsOf = None,
-    tolerance: float = 0.1, preserve_completed_at: bool = False, slice_rows: int = SLICE_ROWS,
+    tolerance: float = 0.1, preserve_completed_at: bool = False,
 ) -> DataFrame:
     """Lectures with those of every badly covered course deleted and collected again.
 
@@ -87,7 +113,7 @@ def recollect(
     """
     gaps = coverage_audit(courses, lectures, tolerance).select("course_id")
     valid = valid_lecture_items(fresh).join(gaps, "course_id", "left_semi")
-    rebuilt = upsert_lectures(delete_lectures(lectures, gaps), valid, as_of, slice_rows)
+    rebuilt = upsert_lectures(delete_lectures(lectures, gaps), valid, as_of)
     if not preserve_completed_at:
         return rebuilt
     before = lectures.filter("completed_at IS NOT NULL").groupBy(*LECTURE_KEY).agg(

@@ -30,19 +30,15 @@ def read_jdbc(
     return reader.load()
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """A file scan in at least as many partitions as there are cores.
-
-    Reading markup is bound by the processor, so an archive of few splits is dealt out first. One
-    with enough splits, as any large one has, is left where it is. For plain scans only: counting
-    the partitions of a plan with shuffles would run them.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def read_page_archive(
-    spark: SparkSession, path: str, source_format: str = "parquet", schema: T.StructType = PAGES
+    spark: SparkSession, path: str, source_format: str = "parquet", schema: T.StructType = PAGES,
+    partitions: int | None = None,
 ) -> DataFrame:
-    """Archived pages (page_id, url, html) from Parquet or JSON lines."""
-    return spread(spark.read.format(source_format).schema(schema).load(path))
+    """Archived pages (page_id, url, html) from Parquet or JSON lines.
+
+    Reading markup is bound by the processor. An archive of few large splits is better written again in smaller row
+    groups, or read with a smaller ``spark.sql.files.maxPartitionBytes``; ``partitions`` deals the pages out
+    over the network instead, which is for small archives only.
+    """
+    pages = spark.read.format(source_format).schema(schema).load(path)
+    return pages.repartition(partitions) if partitions else pages

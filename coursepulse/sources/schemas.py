@@ -59,8 +59,8 @@ SECTIONS = T.ArrayType(
     T.StructType([
         T.StructField("section", T.StringType()),
         T.StructField("section_number", T.IntegerType()),
-        T.StructField("complete_count", T.IntegerType()),
-        T.StructField("total_count", T.IntegerType()),
+        T.StructField("complete_count", T.LongType()),
+        T.StructField("total_count", T.LongType()),
         T.StructField("chapters", CHAPTERS),
         T.StructField("lessons", LESSONS),
     ])
@@ -70,9 +70,10 @@ SECTIONS = T.ArrayType(
 BOXES = T.ArrayType(_struct("href STRING, data_course_id STRING, data_id STRING, data_key STRING"))
 
 # One crawled record: a course, a lecture, or something else that is passed through.
-# ``seq`` is its unique arrival number, ``payload`` the text of other records.
+# ``seq`` is its arrival number, ``position`` its place among the records of one number (NULL: the
+# only one), ``payload`` the text of other records.
 ITEMS = _struct(
-    "item_type STRING, seq BIGINT, course_id STRING, course_title STRING, progress_rate DOUBLE, "
+    "item_type STRING, seq BIGINT, position INT, course_id STRING, course_title STRING, progress_rate DOUBLE, "
     "study_time DOUBLE, total_lecture_time DOUBLE, url STRING, display_order INT, "
     "section_number INT, section_title STRING, chapter_number INT, chapter_title STRING, "
     "lecture_number INT, lecture_title STRING, lecture_time DOUBLE, is_completed BOOLEAN, "

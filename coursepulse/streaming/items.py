@@ -2,32 +2,32 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.clock import AsOf
-from ..operators.history import SLICE_ROWS
 from ..plans.update import publish_items
 from ..sources.published import PublishedTables
 
 
 def stream_items(
-    items: DataFrame, tables: PublishedTables, checkpoint: str, as_of: AsOf = None,
-    trigger: dict | None = None, slice_rows: int = SLICE_ROWS,
+    items: DataFrame, tables: PublishedTables, checkpoint: str, as_of: AsOf = None, trigger: dict | None = None,
+    pass_on: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
     """Start the query that applies every micro-batch of item records as one commit.
 
-    Arrival order (``seq``) decides; there is no watermark, as no record is ever late. The batch id
-    is stored with the commit: a batch replayed after a failure is recognised and skipped.
+    Arrival order (``seq``) decides; there is no watermark, as no record is ever late. The commit stores the batch under
+    the id that Spark gave the checkpoint: a batch replayed after a failure is recognised and skipped, while
+    another stream, or the same source under a new checkpoint, counts for itself.
     """
+    session = items.sparkSession
 
     def apply_batch(batch: DataFrame, batch_id: int) -> None:
-        # The batch feeds four tables and the part lists; it is read from the source once.
-        cached = batch.persist()
-        try:
-            publish_items(tables, cached, as_of, batch_id, slice_rows)
-        finally:
-            cached.unpersist()
+        stream = json.loads(session.read.text(f"{checkpoint}/metadata", wholetext=True).first()[0])["id"]
+        publish_items(tables, batch, as_of, (stream, batch_id), pass_on)
 
     return (
         items.writeStream.foreachBatch(apply_batch)

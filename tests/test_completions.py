@@ -29,6 +29,14 @@ def test_leap_month(lectures):
     assert tuple(d.month_stats(df, "2024-02-29").first()) == (29, 29 * 60.0, 29.0, 1.0)
 
 
+def test_a_replayed_day_sees_nothing_later(lectures, courses):
+    df = lectures(*[(1, 1, None, n, 60.0, f"2024-01-{n:02d} 10:00:00") for n in (5, 10, 20)])
+    assert d.month_stats(df, "2024-01-10").first().lecture_count == 2
+    titles = courses((1, 0.0, 9.0))
+    assert [r.lecture_title for r in d.recent_completed(df, titles, as_of="2024-01-10").collect()] == ["Lecture 10", "Lecture 5"]
+    assert [r.lecture_title for r in d.recent_completed_per_course(df, titles, 1, as_of="2024-01-10").collect()] == ["Lecture 10"]
+
+
 def test_last_seven_days_are_eight_dates(lectures):
     df = lectures(*[(1, 1, None, n, 1.0, f"2024-03-{n:02d} 10:00:00") for n in range(1, 20)])
     rows = d.daily_stats_7d(df, "2024-03-10").collect()

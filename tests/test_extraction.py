@@ -103,6 +103,24 @@ def test_unknown_profile(spark):
         extraction.extract_pages(spark.range(1), "nope")
 
 
+def test_a_bad_page_does_not_end_the_job(spark):
+    part = "classroom-sidebar-clip__chapter"
+    def section(count):
+        return (f'<div class="{part}"><i class="{part}__title__number__total">{count}</i>'
+                f'<div class="{part}__clip"><span class="{part}__clip__title">x</span></div></div>')
+    pages = spark.createDataFrame([(1, "u", section("99999999999") + section("9" * 30)), (2, "u", None), (2**63 - 1, "u", section("2"))],
+                                  "page_id long, url string, html string")
+    rows = {r.page_id: r for r in extraction.extract_pages(pages, fields=("sections", "rejected")).collect()}
+    assert [s.total_count for s in rows[1].sections] == [99999999999] and rows[1].rejected is None
+    assert rows[2].rejected == "no markup" and rows[2].sections is None
+    assert [s.total_count for s in rows[2**63 - 1].sections] == [2]
+
+
+def test_only_asked_fields_are_sent(spark):
+    pages = spark.createDataFrame([(1, "u", "<title>t</title>")], "page_id long, url string, html string")
+    assert extraction.extract_pages(pages, fields=("page_title",)).columns == ["page_id", "page_title"]
+
+
 def test_page_items(spark):
     pages = spark.createDataFrame(
         [(1, "https://x/classroom/1", CLASSROOM), (2, "https://x/sign-in", CLASSROOM), (3, "https://x/classroom/3", "<title>t</title>")],

@@ -83,9 +83,9 @@ def model_upsert(table, records):
     return sorted(((*row["key"], row["done"], row["at"], row["title"]) for row in table), key=repr)
 
 
-@pytest.mark.parametrize("slice_rows", [1_000_000, 3])
-def test_batch_equals_row_by_row(spark, slice_rows):
-    rng = random.Random(slice_rows)
+@pytest.mark.parametrize("seed", [1, 3])
+def test_batch_equals_row_by_row(spark, seed):
+    rng = random.Random(seed)
     keys = [(c, s, ch, n) for c in range(1, 5) for s in (1, None) for ch in (None, 1) for n in (1, 2)]
     table = [
         {"key": k, "done": done, "at": OLD_TIME if done else None, "title": "old"}
@@ -97,19 +97,19 @@ def test_batch_equals_row_by_row(spark, slice_rows):
         c, s, ch, l = rng.choice(keys)
         records.append(lecture(rng.choice([str(c), str(c), f"x{c}", None]), s, ch, l, rng.random() < 0.5, f"t{n}"))
     base = stored(spark, *[(*row["key"], row["done"], row["at"]) for row in table])
-    df = m.upsert_lectures(base, items(spark, *records), NOW, slice_rows)
+    df = m.upsert_lectures(base, items(spark, *records), NOW)
     got = values(df.select("course_id", "section_number", "chapter_number", "lecture_number", "is_completed",
                            "completed_at", "lecture_title"))
     assert got == model_upsert(table, records)
 
 
-@pytest.mark.parametrize("slice_rows", [1_000_000, 4, 1])
-def test_completion_history_equals_the_fold(spark, slice_rows):
+@pytest.mark.parametrize("spacing", [1, 1 << 40])
+def test_completion_history_equals_the_fold(spark, spacing):
     rng = random.Random(5)
     log = [
         # The first key holds a third of the log.
         (1 if n % 3 == 0 else rng.randrange(6), rng.choice([1, None, 2]), None, 1, rng.random() < 0.6,
-         dt.datetime(2024, 1, 1) + dt.timedelta(minutes=n), n)
+         dt.datetime(2024, 1, 1) + dt.timedelta(minutes=n), n * spacing)
         for n in range(400)
     ]
     want, lone = {}, []
@@ -122,7 +122,7 @@ def test_completion_history_equals_the_fold(spark, slice_rows):
     df = spark.createDataFrame(
         log, "course_id BIGINT, section_number INT, chapter_number INT, lecture_number INT, is_completed BOOLEAN, "
              "observed_at TIMESTAMP, seq BIGINT").repartition(7)
-    got = values(completion_history(df, slice_rows))
+    got = values(completion_history(df))
     assert got == sorted([(*k, *v) for k, v in want.items()] + lone, key=repr)
 
 
@@ -193,6 +193,29 @@ def test_replace_curriculum(spark):
     assert df.filter("course_id = 2").count() == 1
 
 
+def test_replace_curriculum_takes_the_last_of_a_course(spark):
+    lessons = "array<struct<title:string,duration:string,is_completed:boolean>>"
+    shape = (f"course_id long, seq long, sections array<struct<section:string,section_number:int,complete_count:long,total_count:long,"
+             f"chapters:array<struct<chapter_number:int,chapter_title:string,lessons:{lessons}>>,lessons:{lessons}>>")
+    def curriculum(seq, title):
+        return (1, seq, [("Part", 1, 0, 1, None, [(title, "2:30", False)])])
+    curricula = spark.createDataFrame([curriculum(1 << 60, "later"), curriculum(5, "earlier")], shape)
+    df = m.replace_curriculum(stored(spark, (1, 7, None, 7, True, OLD_TIME)), curricula)
+    assert [r.lecture_title for r in df.collect()] == ["later"]
+
+
+def test_of_stored_rows_with_one_key_the_first_is_updated(spark):
+    base = stored(spark, (1, 1, None, 1, False, None), (1, 1, None, 1, False, None)).withColumn(
+        "sort_order", F.when(F.monotonically_increasing_id() % 2 == 0, 1).otherwise(2))
+    df = m.upsert_lectures(base, items(spark, lecture("1", 1, None, 1, True)), NOW)
+    assert state(df) == [(1, 1, None, 1, False, None), (1, 1, None, 1, True, NOW_TIME)]
+
+
+def test_records_of_one_page_arrive_in_their_order(spark):
+    batch = items(spark, *[{**lecture("1", 1, None, 1, done), "seq": 2**63 - 1, "position": n} for n, done in enumerate([True, False, True])])
+    assert state(m.upsert_lectures(stored(spark, (1, 1, None, 1, True, OLD_TIME)), batch, NOW)) == [(1, 1, None, 1, True, NOW_TIME)]
+
+
 def test_set_target(spark):
     rows = spark.createDataFrame([(i, f"c{i}", None, None, None, None, None, i == 1, None) for i in (1, 2, 3)], COURSES)
     assert values(m.set_target(rows, [2, 3]).select("course_id", "is_target_course")) == [(1, True), (2, True), (3, True)]

@@ -1,10 +1,11 @@
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from coursepulse.plans.update import apply_items, publish_items
 from coursepulse.sources import readers, writers
-from coursepulse.sources.published import PublishedTables
+from coursepulse.sources.published import CommitConflict, PublishedTables
 from coursepulse.sources.schemas import ITEMS, TABLES
 from coursepulse.streaming.items import stream_items
 
@@ -36,24 +37,93 @@ def test_commits_rewrite_only_touched_parts(spark, tmp_path):
     assert tables.read("lectures", commit=before).filter("is_completed").count() == 0
 
 
-def test_files_without_a_manifest_are_not_seen(spark, tmp_path):
+def ids(df):
+    return sorted(r.course_id for r in df.collect())
+
+
+def test_leftovers_of_a_failed_commit_are_not_seen(spark, tmp_path):
     tables = PublishedTables(spark, str(tmp_path), buckets=2)
     publish_items(tables, items(spark, course("https://x/classroom/1")), NOW)
-    for name in ("crawl_logs", "courses"):
-        tables.read(name).write.parquet(f"{tmp_path}/{name}/commit=000000000002")
-    assert tables.read("crawl_logs").count() == 1 and tables.read("courses").count() == 1
-    assert publish_items(tables, items(spark, course("https://x/classroom/2")), NOW) == 2
-    assert sorted(r.course_id for r in tables.read("crawl_logs").collect()) == [1, 2]
+    for name in ("crawl_logs", "courses"):  # written, but the manifest never came
+        tables._write(name, tables.read(name))
+    assert publish_items(tables, items(spark, lecture("1", 1, None, 1, True)), NOW) == 2
+    assert ids(tables.read("crawl_logs")) == [1] and ids(tables.read("courses")) == [1]
+    assert publish_items(tables, items(spark, course("https://x/classroom/2")), NOW) == 3
+    assert ids(tables.read("crawl_logs")) == [1, 2]
+
+
+def test_logs_can_be_read_before_there_are_any(spark, tmp_path):
+    tables = PublishedTables(spark, str(tmp_path), buckets=2)
+    publish_items(tables, items(spark, lecture("1", 1, None, 1, True)), NOW)
+    assert tables.read("crawl_logs").count() == 0
 
 
-def test_replayed_batch_is_skipped(spark, tmp_path):
+def test_batches_are_known_by_their_stream(spark, tmp_path):
     tables = PublishedTables(spark, str(tmp_path), buckets=2)
-    rows = items(spark, course("https://x/classroom/1"))
-    assert publish_items(tables, rows, NOW, batch_id=0) == 1
-    assert publish_items(tables, rows, NOW, batch_id=0) == 1
+    def bring(n, mark=None):
+        publish_items(tables, items(spark, course(f"https://x/classroom/{n}")), NOW, mark)
+        return ids(tables.read("crawl_logs"))
+    assert bring(1, ("a", 5)) == [1]
+    assert bring(2, ("b", 0)) == [1, 2]  # another stream, or the same one under a new checkpoint
+    assert bring(3) == [1, 2, 3]  # a batch without a stream leaves the marks alone
+    assert bring(4, ("a", 5)) == [1, 2, 3]
+    assert bring(4, ("a", 6)) == [1, 2, 3, 4]
+    assert tables.newest().marks == {"a": 6, "b": 0}
+
+
+def test_the_stored_bucket_count_holds(spark, tmp_path):
+    rows = items(spark, *[lecture(str(i), 1, None, 1, False) for i in range(8)])
+    publish_items(PublishedTables(spark, str(tmp_path), buckets=16), rows, NOW)
+    with pytest.raises(ValueError, match="16 buckets"):
+        publish_items(PublishedTables(spark, str(tmp_path), buckets=8), rows, NOW)
+    again = PublishedTables(spark, str(tmp_path))
+    publish_items(again, rows, NOW)
+    assert again.read("lectures").count() == 8
+    again.rebucket("lectures", 3)
+    assert again.newest().buckets["lectures"] == 3 and again.read("lectures").count() == 8
+    publish_items(again, rows, NOW)
+    assert again.read("lectures").count() == 8
+
+
+def test_of_two_writers_one_is_refused(spark, tmp_path):
+    tables = PublishedTables(spark, str(tmp_path), buckets=2)
+    seen = tables.newest()
+    log = spark.createDataFrame([(5, 1, "success", None, None)], TABLES["crawl_logs"])
+    assert tables.publish({"crawl_logs": (log, [])}, seen) == 1
+    with pytest.raises(CommitConflict):
+        tables.publish({"crawl_logs": (log, [])}, seen)
     assert tables.read("crawl_logs").count() == 1
 
 
+def test_other_records_are_passed_on(spark, tmp_path):
+    got = []
+    publish_items(PublishedTables(spark, str(tmp_path), buckets=2), items(spark, course("https://x/classroom/1"), {
+        "item_type": "outline", "payload": "{}"}), NOW, pass_on=lambda rows: got.extend(rows.collect()))
+    assert [r.payload for r in got] == ["{}"]
+
+
+def test_a_batch_is_evaluated_once(spark, tmp_path):
+    read = spark.sparkContext.accumulator(0)
+    def count(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+    rows = items(spark, course("https://x/classroom/1"), lecture("1", 1, None, 1, True))
+    publish_items(PublishedTables(spark, str(tmp_path), buckets=2), rows.mapInArrow(count, rows.schema), NOW)
+    assert read.value == 2
+
+
+def test_many_small_commits_stay_bounded(spark, tmp_path):
+    tables = PublishedTables(spark, str(tmp_path), buckets=1, keep=3)
+    for n in range(40):
+        log = spark.createDataFrame([(n, n, "success", None, None)], TABLES["crawl_logs"])
+        tables.publish({"crawl_logs": (log.coalesce(1), [])})
+    assert len(tables.numbers()) == 3
+    assert len(os.listdir(f"{tmp_path}/crawl_logs")) < 2 * 16 + 3
+    assert ids(tables.read("crawl_logs")) == list(range(40))
+    assert ids(tables.read("crawl_logs", commit=tables.at(39))) == list(range(39))
+
+
 def test_stream_equals_batches(spark, tmp_path):
     batches = [
         [course("https://x/classroom/1"), lecture("1", 1, None, 1, True), lecture("1", 1, None, 2, False)],
