@@ -8,9 +8,10 @@ Most pairs beyond ``REACH`` share one too: a pair of similarity 0.85 shares none
 with 1e-7. Pairs that share a key are confirmed on their full sets; the signature alone links nothing.
 
 Hot groups: documents of equal sets are one class, found by an aggregation. The documents of a key are first compared
-with the smallest of them and with their neighbour only. What hangs together then needs no more links, and only pairs of
-different components that share a key are compared in a second round, so a group of very many copies of one another
-is never expanded into its pairs, and no link between components is lost.
+with the smallest of them and with their neighbour only. What hangs together then needs no more links; in a second round
+pairs of different components that share a key are compared, so a group of very many copies of one another is never
+expanded into its pairs. That round makes a pair once, at the first key that the two share, and only if a signature of
+``LONG`` bits leaves the threshold possible: a pair at the threshold is further apart with a probability below 1e-6.
 
 Defined cases: null and empty texts have the empty set and are linked with nothing; a text of fewer words is one shingle,
 all its words; rows that share an id are one document, the greatest text; rows with a null id are left out; an empty
@@ -19,6 +20,7 @@ table gives an empty result; other columns are ignored. Texts are read whole.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +41,10 @@ CHUNK = 4
 EXACT, ERRING = 4, 8  # chunks without and with one error
 SYMBOLS = CHUNK * (EXACT + ERRING)
 REACH = EXACT + 2 * ERRING - 1
-_SEEDS = anchor.mix(np.arange(1, 2 * SYMBOLS + 1, dtype=np.uint64))
-_FACTORS, _SHIFTS = _SEEDS[:SYMBOLS] | np.uint64(1), _SEEDS[SYMBOLS:]
+LONG = 2048  # one-bit minima that tell pairs apart before their sets are compared
+ROWS = 256  # documents that a task holds at a time
+_SEEDS = anchor.mix(np.arange(1, 2 * (SYMBOLS + LONG) + 1, dtype=np.uint64))
+_FACTORS, _SHIFTS = _SEEDS[::2] | np.uint64(1), _SEEDS[1::2]
 
 
 def shingles(body: bytes) -> np.ndarray:
@@ -53,14 +57,32 @@ def shingles(body: bytes) -> np.ndarray:
     return np.unique(anchor.stretches(anchor.sums(words), min(SHINGLE, len(words))))
 
 
-def signature(shingle_set: np.ndarray) -> np.ndarray:
-    """``SYMBOLS`` minima of the set under multiplicative orders, ``BITS`` bits of each."""
-    least = np.full(SYMBOLS, 2**64 - 1, np.uint64)
-    for start in range(0, len(shingle_set), 1024):
-        part = shingle_set[start:start + 1024, None] * _FACTORS
-        part += _SHIFTS
+def _minima(shingle_set: np.ndarray, orders: slice, block: int) -> np.ndarray:
+    """Minima of the set under multiplicative orders, mixed."""
+    factors, shifts = _FACTORS[orders], _SHIFTS[orders]
+    least = np.full(len(factors), 2**64 - 1, np.uint64)
+    for start in range(0, len(shingle_set), block):
+        part = shingle_set[start:start + block, None] * factors
+        part += shifts
         np.minimum(least, part.min(axis=0), out=least)
-    return anchor.mix(least) & np.uint64((1 << BITS) - 1)
+    return anchor.mix(least)
+
+
+def signature(shingle_set: np.ndarray) -> np.ndarray:
+    """``SYMBOLS`` minima of the set, ``BITS`` bits of each."""
+    return _minima(shingle_set, slice(0, SYMBOLS), 1024) & np.uint64((1 << BITS) - 1)
+
+
+def long_signature(shingle_set: np.ndarray) -> np.ndarray:
+    """``LONG`` further minima, one bit of each, packed into 64-bit numbers."""
+    bits = _minima(shingle_set, slice(SYMBOLS, SYMBOLS + LONG), 64) & np.uint64(1)
+    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+
+
+def most_apart(percent: int) -> int:
+    """Bits in which long signatures of sets at the threshold differ at most: mean and five standard deviations."""
+    share = (1 - percent / 100) / 2
+    return math.ceil(LONG * share + 5 * math.sqrt(LONG * share * (1 - share)))
 
 
 def _fold(symbols: np.ndarray, place: int) -> np.ndarray:
@@ -86,7 +108,7 @@ def sketches(packed: DataFrame) -> DataFrame:
     ship(packed.sparkSession)
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, len(whole), ROWS)):
             sets = [shingles(body.as_py()) for body in batch["body"]]
             prints = np.array([[s.sum(dtype=np.uint64), np.bitwise_xor.reduce(anchor.mix(s + np.uint64(7)))] if len(s) else [0, 0] for s in sets],
                               np.uint64).reshape(-1, 2).view(np.int64)
@@ -101,28 +123,28 @@ def sketches(packed: DataFrame) -> DataFrame:
 
 
 def full_sets(packed: DataFrame, ids: DataFrame) -> DataFrame:
-    """id, shingles (the packed full set) of the documents in ``ids``."""
+    """id, shingles (the packed full set) and bits (the long signature) of the documents in ``ids``."""
     ship(packed.sparkSession)
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opener = zstandard.ZstdDecompressor()
-        for batch in batches:
-            for start in range(0, len(batch), 1024):
-                part = batch.slice(start, 1024)
-                bodies = [shingles(opener.decompress(b.as_py())).tobytes() for b in part["packed"]]
-                yield pa.RecordBatch.from_pydict({"id": part["id"], "shingles": pa.array(bodies, pa.binary())})
+        for part in (whole.slice(start, ROWS) for whole in batches for start in range(0, len(whole), ROWS)):
+            found = [shingles(opener.decompress(b.as_py())) for b in part["packed"]]
+            yield pa.RecordBatch.from_pydict({
+                "id": part["id"], "shingles": pa.array([x.tobytes() for x in found], pa.binary()),
+                "bits": pa.array([long_signature(x) for x in found], pa.list_(pa.int64()))})
 
     id_type = packed.schema["id"].dataType.simpleString()
-    return packed.join(ids, "id", "left_semi").mapInArrow(sets, f"id {id_type}, shingles binary")
+    return packed.join(ids, "id", "left_semi").mapInArrow(sets, f"id {id_type}, shingles binary, bits array<long>")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets have 100 * common >= percent * united."""
+    """Those of the pairs (a, b) whose sets have 100 * common >= percent * united."""
     ship(pairs.sparkSession)
     id_type = pairs.schema["a"].dataType.simpleString()
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, len(whole), ROWS)):
             same = []
             for left, right in zip(batch["left"], batch["right"], strict=True):
                 x, y = np.frombuffer(left.as_py(), np.uint64), np.frombuffer(right.as_py(), np.uint64)
@@ -143,26 +165,34 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
     by_key = Window.partitionBy("key")
     # Documents that share a key; sizes too different for the threshold are told apart by the size itself.
     members = stage(
-        classes.select("rep", "n", F.explode("keys").alias("key"))
+        classes.select("rep", "n", F.posexplode("keys").alias("place", "key"))
         .withColumn("shared", F.count("*").over(by_key)).filter("shared > 1")
         .withColumn("leader", F.first("rep").over(by_key.orderBy("rep")))
         .withColumn("neighbour", F.lag("rep").over(by_key.orderBy("rep")))
-        .select("key", "rep", "n", "leader", "neighbour"), "members")
+        .select("key", "place", "rep", "n", "leader", "neighbour"), "members")
     sets = stage(full_sets(pack(rows), members.select(F.col("rep").alias("id")).distinct()), "sets")
     first_pairs = stage(
         members.select(F.explode(F.array_distinct(F.array("leader", "neighbour"))).alias("a"), F.col("rep").alias("b"))
         .filter("a IS NOT NULL AND a != b").distinct(), "pairs")
     first_links = stage(confirm(first_pairs, sets, percent), "links")
-    joined = stage(
-        members.select("key", "rep", "n").join(components(first_links).withColumnRenamed("node", "rep"), "rep", "left")
-        .select("key", "rep", "n", F.coalesce("component", "rep").alias("component"))
+    # Keys whose documents are not all in one component, with what tells two documents apart.
+    apart = (
+        members.select("key", "place", "rep", "n").join(components(first_links).withColumnRenamed("node", "rep"), "rep", "left")
+        .withColumn("component", F.coalesce("component", "rep"))
         .withColumn("low", F.min("component").over(by_key)).withColumn("high", F.max("component").over(by_key))
-        .filter("low != high").select("key", "rep", "n", "component"), "apart")
-    left, right = (joined.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("rep", "n", "component")]) for side in ("left", "right"))
+        .filter("low != high").select("key", "place", "rep", "n", "component")
+    )
+    joined = stage(apart.join(classes.select("rep", "keys"), "rep").join(
+        sets.select(F.col("id").alias("rep"), "bits"), "rep"), "apart")
+    left, right = (joined.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("place", "rep", "n", "component", "keys", "bits")])
+                   for side in ("left", "right"))
+    differing = " + ".join(f"bit_count(left_bits[{i}] ^ right_bits[{i}])" for i in range(LONG // 64))
     second_pairs = (
         left.join(right, "key")
         .filter((F.col("left_rep") < F.col("right_rep")) & (F.col("left_component") != F.col("right_component"))
-                & (F.least("left_n", "right_n") * 100 >= F.greatest("left_n", "right_n") * percent))
+                & (F.least("left_n", "right_n") * 100 >= F.greatest("left_n", "right_n") * percent)
+                & F.expr(f"{differing} <= {most_apart(percent)}")
+                & F.expr("NOT exists(zip_with(slice(left_keys, 1, left_place), slice(right_keys, 1, left_place), (x, y) -> x = y), z -> z)"))
         .select(F.col("left_rep").alias("a"), F.col("right_rep").alias("b")).distinct()
         .join(first_pairs, ["a", "b"], "left_anti")
     )
