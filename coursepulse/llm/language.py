@@ -29,7 +29,7 @@ RESULT = "lang_pred string, score double, margin double, rejected boolean"
 
 
 class Model(NamedTuple):
-    """``dictionaries``: raw content by language; ``narrow``: the least lead, in compressed bytes per byte of text."""
+    """``dictionaries``: raw content by language; ``narrow``: the least lead over the second, as a share of the smallest size."""
 
     dictionaries: dict[str, bytes]
     narrow: float
@@ -41,7 +41,7 @@ def letters(text: Column) -> Column:
 
 
 def fit(docs: DataFrame, label: str = "lang", text: str = "text", id_col: str = "doc_id", sample_docs: int = 400,
-        sample_chars: int = 4000, dictionary_bytes: int = 8192, narrow: float = 0.002) -> Model:
+        sample_chars: int = 4000, dictionary_bytes: int = 8192, narrow: float = 0.004) -> Model:
     """Dictionaries from at most ``sample_docs`` labelled documents of each language.
 
     The sample is the documents of the language with the smallest hashes of their ids, and of each at most
@@ -91,13 +91,13 @@ def _compressors(model: Model) -> dict[str, zstandard.ZstdCompressor]:
 
 def judge(raw: bytes, compressors: dict[str, zstandard.ZstdCompressor], narrow: float) -> tuple:
     """(language, score, margin, rejected) of normalised text. The score is the winner's share of a softmax of the
-    sizes; the margin is its lead over the second, in bytes per byte of text."""
+    sizes; the margin is its lead over the second, as a share of its size."""
     if not raw or not compressors:
         return UNDETERMINED, 0.0, 0.0, True
     sizes = sorted((len(c.compress(raw)), lang) for lang, c in compressors.items())
     best = sizes[0][0]
     score = 1.0 / sum(math.exp(max(-700.0, 0.5 * (best - s))) for s, _ in sizes)
-    lead = (sizes[1][0] - best) / len(raw) if len(sizes) > 1 else 1.0
+    lead = (sizes[1][0] - best) / best if len(sizes) > 1 else 1.0
     return sizes[0][1], score, lead, lead <= 0 or lead < narrow
 
 
