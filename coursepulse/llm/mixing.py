@@ -67,7 +67,7 @@ def schedule(sources: DataFrame, slots: int) -> DataFrame:
     stake = F.when(F.col("target") > 0, F.greatest(F.col("target"), F.sum("target").over(everything) * (LEAST_SLOTS / slots)))
     stretches = (
         sources.withColumn("stake", F.coalesce(stake, F.lit(0.0)))
-        .withColumn("high", F.sum("stake").over(running) / F.sum("stake").over(everything))
+        .withColumn("high", F.try_divide(F.sum("stake").over(running), F.sum("stake").over(everything)))
         .withColumn("low", F.coalesce(F.lag("high").over(running), F.lit(0.0)))
         .filter("stake > 0")
         .withColumn("high", F.when(F.lead("source_no").over(running).isNull(), F.lit(1.0)).otherwise(F.col("high")))
@@ -99,7 +99,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str
     blocks = ranked.groupBy("source_no").agg(F.count("*").alias("slots"))
     # So many blocks that slots times block size comes to the target, and no block is taken more than `most` times.
     sources = stage(sources.join(blocks, "source_no", "left").withColumn(
-        "blocks", F.ceil(F.col("slots") * F.col("source_size") / F.col("target"))), "sources")
+        "blocks", F.ceil(F.try_divide(F.col("slots") * F.col("source_size"), F.col("target")))), "sources")
     planned = stage(
         ranked.join(sources.select("source_no", "blocks"), "source_no")
         .select("slot", "source_no", "rank", F.expr("rank div blocks").alias("epoch"), (F.col("rank") % F.col("blocks")).alias("block")),
