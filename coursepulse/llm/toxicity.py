@@ -46,7 +46,7 @@ WORD = re.compile(r"[^\W\d_]+(?:'[^\W\d_]+)?")
 CLAUSE_END = re.compile(r"[.!?;:|\n\r…]+")
 EVENT = ("insult", "insult aimed", "insult negated", "insult reported", "threat", "threat aimed", "threat negated", "threat reported")
 #: The grammar's own weights: a base value, then one for each event.
-PRIOR = np.array([-3.0, 3.0, 1.0, -2.0, -1.0, 3.0, 1.0, -2.0, -1.0])
+PRIOR = np.array([-3.0, 4.5, 1.0, -2.0, -1.0, 4.5, 1.0, -2.0, -1.0])
 NEGATION_REACH = 3
 
 
