@@ -1,6 +1,7 @@
 """Licence scan: a trained paragraph classifier, in DataFrame and Spark ML operations only.
 
-A paragraph is a line of a text. Its features are the words and pairs of words that hold a licence word (``CUES``). A
+A paragraph is a line of a text. Its features are the words, and the runs of two and three words, that hold a licence
+word (``CUES``). A
 sparse multinomial logistic regression over these n-grams, trained on the notices below, gives a probability for each
 licence family and for "unknown". The unknown class is calibrated: notices with words taken out are set aside from the
 training, and the least probability of the right family among them (at a documented quantile) is the level below
@@ -106,7 +107,7 @@ NOTICES: dict[str, tuple[str, ...]] = {
     ),
 }
 
-# The words that make a word or pair of words a feature.
+# The words that make a run of words a feature.
 CUES = ("license", "licensed", "licenses", "licence", "licenced", "apache", "identifier", "bsd", "gnu", "gpl", "lgpl", "mozilla", "mpl", "cc",
         "cc0", "commons", "creative", "copyright", "copyrighted", "rights", "reserved", "permission", "granted", "redistribution",
         "redistribute", "unencumbered", "domain", "proprietary", "confidential", "prohibited", "spdx", "sharealike", "noncommercial",
@@ -128,16 +129,19 @@ def tokens(line: Column) -> Column:
     return F.regexp_extract_all(F.lower(line), F.lit(r"(\d+(?:\.\d+)*|[\p{L}]+\d*)"))
 
 
-def _pairs(words: Column) -> Column:
-    return F.when(F.size(words) > 1, F.zip_with(F.slice(words, 1, F.size(words) - 1), F.slice(words, 2, F.size(words) - 1),
-                                                lambda a, b: F.concat_ws(" ", a, b))).otherwise(F.array().cast("array<string>"))
+def _grams(words: Column, n: int) -> Column:
+    """All runs of ``n`` words, as texts."""
+    return F.when(F.size(words) >= n, F.transform(
+        F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.concat_ws(" ", F.slice(words, i, F.lit(n))))).otherwise(
+            F.array().cast("array<string>"))
 
 
 def ngrams(words: Column) -> Column:
-    """The words and pairs of words that hold a cue, or stand beside one."""
+    """The runs of one, two and three words that hold a cue."""
     cues = F.array(*map(F.lit, CUES))
-    near = F.filter(_pairs(words), lambda pair: F.arrays_overlap(F.split(pair, " "), cues))
-    return F.concat(F.filter(words, lambda w: F.array_contains(cues, w)), near)
+    longer = F.concat(_grams(words, 2), _grams(words, 3))
+    return F.concat(F.filter(words, lambda w: F.array_contains(cues, w)),
+                    F.filter(longer, lambda gram: F.arrays_overlap(F.split(gram, " "), cues)))
 
 
 def notices(spark: SparkSession) -> DataFrame:
@@ -181,10 +185,10 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
 
 def _confirmation(words: Column, number: Column) -> Column:
     """The largest share of a notice's word pairs that stands among ``words``, over the notices of class ``number``."""
-    given = F.array(*[F.struct(F.lit(i).alias("number"), _pairs(tokens(F.lit(line))).alias("pairs"))
+    given = F.array(*[F.struct(F.lit(i).alias("number"), _grams(tokens(F.lit(line)), 2).alias("pairs"))
                       for i, family in enumerate(NOTICES) for line in NOTICES[family] if family != UNKNOWN])
     own = F.filter(given, lambda notice: notice["number"] == number)
-    return F.array_max(F.transform(own, lambda notice: F.size(F.array_intersect(notice["pairs"], _pairs(words))) / F.size(notice["pairs"])))
+    return F.array_max(F.transform(own, lambda notice: F.size(F.array_intersect(notice["pairs"], _grams(words, 2))) / F.size(notice["pairs"])))
 
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
