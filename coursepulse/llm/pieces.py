@@ -24,16 +24,17 @@ from math import inf
 
 import ahocorasick
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 import sentencepiece
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from .shared import ship
 
 MARK = "▁"
-CACHED_WORDS = 100_000
+CACHED_WORDS = 200_000
 CACHED_CHARS = 64
+ROWS = 256
 CACHED_PAIRS = 300_000
 
 
@@ -50,11 +51,15 @@ class Decoder:
         self.byte_of = {i: b for b, i in self.bytes.items()}
         self.unknown = read.unk_id()
         self.silent = {i for i in ids if read.is_control(i)}
+        # What an id stands for by itself; a byte that is part of a longer character stands for nothing alone.
+        self.plain = ["" if i in self.silent else p for i, p in enumerate(self.pieces)]
+        for b, i in self.bytes.items():
+            self.plain[i] = chr(b) if b < 0x80 else None
 
     def decode(self, ids) -> str:
-        if self.byte_of.keys().isdisjoint(ids):
-            text = "".join([self.pieces[i] for i in ids if i not in self.silent])
-        else:
+        try:
+            text = "".join(map(self.plain.__getitem__, ids))
+        except TypeError:  # characters of several bytes
             parts, raw = [], bytearray()
             for i in ids:
                 if i in self.byte_of:
@@ -63,8 +68,7 @@ class Decoder:
                 if raw:
                     parts.append(raw.decode("utf-8", "replace"))
                     raw.clear()
-                if i not in self.silent:
-                    parts.append(self.pieces[i])
+                parts.append(self.plain[i])
             parts.append(raw.decode("utf-8", "replace"))
             text = "".join(parts)
         return text.replace(MARK, " ").removeprefix(" ")
@@ -163,18 +167,17 @@ class Encoder(Decoder):
         ids = array("i")
         if not text:
             return ids
-        marked = MARK + text.replace(" ", MARK)
         words, older = self.words, self.older
         found = []
-        for word in self.cut.findall(marked):
-            if (piece_ids := words.get(word)) is None:
-                if (piece_ids := older.get(word)) is None:
-                    piece_ids = self._word(word)
+        for word in self.cut.findall(MARK + text.replace(" ", MARK)):
+            if (word_ids := words.get(word)) is None:
+                if (word_ids := older.get(word)) is None:
+                    word_ids = self._word(word)
                 if len(word) <= CACHED_CHARS:
                     if len(words) >= CACHED_WORDS:
                         self.words, self.older = words, older = {}, words
-                    words[word] = piece_ids
-            found.append(piece_ids)
+                    words[word] = word_ids
+            found.append(word_ids)
         ids.frombytes(b"".join(found))
         return ids
 
@@ -197,32 +200,38 @@ def _once(kind: type, model: bytes) -> Decoder:
     return _made[key]
 
 
-def _shared(spark: SparkSession, model: bytes):
-    ship(spark)
-    return spark.sparkContext.broadcast(model)
-
-
-def encode(docs: DataFrame, model: bytes, text: str = "text", out: str = "pieces") -> DataFrame:
-    """``docs`` with ``out``, the piece ids of ``text`` in order."""
-    sent = _shared(docs.sparkSession, model)
+def encode(docs: DataFrame, model: bytes, text: str = "text", out: str = "pieces", round_trip: str | None = None) -> DataFrame:
+    """``docs`` with ``out``, the piece ids of ``text`` in order, and, if it has a name, ``round_trip``: whether decoding
+    them gives the text again. A task holds ``ROWS`` documents at a time besides the batch it reads."""
+    ship(docs.sparkSession)
+    sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("array<int>")
-    def to_ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def to_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _once(Encoder, sent.value)
-        for batch in batches:
-            yield pd.Series([np.frombuffer(encoder.encode(t), np.int32) for t in batch], dtype=object)
+        for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, len(whole), ROWS)):
+            texts = batch[text].to_pylist()
+            ids = [encoder.encode(t) for t in texts]
+            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
+            flat = np.frombuffer(b"".join(i.tobytes() for i in ids), np.int32)
+            columns[out] = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+            if round_trip:
+                columns[round_trip] = pa.array([encoder.decode(i) == (t or "") for i, t in zip(ids, texts, strict=True)])
+            yield pa.RecordBatch.from_pydict(columns)
 
-    return docs.withColumn(out, to_ids(F.col(text)))
+    added = [T.StructField(out, T.ArrayType(T.IntegerType())), *([T.StructField(round_trip, T.BooleanType())] if round_trip else [])]
+    return docs.mapInArrow(to_ids, T.StructType([*docs.schema.fields, *added]))
 
 
 def decode(rows: DataFrame, model: bytes, pieces: str = "pieces", out: str = "decoded") -> DataFrame:
     """``rows`` with ``out``, the text of the ids in ``pieces``; null ids give the empty text."""
-    sent = _shared(rows.sparkSession, model)
+    ship(rows.sparkSession)
+    sent = rows.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("string")
-    def to_text(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def to_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _once(Decoder, sent.value)
-        for batch in batches:
-            yield pd.Series([decoder.decode([] if ids is None else ids.tolist()) for ids in batch], dtype=object)
+        for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, len(whole), ROWS)):
+            texts = [decoder.decode(ids or []) for ids in batch[pieces].to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, out])
 
-    return rows.withColumn(out, to_text(F.col(pieces)))
+    return rows.mapInArrow(to_text, T.StructType([*rows.schema.fields, T.StructField(out, T.StringType())]))
