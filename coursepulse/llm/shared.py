@@ -1,30 +1,21 @@
-"""What the operators of this folder have in common: the shared folder, staged tables, byte-wise words."""
+"""What the operators of this folder have in common: staged tables, the package in the tasks, words by ASCII code."""
 
 from __future__ import annotations
 
-import atexit
-import shutil
 import tempfile
-import uuid
 import zipfile
-from functools import cache
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.scratch import scratch_folder
+
 #: Words and the white space between them, by ASCII code.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
-@cache
-def _own_folder() -> str:
-    folder = tempfile.mkdtemp(prefix="llm-shared-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return f"file://{folder}"
-
-
 _shipped: set[str] = set()
 
 
@@ -40,24 +31,9 @@ def ship(spark: SparkSession) -> None:
         _shipped.add(spark.sparkContext.applicationId)
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new folder for ``name`` below ``spark.checkpoint.dir``.
-
-    Where the setting is absent a one-machine session (``local``, ``local[n]``) gets a folder of its own;
-    any other session is refused, as its executors would not see each other's files.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = _own_folder()
-    return f"{base.rstrip('/')}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex[:12]}"
-
-
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: it is computed once, and a lost executor costs nothing."""
-    path = shared_folder(df.sparkSession, name)
+    path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -71,11 +47,6 @@ def forget(*tables: DataFrame) -> None:
             path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def words(text: Column) -> Column:
-    """The words of ``text`` in order; none for null."""
-    return F.filter(F.split(F.coalesce(text, F.lit("")), SPACE), lambda word: word != "")
-
-
 def remainder(id_column: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null for a null id."""
     return F.crc32(id_column.cast("string").cast("binary")) % parts

@@ -59,11 +59,3 @@ def test_one_query_per_document(spark):
     for name in ("op3_language", "op5_pieces", "op6_toxicity", "op8_suffixes"):
         rows = queries.QUERIES[name](spark, SMALL)
         assert rows.count() == docs.count() and rows.select("doc_id").distinct().count() == docs.count()
-
-
-def test_the_shared_folder_is_the_cluster_s(spark):
-    spark.conf.set("spark.checkpoint.dir", "file:///tmp/some-shared")
-    try:
-        assert shared.shared_folder(spark, "x").startswith("file:///tmp/some-shared/")
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
