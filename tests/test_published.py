@@ -1,4 +1,5 @@
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from coursepulse.plans.update import apply_items, publish_items
 from coursepulse.sources import readers, writers
 from coursepulse.sources.published import CommitConflict, PublishedTables
 from coursepulse.sources.schemas import ITEMS, TABLES
+from coursepulse.sources.scratch import scratch_folder
 from coursepulse.streaming.items import stream_items
 
 from .conftest import values
@@ -164,3 +166,16 @@ def test_old_files_read_with_the_new_columns(spark, tmp_path):
     ).write.parquet(f"{tmp_path}/lectures")
     row = readers.read_table(spark, str(tmp_path), "lectures").first()
     assert (row.lecture_time, row.chapter_number, row.completed_at) == (2.0, None, None)
+
+
+def test_scratch_folders_are_where_the_cluster_says():
+    class Session:
+        def __init__(self, folder, master):
+            self.conf = {"spark.checkpoint.dir": folder} if folder else {}
+            self.sparkContext = SimpleNamespace(master=master, applicationId="app-1")
+
+    assert scratch_folder(Session("hdfs://x/shared/", "yarn"), "t").startswith("hdfs://x/shared/app-1/t-")
+    assert scratch_folder(Session(None, "local[2]"), "t").startswith("file:///")
+    for master in ("yarn", "local-cluster[2,1,1024]", "spark://x:7077"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_folder(Session(None, master), "t")
