@@ -4,7 +4,8 @@ A sequence (the words or the bytes of a text) is looked at in windows of ``windo
 its least stretch of ``block`` units by hash; equal windows have equal anchors. The steps:
 
 1. ``anchors``: all anchors of all documents, sorted by the hash of their stretch. Those that are unique drop out. Of
-   the others, those that agree in everything that any of their windows can hold (their hull) are settled at once.
+   the others, those that agree in everything that any of their windows can hold (their hull) are settled at once,
+   those that a task finds itself before anything is shuffled.
 2. ``surroundings``: what is around the anchors that are left, taken from the texts.
 3. ``extend``: anchors of one hash meet in one task, in order, and the windows around them are compared. A group of
    more than ``GROUP_ROWS`` anchors goes through in pieces, whose different windows meet again in an aggregation.
@@ -22,6 +23,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -91,7 +93,7 @@ def anchors(docs: DataFrame, rule: Rule) -> DataFrame:
     """hash, id, at, settled, open: the anchors that others share. Settled ones have only repeated windows; the open ones
     (and among them a settled one that stands for its copies) go on."""
     ship(docs.sparkSession)
-    kinds = {"hash": np.int64, "hull": np.int64, "at": np.int32, "whole": np.bool_}
+    kinds = {"hash": np.int64, "hull": np.int64, "at": np.int32, "whole": np.bool_, "done": np.bool_, "twice": np.bool_}
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,24 +118,42 @@ def anchors(docs: DataFrame, rule: Rule) -> DataFrame:
             if held:
                 yield _anchor_rows(found, batch["id"], kinds)
 
-    every = _bytes(docs).mapInArrow(find, f"id {docs.schema['id'].dataType.simpleString()}, hash long, hull long, at int, whole boolean")
+    every = _bytes(docs).mapInArrow(find, f"id {docs.schema['id'].dataType.simpleString()}, hash long, hull long, at int, "
+                                          "whole boolean, done boolean, twice boolean")
     same_hash = Window.partitionBy("hash")
-    same_hull = Window.partitionBy("hash", "hull", "whole")
+    same_hull = Window.partitionBy("hash", "hull", "whole", "done")
     ranked = (
-        every.withColumn("shared", F.count("*").over(same_hash)).filter("shared > 1")
+        every.withColumn("shared", F.count("*").over(same_hash)).filter("shared > 1 OR done OR twice")
         .withColumn("place", F.row_number().over(same_hull.orderBy("id", "at")))
         .withColumn("copies", F.count("*").over(same_hull))
-        .withColumn("gone", F.col("whole") & (F.col("place") > 1))
+        .withColumn("gone", F.col("done") | (F.col("whole") & (F.col("place") > 1)))
         .withColumn("others", F.count_if(~F.col("gone")).over(same_hash))
-        .withColumn("settled", F.col("gone") if rule.first_stays else F.col("whole") & (F.col("copies") > 1))
+        .withColumn("settled", F.col("gone") if rule.first_stays else F.col("gone") | F.col("twice") | (F.col("whole") & (F.col("copies") > 1)))
         .withColumn("open", ~F.col("gone") & (F.col("others") > 1))
     )
     return ranked.filter("settled OR open").select("hash", "id", "at", "settled", "open")
 
 
 def _anchor_rows(found: dict[str, list[np.ndarray]], ids: pa.Array, kinds: dict) -> pa.RecordBatch:
-    columns = {"id": ids.take(pa.array(np.concatenate(found["row"])))}
-    return pa.RecordBatch.from_pydict(columns | {k: pa.array(np.concatenate(found[k]).astype(kind)) for k, kind in kinds.items()})
+    """The anchors found so far. Of those with equal hulls all but the first are done here: they are repeated whatever
+    else there is. They no longer stand for their hash, and are dealt out by a number of their own instead, so that a
+    passage that fills a third of all texts goes to its hash's task once for each batch."""
+    row = np.concatenate(found["row"])
+    columns = {k: np.concatenate(found[k]) for k in ("hash", "hull", "at", "whole")}
+    rank = np.empty(len(ids), np.int64)
+    rank[pc.sort_indices(ids).to_numpy()] = np.arange(len(ids))
+    order = np.lexsort((columns["at"], rank[row]))
+    key = anchor.mix(columns["hash"].view(np.uint64) ^ anchor.mix(columns["hull"].view(np.uint64)))
+    alone = ~columns["whole"]
+    key[alone] = anchor.mix(key[alone] + anchor.mix(np.flatnonzero(alone).astype(np.uint64)))  # no hull: equal to none
+    _, first, group, copies = np.unique(key[order], return_index=True, return_inverse=True, return_counts=True)
+    leads = np.zeros(len(order), bool)
+    leads[order[first]] = True
+    often = np.empty(len(order), np.int64)
+    often[order] = copies[group]
+    columns["done"], columns["twice"] = ~leads, leads & (often > 1)
+    columns["hash"][~leads] = anchor.mix(key[~leads] + anchor.mix(np.flatnonzero(~leads).astype(np.uint64))).view(np.int64)
+    return pa.RecordBatch.from_pydict({"id": ids.take(pa.array(row))} | {k: pa.array(columns[k].astype(kind)) for k, kind in kinds.items()})
 
 
 def surroundings(packed: DataFrame, opened: DataFrame, rule: Rule) -> DataFrame:
