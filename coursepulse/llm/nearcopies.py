@@ -8,7 +8,7 @@ Most pairs beyond ``REACH`` share one too: a pair of similarity 0.85 shares none
 with 1e-7. Pairs that share a key are confirmed on their full sets; the signature alone links nothing.
 
 Hot groups: documents of equal sets are one class, found by an aggregation. The documents of a key are first compared
-with the smallest of them and with their neighbour only. What hangs together then needs no more links; in a second round
+with the smallest of them and with the smallest of their part of the key only. What hangs together then needs no more links; in a second round
 pairs of different components that share a key are compared, so a group of very many copies of one another is never
 expanded into its pairs. That round makes a pair once, at the first key that the two share, and only if a signature of
 ``LONG`` bits leaves the threshold possible: a pair at the threshold is further apart with a probability below 1e-6.
@@ -28,7 +28,6 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import anchors as anchor
 from .links import components
@@ -43,6 +42,7 @@ SYMBOLS = CHUNK * (EXACT + ERRING)
 REACH = EXACT + 2 * ERRING - 1
 LONG = 2048  # one-bit minima that tell pairs apart before their sets are compared
 ROWS = 256  # documents that a task holds at a time
+PARTS = 16  # parts of a key's documents, each with a second document to compare with
 _SEEDS = anchor.mix(np.arange(1, 2 * (SYMBOLS + LONG) + 1, dtype=np.uint64))
 _FACTORS, _SHIFTS = _SEEDS[::2] | np.uint64(1), _SEEDS[1::2]
 
@@ -162,26 +162,23 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
     rows = one_per_id(docs, id_col, text)
     sketched = stage(sketches(rows), "sketches")
     classes = stage(sketched.filter("n > 0").groupBy("one", "two", "n").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")), "classes")
-    by_key = Window.partitionBy("key")
-    # Documents that share a key; sizes too different for the threshold are told apart by the size itself.
-    members = stage(
-        classes.select("rep", "n", F.posexplode("keys").alias("place", "key"))
-        .withColumn("shared", F.count("*").over(by_key)).filter("shared > 1")
-        .withColumn("leader", F.first("rep").over(by_key.orderBy("rep")))
-        .withColumn("neighbour", F.lag("rep").over(by_key.orderBy("rep")))
-        .select("key", "place", "rep", "n", "leader", "neighbour"), "members")
+    # Documents that share a key, found by counts that combine before they are shuffled.
+    keyed = classes.select("rep", "n", F.posexplode("keys").alias("place", "key"))
+    shared = keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("documents")).filter("documents > 1")
+    members = stage(keyed.join(shared.select("key", "leader"), "key").withColumn("part", F.pmod(F.xxhash64("rep"), F.lit(PARTS))), "members")
+    seconds = members.groupBy("key", "part").agg(F.min("rep").alias("second"))
     sets = stage(full_sets(pack(rows), members.select(F.col("rep").alias("id")).distinct()), "sets")
     first_pairs = stage(
-        members.select(F.explode(F.array_distinct(F.array("leader", "neighbour"))).alias("a"), F.col("rep").alias("b"))
-        .filter("a IS NOT NULL AND a != b").distinct(), "pairs")
+        members.join(seconds, ["key", "part"])
+        .select(F.explode(F.array_distinct(F.array("leader", "second"))).alias("a"), F.col("rep").alias("b"))
+        .filter("a != b").distinct(), "pairs")
     first_links = stage(confirm(first_pairs, sets, percent), "links")
     # Keys whose documents are not all in one component, with what tells two documents apart.
-    apart = (
+    labelled = stage(
         members.select("key", "place", "rep", "n").join(components(first_links).withColumnRenamed("node", "rep"), "rep", "left")
-        .withColumn("component", F.coalesce("component", "rep"))
-        .withColumn("low", F.min("component").over(by_key)).withColumn("high", F.max("component").over(by_key))
-        .filter("low != high").select("key", "place", "rep", "n", "component")
-    )
+        .withColumn("component", F.coalesce("component", "rep")), "labelled")
+    mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
+    apart = labelled.join(mixed.select("key"), "key")
     joined = stage(apart.join(classes.select("rep", "keys"), "rep").join(
         sets.select(F.col("id").alias("rep"), "bits"), "rep"), "apart")
     left, right = (joined.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("place", "rep", "n", "component", "keys", "bits")])
