@@ -94,14 +94,12 @@ def _stream_items(spark: SparkSession, folder: str) -> DataFrame:
     v = Views(spark, folder)
     scratch = scratch_folder(spark, "stream")
     tables = PublishedTables(spark, f"{scratch}/tables")
-    state, empty = _stored(v), tables.newest()
-    tables.publish({
-        name: (rows, [] if name == "crawl_logs" else tables.touched(name, rows, empty)) for name, rows in state.items()
-    }, empty)
+    tables.publish({name: (rows, []) for name, rows in _stored(v).items()})  # no parts to replace yet
     # Lecture records in the order of their numbers, course records (one a course) dealt out. The stream takes the
     # files in the order in which they were written.
-    records = _batch(v)
-    low, high = v.batch_items().agg(F.min("seq"), F.max("seq")).first()
+    _batch(v).write.parquet(f"{scratch}/records")
+    records = spark.read.schema(ITEMS).parquet(f"{scratch}/records")
+    low, high = records.filter("item_type = 'lecture'").agg(F.min("seq"), F.max("seq")).first()
     in_order = F.floor((F.col("seq") - low) * STREAM_PARTS / (high - low + 1))
     part = F.when(F.col("item_type") == "course", F.col("seq") % STREAM_PARTS).otherwise(in_order)
     for number in range(STREAM_PARTS):
