@@ -1,21 +1,26 @@
 """Licence scan: a trained paragraph classifier, in DataFrame and Spark ML operations only.
 
-A paragraph is a line of a text. Its features are the words, and the runs of two and three words, that hold a licence
+A paragraph ends at a line without letters and digits, so comment marks do not join paragraphs. Notices are wrapped anywhere:
+every line of a paragraph is judged, and every run of neighbouring lines, joined by spaces, whose inner lines hold no more
+words than the longest notice. A run's features are the words, and the runs of two and three words, that hold a licence
 word (``CUES``). A
 sparse multinomial logistic regression over these n-grams, trained on the notices below, gives a probability for each
 licence family and for "unknown". The unknown class is calibrated: notices with words taken out are set aside from the
 training, and the least probability of the right family among them (at a documented quantile) is the level below
 which a paragraph is unknown. A prediction is confirmed by comparing the paragraph with the family's notices: enough
-of some notice's word pairs must stand in it. A paragraph without a licence word has no feature at all and
+of some notice's word pairs must stand in it. Of runs that share a line the best confirmed one counts, if they are of one
+family or are confirmed by the same word pairs; so a notice counts once. The classifier gives a
+run one family: of two notices of different families on one line one is found. A run without a licence word has no feature at all and
 is unknown by construction, so it is left out before anything is computed for it.
 
 Defined cases: null and empty texts have no paragraph; several notices in a document give several findings, repeated
-lines are one finding with their number; an empty table gives an empty result; a null id is kept as it is; extra
+notices of the same wording and wrapping are one finding with their number; an empty table gives an empty result; a null id is kept as it is; extra
 columns are ignored by ``scan``. Long texts are read whole.
 """
 
 from __future__ import annotations
 
+import re
 from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
@@ -61,6 +66,7 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "Licensed under the GNU Lesser General Public License, version 2.1.",
         "SPDX-License-Identifier: LGPL-2.1-only",
         "This library is free software under the terms of the GNU Lesser General Public License",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -113,6 +119,8 @@ CUES = ("license", "licensed", "licenses", "licence", "licenced", "apache", "ide
         "redistribute", "unencumbered", "domain", "proprietary", "confidential", "prohibited", "spdx", "sharealike", "noncommercial",
         "attribution", "waived")
 
+BLOCK = 256  # lines whose confirmed runs are compared with each other
+
 
 class Model(NamedTuple):
     """``classifier``: n-grams to probabilities; ``families``: names by class number; ``least``: the calibrated level;
@@ -172,23 +180,66 @@ def fit(spark: SparkSession, quantile: float = 0.02, overlap: float = 0.6, vocab
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """id, line, n: the different lines of each document that hold a cue, and how often each stands there."""
+    """row, id, paragraph, start, end, line: the runs of neighbouring lines that hold a cue. ``row`` tells rows of one id apart."""
     cue = rf"\b({'|'.join(CUES)})\b"
+    longest = max(len(re.findall(r"\w+", line)) for lines in NOTICES.values() for line in lines)
     # One look at the whole text first: most documents hold no cue.
-    some = docs.select(F.col(id_col).alias("id"), F.col(text).alias("body")).filter(F.lower("body").rlike(cue))
-    lines = some.select("id", F.filter(F.split("body", r"[\r\n]+"), lambda line: F.lower(line).rlike(cue)).alias("lines"))
-    return (
-        lines.withColumn("line", F.explode(F.array_distinct("lines")))
-        .select("id", "line", F.size(F.filter("lines", lambda other: other == F.col("line"))).alias("n"))
-    )
+    some = docs.select(F.col(id_col).alias("id"), F.col(text).alias("body")).filter(F.lower("body").rlike(cue)).select(
+        F.monotonically_increasing_id().alias("row"), "id", F.regexp_replace("body", r"\r\n?", "\n").alias("body"))
+    # A line without letters and digits becomes an empty one.
+    parts = F.split(F.regexp_replace("body", r"\n[^\p{L}\d\n]*+(?=\n)", "\n"), r"\n{2,}")
+
+    def lined(part: Column) -> Column:
+        lines = F.split(part, r"\n")
+        return F.struct(lines.alias("lines"), F.transform(lines, lambda x: F.size(tokens(x))).alias("sizes"),
+                        F.transform(lines, lambda x: F.lower(x).rlike(cue)).alias("cued"))
+
+    read = some.select("row", "id", F.posexplode(F.transform(F.filter(parts, lambda x: F.lower(x).rlike(cue)), lined)).alias("paragraph", "part"))
+    lines, sizes, cued = (F.col(f"part.{c}") for c in ("lines", "sizes", "cued"))
+
+    def runs(start: Column) -> Column:
+        more = F.aggregate(
+            F.slice(sizes, start + 1, F.lit(longest + 1)), F.struct(F.lit(0).alias("inner"), F.lit(0).alias("lines")),
+            lambda s, n: F.when(s["inner"] <= longest, F.struct((s["inner"] + n).alias("inner"), (s["lines"] + 1).alias("lines"))).otherwise(s),
+            lambda s: s["lines"])
+        ends = F.filter(F.transform(F.sequence(F.lit(0), more), lambda k: start + k),
+                        lambda end: F.exists(F.slice(cued, start, end - start + 1), lambda c: c))
+        return F.transform(ends, lambda end: F.struct(
+            start.alias("start"), end.alias("end"), F.array_join(F.slice(lines, start, end - start + 1), " ").alias("line")))
+
+    return read.select("row", "id", "paragraph", F.explode(F.transform(F.sequence(F.lit(1), F.size(lines)), runs)).alias("runs")).select(
+        "row", "id", "paragraph", F.inline("runs"))
 
 
 def _confirmation(words: Column, number: Column) -> Column:
-    """The largest share of a notice's word pairs that stands among ``words``, over the notices of class ``number``."""
+    """The largest share of a notice's word pairs that stands among ``words``, over the notices of class ``number``, and those pairs."""
     given = F.array(*[F.struct(F.lit(i).alias("number"), _grams(tokens(F.lit(line)), 2).alias("pairs"))
                       for i, family in enumerate(NOTICES) for line in NOTICES[family] if family != UNKNOWN])
     own = F.filter(given, lambda notice: notice["number"] == number)
-    return F.array_max(F.transform(own, lambda notice: F.size(F.array_intersect(notice["pairs"], _grams(words, 2))) / F.size(notice["pairs"])))
+
+    def share(notice: Column) -> Column:
+        common = F.array_intersect(notice["pairs"], _grams(words, 2))
+        return F.struct((F.size(common) / F.size(notice["pairs"])).alias("overlap"), common.alias("pairs"))
+
+    return F.array_max(F.transform(own, share))
+
+
+def _best(found: DataFrame, shift: int) -> DataFrame:
+    """Without runs that share a line with a better one of their family, or with a better one confirmed by the same pairs.
+    Lines are taken ``BLOCK`` at a time."""
+    columns = ["start", "end", "family", "probability", "overlap", "pairs", "line"]
+    ranked = F.sort_array(F.collect_list(F.struct(
+        (-F.col("overlap")).alias("r1"), (F.col("end") - F.col("start")).alias("r2"), (-F.col("probability")).alias("r3"), *columns)))
+
+    def take(kept: Column, run: Column) -> Column:
+        beaten = F.exists(kept, lambda x: (x["start"] <= run["end"]) & (run["start"] <= x["end"])
+                          & ((x["family"] == run["family"]) | F.arrays_overlap(x["pairs"], run["pairs"])))
+        return F.when(beaten, kept).otherwise(F.array_append(kept, run))
+
+    kind = ("array<struct<r1:double,r2:int,r3:double,start:int,end:int,family:string,probability:double,overlap:double,"
+            "pairs:array<string>,line:string>>")
+    grouped = found.groupBy("row", "id", "paragraph", F.floor((F.col("start") + shift) / BLOCK).alias("block")).agg(ranked.cast(kind).alias("ranked"))
+    return grouped.select("row", "id", "paragraph", F.inline(F.aggregate("ranked", F.array().cast(kind), take))).drop("r1", "r2", "r3")
 
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -200,8 +251,16 @@ def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "tex
         .withColumn("probability", F.array_max(vector_to_array("probability")))
         .filter((F.element_at(F.array(*map(F.lit, model.families)), number + 1) != UNKNOWN) & (F.col("probability") >= model.least))
     )
+    confirmed = (
+        judged.withColumn("confirmed", _confirmation(F.col("words"), number))
+        .filter(F.col("confirmed.overlap") >= model.overlap)
+        .select("row", "id", "paragraph", "start", "end", F.element_at(F.array(*map(F.lit, model.families)), number + 1).alias("family"),
+                "probability", "confirmed.overlap", "confirmed.pairs", "line")
+    )
+    # Once more with the blocks shifted, for runs on two sides of a block's edge.
     return (
-        judged.withColumn("overlap", _confirmation(F.col("words"), number))
-        .filter(F.col("overlap") >= model.overlap)
-        .select("id", F.element_at(F.array(*map(F.lit, model.families)), number + 1).alias("family"), "probability", "overlap", "line", "n")
+        _best(_best(confirmed, 0), BLOCK // 2)
+        .groupBy("row", "id", "family", "line")
+        .agg(F.max("probability").alias("probability"), F.max("overlap").alias("overlap"), F.count("*").cast("int").alias("n"))
+        .select("id", "family", "probability", "overlap", "line", "n")
     )

@@ -1,3 +1,5 @@
+import textwrap
+
 import pytest
 
 from coursepulse.llm import licences
@@ -42,3 +44,46 @@ def test_repeated_lines_and_several_notices(documents, model):
 
 def test_the_level_is_calibrated(model):
     assert 0.2 < model.least < 1
+
+
+WRAPPED = {
+    "GPL": """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of""",
+    "LGPL": """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "BSD": """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice,
+this list of conditions and the following disclaimer.""",
+    "MIT": """Permission is hereby granted, free of charge, to any person
+obtaining a copy of this software and associated documentation
+files (the "Software"), to deal in the Software without restriction""",
+}
+
+
+def test_wrapped_notices(documents, model):
+    ways = [(mark, end) for mark in ("", " * ", "# ", "// ", "    ") for end in ("\n", "\r\n")]
+    texts = ["".join(f"{mark}{line}{end}" for line in f"A file.\n\n{notice}\n\nIts code.".split("\n"))
+             for mark, end in ways for notice in WRAPPED.values()]
+    assert found(documents, model, *texts) == [(i, family, 1) for i, family in enumerate([*WRAPPED] * len(ways))]
+
+
+def test_wrapped_at_other_widths_and_across_lines(documents, model):
+    starts = [notice.split("\n\n")[0].replace("\n", " ") for notice in WRAPPED.values()]
+    texts = [textwrap.fill(start, width, break_long_words=False) for width in (12, 30, 50, 100) for start in starts]
+    # Parts in different paragraphs do not add up.
+    texts.append("Redistribution and use in source and binary forms, with or\n\nwithout modification, are permitted provided")
+    got = [(i, family) for i, family, _ in found(documents, model, *texts)]
+    assert got == [*enumerate([*WRAPPED] * 4)]
+
+
+def test_a_paragraph_of_many_notices(documents, model):
+    assert found(documents, model, "\n".join([WRAPPED["GPL"].split("\n\n")[0]] * 200)) == [(0, "GPL", 200)]
