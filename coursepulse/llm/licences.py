@@ -179,10 +179,16 @@ def fit(spark: SparkSession, quantile: float = 0.02, overlap: float = 0.6, vocab
     return Model(classifier, list(NOTICES), least, overlap)
 
 
-def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """row, id, paragraph, start, end, line: the runs of neighbouring lines that hold a cue. ``row`` tells rows of one id apart."""
+def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", overlap: float = 0.0) -> DataFrame:
+    """row, id, paragraph, start, end, line: the runs of neighbouring lines that hold a cue, without those whose words rule out that
+    ``overlap`` of a notice's word pairs stand there. ``row`` tells rows of one id apart."""
     cue = rf"\b({'|'.join(CUES)})\b"
-    longest = max(len(re.findall(r"\w+", line)) for lines in NOTICES.values() for line in lines)
+    wanted = [re.findall(r"\d+(?:\.\d+)*|[a-z]+\d*", line.lower()) for family, lines in NOTICES.items() if family != UNKNOWN for line in lines]
+    longest = max(map(len, wanted))
+    # Common pairs c of a notice's m touch c + 1 of its m + 1 words at least, so at most m - c of its different words are missing.
+    needs = F.array(*[F.struct(F.array(*map(F.lit, sorted(set(words)))).alias("words"),
+                               F.lit(len(set(words)) - (1 - overlap) * (len(words) - 1) - 1e-6).alias("least")) for words in wanted])
+    known = F.array(*map(F.lit, sorted({word for words in wanted for word in words})))
     # One look at the whole text first: most documents hold no cue.
     some = docs.select(F.col(id_col).alias("id"), F.col(text).alias("body")).filter(F.lower("body").rlike(cue)).select(
         F.monotonically_increasing_id().alias("row"), "id", F.regexp_replace("body", r"\r\n?", "\n").alias("body"))
@@ -191,11 +197,21 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
 
     def lined(part: Column) -> Column:
         lines = F.split(part, r"\n")
-        return F.struct(lines.alias("lines"), F.transform(lines, lambda x: F.size(tokens(x))).alias("sizes"),
-                        F.transform(lines, lambda x: F.lower(x).rlike(cue)).alias("cued"))
-
-    read = some.select("row", "id", F.posexplode(F.transform(F.filter(parts, lambda x: F.lower(x).rlike(cue)), lined)).alias("paragraph", "part"))
-    lines, sizes, cued = (F.col(f"part.{c}") for c in ("lines", "sizes", "cued"))
+        return F.struct(lines.alias("lines"), F.transform(lines, tokens).alias("words"))
+
+    split = some.select("row", "id", F.posexplode(F.transform(F.filter(parts, lambda x: F.lower(x).rlike(cue)), lined)).alias("paragraph", "part"))
+    # inline() keeps what is made here from being made again for every run.
+    read = split.select("row", "id", "paragraph", F.inline(F.array(F.struct(
+        F.col("part.lines").alias("lines"), F.transform("part.words", F.size).alias("sizes"),
+        F.transform("part.words", lambda words: F.array_intersect(words, known)).alias("hits"),
+        F.transform("part.words", lambda words: F.arrays_overlap(words, F.array(*map(F.lit, CUES)))).alias("cued")))))
+    lines, sizes, hits, cued = map(F.col, ("lines", "sizes", "hits", "cued"))
+
+    def possible(start: Column, end: Column) -> Column:
+        # In an array of one, so that the words of the run are put together once.
+        held = F.array(F.array_distinct(F.flatten(F.slice(hits, start, end - start + 1))))
+        return F.exists(held, lambda h: (F.size(h) > 1) & F.exists(needs, lambda n: (n["least"] <= F.size(h)) & (
+            F.size(F.array_intersect(n["words"], h)) >= n["least"])))
 
     def runs(start: Column) -> Column:
         more = F.aggregate(
@@ -203,7 +219,7 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> D
             lambda s, n: F.when(s["inner"] <= longest, F.struct((s["inner"] + n).alias("inner"), (s["lines"] + 1).alias("lines"))).otherwise(s),
             lambda s: s["lines"])
         ends = F.filter(F.transform(F.sequence(F.lit(0), more), lambda k: start + k),
-                        lambda end: F.exists(F.slice(cued, start, end - start + 1), lambda c: c))
+                        lambda end: F.exists(F.slice(cued, start, end - start + 1), lambda c: c) & possible(start, end))
         return F.transform(ends, lambda end: F.struct(
             start.alias("start"), end.alias("end"), F.array_join(F.slice(lines, start, end - start + 1), " ").alias("line")))
 
@@ -244,7 +260,7 @@ def _best(found: DataFrame, shift: int) -> DataFrame:
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document and confirmed notice: id, family, probability, overlap, line, n."""
-    read = paragraphs(docs, id_col, text).withColumn("words", tokens(F.col("line"))).withColumn("ngrams", ngrams(F.col("words")))
+    read = paragraphs(docs, id_col, text, model.overlap).withColumn("words", tokens(F.col("line"))).withColumn("ngrams", ngrams(F.col("words")))
     number = F.col("prediction").cast("int")
     judged = (
         model.classifier.transform(read.filter(F.size("ngrams") > 0))
