@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from coursepulse.llm import language
@@ -48,3 +50,13 @@ def test_empty_tables_and_own_columns(documents, model):
     kept = language.keep_identified(documents((1, ENGLISH), (1, ENGLISH), (2, None), (None, GERMAN)), model)
     assert kept.columns == documents().columns
     assert sorted((r.doc_id or 0) for r in kept.collect()) == [0, 1, 1]
+
+
+def test_long_varied_texts_are_not_rejected():
+    pick = random.Random(1)
+    words = {lang: ["".join(pick.choices(letters, k=7)) for _ in range(1000)] for lang, letters in (("x", "abcdefghijklm"), ("y", "nopqrstuvwxyz"))}
+    compressors = language._compressors(language.Model({lang: " ".join(own).encode() for lang, own in words.items()}, 0.004))
+    for lang, own in words.items():
+        short, long = (language.judge(" ".join(pick.choices(own, k=n)).encode(), compressors, 0.004) for n in (4_000, 500_000))
+        assert short[0] == long[0] == lang and not short[3] and not long[3]
+        assert long[2] > short[2] / 3
