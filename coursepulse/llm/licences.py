@@ -137,6 +137,11 @@ def tokens(line: Column) -> Column:
     return F.regexp_extract_all(F.lower(line), F.lit(r"(\d+(?:\.\d+)*|[\p{L}]+\d*)"))
 
 
+def _words(notice: str) -> list[str]:
+    """``tokens`` of a notice, which is ASCII."""
+    return re.findall(r"\d+(?:\.\d+)*|[a-z]+\d*", notice.lower())
+
+
 def _grams(words: Column, n: int) -> Column:
     """All runs of ``n`` words, as texts."""
     return F.when(F.size(words) >= n, F.transform(
@@ -183,7 +188,7 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", over
     """row, id, paragraph, start, end, line: the runs of neighbouring lines that hold a cue, without those whose words rule out that
     ``overlap`` of a notice's word pairs stand there. ``row`` tells rows of one id apart."""
     cue = rf"\b({'|'.join(CUES)})\b"
-    wanted = [re.findall(r"\d+(?:\.\d+)*|[a-z]+\d*", line.lower()) for family, lines in NOTICES.items() if family != UNKNOWN for line in lines]
+    wanted = [_words(line) for family, lines in NOTICES.items() if family != UNKNOWN for line in lines]
     longest = max(map(len, wanted))
     # Common pairs c of a notice's m touch c + 1 of its m + 1 words at least, so at most m - c of its different words are missing.
     needs = F.array(*[F.struct(F.array(*map(F.lit, sorted(set(words)))).alias("words"),
@@ -229,15 +234,16 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", over
 
 def _confirmation(words: Column, number: Column) -> Column:
     """The largest share of a notice's word pairs that stands among ``words``, over the notices of class ``number``, and those pairs."""
-    given = F.array(*[F.struct(F.lit(i).alias("number"), _grams(tokens(F.lit(line)), 2).alias("pairs"))
-                      for i, family in enumerate(NOTICES) for line in NOTICES[family] if family != UNKNOWN])
+    given = F.array(*[F.struct(F.lit(i).alias("number"), F.array(*[F.lit(f"{x} {y}") for x, y in zip(words, words[1:])]).alias("pairs"))
+                      for i, family in enumerate(NOTICES) for words in map(_words, NOTICES[family]) if family != UNKNOWN])
     own = F.filter(given, lambda notice: notice["number"] == number)
 
-    def share(notice: Column) -> Column:
-        common = F.array_intersect(notice["pairs"], _grams(words, 2))
+    def share(notice: Column, held: Column) -> Column:
+        common = F.array_intersect(notice["pairs"], held)
         return F.struct((F.size(common) / F.size(notice["pairs"])).alias("overlap"), common.alias("pairs"))
 
-    return F.array_max(F.transform(own, share))
+    # In an array of one, so that the pairs of the run are made once.
+    return F.transform(F.array(_grams(words, 2)), lambda held: F.array_max(F.transform(own, lambda notice: share(notice, held))))[0]
 
 
 def _best(found: DataFrame, shift: int) -> DataFrame:
