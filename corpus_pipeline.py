@@ -24,13 +24,13 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the document with the smallest id."""
-    return exact.keep_first(docs)
+    """Of equal texts one row, of the smallest id; rows without an id go when another has one."""
+    return exact.keep_first(docs, unnamed=False)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-copies the document with the smallest id. Five words, a similarity of 0.8."""
-    return nearcopies.keep_one(docs, percent=80)
+    """Of each group of near-copies one row, of the smallest id. Five words, a similarity of 0.8."""
+    return nearcopies.keep_one(docs, percent=80, by_row=True)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import SPACE, forget, stage
+from .shared import SPACE, forget, stage, without
 
 ENTRY = ["hash", "chain", "text_sha256", "keep_id", "group_size"]
 
@@ -101,10 +101,12 @@ def lookup(docs: DataFrame, index: Index, id_col: str = "doc_id", text: str = "t
         "id", "keep_id", "group_size", F.col("id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256", "bucket", "chain")
 
 
-def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:
-    """The rows that stay, with their own columns. Rows without an id stay, as nothing tells them apart."""
-    gone = deduplicate(docs, id_col, text, **options).filter(~F.col("kept") & F.col("id").isNotNull())
-    return docs.join(gone.select(F.col("id").alias(id_col)), id_col, "left_anti").select(*docs.columns)
+def keep_first(docs: DataFrame, id_col: str = "doc_id", text: str = "text", unnamed: bool = True, **options) -> DataFrame:
+    """The rows that stay, with their own columns: of equal texts one row of the smallest id. ``unnamed``: rows without an id
+    stay too; otherwise one of them stays where no row of the text has an id."""
+    found = deduplicate(docs, id_col, text, **options).filter("group_size > 1" if not unnamed else "group_size > 1 AND id IS NOT NULL")
+    moved = found.groupBy("id", F.col("text_sha256").alias("digest")).agg(F.first("kept").alias("kept"), F.count("*").alias("rows"))
+    return without(docs, stage(moved.filter("NOT kept OR rows > 1"), "moved"), F.col(id_col), F.sha2(normalised(F.col(text)), 256))
 
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text: str = "text", **options) -> DataFrame:

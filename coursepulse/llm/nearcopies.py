@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from . import anchors as anchor
 from .links import components
 from .repeats import pack
-from .shared import one_per_id, ship, stage
+from .shared import keyed, one_per_id, ship, stage, text_digest, without
 
 SHINGLE = 5
 BITS = 16
@@ -201,7 +201,19 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
         "id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
-    """The documents without those that a smaller id is linked with, directly or not; with their own columns."""
-    gone = near_copies(docs, id_col, text, percent).filter("id != component_id").select(F.col("id").alias(id_col))
-    return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 85, by_row: bool = False) -> DataFrame:
+    """The documents without those that a smaller id is linked with, directly or not; with their own columns.
+
+    ``by_row``: rows that share an id, or have none, are documents of their own if their texts differ (in the order of ids and
+    digests, null last), and of rows with the same id and text one stays. Otherwise all rows of an id stay or go together and
+    rows without an id stay.
+    """
+    keys = keyed(docs, id_col, text) if by_row else None
+    if keys is None:
+        gone = near_copies(docs, id_col, text, percent).filter("id != component_id").select(F.col("id").alias(id_col))
+        return docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("body"), text_digest(text).alias("digest"))
+    numbered = rows.join(keys, rows["id"].eqNullSafe(keys["id"]) & (rows["digest"] == keys["digest"])).select("key", "body")
+    found = near_copies(numbered, "key", "body", percent).select(F.col("id").alias("key"), (F.col("id") == F.col("component_id")).alias("kept"))
+    moved = stage(keys.join(found, "key").filter("NOT kept OR rows > 1").select("id", "digest", "kept"), "moved")
+    return without(docs, moved, F.col(id_col), text_digest(text))

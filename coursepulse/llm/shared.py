@@ -62,3 +62,37 @@ def one_per_id(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     if again.isEmpty():
         return rows
     return rows.join(again, "id", "left_anti").unionByName(rows.join(again, "id", "left_semi").groupBy("id").agg(F.max("body").alias("body")))
+
+
+def without(docs: DataFrame, moved: DataFrame, id_column: Column, digest: Column) -> DataFrame:
+    """``docs`` without the rows of the ids and digests in ``moved`` (id, digest, kept; a staged table): where ``kept`` one of the
+    rows stays, the first by all columns that can be ordered."""
+    def ordered(kind: str) -> bool:
+        return "map<" not in kind and "variant" not in kind
+
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), id_column.alias("id"), digest.alias("digest"))
+
+    def same(other: DataFrame) -> Column:
+        return rows["id"].eqNullSafe(other["id"]) & (rows["digest"] == other["digest"])
+
+    rest = rows.join(moved, same(moved), "left_anti").select("row.*")
+    again = moved.filter("kept")
+    if again.isEmpty():
+        return rest
+    order = F.struct(*[F.col(f"row.`{f.name}`") for f in docs.schema if ordered(f.dataType.simpleString())])
+    one = rows.join(again, same(again), "left_semi").groupBy("id", "digest").agg(F.min_by("row", order).alias("row"))
+    return rest.unionByName(one.select("row.*"))
+
+
+def keyed(docs: DataFrame, id_col: str, text: str) -> DataFrame | None:
+    """id, digest, key, rows: a number for each different id and text, in the order of the ids with null last; none if all
+    rows have an id of their own. Written once, so that a key stays what it is."""
+    ids = docs.groupBy(F.col(id_col).alias("id")).agg(F.count("*").alias("rows")).filter("rows > 1 OR id IS NULL")
+    if ids.isEmpty():
+        return None
+    each = docs.groupBy(F.col(id_col).alias("id"), text_digest(text).alias("digest")).agg(F.count("*").alias("rows"))
+    return stage(each.orderBy(F.col("id").asc_nulls_last(), "digest").withColumn("key", F.monotonically_increasing_id()), "keys")
+
+
+def text_digest(text: str) -> Column:
+    return F.sha2(F.coalesce(F.col(text), F.lit("")), 256)

@@ -58,3 +58,12 @@ def test_kept_rows_have_their_own_columns(documents):
     kept = exact.keep_first(df)
     assert kept.columns == df.columns
     assert sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3]
+
+
+def test_one_row_of_equal_texts_stays(documents):
+    # A null id beside an id, repeated rows, null ids alone, and an id whose other text is not a copy.
+    df = documents((3, "y"), (None, "y"), (7, "x"), (7, "x"), (7, " x"), (None, "z"), (None, "z"), (1, "a"), (5, "a"), (5, "alone"))
+    kept = exact.keep_first(df, unnamed=False)
+    assert kept.columns == df.columns
+    assert sorted(((r.doc_id or 0, r.text) for r in kept.collect())) == [(0, "z"), (1, "a"), (3, "y"), (5, "alone"), (7, " x"), (7, "x")]
+    assert sorted(r.text for r in exact.keep_first(documents((7, "x  y"), (7, "x y")), unnamed=False).collect()) == ["x  y"]

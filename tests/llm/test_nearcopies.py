@@ -73,3 +73,12 @@ def test_signatures_within_reach_share_a_key():
         two[changed] = rng.integers(0, 1 << 16, nearcopies.REACH)
         keys = nearcopies.chunk_keys(np.stack([one, two]))
         assert (keys[0] == keys[1]).any()
+
+
+def test_rows_that_share_an_id_or_have_none(documents):
+    one, two = (" ".join(f"{c}{i}" for i in range(60)) for c in "ab")
+    df = documents((1, one), (5, one + " more"), (5, two), (None, two + " more"), (None, "alone"), (8, "c d"), (8, "c d"), (9, ""), (9, None))
+    kept = nearcopies.keep_one(df, by_row=True)
+    assert kept.columns == df.columns
+    got = sorted((r.doc_id or 0, r.text or "") for r in kept.collect())
+    assert got == [(0, "alone"), (1, one), (5, two), (8, "c d"), (9, "")]
