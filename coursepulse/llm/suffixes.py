@@ -1,11 +1,11 @@
-"""Removal of byte strings that occur more than once: prefix doubling over sparse positions.
+"""Removal of byte strings that occur more than once: op2's anchors on bytes, not prefix doubling.
 
 A string of ``length`` bytes holds an anchor, the least stretch of length / 2 bytes in it by hash. Suffixes are ranked from
 the anchors' positions only. First all anchors are sorted by the rank of their half-length prefix; unique ones drop out,
 as no string around them can recur. Then those of equal rank are sorted again by the rank of everything that strings
-around them can reach, which settles the inside of long repeats. What is left is ranked at every position around the
-anchors by pairs: the rank of the prefix of twice the length is that of the pair of ranks at the position and at the
-offset, up to ``length``. Strings whose final rank is shared are repeated, and all bytes that they cover are removed.
+around them can reach, which settles the inside of long repeats. What is left is compared at every position around
+the anchors by one fingerprint of all ``length`` bytes (``repeats``); there are no rank pairs and no doubling rounds.
+Strings that share their fingerprint are repeated, and all bytes that they cover are removed.
 
 Ranks are 64-bit fingerprints of contents, compared within their anchor's group, so each decision rests on 128 bits.
 
