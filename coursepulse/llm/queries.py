@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, language, licences, mixing, nearcopies, pieces, substrings, suffixes, toxicity, vectors
+from . import audit, exact, language, licences, mixing, nearcopies, pieces, substrings, suffixes, tokens, toxicity, vectors, whitening
 from .shared import remainder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,6 +84,25 @@ def op10_licences(spark: SparkSession, folder: str) -> DataFrame:
         F.sum("n").alias("n_notices"), F.max("probability").alias("probability"), F.max("overlap").alias("overlap"))
 
 
+def vocabulary_path() -> str:
+    """The public byte-level vocabulary; BYTE_VOCABULARY names another file."""
+    return os.environ.get("BYTE_VOCABULARY", "/opt/tokenizers/byte_bpe_50k.json")
+
+
+def op11_tokens(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents").select("doc_id", "text")
+    return tokens.count_tokens(docs, tokens.read_vocabulary(vocabulary_path())).select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+def op12_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    found = whitening.whiten(_read(spark, folder, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "component", "n", "deviation", "whitened", "explained", "identity_error")
+
+
+def op13_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return audit.interactions(_read(spark, folder, "documents"), _read(spark, folder, "labels"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_embeddings": op1_embeddings,
     "op2_substrings": op2_substrings,
@@ -95,6 +114,9 @@ QUERIES: dict[str, Query] = {
     "op8_suffixes": op8_suffixes,
     "op9_mixing": op9_mixing,
     "op10_licences": op10_licences,
+    "op11_tokens": op11_tokens,
+    "op12_whitening": op12_whitening,
+    "op13_filters": op13_filters,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -196,4 +218,38 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN size = 0 OR blocks IS NULL THEN 0 ELSE (n // blocks) * size
                  + least(stop, (n % blocks) * source_size // blocks) - least(start, (n % blocks) * source_size // blocks) END::BIGINT AS taken
         FROM placed""",
+    "op13_filters": r"""
+        WITH split AS (
+          SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS body,
+                 regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        marks AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+        fails AS (
+          SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS bad,
+                 [len(words) < 200, 100 * len(list_distinct(words)) < 50 * len(words),
+                  100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 3 * length(body),
+                  regexp_matches(body, '[#$%&*|]'),
+                  coalesce(doc_id > min(doc_id) OVER (PARTITION BY body), min(doc_id) OVER (PARTITION BY body) IS NOT NULL)] AS f
+          FROM split LEFT JOIN marks USING (doc_id)),
+        sets AS (
+          SELECT part, f, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad FROM fails GROUP BY part, f),
+        letters AS (SELECT unnest(range(1, 6)) AS l),
+        orders AS (
+          SELECT [a.l, b.l, c.l, d.l, e.l] AS o FROM letters a, letters b, letters c, letters d, letters e
+          WHERE len(list_distinct([a.l, b.l, c.l, d.l, e.l])) = 5),
+        steps AS (SELECT o, s AS step, o[s] AS l, o[1:s - 1] AS earlier FROM orders, (SELECT unnest(range(1, 6)) AS s)),
+        judged AS (
+          SELECT part, o, step, l, n, good, bad, f[l] AS failing, len(list_filter(earlier, lambda x: f[x])) > 0 AS gone,
+                 len(list_filter(f, lambda x: x)) = 1 AS alone
+          FROM sets, steps),
+        report AS (
+          SELECT part, o, step, l, coalesce(sum(n) FILTER (NOT failing AND NOT gone), 0)::BIGINT AS kept,
+                 coalesce(sum(n) FILTER (failing AND NOT gone), 0)::BIGINT AS removed,
+                 coalesce(sum(n) FILTER (failing AND gone), 0)::BIGINT AS redundant,
+                 coalesce(sum(n) FILTER (failing AND alone), 0)::BIGINT AS unique_fails,
+                 coalesce(sum(good) FILTER (failing AND NOT gone), 0)::BIGINT AS good_lost,
+                 coalesce(sum(bad) FILTER (failing AND NOT gone), 0)::BIGINT AS toxic_lost
+          FROM judged GROUP BY part, o, step, l)
+        SELECT part, array_to_string(list_transform(o, lambda x: 'ABCDE'[x]), '') AS filter_order, step::INTEGER AS step, kept, removed, redundant,
+               unique_fails, good_lost, toxic_lost, sum(removed) OVER (PARTITION BY part, l)::BIGINT AS shapley
+        FROM report""",
 }
