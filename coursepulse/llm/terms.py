@@ -1,12 +1,14 @@
 """A sparse document-term matrix: one dictionary for the whole corpus, rows in compressed shards.
 
 Documents are read once. A task packs its documents into shards of about ``SHARD_BYTES`` of text (one document at
-least) and numbers the words of a shard in the order they appear: offsets of the rows, numbers of the words, counts. The
-dictionary numbers all different words of all shards from 0 without gaps; a shard sends each of its words once, however
-often they stand in it, so a word that is everywhere costs one row a shard. The shards are then renumbered by the
-dictionary. No word is compared by a hash, and nothing is gathered beyond a shard.
+least): offsets of the rows, numbers of the words, counts. A shard sends each of its words once, however often they stand in
+it, so a word that is everywhere costs one entry a shard. The dictionary is cut into parts by ranges of crc32, as many as
+keep a part in ``PART_WORDS`` entries on average; a shard numbers its words in the order of crc32, so that what it sends to a part is one
+run of them and travels as one packed row. The part's task goes through these rows one after the other, gives every word
+that it has not met the next place, and sends the places back. A word's term is its part and its place; words are compared by
+their bytes, crc32 only deals them out. The places are written once, so a lost executor cannot number words anew.
 
-Words are maximal runs of bytes other than ASCII white space, and are told apart by their bytes.
+Words are maximal runs of bytes other than ASCII white space.
 
 Defined cases: null and empty texts are rows without words; an empty table gives no shards and an empty dictionary;
 repeated rows are rows of their own; ``payload`` columns travel with the documents whatever their names are.
@@ -14,19 +16,25 @@ repeated rows are rows of their own; ``payload`` columns travel with the documen
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Callable, Iterator
 from typing import NamedTuple
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import ship, stage
 
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 16 << 20
+PART_WORDS = 250_000
+LEAST_PARTS = 64
+PLACE_BITS = 40  # of a term; what is above them is the part
 
 CSR = T.StructType([T.StructField(name, T.BinaryType()) for name in ("offsets", "terms", "counts")])
 
@@ -48,6 +56,18 @@ def rows_of(offsets: bytes, terms: bytes, counts: bytes) -> tuple[np.ndarray, np
     return sums[ends[1:]] - sums[ends[:-1]], np.diff(ends)
 
 
+def _pack(data: bytes) -> bytes:
+    return zstandard.compress(data, 1)
+
+
+def _unpack(data: pa.Scalar) -> bytes:
+    return zstandard.decompress(data.as_py())
+
+
+def _hashes(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(crc32, words), np.uint32, len(words))
+
+
 class _Shard:
     """Documents of one task until there are enough."""
 
@@ -61,17 +81,27 @@ class _Shard:
 
     def add(self, body: bytes, payload: dict) -> None:
         numbers, found = self.numbers, Counter(body.split())
-        self.terms.append(np.array([numbers.setdefault(w, len(numbers)) for w in found], np.int64))
+        self.terms.append(np.array([numbers.setdefault(w, len(numbers)) for w in found], np.int32))
         self.counts.append(np.array(list(found.values()), np.int32))
         self.sizes.append(len(found))
         self.docs.append(payload)
         self.bytes += len(body)
 
     def packed(self, schema: pa.Schema, task: int, number: int) -> pa.RecordBatch:
-        row = {
-            "shard": task << 32 | number, "words": list(self.numbers), "offsets": np.cumsum([0, *self.sizes], dtype=np.int64).tobytes(),
-            "terms": np.concatenate(self.terms).tobytes(), "counts": np.concatenate(self.counts).tobytes(), "docs": self.docs}
-        return pa.RecordBatch.from_pylist([row], schema)
+        """Words in the order of crc32, numbered so; the terms of a row ascend and are written as differences."""
+        words = list(self.numbers)
+        order = np.argsort(_hashes(words), kind="stable")
+        place = np.empty(len(words), np.int64)
+        place[order] = np.arange(len(words))
+        row = np.repeat(np.arange(len(self.sizes), dtype=np.int64) << 32, self.sizes)
+        key = row | place[np.concatenate(self.terms)]
+        ascending = np.argsort(key)
+        terms = (key[ascending] & 0xFFFFFFFF).astype(np.int32)
+        made = {
+            "shard": task << 32 | number, "n_words": len(words), "words": _pack(b" ".join([words[i] for i in order])),
+            "offsets": np.cumsum([0, *self.sizes], dtype=np.int64).tobytes(), "terms": _pack(np.diff(terms, prepend=np.int32(0)).tobytes()),
+            "counts": _pack(np.concatenate(self.counts)[ascending].tobytes()), "docs": self.docs}
+        return pa.RecordBatch.from_pylist([made], schema)
 
 
 def document_terms(docs: DataFrame, payload: dict[str, Column], text: str = "text", describe: Callable[[bytes], dict] | None = None,
@@ -83,7 +113,7 @@ def document_terms(docs: DataFrame, payload: dict[str, Column], text: str = "tex
     rows = docs.select(F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b"")).alias("body"),
                        F.struct(*[c.alias(name) for name, c in payload.items()]).alias("payload"))
     fields = [*rows.schema["payload"].dataType.fields, *(described.fields if described else [])]
-    schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("words", T.ArrayType(T.BinaryType())),
+    schema = T.StructType([T.StructField("shard", T.LongType()), T.StructField("n_words", T.LongType()), T.StructField("words", T.BinaryType()),
                            *CSR.fields, T.StructField("docs", T.ArrayType(T.StructType(fields)))])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,38 +133,74 @@ def document_terms(docs: DataFrame, payload: dict[str, Column], text: str = "tex
             yield shard.packed(packed, task, number)
 
     local = stage(rows.mapInArrow(read, schema), "shards")
-    dictionary = _numbered(local.select(F.explode("words").alias("word")).distinct())
-    return Matrix(_renumbered(local, dictionary), dictionary)
+    places = stage(_places(local), "places")
+    return Matrix(_renumbered(local, places), _dictionary(places))
 
 
-def _numbered(words: DataFrame) -> DataFrame:
-    """word, term: numbers from 0 without gaps. They are places in the written table: the rows before the part, of which
-    the driver gets one sum a part, and the place in the part."""
-    placed = stage(words.select("word", F.spark_partition_id().alias("part"),
-                                F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("place")), "words")
-    sizes = sorted((r["part"], r["rows"]) for r in placed.groupBy("part").agg(F.count("*").alias("rows")).collect())
-    before = np.cumsum([0, *(rows for _, rows in sizes)])
-    starts = placed.sparkSession.createDataFrame(
-        [(part, int(start)) for (part, _), start in zip(sizes, before, strict=False)], "part int, start long")
-    return placed.join(F.broadcast(starts), "part").select("word", (F.col("start") + F.col("place")).alias("term"))
+def _places(local: DataFrame) -> DataFrame:
+    """part, shard, places (of the run of words that the shard sends to the part), and first and new: the words met in it for the
+    first time, with the place of the first of them."""
+    total = local.agg(F.sum("n_words").alias("n")).first()["n"] or 0
+    parts = max(LEAST_PARTS, math.ceil(total / PART_WORDS))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for shard, packed in zip(batch["shard"].to_pylist(), batch["words"], strict=True):
+                words = _unpack(packed).split()
+                part = (_hashes(words).astype(np.uint64) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+                starts = np.nonzero(np.diff(part, prepend=-1))[0].tolist()
+                runs = [_pack(b" ".join(words[a:b])) for a, b in zip(starts, [*starts[1:], len(words)], strict=True)]
+                yield pa.RecordBatch.from_pydict({
+                    "part": pa.array(part[starts], pa.int64()), "shard": pa.array([shard] * len(runs), pa.int64()), "words": pa.array(runs, pa.binary())})
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        met: dict[bytes, int] = {}
+        current = None
+        for batch in batches:
+            places, firsts, new = [], [], []
+            for part, packed in zip(batch["part"].to_pylist(), batch["words"], strict=True):
+                if part != current:
+                    met, current = {}, part
+                words, first = _unpack(packed).split(), len(met)
+                found = np.array([met.setdefault(w, len(met)) for w in words], np.int64)
+                places.append(_pack(found.tobytes()))
+                firsts.append(first)
+                new.append(_pack(b" ".join([words[i] for i in np.nonzero(found >= first)[0]])))
+            yield pa.RecordBatch.from_pydict({
+                "part": batch["part"], "shard": batch["shard"], "places": pa.array(places, pa.binary()),
+                "first": pa.array(firsts, pa.int64()), "new": pa.array(new, pa.binary())})
+
+    runs = local.select("shard", "words").mapInArrow(deal, "part long, shard long, words binary")
+    return runs.repartition("part").sortWithinPartitions("part", "shard").mapInArrow(
+        place, "part long, shard long, places binary, first long, new binary")
+
+
+def _dictionary(places: DataFrame) -> DataFrame:
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, first, packed in zip(batch["part"].to_pylist(), batch["first"].to_pylist(), batch["new"], strict=True):
+                words = _unpack(packed).split()
+                start = (part << PLACE_BITS) + first
+                yield pa.RecordBatch.from_pydict({"word": pa.array(words, pa.binary()), "term": pa.array(np.arange(start, start + len(words)))})
+
+    return places.select("part", "first", "new").mapInArrow(unpack, "word binary, term long")
 
 
-def _renumbered(local: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Shards whose terms are those of the dictionary, ascending in each row."""
-    each = local.select("shard", F.posexplode("words").alias("at", "word"))
-    terms = each.join(dictionary, "word").groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("at", "term"))).alias("terms_of"))
-    joined = local.drop("words").join(terms.select("shard", F.col("terms_of.term").alias("terms_of")), "shard", "left")
+def _renumbered(local: DataFrame, places: DataFrame) -> DataFrame:
+    """Shards whose terms are those of the dictionary. A shard's runs are in the order of its words, part after part."""
+    runs = places.groupBy("shard").agg(F.sort_array(F.collect_list(F.struct("part", "places"))).alias("runs"))
+    joined = local.drop("words", "n_words").join(runs, "shard", "left")
 
     def renumber(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            new = []
-            for offsets, old, counts, terms_of in zip(*(batch[c] for c in ("offsets", "terms", "counts", "terms_of")), strict=True):
-                ends, old = np.frombuffer(offsets.as_py(), np.int64), np.frombuffer(old.as_py(), np.int64)
-                numbers = np.array(terms_of.values if terms_of.is_valid else [], np.int64)[old]
-                order = np.lexsort((numbers, np.repeat(np.arange(len(ends) - 1), np.diff(ends))))
-                new.append((offsets.as_py(), numbers[order].tobytes(), np.frombuffer(counts.as_py(), np.int32)[order].tobytes()))
-            columns = [pa.array([row[i] for row in new], pa.binary()) for i in range(3)]
-            yield pa.RecordBatch.from_arrays([*columns, batch["docs"]], ["offsets", "terms", "counts", "docs"])
-
-    return joined.select("offsets", "terms", "counts", "docs", "terms_of").mapInArrow(
+            terms, counts = [], []
+            for old, count, own in zip(batch["terms"], batch["counts"], batch["runs"], strict=True):
+                new = [np.frombuffer(zstandard.decompress(run["places"]), np.int64) + (run["part"] << PLACE_BITS) for run in own.as_py() or []]
+                local_terms = np.cumsum(np.frombuffer(_unpack(old), np.int32), dtype=np.int32)
+                terms.append(np.concatenate([np.zeros(0, np.int64), *new])[local_terms].tobytes())
+                counts.append(_unpack(count))
+            yield pa.RecordBatch.from_arrays([batch["offsets"], pa.array(terms, pa.binary()), pa.array(counts, pa.binary()), batch["docs"]],
+                                             ["offsets", "terms", "counts", "docs"])
+
+    return joined.select("offsets", "terms", "counts", "docs", "runs").mapInArrow(
         renumber, T.StructType([*CSR.fields, joined.schema["docs"]]))
