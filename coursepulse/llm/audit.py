@@ -54,8 +54,9 @@ def failed_filters(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                 yield pa.RecordBatch.from_arrays([*rows.values.flatten(), pa.array(words), pa.array(distinct)], names=schema.names)
 
     rows = stage(matrix.shards.mapInArrow(unpack, schema), "rows")
-    # Of texts that stand once nothing is to be joined; of the others one row per text, the smallest id.
-    again = rows.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("rows")).filter("rows > 1")
+    # Of texts that stand once nothing is to be joined; of the others one row per text, the smallest id. As a written table, so
+    # that the rows of a text that stands very often are split among tasks.
+    again = stage(rows.groupBy("digest").agg(F.min("id").alias("first"), F.count("*").alias("rows")).filter("rows > 1"), "again")
     later = F.col("first").isNotNull() & (F.col("id").isNull() | (F.col("id") > F.col("first")))
     return rows.join(again.drop("rows"), "digest", "left").select(
         "id", "part", "n_words", "n_distinct", (F.col("n_words") < least_words).alias("a"),
