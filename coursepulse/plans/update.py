@@ -17,7 +17,7 @@ from ..operators.maintenance import (
     valid_course_items, valid_lecture_items,
 )
 from ..operators.selection import coverage_audit
-from ..sources.published import PublishedTables
+from ..sources.published import CommitConflict, PublishedTables
 
 COURSE_ITEM = "course"
 LECTURE_ITEM = "lecture"
@@ -56,40 +56,64 @@ def apply_items(tables: dict[str, DataFrame], items: DataFrame, as_of: AsOf = No
 
 def publish_items(
     tables: PublishedTables, items: DataFrame, as_of: AsOf = None, mark: tuple[str, int] | None = None,
-    pass_on: Callable[[DataFrame], None] | None = None,
+    pass_on: Callable[[DataFrame], None] | None = None, attempts: int = 50,
 ) -> int:
     """Apply a batch to the published tables in one commit and return its number.
 
     The records are written to ``staging`` under the tables' root first, so ``items`` is evaluated once whatever it
     takes to make it. Only the parts the batch falls into are read and rewritten. ``as_of`` None is the time at the
     start. ``mark`` is a stream's name and its batch number: a batch that this stream has brought before is
-    skipped. ``pass_on`` gets the records of other types once the commit is visible.
+    skipped. Writers may work beside each other: a commit that meets the parts of this batch makes it apply the batch
+    again to what is there now, at most ``attempts`` times.
+
+    ``pass_on`` gets the records of other types. They are part of the commit and stay in its outbox until ``pass_on`` has
+    returned, so if it fails they are given again when the batch is replayed or another one comes. Without
+    ``pass_on`` nobody waits for them and they are not kept.
     """
     spark = tables.spark
-    last = tables.newest()
-    if mark and mark[1] <= last.marks.get(mark[0], -1):
-        return last.number
-    if as_of is None:
-        as_of = spark.range(1).select(F.current_timestamp().cast("string")).first()[0]
-    with staged(tables, items) as records:
-        routed = route_items(records)
-        week = str(spark.range(1).select(week_start(as_of_date(as_of))).first()[0])
-        parts = {
-            "courses": tables.touched("courses", valid_course_items(routed.courses), last),
-            "lectures": tables.touched("lectures", valid_lecture_items(routed.lectures), last),
-            "course_progress_snapshots": [week],
-            "crawl_logs": [],
-        }
-        stored = {name: tables.read(name, parts[name], last) for name in parts}
-        changed = apply_items(stored, records, as_of)
-        # Tables that no record of the batch concerns are left as they are.
-        concerned = [name for name in parts if parts["lectures" if name == "lectures" else "courses"]]
-        number = tables.publish({name: (changed[name], parts[name]) for name in concerned}, last, mark)
-        if pass_on:
-            pass_on(routed.other)
+    number = applied(tables, mark)
+    if number is None:
+        if as_of is None:
+            as_of = spark.range(1).select(F.current_timestamp().cast("string")).first()[0]
+        with staged(tables, items) as records:
+            while number is None:
+                attempts -= 1
+                try:
+                    number = _publish(tables, records, as_of, mark, pass_on is not None)
+                except CommitConflict:
+                    if attempts <= 0:
+                        raise
+                    number = applied(tables, mark)
+    if pass_on:
+        tables.deliver(pass_on)
     return number
 
 
+def applied(tables: PublishedTables, mark: tuple[str, int] | None) -> int | None:
+    """The newest commit if the stream's batch is in the tables, else None."""
+    last = tables.newest()
+    return last.number if mark and mark[1] <= last.marks.get(mark[0], -1) else None
+
+
+def _publish(tables: PublishedTables, records: DataFrame, as_of: AsOf, mark: tuple[str, int] | None, keep_others: bool) -> int:
+    """One attempt, on top of the newest commit."""
+    last = tables.newest()
+    routed = route_items(records)
+    week = str(records.sparkSession.range(1).select(week_start(as_of_date(as_of))).first()[0])
+    parts = {
+        "courses": tables.touched("courses", valid_course_items(routed.courses), last),
+        "lectures": tables.touched("lectures", valid_lecture_items(routed.lectures), last),
+        "course_progress_snapshots": [week],
+        "crawl_logs": [],
+    }
+    stored = {name: tables.read(name, parts[name], last) for name in parts}
+    changed = apply_items(stored, records, as_of)
+    # Tables that no record of the batch concerns are left as they are.
+    concerned = [name for name in parts if parts["lectures" if name == "lectures" else "courses"]]
+    others = routed.other if keep_others and not routed.other.isEmpty() else None
+    return tables.publish({name: (changed[name], parts[name]) for name in concerned}, last, mark, others, rebase=True)
+
+
 @contextmanager
 def staged(tables: PublishedTables, rows: DataFrame) -> Iterator[DataFrame]:
     """``rows`` as written beside the tables; the files go when the work on them ends."""

@@ -21,7 +21,8 @@ def stream_items(
 
     Arrival order (``seq``) decides; there is no watermark, as no record is ever late. The commit stores the batch under
     the id that Spark gave the checkpoint: a batch replayed after a failure is recognised and skipped, while
-    another stream, or the same source under a new checkpoint, counts for itself.
+    another stream, or the same source under a new checkpoint, counts for itself. Several streams may write the same tables.
+    If ``pass_on`` fails the stream ends, and the batch that a new start replays gives the records again.
     """
     session = items.sparkSession
 

@@ -179,3 +179,148 @@ def test_scratch_folders_are_where_the_cluster_says():
     for master in ("yarn", "local-cluster[2,1,1024]", "spark://x:7077"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             scratch_folder(Session(None, master), "t")
+
+
+def test_records_are_passed_on_until_it_succeeds(spark, tmp_path):
+    """A receiver that fails gets them when the batch is replayed, or with the next batch; nothing is applied twice."""
+    tables = PublishedTables(spark, str(tmp_path), buckets=2)
+    got, fail = [], [True]
+
+    def take(rows):
+        if fail[0]:
+            raise RuntimeError("receiver is away")
+        got.extend(r.payload for r in rows.collect())
+
+    def bring(n, payload, batch):
+        return publish_items(tables, items(spark, course(f"https://x/classroom/{n}"), {"item_type": "outline", "payload": payload}),
+                             NOW, ("s", batch), take)
+
+    with pytest.raises(RuntimeError, match="away"):
+        bring(1, "a", 0)
+    assert ids(tables.read("courses")) == [1] and len(tables.newest().outbox) == 1
+    fail[0] = False
+    bring(1, "a", 0)
+    assert got == ["a"] and ids(tables.read("crawl_logs")) == [1] and not tables.newest().outbox
+    fail[0] = True
+    with pytest.raises(RuntimeError):
+        bring(2, "b", 1)
+    fail[0] = False
+    bring(3, "c", 2)  # the batch before was not replayed; its records come first
+    assert got == ["a", "b", "c"] and ids(tables.read("courses")) == [1, 2, 3]
+    bring(3, "c", 2)
+    assert got == ["a", "b", "c"]
+
+
+def test_a_stream_passes_on_after_a_restart(spark, tmp_path):
+    tables = PublishedTables(spark, f"{tmp_path}/tables", buckets=2)
+    items(spark, course("https://x/classroom/1"), {"item_type": "outline", "payload": "x"}).coalesce(1).write.parquet(f"{tmp_path}/in")
+    got = []
+
+    def away(rows):
+        raise RuntimeError("receiver is away")
+
+    def start(take):
+        return stream_items(spark.readStream.schema(ITEMS).parquet(f"{tmp_path}/in"), tables, f"{tmp_path}/checkpoint", NOW, pass_on=take)
+
+    with pytest.raises(Exception, match="away"):
+        start(away).awaitTermination()
+    start(lambda rows: got.extend(rows.collect())).awaitTermination()
+    assert [r.item_type for r in got] == ["outline"]
+    assert ids(tables.read("crawl_logs")) == [1]
+
+
+def meeting(tables, monkeypatch, between):
+    """Let ``between`` publish after the tables were read and before the next commit."""
+    real, once = PublishedTables._commit, []
+
+    def commit(self, new):
+        if not once:
+            once.append(1)
+            between()
+        return real(self, new)
+
+    monkeypatch.setattr(PublishedTables, "_commit", commit)
+
+
+def test_a_writer_of_other_parts_is_rebased(spark, tmp_path, monkeypatch):
+    """What was written stays good; nothing is made again."""
+    tables = PublishedTables(spark, str(tmp_path), buckets=64)
+    publish_items(tables, items(spark, *[lecture(str(c), 1, None, 1, False) for c in range(1, 9)]), NOW)
+    meeting(tables, monkeypatch, lambda: publish_items(tables, items(spark, lecture("2", 1, None, 1, True)), NOW))
+    writes = []
+    real = PublishedTables._write_parts
+    monkeypatch.setattr(PublishedTables, "_write_parts", lambda self, *a: writes.append(a[0]) or real(self, *a))
+    assert publish_items(tables, items(spark, lecture("1", 1, None, 1, True)), NOW) == 3
+    assert writes == ["lectures"] * 2  # one each
+    assert ids(tables.read("lectures").filter("is_completed")) == [1, 2]
+
+
+def test_a_writer_of_the_same_parts_starts_again(spark, tmp_path, monkeypatch):
+    tables = PublishedTables(spark, str(tmp_path), buckets=1)
+    publish_items(tables, items(spark, course("https://x/classroom/1")), NOW)
+    meeting(tables, monkeypatch, lambda: publish_items(tables, items(spark, course("https://x/classroom/2")), NOW))
+    publish_items(tables, items(spark, course("https://x/classroom/3")), NOW)
+    assert ids(tables.read("courses")) == ids(tables.read("crawl_logs")) == ids(tables.read("course_progress_snapshots")) == [1, 2, 3]
+
+
+def test_a_batch_that_another_run_of_the_stream_brought_is_skipped(spark, tmp_path, monkeypatch):
+    tables = PublishedTables(spark, str(tmp_path), buckets=64)
+    rows = items(spark, lecture("1", 1, None, 1, True))
+    meeting(tables, monkeypatch, lambda: publish_items(tables, rows, NOW, ("s", 0)))
+    assert publish_items(tables, rows, NOW, ("s", 0)) == 1
+    assert tables.read("lectures").count() == 1
+
+
+@pytest.mark.parametrize("same", [False, True])
+def test_two_streams_at_once(spark, tmp_path, same):
+    """Both finish, into other courses or the same ones, and none of their records is lost."""
+    tables = PublishedTables(spark, f"{tmp_path}/tables", buckets=4, keep=50)
+    streams = []
+    for s in range(2):
+        for n in range(3):
+            number = n if same else 10 * s + n
+            rows = batch(spark, n * 10, course(f"https://x/classroom/{number + 1}"), lecture(str(number + 1), 1, s, 1, True))
+            rows.coalesce(1).write.parquet(f"{tmp_path}/in{s}/{n}")
+        source = spark.readStream.schema(ITEMS).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in{s}/*")
+        streams.append(stream_items(source, tables, f"{tmp_path}/checkpoint{s}", NOW))
+    for query in streams:
+        query.awaitTermination()
+    want = sorted({(n if same else 10 * s + n) + 1 for s in range(2) for n in range(3)})
+    assert ids(tables.read("courses")) == want
+    assert tables.read("lectures").count() == 6 and tables.read("crawl_logs").count() == 6
+    assert sorted(tables.newest().marks.values()) == [2, 2]
+
+
+def test_no_folder_is_left_behind(spark, tmp_path, monkeypatch):
+    """After refused commits and many small ones only the folders that a kept commit names are there."""
+    tables = PublishedTables(spark, str(tmp_path), buckets=2, keep=2)
+    for n in range(4):
+        publish_items(tables, items(spark, course(f"https://x/classroom/{n + 1}"), lecture(str(n + 1), 1, None, 1, True),
+                                    {"item_type": "outline"}), NOW, pass_on=lambda rows: None)
+    seen = tables.at(tables.numbers()[0])
+    every = (tables.read("courses"), ["0", "1"])
+    with pytest.raises(CommitConflict):
+        tables.publish({"courses": every}, seen, others=tables.read("courses"))
+    assert tables.publish({"courses": every}, seen, rebase=True) == tables.newest().number  # only the outbox was changed since
+    with pytest.raises(CommitConflict):
+        tables.publish({"courses": every}, seen, others=tables.read("courses"), rebase=True)
+    kept = set().union(*(tables.at(n).folders() for n in tables.numbers()))
+    named = {path.removeprefix(str(tmp_path) + "/").split("/part=")[0] for path in kept}
+    there = {f"{name}/{folder}" for name in (*TABLES, "outbox", "staging") if os.path.isdir(f"{tmp_path}/{name}")
+             for folder in os.listdir(f"{tmp_path}/{name}")}
+    assert there == named
+    assert len(os.listdir(f"{tmp_path}/manifests")) == 2
+
+
+def test_clearing_up_cannot_fail_a_commit(spark, tmp_path, monkeypatch):
+    tables = PublishedTables(spark, str(tmp_path), buckets=1, keep=1)
+    publish_items(tables, items(spark, course("https://x/classroom/1")), NOW)
+    monkeypatch.setattr(PublishedTables, "_remove", lambda *a: 1 / 0)
+    assert publish_items(tables, items(spark, course("https://x/classroom/2")), NOW) == 2
+    monkeypatch.undo()
+    assert ids(tables.read("courses")) == [1, 2] and tables.expire() and tables.numbers() == [2]
+
+
+def test_a_manifest_written_before_there_was_an_outbox(spark, tmp_path):
+    from coursepulse.sources.published import Commit
+    assert Commit.from_text('{"number": 3, "paths": [], "buckets": {}, "marks": {}}').outbox == {}
