@@ -617,6 +617,55 @@ QUERIES |= {
                   ORDER BY section_number, chapter_number, lecture_number) as integer) AS sort_order FROM classroom_lessons)""",
 }
 
+QUERIES["merged_history"] = QUERIES["completion_history"]
+QUERIES["deliver_items"] = (
+    "SELECT 'turn' AS item_type, conv_id AS seq, cast(turn as integer) AS position, text AS payload FROM conversations")
+# Ranges of days: the report of each day of the range.
+SNAPSHOT_RANGE = "(SELECT cast(unnest(generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY)) as date) AS as_of)"
+COMPLETION_RANGE = "(SELECT cast(unnest(generate_series(DATE '1998-05-15', DATE '1998-06-13', INTERVAL 1 DAY)) as date) AS as_of)"
+QUERIES["trend_4w_days"] = f"""
+    SELECT as_of, snapshot_date, count(DISTINCT course_id) AS course_count, sum(study_time) AS total_study,
+        cast(cast(floor(sum(study_time) / 1440) as bigint) as varchar) || '일 ' ||
+        cast(cast(floor((sum(study_time) % 1440) / 60) as bigint) as varchar) || '시간' AS total_dh,
+        floor(cast(sum(cast(round(progress_rate * 100) as bigint)) as double) / count(*) + 0.5) / 100 AS avg_progress
+    FROM {SNAPSHOT_RANGE} JOIN snapshots ON snapshot_date <= as_of AND snapshot_date >= as_of - 28 GROUP BY as_of, snapshot_date"""
+QUERIES["idle_courses_days"] = f"""
+    SELECT as_of, c.course_title, c.progress_rate, c.total_lecture_time - c.study_time AS remaining,
+        max(s.snapshot_date) AS last_snapshot
+    FROM {SNAPSHOT_RANGE} CROSS JOIN courses c LEFT JOIN snapshots s ON s.course_id = c.course_id AND s.snapshot_date <= as_of
+    WHERE c.total_lecture_time > c.study_time
+    GROUP BY as_of, c.course_id, c.course_title, c.progress_rate, c.total_lecture_time, c.study_time
+    HAVING max(s.snapshot_date) < as_of - 14 OR max(s.snapshot_date) IS NULL"""
+QUERIES["daily_stats_7d_days"] = f"""
+    SELECT as_of, cast(completed_at as date) AS completed_date, dayname(completed_at) AS day_name, {STATS}
+    FROM {COMPLETION_RANGE} JOIN lectures ON completed_at >= as_of - 7 AND completed_at < as_of + 1 GROUP BY 1, 2, 3"""
+# The tables after the classroom pages, each of which is its course's only one.
+PAGE_ITEMS = f"({QUERIES['page_items']})"
+QUERIES["stream_pages"] = f"""
+    SELECT 'courses' AS kind, cast(course_id as bigint) AS course_id, course_title, progress_rate, study_time, total_lecture_time, url,
+        cast(NULL as integer) AS display_order, false AS is_target_course, cast(NULL as timestamp) AS updated_at, cast(NULL as date) AS snapshot_date,
+        cast(NULL as timestamp) AS created_at, cast(NULL as integer) AS section_number, cast(NULL as varchar) AS section_title,
+        cast(NULL as integer) AS chapter_number, cast(NULL as varchar) AS chapter_title, cast(NULL as integer) AS lecture_number,
+        cast(NULL as varchar) AS lecture_title, cast(NULL as double) AS lecture_time, cast(NULL as boolean) AS is_completed,
+        cast(NULL as integer) AS sort_order, cast(NULL as timestamp) AS completed_at, cast(NULL as varchar) AS crawl_status,
+        cast(NULL as varchar) AS error_message, cast(NULL as timestamp) AS logged_at, cast(NULL as bigint) AS page_id, cast(NULL as varchar) AS rejected
+    FROM {PAGE_ITEMS} WHERE item_type = 'course' AND course_id <> '0'
+    UNION ALL BY NAME
+    SELECT 'course_progress_snapshots' AS kind, cast(course_id as bigint) AS course_id, DATE '2024-01-29' AS snapshot_date, progress_rate, study_time,
+        total_lecture_time, TIMESTAMP '2024-01-31 00:00:00' AS created_at
+    FROM {PAGE_ITEMS} WHERE item_type = 'course' AND course_id <> '0'
+    UNION ALL BY NAME
+    SELECT 'lectures' AS kind, cast(course_id as bigint) AS course_id, section_number, section_title, chapter_number,
+        'Chapter ' || chapter_number AS chapter_title, lecture_number, lecture_title, lecture_time, is_completed, sort_order,
+        CASE WHEN is_completed THEN TIMESTAMP '2024-01-31 00:00:00' END AS completed_at
+    FROM {PAGE_ITEMS} WHERE item_type = 'lecture'
+    UNION ALL BY NAME
+    SELECT 'crawl_logs' AS kind, cast(course_id as bigint) AS course_id, 'success' AS crawl_status, TIMESTAMP '2024-01-31 00:00:00' AS logged_at
+    FROM {PAGE_ITEMS} WHERE item_type = 'course' AND course_id <> '0'
+    UNION ALL BY NAME
+    SELECT 'rejected_pages' AS kind, page_id, '{SITE}/classroom/' || page_id AS url, rejected, TIMESTAMP '2024-01-31 00:00:00' AS logged_at
+    FROM ({QUERIES['rejected_pages']})"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: query(sql) for name, sql in QUERIES.items()}

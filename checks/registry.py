@@ -4,28 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from coursepulse.functions import clock, durations, links, page_fields
 from coursepulse.operators import completions as done
-from coursepulse.operators import curriculum, delta, extraction, maintenance, selection
+from coursepulse.operators import curriculum, delta, extraction, maintenance, replay, selection
 from coursepulse.operators import snapshots as progress
-from coursepulse.operators.history import LECTURE_KEY, completion_history
+from coursepulse.operators.history import LECTURE_KEY, compact_observations, completion_history, merge_observations
 from coursepulse.plans import collect, update
 from coursepulse.sources import migrations
 from coursepulse.sources.published import PublishedTables
 from coursepulse.sources.readers import read_page_archive, read_table
 from coursepulse.sources.scratch import scratch_folder
-from coursepulse.sources.schemas import CRAWL_LOGS, ITEMS, LECTURES, TABLES
+from coursepulse.sources.schemas import CRAWL_LOGS, ITEMS, LECTURES, PAGES, TABLES
 from coursepulse.sources.writers import write_feed
-from coursepulse.streaming.items import stream_items
+from coursepulse.streaming.items import stream_items, stream_pages
 
 from .views import BATCH_TIME, COMPLETION_DAY, SITE, SNAPSHOT_DAY, Views
 
 Query = Callable[[SparkSession, str], DataFrame]
-# Part files, and so micro-batches, of the checked stream.
+# Micro-batches of the checked streams, and parts of their tables.
 STREAM_PARTS = 4
+STREAM_BUCKETS = 8
+# First and last day of the checked ranges.
+SNAPSHOT_DAYS = ("2024-01-01", "2024-01-30")
+COMPLETION_DAYS = ("1998-05-15", "1998-06-13")
+KINDS = ("courses", "course_progress_snapshots", "lectures", "crawl_logs")
 
 
 def _on(build: Callable[[Views], DataFrame]) -> Query:
@@ -65,7 +71,7 @@ def _stored(v: Views) -> dict[str, DataFrame]:
     }
 
 
-def _all_columns(tables: dict[str, DataFrame]) -> DataFrame:
+def _all_columns(tables: dict[str, DataFrame], kinds: tuple[str, ...] = KINDS) -> DataFrame:
     """All rows of the tables with the name of their table; columns that a table lacks are NULL.
 
     The ids of log rows are hashes and stay out.
@@ -77,8 +83,8 @@ def _all_columns(tables: dict[str, DataFrame]) -> DataFrame:
         ]
         return tables[name].select(F.lit(name).alias("kind"), *columns)
 
-    rows = typed("courses")
-    for name in ("course_progress_snapshots", "lectures", "crawl_logs"):
+    rows = typed(kinds[0])
+    for name in kinds[1:]:
         rows = rows.unionByName(typed(name), allowMissingColumns=True)
     return rows
 
@@ -88,27 +94,62 @@ def _apply_items(v: Views) -> DataFrame:
     return _all_columns(update.apply_items(_stored(v), _batch(v), BATCH_TIME))
 
 
+def _arrive(spark: SparkSession, folder: str, rows: DataFrame, part: Column, start: Callable[[], StreamingQuery]) -> None:
+    """Rows come to the stream's folder part by part; after each the stream takes what has come, in one micro-batch."""
+    rows.write.parquet(f"{folder}-all")
+    stored = spark.read.schema(rows.schema).parquet(f"{folder}-all")
+    for number in range(STREAM_PARTS):
+        stored.filter(part == number).write.mode("append").parquet(folder)
+        start().awaitTermination()
+
+
 def _stream_items(spark: SparkSession, folder: str) -> DataFrame:
-    """The batch as a stream of part files, one a trigger, into published tables that hold the state before; every
+    """The batch as a stream that comes in parts, into published tables that hold the state before; every
     column of the tables that they end up with."""
     v = Views(spark, folder)
     scratch = scratch_folder(spark, "stream")
-    tables = PublishedTables(spark, f"{scratch}/tables")
+    tables = PublishedTables(spark, f"{scratch}/tables", STREAM_BUCKETS)
     tables.publish({name: (rows, []) for name, rows in _stored(v).items()})  # no parts to replace yet
-    # Lecture records in the order of their numbers, course records (one a course) dealt out. The stream takes the
-    # files in the order in which they were written.
-    _batch(v).write.parquet(f"{scratch}/records")
-    records = spark.read.schema(ITEMS).parquet(f"{scratch}/records")
-    low, high = records.filter("item_type = 'lecture'").agg(F.min("seq"), F.max("seq")).first()
+    # Lecture records in the order of their numbers, course records (one a course) dealt out.
+    batch = _batch(v)
+    low, high = v.batch_items().agg(F.min("seq"), F.max("seq")).first()
     in_order = F.floor((F.col("seq") - low) * STREAM_PARTS / (high - low + 1))
     part = F.when(F.col("item_type") == "course", F.col("seq") % STREAM_PARTS).otherwise(in_order)
-    for number in range(STREAM_PARTS):
-        records.filter(part == number).coalesce(1).write.mode("append").json(f"{scratch}/items")
-    stream = spark.readStream.schema(ITEMS).option("maxFilesPerTrigger", 1).json(f"{scratch}/items")
-    stream_items(stream, tables, f"{scratch}/checkpoint", BATCH_TIME).awaitTermination()
+    _arrive(spark, f"{scratch}/items", batch, part, lambda: stream_items(
+        spark.readStream.schema(ITEMS).parquet(f"{scratch}/items"), tables, f"{scratch}/checkpoint", BATCH_TIME))
     return _all_columns({name: tables.read(name) for name in TABLES})
 
 
+def _stream_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """The classroom pages as a stream that comes in parts, into empty tables; every column of what they end up with."""
+    v = Views(spark, folder)
+    scratch = scratch_folder(spark, "pages")
+    tables = PublishedTables(spark, f"{scratch}/tables", STREAM_BUCKETS)
+    part = F.pmod(F.col("page_id"), F.lit(STREAM_PARTS))
+    _arrive(spark, f"{scratch}/pages", v.classroom_pages().select("page_id", "url", "html"), part,
+            lambda: stream_pages(spark.readStream.schema(PAGES).parquet(f"{scratch}/pages"), tables, f"{scratch}/checkpoint", BATCH_TIME))
+    return _all_columns({name: tables.read(name) for name in TABLES}, (*KINDS, "rejected_pages"))
+
+
+def _delivered(v: Views) -> DataFrame:
+    """Conversation turns as records that no table takes, in a batch with course records; what the receiver of the
+    outbox has in the end."""
+    scratch = scratch_folder(v.spark, "delivered")
+    tables = PublishedTables(v.spark, f"{scratch}/tables", STREAM_BUCKETS)
+    others = v.table("conversations").select(F.lit("turn").alias("item_type"), F.col("conv_id").alias("seq"),
+                                             F.col("turn").alias("position"), F.col("text").alias("payload"))
+    batch = _text_items(others).unionByName(_text_items(v.course_items().withColumn("item_type", F.lit("course"))))
+    update.publish_items(tables, batch, BATCH_TIME, pass_on=lambda rows: rows.write.mode("append").parquet(f"{scratch}/taken"))
+    return v.spark.read.schema(ITEMS).parquet(f"{scratch}/taken").select("item_type", "seq", "position", "payload")
+
+
+def _merged_history(v: Views) -> DataFrame:
+    """The observations as three logs that overlap in time, each compacted, two of them merged before the third."""
+    rows = v.observations().select(*LECTURE_KEY, "is_completed", "observed_at", "seq")
+    logs = [compact_observations(rows.filter(F.pmod(F.xxhash64("seq"), F.lit(3)) == n)) for n in range(3)]
+    return completion_history(merge_observations(merge_observations(logs[2], logs[0]), logs[1]))
+
+
 def _recollect(v: Views) -> DataFrame:
     return update.recollect(v.courses(), v.lectures(), v.lecture_items(), BATCH_TIME)
 
@@ -238,7 +279,10 @@ QUERIES: dict[str, Query] = {
     "snapshot_history": _with_snapshots(progress.snapshot_history),
     "idle_courses": _with_snapshots(progress.idle_courses),
     "visible_as_of": _on(lambda v: clock.visible_as_of(v.snapshots(), "snapshot_date", SNAPSHOT_DAY)),
+    "trend_4w_days": _on(lambda v: replay.trend_4w_days(v.snapshots(), *SNAPSHOT_DAYS)),
+    "idle_courses_days": _on(lambda v: replay.idle_courses_days(v.snapshots(), v.courses(), *SNAPSHOT_DAYS)),
     # Completed lectures
+    "daily_stats_7d_days": _on(lambda v: replay.daily_stats_7d_days(v.lectures(), *COMPLETION_DAYS)),
     "completed_today": _with_lectures(done.completed_today),
     "completed_today_stats": _on(lambda v: done.completed_today_stats(v.lectures(), COMPLETION_DAY)),
     "completed_today_by_course": _with_lectures(done.completed_today_by_course),
@@ -281,6 +325,9 @@ QUERIES: dict[str, Query] = {
     "set_target": _on(lambda v: maintenance.set_target(v.courses(), [3, 7, 11])),
     "apply_items": _on(_apply_items),
     "stream_items": _stream_items,
+    "stream_pages": _stream_pages,
+    "deliver_items": _on(_delivered),
+    "merged_history": _on(_merged_history),
     # Page fields
     "course_id_from_classroom": _on(lambda v: v.page_text().select(
         "page_id", links.course_id_from_classroom("url").alias("text_id"))),

@@ -81,16 +81,13 @@ def completed_last_7d(lectures: DataFrame, courses: DataFrame, as_of: AsOf = Non
 
 def daily_stats_7d(lectures: DataFrame, as_of: AsOf = None) -> DataFrame:
     """Count, minutes and hours per day of the last seven days and today."""
-    return (
-        _last_days(lectures, 7, as_of)
-        .groupBy(F.to_date("completed_at").alias("completed_date"))
-        .agg(*_stats())
-        .select(
-            "completed_date", day_name("completed_date").alias("day_name"),
-            "lecture_count", "study_minutes", "study_hours",
-        )
-        .orderBy(F.desc("completed_date"))
-    )
+    return daily_stats(_last_days(lectures, 7, as_of)).orderBy(F.desc("completed_date"))
+
+
+def daily_stats(lectures: DataFrame) -> DataFrame:
+    """The figures of ``daily_stats_7d`` for every day."""
+    return lectures.groupBy(F.to_date("completed_at").alias("completed_date")).agg(*_stats()).select(
+        "completed_date", day_name("completed_date").alias("day_name"), "lecture_count", "study_minutes", "study_hours")
 
 
 def completed_on(lectures: DataFrame, courses: DataFrame, day: AsOf) -> DataFrame:

@@ -66,6 +66,47 @@ def fold_observations(log: DataFrame, attributes: list[str], time: str) -> DataF
         *[F.col(f"k.{name}") for name in key], "last", F.col("last_open").isNotNull().alias("any_open"), "any_done", "run_start")
 
 
+def compact_observations(log: DataFrame, settled: int | None = None) -> DataFrame:
+    """The observations of ``log`` that can still decide a completion history, unchanged.
+
+    Of each key these are the last observation, the last open one, and the done ones after that. Nothing else matters
+    whatever is added, so logs can be cut in any way, compacted, united in any grouping and compacted again:
+    ``completion_history`` of what is left is that of all observations. With ``settled``, the arrival number below which no
+    observation is going to be added, only the first done one after the last open one is kept of those below it,
+    which leaves three rows a key. Rows stay rows, so a key of very many is not gathered anywhere. Records without a matching key stand
+    for themselves and stay.
+    """
+    rows = log.select(F.struct(*[F.col(f"`{c}`") for c in log.columns]).alias("row"), *LECTURE_KEY, matchable().alias("matched"),
+                      F.coalesce("is_completed", F.lit(False)).alias("done"), arrival(log).alias("arrival"))
+    matched = rows.filter("matched")
+
+    def with_key(left: DataFrame, right: DataFrame) -> DataFrame:
+        same = F.lit(True)
+        for name in LECTURE_KEY:
+            same &= F.col(f"l.{name}").eqNullSafe(F.col(f"k.{name}"))
+        return left.alias("l").join(right.alias("k"), same).select("l.*", *[f"k.{c}" for c in right.columns if c not in LECTURE_KEY])
+
+    ends = matched.groupBy(*LECTURE_KEY).agg(F.max("arrival").alias("newest"), F.max(F.when(~F.col("done"), F.col("arrival"))).alias("last_open"))
+    after_open = F.col("done") & (F.col("last_open").isNull() | (F.col("arrival") > F.col("last_open")))
+    met = with_key(matched, ends)
+    if settled is not None:
+        firsts = met.filter(after_open).groupBy(*LECTURE_KEY).agg(F.min("arrival").alias("first_done"))
+        # A key that ends open has no first one; its rows are found without.
+        open_end = ends.filter("newest = last_open").select(*LECTURE_KEY, F.lit(None).cast(firsts.schema["first_done"].dataType).alias("first_done"))
+        met = with_key(met, firsts.unionByName(open_end))
+        after_open &= (F.col("arrival.seq") >= settled) | (F.col("arrival") == F.col("first_done"))
+    decides = (F.col("arrival") == F.col("newest")) | F.coalesce(F.col("arrival") == F.col("last_open"), F.lit(False)) | after_open
+    return met.filter(decides).select("row.*").unionByName(rows.filter("NOT matched").select("row.*"))
+
+
+def merge_observations(*logs: DataFrame, settled: int | None = None) -> DataFrame:
+    """Compacted logs, or whole ones, as one compacted log, in whatever order they come."""
+    merged = logs[0]
+    for more in logs[1:]:
+        merged = merged.unionByName(more)
+    return compact_observations(merged, settled)
+
+
 def completion_history(observations: DataFrame) -> DataFrame:
     """Current lecture state from a log of (key, is_completed, observed_at, seq) observations.
 

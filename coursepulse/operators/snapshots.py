@@ -72,10 +72,14 @@ def trend_4w(snapshots: DataFrame, as_of: AsOf = None) -> DataFrame:
     Progress is averaged as a decimal so that the two-place rounding does not depend on the order
     in which partitions are added up.
     """
+    seen = visible_as_of(snapshots, "snapshot_date", as_of).filter(F.col("snapshot_date") >= F.date_sub(as_of_date(as_of), 28))
+    return trend(seen).orderBy(F.desc("snapshot_date"))
+
+
+def trend(snapshots: DataFrame) -> DataFrame:
+    """The figures of ``trend_4w`` for every snapshot date."""
     return (
-        visible_as_of(snapshots, "snapshot_date", as_of)
-        .filter(F.col("snapshot_date") >= F.date_sub(as_of_date(as_of), 28))
-        .groupBy("snapshot_date")
+        snapshots.groupBy("snapshot_date")
         .agg(
             F.count_distinct("course_id").alias("course_count"),
             F.sum("study_time").alias("total_study"),
@@ -85,7 +89,6 @@ def trend_4w(snapshots: DataFrame, as_of: AsOf = None) -> DataFrame:
             "snapshot_date", "course_count", "total_study",
             days_hours(F.col("total_study")).alias("total_dh"), "avg_progress",
         )
-        .orderBy(F.desc("snapshot_date"))
     )
 
 

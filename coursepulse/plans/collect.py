@@ -16,6 +16,7 @@ from ..functions.page_fields import (
 from ..operators.curriculum import lesson_array, lesson_array_flat, timed
 from ..operators.extraction import extract_pages
 from ..sources.schemas import ITEMS
+from .update import REJECTED_ITEM
 
 
 def drop_unauthenticated(pages: DataFrame) -> DataFrame:
@@ -25,10 +26,13 @@ def drop_unauthenticated(pages: DataFrame) -> DataFrame:
 
 def course_records(pages: DataFrame) -> DataFrame:
     """Course fields of pages with url, page_title, h1 and body_text; other columns stay."""
+    return _course_fields(drop_unauthenticated(pages))
+
+
+def _course_fields(pages: DataFrame) -> DataFrame:
     own = ("page_title", "h1", "body_text", "url")
     return (
-        drop_unauthenticated(pages)
-        .withColumn("course_id", course_id_from_classroom("url"))
+        pages.withColumn("course_id", course_id_from_classroom("url"))
         .select(
             *[c for c in pages.columns if c not in own],
             "course_id",
@@ -42,15 +46,19 @@ def course_records(pages: DataFrame) -> DataFrame:
 
 
 def page_items(
-    pages: DataFrame, profile: str = "classroom", duration: Callable[[Column], Column] = parse_duration_daily
+    pages: DataFrame, profile: str = "classroom", duration: Callable[[Column], Column] = parse_duration_daily, rejects: bool = False,
 ) -> DataFrame:
     """Item records of archived pages: each page's course record, then its lectures.
 
     A page is read once; both kinds of record are elements of one array that is then exploded.
-    They arrive in the order of their pages (``seq``) and of their ``position`` in the page.
+    They arrive in the order of their pages (``seq``) and of their ``position`` in the page. With ``rejects`` a page that
+    cannot be read gives one record of its own kind, with the reason as its ``payload``; so one reading has both results.
     """
     lessons_of = lesson_array if profile == "classroom" else lesson_array_flat
-    found = course_records(extract_pages(pages, profile, ("url", "page_title", "h1", "body_text", "sections")))
+    read = extract_pages(pages, profile, ("url", "page_title", "h1", "body_text", "sections", *(["rejected"] if rejects else [])))
+    signed_in = F.coalesce(is_authenticated("page_title", "url"), F.lit(False))
+    unread = F.col("rejected").isNotNull() if rejects else F.lit(False)
+    found = _course_fields(read.filter(signed_in | unread))
     raw = T.StructType([*ITEMS, T.StructField("duration", T.StringType())])
 
     def item(item_type: str, position: Column, values: dict[str, Column]) -> Column:
@@ -74,6 +82,10 @@ def page_items(
         lessons_of(F.col("sections")),
         lambda row, i: item("lecture", i + 1, {**{c: row[c] for c in lesson_fields}, "sort_order": i + 1}),
     )
-    items = timed(found.select(F.inline(F.concat(F.array(course), lectures))), duration)
+    records = F.concat(F.array(course), lectures)
+    if rejects:
+        reject = item(REJECTED_ITEM, F.lit(0), {"url": F.col("url"), "course_title": F.lit(None), "payload": F.col("rejected")})
+        records = F.when(unread, F.array(reject)).otherwise(records)
+    items = timed(found.select(F.inline(records)), duration)
     minutes = F.when(F.col("item_type") == "lecture", F.col("lecture_time"))
     return items.withColumn("lecture_time", minutes).select(*ITEMS.fieldNames(), "duration_rejected")

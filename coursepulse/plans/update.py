@@ -10,31 +10,39 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.clock import AsOf, as_of_date, week_start
+from ..functions.clock import AsOf, as_of_date, as_of_time, week_start
 from ..operators.history import LECTURE_KEY
 from ..operators.maintenance import (
     delete_lectures, last_per_course, log_rows, merge_courses, merge_snapshots, upsert_lectures,
     valid_course_items, valid_lecture_items,
 )
 from ..operators.selection import coverage_audit
-from ..sources.published import CommitConflict, PublishedTables
+from ..sources.published import OUTBOX, CommitConflict, PublishedTables
 
 COURSE_ITEM = "course"
 LECTURE_ITEM = "lecture"
+REJECTED_ITEM = "rejected_page"
 
 
 class Routed(NamedTuple):
-    """A batch by record type; ``other`` passes through unchanged."""
+    """A batch by record type; ``other`` passes through unchanged, ``rejected`` are pages that could not be read."""
 
     courses: DataFrame
     lectures: DataFrame
     other: DataFrame
+    rejected: DataFrame
 
 
 def route_items(items: DataFrame) -> Routed:
     kind = F.col("item_type")
-    known = F.coalesce(kind.isin(COURSE_ITEM, LECTURE_ITEM), F.lit(False))
-    return Routed(items.filter(kind == COURSE_ITEM), items.filter(kind == LECTURE_ITEM), items.filter(~known))
+    known = F.coalesce(kind.isin(COURSE_ITEM, LECTURE_ITEM, REJECTED_ITEM), F.lit(False))
+    return Routed(items.filter(kind == COURSE_ITEM), items.filter(kind == LECTURE_ITEM), items.filter(~known),
+                  items.filter(kind == REJECTED_ITEM))
+
+
+def rejected_rows(rejected: DataFrame, as_of: AsOf = None) -> DataFrame:
+    """Table rows of the records of pages that could not be read."""
+    return rejected.select(F.col("seq").alias("page_id"), "url", F.col("payload").alias("rejected"), as_of_time(as_of).alias("logged_at"))
 
 
 def apply_items(tables: dict[str, DataFrame], items: DataFrame, as_of: AsOf = None) -> dict[str, DataFrame]:
@@ -100,18 +108,21 @@ def _publish(tables: PublishedTables, records: DataFrame, as_of: AsOf, mark: tup
     last = tables.newest()
     routed = route_items(records)
     week = str(records.sparkSession.range(1).select(week_start(as_of_date(as_of))).first()[0])
-    parts = {
-        "courses": tables.touched("courses", valid_course_items(routed.courses), last),
-        "lectures": tables.touched("lectures", valid_lecture_items(routed.lectures), last),
-        "course_progress_snapshots": [week],
-        "crawl_logs": [],
-    }
+    # What the batch concerns, in one job: parts of tables, and whether there are records of the other kinds.
+    found = tables.touched_by({
+        "courses": valid_course_items(routed.courses), "lectures": valid_lecture_items(routed.lectures),
+        "rejected_pages": routed.rejected, **({OUTBOX: routed.other} if keep_others else {}),
+    }, last)
+    parts = {"courses": found["courses"], "lectures": found["lectures"], "course_progress_snapshots": [week], "crawl_logs": []}
     stored = {name: tables.read(name, parts[name], last) for name in parts}
     changed = apply_items(stored, records, as_of)
     # Tables that no record of the batch concerns are left as they are.
     concerned = [name for name in parts if parts["lectures" if name == "lectures" else "courses"]]
-    others = routed.other if keep_others and not routed.other.isEmpty() else None
-    return tables.publish({name: (changed[name], parts[name]) for name in concerned}, last, mark, others, rebase=True)
+    changes = {name: (changed[name], parts[name]) for name in concerned}
+    if found["rejected_pages"]:
+        changes["rejected_pages"] = (rejected_rows(routed.rejected, as_of), [])
+    others = routed.other if found.get(OUTBOX) else None
+    return tables.publish(changes, last, mark, others, rebase=True)
 
 
 @contextmanager

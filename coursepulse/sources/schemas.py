@@ -37,11 +37,15 @@ CRAWL_LOGS = _struct(
     "log_id BIGINT, course_id BIGINT, crawl_status STRING, error_message STRING, logged_at TIMESTAMP"
 )
 
+# Pages that could not be read, and why.
+REJECTED_PAGES = _struct("page_id BIGINT, url STRING, rejected STRING, logged_at TIMESTAMP")
+
 TABLES = {
     "courses": COURSES,
     "lectures": LECTURES,
     "course_progress_snapshots": SNAPSHOTS,
     "crawl_logs": CRAWL_LOGS,
+    "rejected_pages": REJECTED_PAGES,
 }
 
 PAGES = _struct("page_id BIGINT, url STRING, html STRING")

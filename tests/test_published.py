@@ -324,3 +324,31 @@ def test_clearing_up_cannot_fail_a_commit(spark, tmp_path, monkeypatch):
 def test_a_manifest_written_before_there_was_an_outbox(spark, tmp_path):
     from coursepulse.sources.published import Commit
     assert Commit.from_text('{"number": 3, "paths": [], "buckets": {}, "marks": {}}').outbox == {}
+
+
+def test_pages_come_as_a_stream(spark, tmp_path):
+    """Each page is read once; records and rejected pages are one commit; the tables are those of a batch."""
+    from coursepulse.plans.collect import page_items
+    from coursepulse.streaming.items import stream_pages
+
+    def page(number, done):
+        clip = "classroom-sidebar-clip__chapter"
+        return (number, f"https://x/classroom/{number}", f"<title>t</title><h1>Course number {number}</h1><div class='{clip}'><p class='{clip}__title'>S</p>"
+                f"<div class='{clip}__clip{f' {clip}__clip--complete' if done else ''}'><span class='{clip}__clip__title'>L</span></div></div>")
+
+    schema = "page_id long, url string, html string"
+    parts = [[page(1, True), (2, "https://x/classroom/2", None)], [(3, "https://x/classroom/3", None), page(4, False)], [page(5, True)]]
+    tables = PublishedTables(spark, f"{tmp_path}/tables", buckets=2)
+    for number, rows in enumerate(parts):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/pages")
+        stream_pages(spark.readStream.schema(schema).parquet(f"{tmp_path}/pages"), tables, f"{tmp_path}/checkpoint", NOW).awaitTermination()
+        assert tables.newest().number == number + 1
+    whole = spark.createDataFrame(sum(parts, []), schema)
+    state = {name: spark.createDataFrame([], schema) for name, schema in TABLES.items()}
+    for name, df in apply_items(state, page_items(whole), NOW).items():
+        assert values(tables.read(name).select(df.columns)) == values(df), name
+    assert values(tables.read("rejected_pages").select("page_id", "url", "rejected")) == [
+        (n, f"https://x/classroom/{n}", "no markup") for n in (2, 3)]
+    assert tables.read("courses").count() == 3
+    both = page_items(whole, rejects=True)
+    assert values(both.filter("item_type <> 'rejected_page'")) == values(page_items(whole))
