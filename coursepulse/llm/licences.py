@@ -1,16 +1,17 @@
 """Licence scan: a trained paragraph classifier, in DataFrame and Spark ML operations only.
 
-A paragraph ends at a line without letters and digits, so comment marks do not join paragraphs. Notices are wrapped anywhere:
-every line of a paragraph is judged, and every run of neighbouring lines, joined by spaces, whose inner lines hold no more
+A paragraph ends at a line without letters and digits, so comment marks do not join paragraphs. Notices are wrapped anywhere and
+follow each other on one line: every piece of a paragraph, that is a line or a sentence of it, is judged, and every run of neighbouring pieces,
+joined by spaces, whose inner pieces hold no more
 words than the longest notice. A run's features are the words, and the runs of two and three words, that hold a licence
 word (``CUES``). A
 sparse multinomial logistic regression over these n-grams, trained on the notices below, gives a probability for each
-licence family and for "unknown". The unknown class is calibrated: notices with words taken out are set aside from the
-training, and the least probability of the right family among them (at a documented quantile) is the level below
-which a paragraph is unknown. A prediction is confirmed by comparing the paragraph with the family's notices: enough
-of some notice's word pairs must stand in it. Of runs that share a line the best confirmed one counts, if they are of one
-family or are confirmed by the same word pairs; so a notice counts once. The classifier gives a
-run one family: of two notices of different families on one line one is found. A run without a licence word has no feature at all and
+licence family and for "unknown", which is trained on prose and on notices of licences that are not listed. The level below which a run is
+unknown is calibrated on lines set aside from the training: notices with words taken out, of which a documented quantile may fall below
+it, and notices of other unlisted licences, which should fall below it as far as nine of ten of the right ones stay above. A prediction is
+confirmed by comparing the run with the family's notices: enough of some notice's word pairs must stand in it, and a pair weighs the
+less the more families use it, so what all notices share confirms none. Of runs that share a piece the best confirmed one counts, if they are of one
+family or are confirmed by the same word pairs; so a notice counts once. A run without a licence word has no feature at all and
 is unknown by construction, so it is left out before anything is computed for it.
 
 Defined cases: null and empty texts have no paragraph; several notices in a document give several findings, repeated
@@ -30,6 +31,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .shared import forget, stage
+
 UNKNOWN = "unknown"
 
 # Notices by licence family, as their publishers word them, and lines that are no notice.
@@ -40,6 +43,7 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "SPDX-License-Identifier: Apache-2.0",
         "This project is released under the Apache 2.0 license.",
         "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        "Apache License Version 2.0, January 2004",
     ),
     "MIT": (
         "Released under the MIT License.",
@@ -47,6 +51,7 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "SPDX-License-Identifier: MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files",
         "This software is distributed under the terms of the MIT license.",
+        "MIT License",
     ),
     "BSD": (
         "Licensed under the BSD 3-Clause License.",
@@ -54,6 +59,7 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "SPDX-License-Identifier: BSD-3-Clause",
         "Released under the BSD license.",
         "Use of this source code is governed by a BSD-style license.",
+        "BSD 3-Clause License",
     ),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -61,6 +67,13 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "SPDX-License-Identifier: GPL-3.0-or-later",
         "Licensed under the GPL, version 2 or later.",
         "Released under the GNU GPL v3 license.",
+        "GNU General Public License Version 3, 29 June 2007",
+    ),
+    "AGPL": (
+        "Licensed under the GNU Affero General Public License, version 3.",
+        "SPDX-License-Identifier: AGPL-3.0-only",
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License",
+        "GNU Affero General Public License Version 3, 19 November 2007",
     ),
     "LGPL": (
         "Licensed under the GNU Lesser General Public License, version 2.1.",
@@ -73,6 +86,23 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "Licensed under the Mozilla Public License, version 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
     ),
+    "EPL-2.0": (
+        "Licensed under the Eclipse Public License, version 2.0.",
+        "SPDX-License-Identifier: EPL-2.0",
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0",
+    ),
+    "ISC": (
+        "Licensed under the ISC License.",
+        "SPDX-License-Identifier: ISC",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted",
+        "ISC License",
+    ),
+    "Zlib": (
+        "Licensed under the zlib License.",
+        "SPDX-License-Identifier: Zlib",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable",
+        "zlib License",
+    ),
     "CC-BY": (
         "Licensed under CC BY 4.0.",
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -113,13 +143,22 @@ NOTICES: dict[str, tuple[str, ...]] = {
     ),
 }
 
+# Notices of licences that are not listed: what the unknown class learns besides prose, and what it is calibrated on.
+UNLISTED = ("SPDX-License-Identifier: {}", "Licensed under the {} License.", "Licensed under the {} Public License, version 3.",
+            "Released under the {} license.", "This software is distributed under the terms of the {} license.",
+            "This project is released under the {} 2.0 license.", "{} License", "Licensed under {} 4.0.", "{} License Version 2.0, June 2010")
+UNLISTED_LEARNED = ("Artistic", "Boost Software", "WTFPL", "Example Company", "own", "OFL-1.1", "Open Database")
+UNLISTED_SET_ASIDE = ("Beerware", "Sleepycat", "PostgreSQL", "Ruby", "Acme", "NCSA", "house")
+
 # The words that make a run of words a feature.
 CUES = ("license", "licensed", "licenses", "licence", "licenced", "apache", "identifier", "bsd", "gnu", "gpl", "lgpl", "mozilla", "mpl", "cc",
         "cc0", "commons", "creative", "copyright", "copyrighted", "rights", "reserved", "permission", "granted", "redistribution",
         "redistribute", "unencumbered", "domain", "proprietary", "confidential", "prohibited", "spdx", "sharealike", "noncommercial",
-        "attribution", "waived")
+        "attribution", "waived", "affero", "agpl", "eclipse", "epl", "isc", "zlib", "warranty", "liable")
 
-BLOCK = 256  # lines whose confirmed runs are compared with each other
+#: Where a paragraph is cut into pieces: at line ends, and after the end of a sentence.
+PIECE = r"\n|(?<=[.;])[ \t]+(?=\p{Lu})"
+BLOCK = 256  # pieces whose confirmed runs are compared with each other
 
 
 class Model(NamedTuple):
@@ -157,16 +196,22 @@ def ngrams(words: Column) -> Column:
                     F.filter(longer, lambda gram: F.arrays_overlap(F.split(gram, " "), cues)))
 
 
-def notices(spark: SparkSession) -> DataFrame:
-    """family, class number, notice, and its words."""
-    rows = [F.struct(F.lit(family).alias("family"), F.lit(float(i)).alias("label"), F.lit(line).alias("line"))
-            for i, family in enumerate(NOTICES) for line in NOTICES[family]]
+def _lines(spark: SparkSession, lines: list[tuple[str, str]]) -> DataFrame:
+    """family, class number, line, and its words."""
+    number = {family: float(i) for i, family in enumerate(NOTICES)}
+    rows = [F.struct(F.lit(family).alias("family"), F.lit(number[family]).alias("label"), F.lit(line).alias("line")) for family, line in lines]
     return spark.range(1).select(F.inline(F.array(*rows))).withColumn("words", tokens(F.col("line")))
 
 
+def notices(spark: SparkSession) -> DataFrame:
+    """The listed notices, and the lines of the unknown class."""
+    unlisted = [(UNKNOWN, line.format(name)) for line in UNLISTED for name in UNLISTED_LEARNED]
+    return _lines(spark, [(family, line) for family, lines in NOTICES.items() for line in lines] + unlisted)
+
+
 def fit(spark: SparkSession, quantile: float = 0.02, overlap: float = 0.6, vocabulary: int = 4000) -> Model:
     """Train on the notices and on copies with every third or every fourth word left out; calibrate on copies with
-    every fifth word left out. ``vocabulary``: the most n-grams that become features."""
+    every fifth word left out and on unlisted notices set aside. ``vocabulary``: the most n-grams that become features."""
     given = notices(spark)
 
     def without(step: int) -> DataFrame:
@@ -180,20 +225,50 @@ def fit(spark: SparkSession, quantile: float = 0.02, overlap: float = 0.6, vocab
     checked = classifier.transform(without(5).withColumn("ngrams", ngrams(F.col("words")))).filter(
         (F.col("family") != UNKNOWN) & (F.size("ngrams") > 0) & (F.col("label") == F.col("prediction")))
     right = F.element_at(vector_to_array("probability"), F.col("label").cast("int") + 1)
-    least = checked.agg(F.percentile(right, F.lit(quantile))).first()[0]
-    return Model(classifier, list(NOTICES), least, overlap)
+    low, tenth = checked.agg(F.percentile(right, F.lit(quantile)), F.percentile(right, F.lit(0.1))).first()
+    strange = _lines(spark, [(UNKNOWN, line.format(name)) for line in UNLISTED for name in UNLISTED_SET_ASIDE])
+    listed = F.slice(vector_to_array("probability"), 1, len(NOTICES) - 1)  # the unknown class is the last
+    high = classifier.transform(strange.withColumn("ngrams", ngrams(F.col("words")))).agg(
+        F.percentile(F.array_max(listed), F.lit(1 - quantile))).first()[0]
+    return Model(classifier, list(NOTICES), max(low, min(high, tenth)), overlap)
+
+
+def _pairs(words: list[str]) -> list[str]:
+    return [f"{x} {y}" for x, y in zip(words, words[1:])]
+
+
+def _weighed() -> list[tuple[str, list[str], dict[str, float]]]:
+    """Family, words and weighed word pairs of every listed notice. A pair weighs one by the families whose notices hold it."""
+    held: dict[str, set[str]] = {}
+    for family, lines in NOTICES.items():
+        for line in lines:
+            for pair in _pairs(_words(line)):
+                held.setdefault(pair, set()).add(family)
+    return [(family, words, {pair: 1 / len(held[pair]) for pair in _pairs(words)})
+            for family, lines in NOTICES.items() if family != UNKNOWN for words in map(_words, lines)]
+
+
+def _missable(weights: dict[str, float], overlap: float) -> int:
+    """How many of the pairs may be missing at most while the others have ``overlap`` of the weight."""
+    spare, count = (1 - overlap) * sum(weights.values()) + 1e-9, 0
+    for weight in sorted(weights.values()):
+        spare -= weight
+        if spare < 0:
+            break
+        count += 1
+    return count
 
 
 def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", overlap: float = 0.0) -> DataFrame:
-    """row, id, paragraph, start, end, line: the runs of neighbouring lines that hold a cue, without those whose words rule out that
-    ``overlap`` of a notice's word pairs stand there. ``row`` tells rows of one id apart."""
+    """row, id, paragraph, start, end, line: the runs of neighbouring pieces that hold a cue, without those whose words rule out that
+    ``overlap`` of the weight of a notice's word pairs stands there. ``row`` tells rows of one id apart."""
     cue = rf"\b({'|'.join(CUES)})\b"
-    wanted = [_words(line) for family, lines in NOTICES.items() if family != UNKNOWN for line in lines]
-    longest = max(map(len, wanted))
-    # Common pairs c of a notice's m touch c + 1 of its m + 1 words at least, so at most m - c of its different words are missing.
+    wanted = _weighed()
+    longest = max(len(words) for _, words, _ in wanted)
+    # A word that is missing takes a pair with it, a different one each; so at most as many of a notice's words as pairs may be missing.
     needs = F.array(*[F.struct(F.array(*map(F.lit, sorted(set(words)))).alias("words"),
-                               F.lit(len(set(words)) - (1 - overlap) * (len(words) - 1) - 1e-6).alias("least")) for words in wanted])
-    known = F.array(*map(F.lit, sorted({word for words in wanted for word in words})))
+                               F.lit(len(set(words)) - _missable(weights, overlap)).alias("least")) for _, words, weights in wanted])
+    known = F.array(*map(F.lit, sorted({word for _, words, _ in wanted for word in words})))
     # One look at the whole text first: most documents hold no cue.
     some = docs.select(F.col(id_col).alias("id"), F.col(text).alias("body")).filter(F.lower("body").rlike(cue)).select(
         F.monotonically_increasing_id().alias("row"), "id", F.regexp_replace("body", r"\r\n?", "\n").alias("body"))
@@ -201,7 +276,7 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", over
     parts = F.split(F.regexp_replace("body", r"\n[^\p{L}\d\n]*+(?=\n)", "\n"), r"\n{2,}")
 
     def lined(part: Column) -> Column:
-        lines = F.split(part, r"\n")
+        lines = F.split(part, PIECE)
         return F.struct(lines.alias("lines"), F.transform(lines, tokens).alias("words"))
 
     split = some.select("row", "id", F.posexplode(F.transform(F.filter(parts, lambda x: F.lower(x).rlike(cue)), lined)).alias("paragraph", "part"))
@@ -233,14 +308,17 @@ def paragraphs(docs: DataFrame, id_col: str = "doc_id", text: str = "text", over
 
 
 def _confirmation(words: Column, number: Column) -> Column:
-    """The largest share of a notice's word pairs that stands among ``words``, over the notices of class ``number``, and those pairs."""
-    given = F.array(*[F.struct(F.lit(i).alias("number"), F.array(*[F.lit(f"{x} {y}") for x, y in zip(words, words[1:])]).alias("pairs"))
-                      for i, family in enumerate(NOTICES) for words in map(_words, NOTICES[family]) if family != UNKNOWN])
+    """The largest share of the weight of a notice's word pairs that stands among ``words``, over the notices of class ``number``, and those pairs."""
+    place = {family: i for i, family in enumerate(NOTICES)}
+    given = F.array(*[F.struct(F.lit(place[family]).alias("number"), F.lit(sum(weights.values())).alias("whole"),
+                               F.array(*[F.struct(F.lit(pair).alias("pair"), F.lit(weight).alias("weight")) for pair, weight in weights.items()]).alias("pairs"))
+                      for family, _, weights in _weighed()])
     own = F.filter(given, lambda notice: notice["number"] == number)
 
     def share(notice: Column, held: Column) -> Column:
-        common = F.array_intersect(notice["pairs"], held)
-        return F.struct((F.size(common) / F.size(notice["pairs"])).alias("overlap"), common.alias("pairs"))
+        common = F.filter(notice["pairs"], lambda p: F.array_contains(held, p["pair"]))
+        weight = F.aggregate(common, F.lit(0.0), lambda total, p: total + p["weight"])
+        return F.struct((weight / notice["whole"]).alias("overlap"), F.transform(common, lambda p: p["pair"]).alias("pairs"))
 
     # In an array of one, so that the pairs of the run are made once.
     return F.transform(F.array(_grams(words, 2)), lambda held: F.array_max(F.transform(own, lambda notice: share(notice, held))))[0]
@@ -266,19 +344,21 @@ def _best(found: DataFrame, shift: int) -> DataFrame:
 
 def scan(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document and confirmed notice: id, family, probability, overlap, line, n."""
-    read = paragraphs(docs, id_col, text, model.overlap).withColumn("words", tokens(F.col("line"))).withColumn("ngrams", ngrams(F.col("words")))
+    # Each step is written before the next: merged into one projection, the words of a run would be made again for every notice.
+    runs = stage(paragraphs(docs, id_col, text, model.overlap), "runs")
+    words = stage(runs.withColumn("words", tokens(F.col("line"))), "words")
+    read = stage(words.withColumn("ngrams", ngrams(F.col("words"))).filter(F.size("ngrams") > 0), "ngrams")
     number = F.col("prediction").cast("int")
-    judged = (
-        model.classifier.transform(read.filter(F.size("ngrams") > 0))
-        .withColumn("probability", F.array_max(vector_to_array("probability")))
-        .filter((F.element_at(F.array(*map(F.lit, model.families)), number + 1) != UNKNOWN) & (F.col("probability") >= model.least))
-    )
-    confirmed = (
-        judged.withColumn("confirmed", _confirmation(F.col("words"), number))
-        .filter(F.col("confirmed.overlap") >= model.overlap)
-        .select("row", "id", "paragraph", "start", "end", F.element_at(F.array(*map(F.lit, model.families)), number + 1).alias("family"),
-                "probability", "confirmed.overlap", "confirmed.pairs", "line")
-    )
+    judged = model.classifier.transform(read).select(
+        "row", "id", "paragraph", "start", "end", "line", "words", number.alias("number"),
+        F.array_max(vector_to_array("probability")).alias("probability"))
+    family = F.element_at(F.array(*map(F.lit, model.families)), F.col("number") + 1)
+    likely = stage(judged, "judged").withColumn("family", family).filter(
+        (F.col("family") != UNKNOWN) & (F.col("probability") >= model.least))
+    confirmed = stage(likely.withColumn("confirmed", _confirmation(F.col("words"), F.col("number"))), "confirmed")
+    forget(runs, words, read)
+    confirmed = confirmed.filter(F.col("confirmed.overlap") >= model.overlap).select(
+        "row", "id", "paragraph", "start", "end", "family", "probability", "confirmed.overlap", "confirmed.pairs", "line")
     # Once more with the blocks shifted, for runs on two sides of a block's edge.
     return (
         _best(_best(confirmed, 0), BLOCK // 2)

@@ -19,7 +19,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = stage(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
                  .filter("a != b").distinct(), "links")
-    labels = stage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
+    labels = held = stage(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("least"))
                    .select("node", F.least("node", "least").alias("component")), "labels")
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("near"))
@@ -27,8 +27,8 @@ def components(edges: DataFrame) -> DataFrame:
         jump = labels.select(F.col("node").alias("component"), F.col("component").alias("further"))
         after = stage(step.join(jump, "component", "left").select(
             "node", "before", F.least("component", F.coalesce("further", "component")).alias("component")), "labels")
-        forget(labels)
-        labels = after.select("node", "component")
+        forget(held)
+        held, labels = after, after.select("node", "component")
         if after.filter("before != component").isEmpty():
             forget(both)
             return labels

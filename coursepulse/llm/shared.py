@@ -35,16 +35,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: it is computed once, and a lost executor costs nothing."""
     path = scratch_folder(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.staged_in = path
+    return table
 
 
 def forget(*tables: DataFrame) -> None:
-    """Delete the files of staged tables that no later step reads."""
+    """Delete the folders of staged tables, as ``stage`` gave them, that no later step reads."""
     for table in tables:
         spark = table.sparkSession
-        for folder in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.staged_in)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def remainder(id_column: Column, parts: int) -> Column:

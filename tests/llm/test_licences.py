@@ -87,3 +87,37 @@ def test_wrapped_at_other_widths_and_across_lines(documents, model):
 
 def test_a_paragraph_of_many_notices(documents, model):
     assert found(documents, model, "\n".join([WRAPPED["GPL"].split("\n\n")[0]] * 200)) == [(0, "GPL", 200)]
+
+
+@pytest.mark.parametrize(("text", "families"), [
+    ("SPDX-License-Identifier: AGPL-3.0-only", ["AGPL"]),
+    ("SPDX-License-Identifier: EPL-2.0", ["EPL-2.0"]),
+    ("SPDX-License-Identifier: ISC", ["ISC"]),
+    ("SPDX-License-Identifier: Zlib", ["Zlib"]),
+    ("GNU Affero General Public License, version 3", ["AGPL"]),
+    ("MIT License", ["MIT"]),
+    ("Apache License Version 2.0, January 2004", ["Apache-2.0"]),
+    ("Licensed under the ISC License.", ["ISC"]),
+    ("Released under the MIT License. Licensed under the Apache License, Version 2.0.", ["Apache-2.0", "MIT"]),
+    ("SPDX-License-Identifier: MIT", ["MIT"]),
+])
+def test_named_notices(documents, model, text, families):
+    assert [family for _, family, _ in found(documents, model, text)] == families
+
+
+def test_unlisted_licences_are_unknown(documents, model):
+    """Names that were neither learned nor used in the calibration."""
+    names = ["Frobnicate", "CDDL-1.0", "Python-2.0", "Glorious Company", "OpenSSL", "LicenseRef-Internal", "Vim", "Unicode"]
+    assert found(documents, model, *[line.format(name) for line in licences.UNLISTED for name in names]) == []
+
+
+def test_words_are_made_once(documents, model, monkeypatch):
+    """No written step holds the expression that cuts a line into words more than once."""
+    plans = []
+    real = licences.stage
+    monkeypatch.setattr(licences, "stage", lambda df, name: plans.append(
+        df._jdf.queryExecution().optimizedPlan().toString()) or real(df, name))
+    licences.scan(documents((1, "Released under the MIT License.")), model).count()
+    assert len(plans) == 5
+    for plan in plans:
+        assert plan.count("regexp_extract_all(lower(") <= 1
