@@ -12,10 +12,13 @@ with the smallest of them and with the smallest of their part of the key only. W
 pairs of different components that share a key are compared, so a group of very many copies of one another is never
 expanded into its pairs. That round makes a pair once, at the first key that the two share, and only if a signature of
 ``LONG`` bits leaves the threshold possible: a pair at the threshold is further apart with a probability below 1e-6.
+Keys of more than ``CROWD`` documents, as those of pages made from one template, do not make pairs at all: their documents meet on rare
+shingles instead. Two sets above the threshold share one of the rarest shingles of each (as many as may be missing, and one
+more), so the join on these is exact, and what a template repeats everywhere is not among them.
 
 Defined cases: null and empty texts have the empty set and are linked with nothing; a text of fewer words is one shingle,
-all its words; rows that share an id are one document, the greatest text; rows with a null id are left out; an empty
-table gives an empty result; other columns are ignored. Texts are read whole.
+all its words; every row is a document and gives a row; rows without an id come after all others, so their component has an id
+if any of it has, and else null; an empty table gives an empty result; other columns are ignored. Texts are read whole.
 """
 
 from __future__ import annotations
@@ -28,11 +31,12 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from . import anchors as anchor
 from .links import components
 from .repeats import pack
-from .shared import keyed, one_per_id, ship, stage, text_digest, without
+from .shared import each_row, keyed, ship, stage, text_digest, without
 
 SHINGLE = 5
 BITS = 16
@@ -42,6 +46,7 @@ SYMBOLS = CHUNK * (EXACT + ERRING)
 REACH = EXACT + 2 * ERRING - 1
 LONG = 2048  # one-bit minima that tell pairs apart before their sets are compared
 ROWS = 256  # documents that a task holds at a time
+CROWD = 64  # documents of a key above which rare shingles are joined instead
 PARTS = 16  # parts of a key's documents, each with a second document to compare with
 _SEEDS = anchor.mix(np.arange(1, 2 * (SYMBOLS + LONG) + 1, dtype=np.uint64))
 _FACTORS, _SHIFTS = _SEEDS[::2] | np.uint64(1), _SEEDS[1::2]
@@ -157,9 +162,37 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sided.select("a", "b", "left", "right").mapInArrow(check, f"a {id_type}, b {id_type}")
 
 
+def rare_pairs(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: pairs of different components among the documents ``crowd`` (rep, n, component) that share a rare shingle of both."""
+    ship(crowd.sparkSession)
+    id_type = crowd.schema["rep"].dataType.simpleString()
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, len(whole), ROWS)):
+            found = [np.frombuffer(x.as_py(), np.int64) for x in batch["shingles"]]
+            if found:
+                yield pa.RecordBatch.from_pydict({"rep": batch["rep"].take(pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))),
+                                                  "shingle": pa.array(np.concatenate(found))})
+
+    held = crowd.join(sets.select(F.col("id").alias("rep"), "shingles"), "rep").select("rep", "shingles")
+    rows = stage(held.mapInArrow(spread, f"rep {id_type}, shingle long").join(crowd, "rep"), "crowd")
+    known = rows.groupBy("shingle").agg(F.count("*").alias("held_by"), F.min("component").alias("low"), F.max("component").alias("high"))
+    rarest = Window.partitionBy("rep").orderBy("held_by", "shingle")
+    missing = F.col("n") - F.ceil(F.col("n") * percent / 100)
+    rare = stage(
+        rows.join(known, "shingle").withColumn("place", F.row_number().over(rarest)).filter(F.col("place") <= missing + 1)
+        .filter("low != high").select("shingle", "rep", "n", "component"), "rare")
+    left, right = (rare.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in ("rep", "n", "component")]) for side in ("left", "right"))
+    return left.join(right, "shingle").filter(
+        (F.col("left_rep") < F.col("right_rep")) & (F.col("left_component") != F.col("right_component"))
+        & (F.least("left_n", "right_n") * 100 >= F.greatest("left_n", "right_n") * percent)
+    ).select(F.col("left_rep").alias("a"), F.col("right_rep").alias("b")).distinct()
+
+
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
     """One row per document: id, n_shingles, component_id (the smallest id that its links reach, itself included)."""
-    rows = one_per_id(docs, id_col, text)
+    given = each_row(docs, id_col, F.coalesce(F.col(f"`{text}`"), F.lit("")), "body")
+    rows = given.rows
     sketched = stage(sketches(rows), "sketches")
     classes = stage(sketched.filter("n > 0").groupBy("one", "two", "n").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")), "classes")
     # Documents that share a key, found by counts that combine before they are shuffled.
@@ -177,8 +210,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
     labelled = stage(
         members.select("key", "place", "rep", "n").join(components(first_links).withColumnRenamed("node", "rep"), "rep", "left")
         .withColumn("component", F.coalesce("component", "rep")), "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
-    apart = labelled.join(mixed.select("key"), "key")
+    mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("documents")).filter("low != high")
+    apart = labelled.join(mixed.select("key", "documents"), "key")
+    crowd = stage(apart.filter(F.col("documents") > CROWD).select("rep", "n", "component").distinct(), "crowd")
+    apart = apart.filter(F.col("documents") <= CROWD).drop("documents")
     joined = stage(apart.join(classes.select("rep", "keys"), "rep").join(
         sets.select(F.col("id").alias("rep"), "bits"), "rep"), "apart")
     left, right = (joined.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("place", "rep", "n", "component", "keys", "bits")])
@@ -190,15 +225,18 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
                 & (F.least("left_n", "right_n") * 100 >= F.greatest("left_n", "right_n") * percent)
                 & F.expr(f"{differing} <= {most_apart(percent)}")
                 & F.expr("NOT exists(zip_with(slice(left_keys, 1, left_place), slice(right_keys, 1, left_place), (x, y) -> x = y), z -> z)"))
-        .select(F.col("left_rep").alias("a"), F.col("right_rep").alias("b")).distinct()
-        .join(first_pairs, ["a", "b"], "left_anti")
+        .select(F.col("left_rep").alias("a"), F.col("right_rep").alias("b"))
     )
+    if not crowd.isEmpty():
+        second_pairs = second_pairs.unionByName(rare_pairs(crowd, sets, percent))
+    second_pairs = stage(second_pairs.distinct().join(first_pairs, ["a", "b"], "left_anti"), "second")
     links = first_links.unionByName(stage(confirm(second_pairs, sets, percent), "links"))
     labels = components(links).withColumnRenamed("node", "rep")
     owners = classes.select("one", "two", "n", "rep").join(labels, "rep", "left").select(
         "one", "two", "n", F.coalesce("component", "rep").alias("component"))
-    return sketched.select("id", "one", "two", "n").join(owners, ["one", "two", "n"], "left").select(
+    found = sketched.select("id", "one", "two", "n").join(owners, ["one", "two", "n"], "left").select(
         "id", F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
+    return given.named(found, "id", "component_id")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 85, by_row: bool = False) -> DataFrame:
@@ -210,9 +248,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percen
     """
     keys = keyed(docs, id_col, text) if by_row else None
     if keys is None:
-        gone = near_copies(docs, id_col, text, percent).filter("id != component_id").select(F.col("id").alias(id_col))
-        return docs.join(gone, id_col, "left_anti").select(*docs.columns)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("body"), text_digest(text).alias("digest"))
+        gone = near_copies(docs, id_col, text, percent).filter("id != component_id").select(F.col("id").alias("gone_id"))
+        return docs.join(gone, docs[f"`{id_col}`"] == gone["gone_id"], "left_anti")
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("body"), text_digest(text).alias("digest"))
     numbered = rows.join(keys, rows["id"].eqNullSafe(keys["id"]) & (rows["digest"] == keys["digest"])).select("key", "body")
     found = near_copies(numbered, "key", "body", percent).select(F.col("id").alias("key"), (F.col("id") == F.col("component_id")).alias("kept"))
     moved = stage(keys.join(found, "key").filter("NOT kept OR rows > 1").select("id", "digest", "kept"), "moved")

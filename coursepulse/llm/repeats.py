@@ -7,8 +7,9 @@ its least stretch of ``block`` units by hash; equal windows have equal anchors.
    the others, those that agree in everything that any of their windows can hold (their hull) are settled at once,
    those that a task finds itself before anything is shuffled.
 2. ``surroundings``: what is around the anchors that are left, taken from the texts.
-3. ``extend``: anchors of one hash meet in one task, in order, and the windows around them are compared. A group of
-   more than ``GROUP_ROWS`` anchors goes through in pieces, whose different windows meet again in an aggregation.
+3. ``extend``: anchors of one hash meet in one task, in order, and the windows around them are compared. A hash of more than
+   ``DEALT_ROWS`` anchors is dealt to several tasks, and a group of more than ``GROUP_ROWS`` goes through a task in pieces; the
+   different windows of their pieces meet again in an aggregation.
 4. ``remove``: the windows found to be repeated are laid over their document, and what they cover is cut out.
 
 No pairs of occurrences are made: the work is linear in the number of anchors, however large a group is. Texts are
@@ -30,9 +31,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from . import anchors as anchor
-from .shared import one_per_id, ship, stage
+from .shared import each_row, ship, stage
 
 GROUP_ROWS = 20_000
+DEALT_ROWS = 512
 BATCH_WINDOWS = 500_000
 
 
@@ -193,8 +195,8 @@ def _surrounding_rows(out: dict[str, list], ids: pa.Array) -> pa.RecordBatch:
         "first": pa.array(out["first"], pa.int32()), "held": pa.array(out["held"], pa.binary())})
 
 
-def extend(around: DataFrame, rule: Rule, group_rows: int = GROUP_ROWS) -> DataFrame:
-    """id, low, high: runs of starts of repeated windows."""
+def extend(around: DataFrame, opened: DataFrame, rule: Rule, group_rows: int = GROUP_ROWS, dealt_rows: int = DEALT_ROWS) -> DataFrame:
+    """id, low, high: runs of starts of repeated windows. ``opened``: the anchors (with their hash) that ``around`` surrounds."""
     ship(around.sparkSession)
     id_type = around.schema["id"].dataType.simpleString()
 
@@ -214,20 +216,25 @@ def extend(around: DataFrame, rule: Rule, group_rows: int = GROUP_ROWS) -> DataF
         if waiting is not None and waiting.num_rows:
             yield from _compare(waiting, rule, {cut_hash})
 
-    met = stage(around.repartition("hash").sortWithinPartitions("hash", "id", "at")
+    often = opened.groupBy("hash").agg(F.count("*").alias("anchors")).filter(F.col("anchors") > dealt_rows).select(
+        "hash", F.ceil(F.col("anchors") / dealt_rows).alias("tasks"))
+    dealt = around.join(stage(often, "often"), "hash", "left").withColumn(
+        "dealt", F.coalesce(F.pmod(F.xxhash64("id", "at"), F.col("tasks")), F.lit(-1))).drop("tasks")
+    met = stage(dealt.repartition("hash", "dealt").sortWithinPartitions("hash", "id", "at")
                 .mapInArrow(meet, f"id {id_type}, low int, high int, hash long, shift int, content long"), "met")
-    same = Window.partitionBy("hash", "shift", "content")
-    pieces = (
-        met.filter("content IS NOT NULL")
-        .withColumn("place", F.row_number().over(same.orderBy("id", "low"))).withColumn("copies", F.count("*").over(same))
-        .filter("place > 1" if rule.first_stays else "copies > 1")
-    )
-    return met.filter("content IS NULL").select("id", "low", "high").unionByName(pieces.select("id", "low", "high"))
+    # Of a window that stands in several pieces there is one row for each of them.
+    pieces = met.filter("content IS NOT NULL")
+    window = ["hash", "shift", "content"]
+    all_of = pieces.groupBy(*window).agg(F.min(F.struct("id", "low")).alias("first"), F.count("*").alias("copies")).filter("copies > 1")
+    repeated = pieces.join(all_of, window)
+    if rule.first_stays:
+        repeated = repeated.filter(F.struct("id", "low") != F.col("first"))
+    return met.filter("content IS NULL").select("id", "low", "high").unionByName(repeated.select("id", "low", "high"))
 
 
 def _compare(rows: pa.Table, rule: Rule, cut: set) -> Iterator[pa.RecordBatch]:
-    """Runs of repeated windows among anchors in order of (hash, id, at). For the hashes in ``cut``, which have anchors
-    elsewhere too, also one row for each different window: its first start, shift and content."""
+    """Runs of repeated windows among anchors in order of (hash, id, at). For the hashes in ``cut`` and those that are dealt, which have
+    anchors elsewhere too, also one row for each different window: its first start, shift and content."""
     rows = rows.combine_chunks()
     at, first = rows["at"].to_numpy(), rows["first"].to_numpy()
     contents = []
@@ -242,6 +249,7 @@ def _compare(rows: pa.Table, rule: Rule, cut: set) -> Iterator[pa.RecordBatch]:
     inside = np.arange(len(content)) - begin[row]
     shift = first[row] - inside  # units from the window's start to the anchor
     hashes = rows["hash"].to_numpy()[row]
+    cut = np.union1d(rows["hash"].to_numpy()[rows["dealt"].to_numpy() >= 0], np.array(list(cut - {None}), np.int64))
     key = anchor.mix(anchor.mix(hashes.view(np.uint64) + shift.astype(np.uint64)) + content)
     _, leader, group, copies = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
     repeated = leader[group] != np.arange(len(key)) if rule.first_stays else copies[group] > 1
@@ -251,8 +259,8 @@ def _compare(rows: pa.Table, rule: Rule, cut: set) -> Iterator[pa.RecordBatch]:
     start = at[row] - shift
     if len(opens):
         yield _run_rows(rows["id"], row[opens], start[opens], start[closes])
-    if cut := cut - {None}:
-        lead = leader[np.isin(hashes[leader], list(cut))]
+    if len(cut):
+        lead = leader[np.isin(hashes[leader], cut)]
         if len(lead):
             yield _run_rows(rows["id"], row[lead], start[lead], start[lead], hashes[lead], shift[lead], content[lead])
 
@@ -270,14 +278,15 @@ def repeated_runs(docs: DataFrame, packed: DataFrame, rule: Rule, group_rows: in
     """id, low, high: runs of starts of repeated windows, of all documents."""
     shared = stage(anchors(docs, rule), "anchors")
     settled = shared.filter("settled").select("id", F.greatest(F.col("at") - rule.reach, F.lit(0)).alias("low"), F.col("at").alias("high"))
-    around = surroundings(packed, shared.filter("open"), rule)
-    return settled.unionByName(extend(around, rule, group_rows))
+    opened = shared.filter("open")
+    return settled.unionByName(extend(surroundings(packed, opened, rule), opened, rule, group_rows, min(group_rows, DEALT_ROWS)))
 
 
 def remove(docs: DataFrame, rule: Rule, id_col: str, text: str, group_rows: int = GROUP_ROWS, bodies: bool = True) -> DataFrame:
     """Per document: id, n_units, n_removed, n_spans, kept_sha256, spans (runs of removed units, end exclusive) and, if
     ``bodies``, kept (what is left, as bytes)."""
-    rows = one_per_id(docs, id_col, text)
+    given = each_row(docs, id_col, F.coalesce(F.col(f"`{text}`"), F.lit("")), "body")
+    rows = given.rows
     packed = pack(rows)
     runs = stage(repeated_runs(rows, packed, rule, group_rows).groupBy("id").agg(
         F.sort_array(F.collect_list(F.struct("low", "high"))).alias("runs")), "runs")
@@ -312,4 +321,4 @@ def remove(docs: DataFrame, rule: Rule, id_col: str, text: str, group_rows: int
                            "spans": pa.array(out["spans"], span_type)}
                 yield pa.RecordBatch.from_pydict(columns | ({"kept": pa.array(out["kept"], pa.binary())} if bodies else {}))
 
-    return packed.join(runs, "id", "left").select("id", "packed", "runs").mapInArrow(cut, out_type)
+    return given.named(packed.join(runs, "id", "left").select("id", "packed", "runs").mapInArrow(cut, out_type), "id")

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import zipfile
 from pathlib import Path
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,16 +54,42 @@ def remainder(id_column: Column, parts: int) -> Column:
     return F.crc32(id_column.cast("string").cast("binary")) % parts
 
 
-def one_per_id(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """id and body of the documents that have an id. Rows that share an id are one document: the greatest text counts.
+class Rows(NamedTuple):
+    """``rows``: id and value of every given row, each under an id of its own; ``names``: id and the given one (``given``), or None
+    where the given ids serve."""
 
-    Only ids are shuffled to look for repeated ones; texts are, where there are any, of those alone.
+    rows: DataFrame
+    names: DataFrame | None
+
+    def named(self, result: DataFrame, *columns: str) -> DataFrame:
+        """``result`` with the given ids in ``columns``."""
+        if self.names is None:
+            return result
+        order = result.columns
+        for column in columns:
+            own = self.names.select(F.col("id").alias(column), "given")
+            result = result.join(own, column, "left").drop(column).withColumnRenamed("given", column)
+        return result.select(*order)
+
+
+def each_row(docs: DataFrame, id_col: str, value: Column, name: str) -> Rows:
+    """The rows of ``docs`` as id and ``name`` (the ``value``, which can be ordered), none left out.
+
+    Where every row has an id of its own, that is it. Otherwise rows are numbered in the order of their ids, null last, then
+    of their values; equal rows follow each other. Numbers are written once, so that they stay what they are.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text).alias("body")).filter("id IS NOT NULL")
-    again = stage(rows.groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1").select("id"), "ids")
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), value.alias(name))
+    again = rows.groupBy("id").agg(F.count("*").alias("rows")).filter("rows > 1 OR id IS NULL")
     if again.isEmpty():
-        return rows
-    return rows.join(again, "id", "left_anti").unionByName(rows.join(again, "id", "left_semi").groupBy("id").agg(F.max("body").alias("body")))
+        return Rows(rows, None)
+    # Equal rows travel as one; only ids and digests are sorted.
+    digest = F.sha2(F.to_json(F.struct(name)), 256).alias("digest")
+    each = stage(rows.groupBy("id", digest).agg(F.max(name).alias(name), F.count("*").alias("rows")), "each")
+    numbers = stage(each.select("id", "digest", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))).alias("copy"))
+                    .orderBy(F.col("id").asc_nulls_last(), "digest", "copy").withColumn("number", F.monotonically_increasing_id()), "numbers")
+    same = numbers["id"].eqNullSafe(each["id"]) & (numbers["digest"] == each["digest"])
+    owned = stage(numbers.join(each, same).select(F.col("number").alias("id"), numbers["id"].alias("given"), name), "rows")
+    return Rows(owned.select("id", name), owned.select("id", "given"))
 
 
 def without(docs: DataFrame, moved: DataFrame, id_column: Column, digest: Column) -> DataFrame:

@@ -7,8 +7,8 @@ windows that also start earlier make the maximal repeats, and their words are re
 
 Words are runs of anything but ASCII white space, unchanged. The words that are left are joined by one space.
 
-Defined cases: a null or empty text has no words; texts shorter than a window keep all words; rows that share an id are
-one document, the greatest text; rows with a null id are left out; repeated texts under different ids lose all words but
+Defined cases: a null or empty text has no words; texts shorter than a window keep all words; every row is a document and
+gives a row; rows without an id come after all others, and rows that share one in an order by their texts; repeated texts lose all words but
 in the first; an empty table gives an empty result; other columns are ignored. Documents are read whole.
 """
 

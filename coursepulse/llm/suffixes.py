@@ -10,8 +10,8 @@ Strings that share their fingerprint are repeated, and all bytes that they cover
 Ranks are 64-bit fingerprints of contents, compared within their anchor's group, so each decision rests on 128 bits.
 
 Defined cases: a null text is empty; texts shorter than ``length`` keep all bytes; a string that occurs twice in one
-document is repeated, overlapping occurrences too; every occurrence is removed, the first as well; rows that share an
-id are one document, the greatest text; rows with a null id are left out; an empty table gives an empty result; other
+document is repeated, overlapping occurrences too; every occurrence is removed, the first as well; every row is a document
+and gives a row, also where rows share an id or have none; an empty table gives an empty result; other
 columns are ignored. Texts are read whole; matches never cross documents.
 """
 

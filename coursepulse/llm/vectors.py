@@ -10,9 +10,9 @@ computed from the given vectors in double precision, and that value alone decide
 Hot groups: equal vectors are one representative with a weight. A tile pair returns link counts per vector and a
 star for each linked group, so its output is bounded by its vectors, however many links there are.
 
-Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing, and so do
-vectors of another length than the most frequent one; an id that is given several times is one vector, the first by
-value; null ids are left out; an empty table gives an empty result; other columns are ignored.
+Defined cases: vectors that are null, empty, zero or hold null or non-finite components link with nothing; vectors of each
+length are compared among themselves, with axes of their own; every row is a vector and gives a row; rows without an id come after all
+others, so their component has an id if any of it has, and else null; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .links import components
-from .shared import ship, stage
+from .shared import each_row, ship, stage
 
 STRETCHES = (8, 24)  # leading axes after which the bound is applied
 
@@ -36,32 +36,34 @@ def links(rows: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vect
           axes: int = 2) -> DataFrame:
     """One row per vector: id, n_links, component_id. ``axes``: leading axes that make the cells."""
     ship(rows.sparkSession)
-    given = rows.filter(F.col(id_col).isNotNull()).select(
-        F.col(id_col).alias("id"), F.col(vector).cast("array<double>").alias("v")).groupBy("id").agg(F.min("v").alias("v"))
-    given = stage(given.withColumn("sound", _sound(F.col("v"))), "vectors")
+    numbered = each_row(rows, id_col, F.col(f"`{vector}`").cast("array<double>"), "v")
+    given = stage(numbered.rows.withColumn("sound", _sound(F.col("v"))), "vectors")
     # Equal vectors are one class; its smallest id stands for it.
-    classes = stage(given.filter("sound").groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("weight")), "classes")
-    usual = classes.groupBy(F.size("v").alias("n")).agg(F.sum("weight").alias("vectors")).orderBy(F.desc("vectors"), "n").first()
-    if usual is None:
-        return given.select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id"))
-    classes = classes.filter(F.size("v") == usual["n"])
-    basis = _axes(classes, usual["n"])
+    every = stage(given.filter("sound").groupBy("v").agg(F.min("id").alias("id"), F.count("*").alias("weight")), "classes")
     width = math.sqrt(max(0.0, 2 - 2 * threshold)) + 1e-9
-    axes = min(axes, usual["n"])
     single = rows.schema[vector].dataType.elementType.typeName() == "float"
     kind = np.float32 if single else np.float64  # as given, so that nothing is rounded
-    tiles = stage(_tiles(classes, basis, width, axes, tile, kind), "tiles")
-    found = stage(_compare(tiles, basis, threshold, axes, kind), "pairs")
+    # A table holds vectors of a few models, so of a few lengths.
+    found: DataFrame | None = None
+    for n in sorted(r["n"] for r in every.select(F.size("v").alias("n")).distinct().collect()):
+        classes = every.filter(F.size("v") == n)
+        basis, leading = _axes(classes, n), min(axes, n)
+        tiles = stage(_tiles(classes, basis, width, leading, tile, kind), "tiles")
+        pairs = stage(_compare(tiles, basis, threshold, leading, kind), "pairs")
+        found = pairs if found is None else found.unionByName(pairs)
+    if found is None:
+        return numbered.named(given.select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id")), "id", "component_id")
     counts = found.filter("b IS NULL").groupBy(F.col("a").alias("rep")).agg(F.sum("n").alias("others"))
     joined = components(found.filter("b IS NOT NULL").select("a", "b"))
     per_class = (
-        classes.select(F.col("id").alias("rep"), "v", "weight").join(counts, "rep", "left")
+        every.select(F.col("id").alias("rep"), "v", "weight").join(counts, "rep", "left")
         .join(joined.withColumnRenamed("node", "rep"), "rep", "left")
         .select("v", (F.coalesce("others", F.lit(0)) + F.col("weight") - 1).alias("n_links"), F.coalesce("component", "rep").alias("component_id"))
     )
     sound = given.filter("sound").join(per_class, "v", "left")
-    return sound.unionByName(given.filter("NOT sound"), allowMissingColumns=True).select(
+    linked = sound.unionByName(given.filter("NOT sound"), allowMissingColumns=True).select(
         "id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), F.coalesce("component_id", "id").alias("component_id"))
+    return numbered.named(linked, "id", "component_id")
 
 
 def _sound(v: Column) -> Column:

@@ -59,7 +59,11 @@ def test_ids_empty_tables_and_kept_rows(documents):
     assert nearcopies.near_copies(documents()).count() == 0
     text = " ".join(f"w{i}" for i in range(50))
     df = documents((5, text), (3, text), (3, text), (None, text), (9, None))
-    assert sorted((r.id, r.component_id) for r in nearcopies.near_copies(df).collect()) == [(3, 3), (5, 3), (9, 9)]
+    assert sorted((r.id or 99, r.component_id) for r in nearcopies.near_copies(df).collect()) == [(3, 3), (3, 3), (5, 3), (9, 9), (99, 3)]
+    other = " ".join(f"v{i}" for i in range(50))
+    shared = documents((3, text), (3, other), (4, other), (None, text + " x"), (None, "alone"))
+    assert sorted((r.id or 99, r.n_shingles, r.component_id or 99) for r in nearcopies.near_copies(shared).collect()) == [
+        (3, 46, 3), (3, 46, 3), (4, 46, 3), (99, 1, 99), (99, 47, 3)]
     kept = nearcopies.keep_one(df)
     assert kept.columns == df.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 3, 3, 9]
 
@@ -82,3 +86,51 @@ def test_rows_that_share_an_id_or_have_none(documents):
     assert kept.columns == df.columns
     got = sorted((r.doc_id or 0, r.text or "") for r in kept.collect())
     assert got == [(0, "alone"), (1, one), (5, two), (8, "c d"), (9, "")]
+
+
+def test_documents_of_one_template(documents, monkeypatch):
+    """Many that share half of their words are not made into pairs; near-copies among them are found."""
+    rng = random.Random(21)
+    frame = [f"t{i}" for i in range(120)]
+
+    def made(number):
+        return frame[:60] + [f"d{number}x{i}" for i in range(40)] + frame[60:]
+
+    texts = {number: made(number) for number in range(1500)}
+    for number in range(1500, 1530):  # a word changed in a copy of a document
+        texts[number] = made(number - 1500)
+        texts[number][rng.randrange(60, 100)] = "changed"
+    staged = {}
+    real = nearcopies.stage
+
+    def count(df, name):
+        table = real(df, name)
+        staged.setdefault(name, []).append(table.count())
+        return table
+
+    monkeypatch.setattr(nearcopies, "stage", count)
+    rows = nearcopies.near_copies(documents(*((k, " ".join(w)) for k, w in texts.items()))).collect()
+    assert {r.id: r.component_id for r in rows} == {k: k % 1500 for k in texts}
+    assert staged["crowd"][0] > 1000  # the keys are crowded
+    assert staged["second"][0] + staged["pairs"][0] < 60 * len(texts)
+    assert staged["second"][0] < 2 * len(texts)
+
+
+def test_pairs_just_above_the_threshold_are_found(documents):
+    """Some hundred pairs of similarity 0.85 to 0.87, alone and in a crowd."""
+    rng = random.Random(22)
+    texts, want = {}, 0
+    for number in range(300):
+        frame = [f"c{i}" for i in range(40)] if number % 2 else []
+        words = frame + [f"w{number}x{i}" for i in range(200 - len(frame))]
+        other = list(words)
+        at = rng.randrange(50, 180)
+        other[at:at + rng.choice([10, 11])] = [f"o{number}x{i}" for i in range(11)]
+        one, two = ({tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in (words, other))
+        share = len(one & two) / len(one | two)
+        want += share >= 0.85
+        texts[2 * number], texts[2 * number + 1] = (words, share), (other, share)
+    rows = {r.id: r.component_id for r in nearcopies.near_copies(documents(*((k, " ".join(w)) for k, (w, _) in texts.items()))).collect()}
+    assert 200 < want
+    for k in range(0, 600, 2):
+        assert (rows[k + 1] == k) == (texts[k][1] >= 0.85), texts[k][1]

@@ -5,7 +5,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from coursepulse.llm import anchors, substrings, suffixes
+from coursepulse.llm import anchors, repeats, substrings, suffixes
 
 WORDS = [f"w{i}" for i in range(40)]
 
@@ -82,8 +82,16 @@ def test_spans_and_what_is_kept(documents):
 
 def test_ids_and_empty_tables(documents):
     passage = " ".join(f"p{i}" for i in range(25))
-    rows = substrings.remove_passages(documents((1, passage), (None, passage), (2, "a"), (2, "b"), (3, passage))).collect()
-    assert sorted((r.id, r.n_units, r.n_removed) for r in rows) == [(1, 25, 0), (2, 1, 0), (3, 25, 25)]
+    df = documents((1, passage), (None, passage), (2, "a"), (2, "b"), (3, passage), (2, "b"), (None, None), (4, "c " + passage), (4, passage))
+    rows = substrings.remove_passages(df).collect()
+    assert sorted((r.id or 99, r.n_units, r.n_removed) for r in rows) == [
+        (1, 25, 0), (2, 1, 0), (2, 1, 0), (2, 1, 0), (3, 25, 25), (4, 25, 25), (4, 26, 25), (99, 0, 0), (99, 25, 25)]
+    # Without an id a passage that stands nowhere else stays, once.
+    rows = substrings.remove_passages(documents((None, passage), (None, passage), (5, "x"))).collect()
+    assert sorted((r.id or 99, r.n_units, r.n_removed) for r in rows) == [(5, 1, 0), (99, 25, 0), (99, 25, 25)]
+    # A repeated row repeats its strings.
+    twice = suffixes.remove_strings(documents((1, "z" * 150 + passage), (1, "z" * 150 + passage), (None, "q" * 90)), length=100).collect()
+    assert sorted((r.id or 99, r.n_units == r.n_removed) for r in twice) == [(1, True), (1, True), (99, False)]
     assert substrings.remove_passages(documents()).count() == 0
     assert suffixes.remove_strings(documents()).count() == 0
 
@@ -110,3 +118,23 @@ def test_words_are_split_at_ascii_white_space_only():
     body = "a b\x1cc\td\x0be  f g\x85h\n".encode()
     start, end = anchors.word_bounds(np.frombuffer(body, np.uint8))
     assert [body[s:e] for s, e in zip(start, end)] == body.split()
+
+
+def test_a_hot_anchor_is_dealt_to_tasks(documents, monkeypatch):
+    """A short phrase among different words everywhere, and whole passages in it, with groups of a few rows."""
+    monkeypatch.setattr(repeats, "DEALT_ROWS", 4)
+    rng = random.Random(12)
+    phrase = [f"p{i}" for i in range(12)]
+    texts = {}
+    for i in range(60):
+        left, right = ([f"{side}{j}" + (rng.choice("ab") if j % 3 == 0 else "") for j in range(rng.choice([4, 9]))] for side in "lr")
+        texts[i] = " ".join(left + phrase + right)
+    got = {r.id: (r.n_units, r.n_removed) for r in substrings.remove_passages(documents(*texts.items())).collect()}
+    first, want = {}, {}
+    for i, text in texts.items():
+        words, covered = text.split(), set()
+        for p in range(len(words) - 19):
+            if first.setdefault(tuple(words[p:p + 20]), (i, p)) != (i, p):
+                covered.update(range(p, p + 20))
+        want[i] = (len(words), len(covered))
+    assert got == want and sum(n for _, n in want.values()) > 0

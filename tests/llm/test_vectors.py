@@ -49,7 +49,10 @@ def test_links_equal_brute_force(spark, kind, tile):
 def test_other_lengths_ids_and_empty_tables(spark):
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.01]), (3, [1.0]), (4, [1.0]), (None, [1.0, 0.0]), (2, [1.0, 0.01]), (5, [2.0, 0.0])]
     got = {r.id: (r.n_links, r.component_id) for r in vectors.links(frame(spark, rows)).collect()}
-    assert got == {1: (2, 1), 2: (2, 1), 5: (2, 1), 3: (0, 3), 4: (0, 4)}
+    assert got == {1: (4, 1), 2: (4, 1), 5: (4, 1), None: (4, 1), 3: (1, 3), 4: (1, 3)}
+    assert vectors.links(frame(spark, rows)).count() == 7
+    alone = {(r.id, r.n_links, r.component_id) for r in vectors.links(frame(spark, [(None, [1.0, 2.0]), (None, [1.0, 2.0]), (7, [3.0])])).collect()}
+    assert alone == {(None, 1, None), (7, 0, 7)}
     assert vectors.links(frame(spark, [])).count() == 0
     assert vectors.links(frame(spark, [(1, None)])).collect()[0][:] == (1, 0, 1)
 
