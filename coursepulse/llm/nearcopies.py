@@ -31,7 +31,6 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from . import anchors as anchor
 from .links import components
@@ -48,6 +47,8 @@ LONG = 2048  # one-bit minima that tell pairs apart before their sets are compar
 ROWS = 256  # documents that a task holds at a time
 CROWD = 64  # documents of a key above which rare shingles are joined instead
 PARTS = 16  # parts of a key's documents, each with a second document to compare with
+CELLS = 1 << 18  # counters of rare shingles
+DIFFERING = " + ".join(f"bit_count(left_bits[{i}] ^ right_bits[{i}])" for i in range(LONG // 64))
 _SEEDS = anchor.mix(np.arange(1, 2 * (SYMBOLS + LONG) + 1, dtype=np.uint64))
 _FACTORS, _SHIFTS = _SEEDS[::2] | np.uint64(1), _SEEDS[1::2]
 
@@ -163,29 +164,51 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def rare_pairs(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of different components among the documents ``crowd`` (rep, n, component) that share a rare shingle of both."""
+    """a, b: pairs of different components among the documents ``crowd`` (rep, n, component) that share a rare shingle of both.
+
+    How rare a shingle is, is read from ``CELLS`` counters, each of which holds the shingles of a range of hashes. Any order
+    of the shingles that all documents use makes the join exact; this one keeps what stands everywhere at the end.
+    """
     ship(crowd.sparkSession)
     id_type = crowd.schema["rep"].dataType.simpleString()
+    held = crowd.join(sets.select(F.col("id").alias("rep"), "shingles", "bits"), "rep")
+
+    def cells(shingle_set: np.ndarray) -> np.ndarray:
+        return (shingle_set >> np.uint64(64 - CELLS.bit_length() + 1)).astype(np.int64)
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for packed in batch["shingles"]:
+                np.add.at(total, cells(np.frombuffer(packed.as_py(), np.uint64)), 1)
+        filled = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"cell": pa.array(filled, pa.int64()), "held_by": pa.array(total[filled], pa.int64())})
+
+    counted = held.select("shingles").mapInArrow(tally, "cell long, held_by long").groupBy("cell").agg(F.sum("held_by").alias("held_by")).toArrow()
+    often = np.zeros(CELLS, np.int64)
+    often[counted["cell"].to_numpy()] = counted["held_by"].to_numpy()
+    sent = crowd.sparkSession.sparkContext.broadcast(often)  # CELLS numbers
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rarest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, len(whole), ROWS)):
-            found = [np.frombuffer(x.as_py(), np.int64) for x in batch["shingles"]]
-            if found:
-                yield pa.RecordBatch.from_pydict({"rep": batch["rep"].take(pa.array(np.repeat(np.arange(len(found)), [len(x) for x in found]))),
-                                                  "shingle": pa.array(np.concatenate(found))})
-
-    held = crowd.join(sets.select(F.col("id").alias("rep"), "shingles"), "rep").select("rep", "shingles")
-    rows = stage(held.mapInArrow(spread, f"rep {id_type}, shingle long").join(crowd, "rep"), "crowd")
-    known = rows.groupBy("shingle").agg(F.count("*").alias("held_by"), F.min("component").alias("low"), F.max("component").alias("high"))
-    rarest = Window.partitionBy("rep").orderBy("held_by", "shingle")
-    missing = F.col("n") - F.ceil(F.col("n") * percent / 100)
-    rare = stage(
-        rows.join(known, "shingle").withColumn("place", F.row_number().over(rarest)).filter(F.col("place") <= missing + 1)
-        .filter("low != high").select("shingle", "rep", "n", "component"), "rare")
-    left, right = (rare.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in ("rep", "n", "component")]) for side in ("left", "right"))
+            chosen, row = [], []
+            for at, packed in enumerate(batch["shingles"]):
+                own = np.frombuffer(packed.as_py(), np.uint64)
+                missing = len(own) - -(-len(own) * percent // 100)
+                chosen.append(own[np.lexsort((own, sent.value[cells(own)]))[:missing + 1]])
+                row.append(np.full(len(chosen[-1]), at))
+            if chosen:
+                taken = batch.select(["rep", "n", "component", "bits"]).take(pa.array(np.concatenate(row)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(chosen).view(np.int64)), *taken.columns], ["shingle", *taken.schema.names])
+
+    rare = stage(held.select("rep", "n", "component", "bits", "shingles").mapInArrow(
+        rarest, f"shingle long, rep {id_type}, n long, component {id_type}, bits array<long>"), "rare")
+    mixed = rare.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
+    apart = stage(rare.join(mixed.select("shingle"), "shingle"), "apart")
+    left, right = (apart.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in ("rep", "n", "component", "bits")]) for side in ("left", "right"))
     return left.join(right, "shingle").filter(
         (F.col("left_rep") < F.col("right_rep")) & (F.col("left_component") != F.col("right_component"))
-        & (F.least("left_n", "right_n") * 100 >= F.greatest("left_n", "right_n") * percent)
+        & (F.least("left_n", "right_n") * 100 >= F.greatest("left_n", "right_n") * percent) & F.expr(f"{DIFFERING} <= {most_apart(percent)}")
     ).select(F.col("left_rep").alias("a"), F.col("right_rep").alias("b")).distinct()
 
 
@@ -218,12 +241,11 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
         sets.select(F.col("id").alias("rep"), "bits"), "rep"), "apart")
     left, right = (joined.select("key", *[F.col(c).alias(f"{side}_{c}") for c in ("place", "rep", "n", "component", "keys", "bits")])
                    for side in ("left", "right"))
-    differing = " + ".join(f"bit_count(left_bits[{i}] ^ right_bits[{i}])" for i in range(LONG // 64))
     second_pairs = (
         left.join(right, "key")
         .filter((F.col("left_rep") < F.col("right_rep")) & (F.col("left_component") != F.col("right_component"))
                 & (F.least("left_n", "right_n") * 100 >= F.greatest("left_n", "right_n") * percent)
-                & F.expr(f"{differing} <= {most_apart(percent)}")
+                & F.expr(f"{DIFFERING} <= {most_apart(percent)}")
                 & F.expr("NOT exists(zip_with(slice(left_keys, 1, left_place), slice(right_keys, 1, left_place), (x, y) -> x = y), z -> z)"))
         .select(F.col("left_rep").alias("a"), F.col("right_rep").alias("b"))
     )
