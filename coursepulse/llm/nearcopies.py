@@ -163,8 +163,9 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return sided.select("a", "b", "left", "right").mapInArrow(check, f"a {id_type}, b {id_type}")
 
 
-def rare_pairs(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """a, b: pairs of different components among the documents ``crowd`` (rep, n, component) that share a rare shingle of both.
+def rare_shingles(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """shingle, rep, n, component, bits: the rarest shingles of each of the documents ``crowd`` (rep, n, component). Two sets above the
+    threshold have one of them in common.
 
     How rare a shingle is, is read from ``CELLS`` counters, each of which holds the shingles of a range of hashes. Any order
     of the shingles that all documents use makes the join exact; this one keeps what stands everywhere at the end.
@@ -201,15 +202,38 @@ def rare_pairs(crowd: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 taken = batch.select(["rep", "n", "component", "bits"]).take(pa.array(np.concatenate(row)))
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(chosen).view(np.int64)), *taken.columns], ["shingle", *taken.schema.names])
 
-    rare = stage(held.select("rep", "n", "component", "bits", "shingles").mapInArrow(
+    return stage(held.select("rep", "n", "component", "bits", "shingles").mapInArrow(
         rarest, f"shingle long, rep {id_type}, n long, component {id_type}, bits array<long>"), "rare")
-    mixed = rare.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
-    apart = stage(rare.join(mixed.select("shingle"), "shingle"), "apart")
-    left, right = (apart.select("shingle", *[F.col(c).alias(f"{side}_{c}") for c in ("rep", "n", "component", "bits")]) for side in ("left", "right"))
-    return left.join(right, "shingle").filter(
-        (F.col("left_rep") < F.col("right_rep")) & (F.col("left_component") != F.col("right_component"))
-        & (F.least("left_n", "right_n") * 100 >= F.greatest("left_n", "right_n") * percent) & F.expr(f"{DIFFERING} <= {most_apart(percent)}")
-    ).select(F.col("left_rep").alias("a"), F.col("right_rep").alias("b")).distinct()
+
+
+def rare_links(crowd: DataFrame, sets: DataFrame, links: DataFrame, percent: int) -> DataFrame:
+    """a, b: links between documents of ``crowd`` that share a rare shingle, besides those of ``links``, as many as connect what hangs together.
+
+    As with the keys, the documents of a shingle are compared with the smallest of them first, and then those that are
+    still in different components with each other.
+    """
+    rare = rare_shingles(crowd, sets, percent)
+    fits = (F.col("left_component") != F.col("right_component")) & (
+        F.least("left_n", "right_n") * 100 >= F.greatest("left_n", "right_n") * percent) & F.expr(f"{DIFFERING} <= {most_apart(percent)}")
+    pair = [F.col("left_rep").alias("a"), F.col("right_rep").alias("b")]
+    columns = ("rep", "n", "component", "bits")
+
+    def mixed(rows: DataFrame) -> DataFrame:
+        return rows.groupBy("shingle").agg(
+            F.min_by(F.struct(*columns), "rep").alias("leader"), F.min("component").alias("low"), F.max("component").alias("high")).filter("low != high")
+
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select("shingle", *[F.col(c).alias(f"{name}_{c}") for c in columns])
+
+    leaders = mixed(rare).select("shingle", "leader.*")
+    stars = side(leaders, "left").join(side(rare, "right"), "shingle").filter(fits & (F.col("left_rep") != F.col("right_rep"))).select(*pair).distinct()
+    found = stage(confirm(stage(stars, "stars"), sets, percent), "links")
+    labels = components(links.unionByName(found)).withColumnRenamed("node", "rep")
+    again = rare.join(labels.withColumnRenamed("component", "now"), "rep", "left").withColumn("component", F.coalesce("now", "rep")).drop("now")
+    apart = stage(again, "again")
+    apart = stage(apart.join(mixed(apart).select("shingle"), "shingle"), "apart")
+    rest = side(apart, "left").join(side(apart, "right"), "shingle").filter((F.col("left_rep") < F.col("right_rep")) & fits).select(*pair).distinct()
+    return found.unionByName(stage(confirm(stage(rest.join(stars, ["a", "b"], "left_anti"), "rest"), sets, percent), "links"))
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 85) -> DataFrame:
@@ -249,10 +273,10 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
                 & F.expr("NOT exists(zip_with(slice(left_keys, 1, left_place), slice(right_keys, 1, left_place), (x, y) -> x = y), z -> z)"))
         .select(F.col("left_rep").alias("a"), F.col("right_rep").alias("b"))
     )
-    if not crowd.isEmpty():
-        second_pairs = second_pairs.unionByName(rare_pairs(crowd, sets, percent))
     second_pairs = stage(second_pairs.distinct().join(first_pairs, ["a", "b"], "left_anti"), "second")
     links = first_links.unionByName(stage(confirm(second_pairs, sets, percent), "links"))
+    if not crowd.isEmpty():
+        links = links.unionByName(rare_links(crowd, sets, links, percent))
     labels = components(links).withColumnRenamed("node", "rep")
     owners = classes.select("one", "two", "n", "rep").join(labels, "rep", "left").select(
         "one", "two", "n", F.coalesce("component", "rep").alias("component"))
