@@ -88,34 +88,6 @@ def test_rows_that_share_an_id_or_have_none(documents):
     assert got == [(0, "alone"), (1, one), (5, two), (8, "c d"), (9, "")]
 
 
-def test_documents_of_one_template(documents, monkeypatch):
-    """Many that share half of their words are not made into pairs; near-copies among them are found."""
-    rng = random.Random(21)
-    frame = [f"t{i}" for i in range(120)]
-
-    def made(number):
-        return frame[:60] + [f"d{number}x{i}" for i in range(40)] + frame[60:]
-
-    texts = {number: made(number) for number in range(1500)}
-    for number in range(1500, 1530):  # a word changed in a copy of a document
-        texts[number] = made(number - 1500)
-        texts[number][rng.randrange(60, 100)] = "changed"
-    staged = {}
-    real = nearcopies.stage
-
-    def count(df, name):
-        table = real(df, name)
-        staged.setdefault(name, []).append(table.count())
-        return table
-
-    monkeypatch.setattr(nearcopies, "stage", count)
-    rows = nearcopies.near_copies(documents(*((k, " ".join(w)) for k, w in texts.items()))).collect()
-    assert {r.id: r.component_id for r in rows} == {k: k % 1500 for k in texts}
-    assert staged["crowd"][0] > 1000  # the keys are crowded
-    assert sum(staged[name][0] for name in ("pairs", "second")) < 60 * len(texts)
-    assert sum(staged[name][0] for name in ("stars", "rest")) < 2 * len(texts)
-
-
 def test_pairs_just_above_the_threshold_are_found(documents):
     """Some hundred pairs of similarity 0.85 to 0.87, alone and in a crowd."""
     rng = random.Random(22)
