@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import ship
+from .shared import free_name, ship
 
 UNDETERMINED = "und"
 BLOCK = 32768
@@ -120,4 +120,5 @@ def identify(docs: DataFrame, model: Model, text: str = "text", out: str = "lang
 
 def keep_identified(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The documents whose language is not rejected, with their own columns."""
-    return identify(docs, model, text, "language__").filter(~F.col("language__.rejected")).drop("language__")
+    found = free_name(docs, "language")
+    return identify(docs, model, text, found).filter(~F.col(f"{found}.rejected")).drop(found)

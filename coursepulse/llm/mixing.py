@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .shared import WORD, stage
+from .shared import WORD, free_name, stage
 
 GOLDEN = 0.6180339887498949
 SLOTS = 1 << 18
@@ -140,10 +140,11 @@ def _placed(sized: DataFrame, sources: DataFrame) -> DataFrame:
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source", **options) -> DataFrame:
     """The rows of the mix, with their own columns: a document as often as the mix takes its words, to the nearest whole
     number (0, 1 or 2 times by default). Rows that share an id, null included, are taken equally often."""
-    taken = mix(docs, id_col, text, source, **options).documents.groupBy(F.col("id").alias("mixed__id")).agg(
-        F.coalesce(F.round(F.try_divide(F.sum("taken"), F.sum("size"))), F.lit(0)).cast("int").alias("mixed__times"))
+    own, times, time = (free_name(docs, name) for name in ("mixed_id", "mixed_times", "mixed_time"))
+    taken = mix(docs, id_col, text, source, **options).documents.groupBy(F.col("id").alias(own)).agg(
+        F.coalesce(F.round(F.try_divide(F.sum("taken"), F.sum("size"))), F.lit(0)).cast("int").alias(times))
     return (
-        docs.join(taken.filter("mixed__times > 0"), F.col(id_col).eqNullSafe(F.col("mixed__id")))
-        .withColumn("mixed__time", F.explode(F.sequence(F.lit(1), F.col("mixed__times"))))
-        .select(*docs.columns)
+        docs.join(taken.filter(F.col(times) > 0), F.col(f"`{id_col}`").eqNullSafe(F.col(own)))
+        .withColumn(time, F.explode(F.sequence(F.lit(1), F.col(times))))
+        .select(*[F.col(f"`{c}`") for c in docs.columns])
     )

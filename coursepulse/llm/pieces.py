@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import pairwise
 from math import inf
 
@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .shared import ship
@@ -200,27 +201,37 @@ def _once(kind: type, model: bytes) -> Decoder:
     return _made[key]
 
 
+def _with(docs: DataFrame, text: str, added: list[T.StructField], make: Callable[[pa.Array], Iterator[pa.Array]]) -> DataFrame:
+    """``docs`` with columns ``added``, as ``make`` gives them for the column ``text``; given ones of those names give way.
+    Columns go to the tasks by number, so their names may hold anything. A task holds ``ROWS`` rows besides the batch it reads."""
+    new = {f.name.lower() for f in added}
+    given = [f for f in docs.schema.fields if f.name.lower() not in new]
+    numbered = docs.select(F.col(f"`{text}`").alias("text"), *[F.col(f"`{f.name}`").alias(f"c{i}") for i, f in enumerate(given)])
+    names = [f.name for f in [*given, *added]]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, len(whole), ROWS)):
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *make(batch.column(0))], names)
+
+    return numbered.mapInArrow(run, T.StructType([*given, *added]))
+
+
 def encode(docs: DataFrame, model: bytes, text: str = "text", out: str = "pieces", round_trip: str | None = None) -> DataFrame:
     """``docs`` with ``out``, the piece ids of ``text`` in order, and, if it has a name, ``round_trip``: whether decoding
-    them gives the text again. A task holds ``ROWS`` documents at a time besides the batch it reads."""
+    them gives the text again. Given columns of these names give way."""
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
-    def to_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _once(Encoder, sent.value)
-        for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, len(whole), ROWS)):
-            texts = batch[text].to_pylist()
-            ids = [encoder.encode(t) for t in texts]
-            ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-            columns = dict(zip(batch.schema.names, batch.columns, strict=True))
-            flat = np.frombuffer(b"".join(i.tobytes() for i in ids), np.int32)
-            columns[out] = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
-            if round_trip:
-                columns[round_trip] = pa.array([encoder.decode(i) == (t or "") for i, t in zip(ids, texts, strict=True)])
-            yield pa.RecordBatch.from_pydict(columns)
+    def to_ids(column: pa.Array) -> Iterator[pa.Array]:
+        encoder, texts = _once(Encoder, sent.value), column.to_pylist()
+        ids = [encoder.encode(t) for t in texts]
+        ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+        yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(i.tobytes() for i in ids), np.int32)))
+        if round_trip:
+            yield pa.array([encoder.decode(i) == (t or "") for i, t in zip(ids, texts, strict=True)], pa.bool_())
 
     added = [T.StructField(out, T.ArrayType(T.IntegerType())), *([T.StructField(round_trip, T.BooleanType())] if round_trip else [])]
-    return docs.mapInArrow(to_ids, T.StructType([*docs.schema.fields, *added]))
+    return _with(docs, text, added, to_ids)
 
 
 def decode(rows: DataFrame, model: bytes, pieces: str = "pieces", out: str = "decoded") -> DataFrame:
@@ -228,10 +239,8 @@ def decode(rows: DataFrame, model: bytes, pieces: str = "pieces", out: str = "de
     ship(rows.sparkSession)
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
-    def to_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def to_text(column: pa.Array) -> Iterator[pa.Array]:
         decoder = _once(Decoder, sent.value)
-        for batch in (whole.slice(start, ROWS) for whole in batches for start in range(0, len(whole), ROWS)):
-            texts = [decoder.decode(ids or []) for ids in batch[pieces].to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, out])
+        yield pa.array([decoder.decode(ids or []) for ids in column.to_pylist()], pa.string())
 
-    return rows.mapInArrow(to_text, T.StructType([*rows.schema.fields, T.StructField(out, T.StringType())]))
+    return _with(rows, pieces, [T.StructField(out, T.StringType())], to_text)

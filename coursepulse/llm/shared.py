@@ -49,6 +49,14 @@ def forget(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name`` with as many underscores as it takes that no column of ``df`` has it; case does not tell columns apart."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def remainder(id_column: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``; null for a null id."""
     return F.crc32(id_column.cast("string").cast("binary")) % parts

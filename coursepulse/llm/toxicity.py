@@ -17,6 +17,7 @@ document are not learned; repeated rows score alike; empty tables give empty res
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
@@ -130,11 +131,12 @@ class Reader:
             at = end + 1 - length
             if (at == 0 or not low[at - 1].isalpha()) and kind != "threat" or (kind == "threat" and _whole(low, at, end + 1)):
                 found.setdefault(at, kind)
+        starts = [0, *(end.end() for end in CLAUSE_END.finditer(low))] if found else []
         upto = -1
         for at in sorted(found):
             if at < upto:
                 continue
-            begin = max((low.rfind(c, 0, at) for c in ".!?;:|\n\r…"), default=-1) + 1
+            begin = starts[bisect_right(starts, at) - 1]
             ending = CLAUSE_END.search(low, at)
             upto = ending.start() if ending else len(low)
             kinds = (found.get(w.start()) or self.kind.get(w.group(), "other") for w in WORD.finditer(low, begin, upto))

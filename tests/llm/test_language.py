@@ -1,8 +1,12 @@
+import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
-from coursepulse.llm import language
+from coursepulse.llm import language, queries
+
+SF = "/root/testdata/sf0.01"
 
 ENGLISH = "the house on the hill was old and the people of the village were afraid of it "
 GERMAN = "das haus auf dem berg war alt und die leute aus dem dorf hatten angst davor "
@@ -60,3 +64,11 @@ def test_long_varied_texts_are_not_rejected():
         short, long = (language.judge(" ".join(pick.choices(own, k=n)).encode(), compressors, 0.004) for n in (4_000, 500_000))
         assert short[0] == long[0] == lang and not short[3] and not long[3]
         assert long[2] > short[2] / 3
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the given tables are not here")
+def test_held_out_documents_are_told_apart(spark):
+    found = queries.QUERIES["op3_language"](spark, SF).filter("held_out")
+    named = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang").filter("lang IS NOT NULL")
+    share = found.join(named, "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert share > 0.97

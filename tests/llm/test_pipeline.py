@@ -40,6 +40,15 @@ def test_stages_take_empty_tables_and_odd_rows(spark):
         assert docs.count() <= 2 * len(rows)
 
 
+def test_stages_take_columns_of_their_own_names(spark, documents):
+    docs = documents(*[(n, f"the old house number {n} on the hill by the village " * 3, "en", "s") for n in range(6)])
+    given = docs.columns
+    for name, function in corpus_pipeline.STAGES:
+        docs = shared.stage(function(spark, docs, SMALL), name)
+    assert docs.columns == [*given, "pieces_", "n_pieces_"]
+    assert {(r["pieces"], r["meta.url"], r["language__"]) for r in docs.collect()} <= {("p", "u", "l")}
+
+
 @pytest.mark.parametrize("name", queries.ORACLE_SQL)
 def test_query_equals_its_sql(spark, name):
     db = duckdb.connect()

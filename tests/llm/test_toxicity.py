@@ -1,8 +1,13 @@
+import os
 import random
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
-from coursepulse.llm import toxicity
+from coursepulse.llm import queries, toxicity
+
+SF = "/root/testdata/sf0.1"
 
 NAMES = toxicity.EVENT
 
@@ -26,6 +31,25 @@ def test_clauses_are_scored_not_words():
     assert events("calm words " * 100_000 + "idiot") == {"insult": 1}
 
 
+def test_long_texts_take_linear_time():
+    text = "what an idiot, said nobody! " * 200_000  # 5 MB of clauses, each with a core; read back to the start it takes minutes
+    begun = time.monotonic()
+    assert events(text)["insult"] == 200_000
+    assert time.monotonic() - begun < 30
+    unbroken = "idiot " * 300_000  # one clause
+    assert events(unbroken) == {"insult": 1}
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="the given tables are not here")
+def test_held_out_documents_are_told_apart(spark):
+    """Of the rows that nothing was learned from nearly all have the label that they are given."""
+    found = queries.QUERIES["op6_toxicity"](spark, SF).filter("held_out")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "toxic")
+    right = {r.toxic: r.share for r in found.join(labels, "doc_id").groupBy("toxic").agg(
+        F.avg((F.col("predicted") == F.col("toxic")).cast("int")).alias("share")).collect()}
+    assert right[1] > 0.90 and right[0] > 0.97
+
+
 def corpus(spark, documents, n=400):
     rng = random.Random(1)
     calm = [f"{a}{b}" for a in ("lor", "dol", "sit", "amet", "con") for b in ("em", "or", "um", "is", "ed", "ta")]
