@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from coursepulse.llm import exact, language, mixing, nearcopies, pieces
 from coursepulse.llm.queries import model_path
-from coursepulse.llm.shared import stage
+from coursepulse.llm.shared import free_name, stage
 
 ORACLE_SQL = None
 
@@ -39,9 +39,10 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Adds pieces, the ids of the text, and n_pieces."""
-    encoded = pieces.encode(docs, pieces.read_model(model_path()))
-    return encoded.withColumn("n_pieces", F.size("pieces"))
+    """Adds pieces, the ids of the text, and n_pieces; underscores follow the names if the documents have such columns."""
+    ids, number = free_name(docs, "pieces"), free_name(docs, "n_pieces")
+    encoded = pieces.encode(docs, pieces.read_model(model_path()), out=ids)
+    return encoded.withColumn(number, F.size(ids))
 
 
 STAGES = [
