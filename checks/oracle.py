@@ -666,6 +666,25 @@ QUERIES["stream_pages"] = f"""
     SELECT 'rejected_pages' AS kind, page_id, '{SITE}/classroom/' || page_id AS url, rejected, TIMESTAMP '2024-01-31 00:00:00' AS logged_at
     FROM ({QUERIES['rejected_pages']})"""
 
+QUERIES["kept_weeks"] = QUERIES["weekly_delta"]
+QUERIES["kept_days"] = f"""
+    SELECT course_id, cast(completed_at as date) AS completed_date, is_completed, count(*) AS lecture_count,
+        count(lecture_time) AS timed_count, sum(lecture_time) AS study_minutes
+    FROM ({QUERIES['upsert_lectures']}) GROUP BY ALL"""
+LECTURE_COLUMNS = f"{KEY}, section_title, chapter_title, lecture_title, lecture_time, is_completed, sort_order, completed_at"
+CAME = f"""(
+    SELECT *, CASE WHEN is_completed THEN observed_at END AS completed_at,
+        EXISTS (SELECT 1 FROM stored_lectures s WHERE {same_key('s', 'o')}) AS held,
+        row_number() OVER (PARTITION BY {KEY} ORDER BY seq) AS place
+    FROM observations o WHERE observed_at >= DATE '2024-01-16')"""
+QUERIES["insert_lectures"] = f"""
+    SELECT 'lectures' AS kind, {LECTURE_COLUMNS}, cast(NULL as bigint) AS seq, cast(NULL as varchar) AS reason, cast(NULL as timestamp) AS logged_at
+    FROM (SELECT {LECTURE_COLUMNS} FROM stored_lectures UNION ALL SELECT {LECTURE_COLUMNS} FROM {CAME} WHERE NOT held AND place = 1)
+    UNION ALL
+    SELECT 'rejected_lectures', {LECTURE_COLUMNS}, seq, CASE WHEN held THEN 'key is stored' ELSE 'key came earlier' END,
+        TIMESTAMP '2024-01-31 00:00:00'
+    FROM {CAME} WHERE held OR place > 1"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: query(sql) for name, sql in QUERIES.items()}

@@ -22,7 +22,7 @@ from coursepulse.sources.schemas import CRAWL_LOGS, ITEMS, LECTURES, PAGES, TABL
 from coursepulse.sources.writers import write_feed
 from coursepulse.streaming.items import stream_items, stream_pages
 
-from .views import BATCH_TIME, COMPLETION_DAY, SITE, SNAPSHOT_DAY, Views
+from .views import BATCH_DAY, BATCH_TIME, COMPLETION_DAY, SITE, SNAPSHOT_DAY, Views
 
 Query = Callable[[SparkSession, str], DataFrame]
 # Micro-batches of the checked streams, and parts of their tables.
@@ -143,6 +143,36 @@ def _delivered(v: Views) -> DataFrame:
     return v.spark.read.schema(ITEMS).parquet(f"{scratch}/taken").select("item_type", "seq", "position", "payload")
 
 
+def _kept_weeks(v: Views) -> DataFrame:
+    """The snapshots come in three commits, every third week at a time, so that most weeks come late; the kept differences."""
+    tables = PublishedTables(v.spark, f"{scratch_folder(v.spark, 'weeks')}/tables", STREAM_BUCKETS)
+    tables.maintain("weekly_deltas")
+    week = F.pmod(F.unix_date("snapshot_date") / 7, F.lit(3)).cast("int")
+    for turn in (2, 0, 1):
+        tables.publish({"course_progress_snapshots": (v.snapshots().filter(week == turn), [])})
+    return tables.read("weekly_deltas").withColumn("created_at", F.col("created_at").cast("timestamp_ntz"))
+
+
+def _kept_days(v: Views) -> DataFrame:
+    """The stored lectures, then the batch that completes and opens some of them; the kept figures by course and day."""
+    tables = PublishedTables(v.spark, f"{scratch_folder(v.spark, 'days')}/tables", STREAM_BUCKETS)
+    tables.publish({"lectures": (v.stored_lectures(), [])})
+    tables.maintain("completion_days")
+    update.publish_items(tables, _text_items(v.batch_items()), BATCH_TIME)
+    return tables.read("completion_days").groupBy("course_id", "completed_date", "is_completed").agg(
+        *[F.sum(c).alias(c) for c in ("lecture_count", "timed_count", "study_minutes")])
+
+
+def _insert_lectures(v: Views) -> DataFrame:
+    """The observations of the batch days as new lectures; the lectures then stored and those set aside."""
+    tables = PublishedTables(v.spark, f"{scratch_folder(v.spark, 'insert')}/tables", STREAM_BUCKETS)
+    tables.publish({"lectures": (v.stored_lectures(), [])})
+    new = v.observations().filter(F.col("observed_at") >= F.lit(BATCH_DAY).cast("date")).withColumn(
+        "completed_at", F.when(F.col("is_completed"), F.col("observed_at")))
+    update.publish_lectures(tables, new.select(*LECTURES.fieldNames(), "seq"), BATCH_TIME)
+    return _all_columns({name: tables.read(name) for name in TABLES}, ("lectures", "rejected_lectures"))
+
+
 def _merged_history(v: Views) -> DataFrame:
     """The observations as three logs that overlap in time, each compacted, two of them merged before the third."""
     rows = v.observations().select(*LECTURE_KEY, "is_completed", "observed_at", "seq")
@@ -328,6 +358,9 @@ QUERIES: dict[str, Query] = {
     "stream_pages": _stream_pages,
     "deliver_items": _on(_delivered),
     "merged_history": _on(_merged_history),
+    "kept_weeks": _on(_kept_weeks),
+    "kept_days": _on(_kept_days),
+    "insert_lectures": _on(_insert_lectures),
     # Page fields
     "course_id_from_classroom": _on(lambda v: v.page_text().select(
         "page_id", links.course_id_from_classroom("url").alias("text_id"))),

@@ -216,3 +216,40 @@ def set_target(courses: DataFrame, course_ids: Iterable[int], flag: bool = True)
     """Courses with the target flag of the listed ids set or cleared."""
     listed = F.coalesce(F.col("course_id").isin(list(course_ids)), F.lit(False))
     return courses.withColumn("is_target_course", F.when(listed, F.lit(flag)).otherwise(F.col("is_target_course")))
+
+
+# Why a lecture was set aside.
+KEY_STORED = "key is stored"
+KEY_EARLIER = "key came earlier"
+
+
+def insert_lectures(lectures: DataFrame, rows: DataFrame, null_safe: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Rows to be added under the rule that a lecture key occurs once: those that are taken, and those set aside.
+
+    ``rows`` have the columns of ``lectures`` and ``seq``, their arrival number. A row whose key is stored is set aside, and of
+    rows with the same key all but the first to arrive (of one number, the least by all columns); ``reason`` says which. A
+    row without course, section or lecture number breaks no rule, nor, unless ``null_safe``, one without a chapter.
+    """
+    ruled = matchable() if null_safe else matchable() & F.col("chapter_number").isNotNull()
+    # Equal rows travel as one, and a key has one row on the other side of each join, so a hot key is split.
+    each = rows.select(*lectures.columns, "seq").groupBy(*lectures.columns, "seq").agg(F.count("*").alias("copies"))
+    each = each.withColumn("place", F.struct("seq", *[c for c in lectures.columns]))
+    first = each.filter(ruled).groupBy(*LECTURE_KEY).agg(F.min("place").alias("first"))
+    stored = lectures.filter(ruled).select(*LECTURE_KEY).distinct()
+
+    def same(a: str, b: str) -> Column:
+        equal = F.lit(True)
+        for name in LECTURE_KEY:
+            equal &= F.col(f"{a}.{name}").eqNullSafe(F.col(f"{b}.{name}"))
+        return equal
+
+    keys = first.alias("f").join(stored.withColumn("held", F.lit(True)).alias("h"), same("f", "h"), "left").select("f.*", "held")
+    judged = each.alias("r").join(keys.alias("k"), same("r", "k"), "left").select("r.*", "first", "held")
+    taken = F.when(F.col("first").isNull(), F.col("copies")).when(F.col("held"), 0).otherwise(
+        F.col("place").eqNullSafe(F.col("first")).cast("bigint"))
+
+    def times(n: Column) -> DataFrame:
+        return judged.withColumn("n", n).filter("n > 0").withColumn("time", F.explode(F.sequence(F.lit(1), F.col("n").cast("int"))))
+
+    reason = F.when(F.col("held"), KEY_STORED).otherwise(KEY_EARLIER).alias("reason")
+    return times(taken).select(lectures.columns), times(F.col("copies") - taken).select(*lectures.columns, "seq", reason)

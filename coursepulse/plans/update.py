@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import AsOf, as_of_date, as_of_time, week_start
 from ..operators.history import LECTURE_KEY
 from ..operators.maintenance import (
-    delete_lectures, last_per_course, log_rows, merge_courses, merge_snapshots, upsert_lectures,
+    delete_lectures, insert_lectures, last_per_course, log_rows, merge_courses, merge_snapshots, upsert_lectures,
     valid_course_items, valid_lecture_items,
 )
 from ..operators.selection import coverage_audit
@@ -97,6 +97,37 @@ def publish_items(
     return number
 
 
+def publish_lectures(
+    tables: PublishedTables, rows: DataFrame, as_of: AsOf = None, mark: tuple[str, int] | None = None,
+    null_safe: bool = True, attempts: int = 50,
+) -> int:
+    """Add lectures to the published ones in one commit, each key once (``insert_lectures``), and return its number.
+
+    Rows whose key is taken go to ``rejected_lectures`` with the reason, in the same commit. Only the parts that the rows fall
+    into are read. ``mark`` and ``attempts`` are those of ``publish_items``.
+    """
+    number = applied(tables, mark)
+    if number is not None:
+        return number
+    with staged(tables, rows) as records:
+        while number is None:
+            attempts -= 1
+            last = tables.newest()
+            parts = tables.touched("lectures", records, last)
+            stored = tables.read("lectures", parts, last)
+            taken, aside = insert_lectures(stored, records, null_safe)
+            changes = {"lectures": (stored.unionByName(taken), parts)} if parts else {}
+            if not aside.isEmpty():
+                changes["rejected_lectures"] = (aside.withColumn("logged_at", as_of_time(as_of)), [])
+            try:
+                number = tables.publish(changes, last, mark, rebase=True)
+            except CommitConflict:
+                if attempts <= 0:
+                    raise
+                number = applied(tables, mark)
+    return number
+
+
 def applied(tables: PublishedTables, mark: tuple[str, int] | None) -> int | None:
     """The newest commit if the stream's batch is in the tables, else None."""
     last = tables.newest()

@@ -40,12 +40,24 @@ CRAWL_LOGS = _struct(
 # Pages that could not be read, and why.
 REJECTED_PAGES = _struct("page_id BIGINT, url STRING, rejected STRING, logged_at TIMESTAMP")
 
+# Lectures that came with a key that was taken, and why they were set aside.
+REJECTED_LECTURES = T.StructType([*LECTURES.fields, *_struct("seq BIGINT, reason STRING, logged_at TIMESTAMP").fields])
+
+# Figures that follow from the lectures (by the day of completion, NULL without) and from the snapshots.
+COMPLETION_DAYS = _struct(
+    "course_id BIGINT, completed_date DATE, is_completed BOOLEAN, lecture_count BIGINT, timed_count BIGINT, study_minutes DOUBLE"
+)
+WEEKLY_DELTAS = T.StructType([*SNAPSHOTS.fields, *_struct("weekly_study DOUBLE, progress_delta DOUBLE").fields])
+
 TABLES = {
     "courses": COURSES,
     "lectures": LECTURES,
     "course_progress_snapshots": SNAPSHOTS,
     "crawl_logs": CRAWL_LOGS,
     "rejected_pages": REJECTED_PAGES,
+    "rejected_lectures": REJECTED_LECTURES,
+    "completion_days": COMPLETION_DAYS,
+    "weekly_deltas": WEEKLY_DELTAS,
 }
 
 PAGES = _struct("page_id BIGINT, url STRING, html STRING")
