@@ -617,6 +617,7 @@ QUERIES |= {
                   ORDER BY section_number, chapter_number, lecture_number) as integer) AS sort_order FROM classroom_lessons)""",
 }
 
+QUERIES["reread_pages"] = QUERIES["page_items"]
 QUERIES["merged_history"] = QUERIES["completion_history"]
 QUERIES["deliver_items"] = (
     "SELECT 'turn' AS item_type, conv_id AS seq, cast(turn as integer) AS position, text AS payload FROM conversations")

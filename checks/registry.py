@@ -14,6 +14,7 @@ from coursepulse.operators import curriculum, delta, extraction, maintenance, re
 from coursepulse.operators import snapshots as progress
 from coursepulse.operators.history import LECTURE_KEY, compact_observations, completion_history, merge_observations
 from coursepulse.plans import collect, update
+from coursepulse.plans.readings import StoredReadings
 from coursepulse.sources import migrations
 from coursepulse.sources.published import PublishedTables
 from coursepulse.sources.readers import read_page_archive, read_table
@@ -288,13 +289,29 @@ def _page_headings(v: Views) -> DataFrame:
 
 def _page_items(v: Views) -> DataFrame:
     """Course and lecture records of the classroom pages, each page read once."""
-    return collect.page_items(v.classroom_pages()).select(
+    return _item_columns(collect.page_items(v.classroom_pages()))
+
+
+def _item_columns(items: DataFrame) -> DataFrame:
+    return items.select(
         "item_type", "seq", "position", "course_id", "course_title", "progress_rate", "study_time", "total_lecture_time",
         "url", "section_number", "section_title", "chapter_number", "lecture_number", "lecture_title", "lecture_time",
         "is_completed", "sort_order", "duration_rejected",
     )
 
 
+def _reread_pages(v: Views) -> DataFrame:
+    """Records of the classroom pages after an earlier archive, in which every third page had other markup, was read into
+    the same store."""
+    readings = StoredReadings(v.spark, scratch_folder(v.spark, "readings"))
+    older = F.when(F.col("page_id") % 3 == 0, F.replace("html", F.lit("Course number"), F.lit("Older number"))).otherwise(F.col("html"))
+    archives = scratch_folder(v.spark, "archives")
+    v.classroom_pages().select("page_id", "url", "html").write.parquet(f"{archives}/new")
+    pages = read_page_archive(v.spark, f"{archives}/new")
+    readings.add(pages.withColumn("html", older))
+    return _item_columns(collect.page_items(pages, readings=readings))
+
+
 QUERIES: dict[str, Query] = {
     # Snapshots
     "week_over_week": _with_snapshots(progress.week_over_week),
@@ -389,6 +406,7 @@ QUERIES: dict[str, Query] = {
     "extract_curriculum_purpose": _outline("purpose"),
     "page_headings": _on(_page_headings),
     "page_items": _on(_page_items),
+    "reread_pages": _on(_reread_pages),
     "rejected_pages": _on(_rejected_pages),
     "read_page_archive": _on(_archive),
     "extract_listings": _on(lambda v: curriculum.placeholder_courses(curriculum.resolve_course_links(

@@ -98,6 +98,8 @@ EXTRACTED = T.StructType([
     T.StructField("rejected", T.StringType()),
 ])
 LARGEST_COUNT = 2**63 - 1
+#: Why a page without markup is rejected.
+NO_MARKUP = "no markup"
 
 
 def _section(title, number, lessons, chapters=None, complete=None, total=None):
@@ -257,7 +259,7 @@ def extract_pages(pages: DataFrame, profile: str = "classroom", fields: Sequence
         def row(page_id, url, html):
             known = {"page_id": page_id, "url": url}
             if html is None:
-                return known | {"rejected": "no markup"}
+                return known | {"rejected": NO_MARKUP}
             try:
                 page = markup.Page(html)
                 return known | {name: reader(page) for name, reader in readers.items()}

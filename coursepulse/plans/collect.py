@@ -16,6 +16,7 @@ from ..functions.page_fields import (
 from ..operators.curriculum import lesson_array, lesson_array_flat, timed
 from ..operators.extraction import extract_pages
 from ..sources.schemas import ITEMS
+from .readings import StoredReadings
 from .update import REJECTED_ITEM
 
 
@@ -47,15 +48,20 @@ def _course_fields(pages: DataFrame) -> DataFrame:
 
 def page_items(
     pages: DataFrame, profile: str = "classroom", duration: Callable[[Column], Column] = parse_duration_daily, rejects: bool = False,
+    readings: StoredReadings | None = None,
 ) -> DataFrame:
     """Item records of archived pages: each page's course record, then its lectures.
 
     A page is read once; both kinds of record are elements of one array that is then exploded.
     They arrive in the order of their pages (``seq``) and of their ``position`` in the page. With ``rejects`` a page that
-    cannot be read gives one record of its own kind, with the reason as its ``payload``; so one reading has both results.
+    cannot be read gives one record of its own kind, with the reason as its ``payload``; so one reading has both results. With
+    ``readings`` (of the same profile) only markup that is not stored there is parsed.
     """
+    if readings is not None and readings.profile != profile:
+        raise ValueError(f"the readings are of profile {readings.profile!r}, not {profile!r}")
     lessons_of = lesson_array if profile == "classroom" else lesson_array_flat
-    read = extract_pages(pages, profile, ("url", "page_title", "h1", "body_text", "sections", *(["rejected"] if rejects else [])))
+    fields = ("url", "page_title", "h1", "body_text", "sections", *(["rejected"] if rejects else []))
+    read = readings.extract(pages, fields) if readings is not None else extract_pages(pages, profile, fields)
     signed_in = F.coalesce(is_authenticated("page_title", "url"), F.lit(False))
     unread = F.col("rejected").isNotNull() if rejects else F.lit(False)
     found = _course_fields(read.filter(signed_in | unread))

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.clock import AsOf
 from ..functions.durations import parse_duration_daily
 from ..plans.collect import page_items
+from ..plans.readings import StoredReadings
 from ..plans.update import publish_items
 from ..sources.published import PublishedTables
 
@@ -31,16 +32,16 @@ def stream_items(
 
 def stream_pages(
     pages: DataFrame, tables: PublishedTables, checkpoint: str, as_of: AsOf = None, trigger: dict | None = None,
-    profile: str = "classroom", duration: Callable[[Column], Column] = parse_duration_daily,
+    profile: str = "classroom", duration: Callable[[Column], Column] = parse_duration_daily, readings: StoredReadings | None = None,
 ) -> StreamingQuery:
     """Start the query that reads every micro-batch of archived pages (page_id, url, html) and applies it as one commit.
 
     A page is read once. Its records and, where it cannot be read, the reason become visible together: courses, lectures,
     snapshots and logs as ``stream_items`` has them, and rows of ``rejected_pages``. Pages count in the order of their
-    ids within a micro-batch, and of the micro-batches.
+    ids within a micro-batch, and of the micro-batches. With ``readings`` pages whose markup was read before are not parsed again.
     """
     def read(batch: DataFrame) -> DataFrame:
-        return page_items(batch, profile, duration, rejects=True).drop("duration_rejected")
+        return page_items(batch, profile, duration, True, readings).drop("duration_rejected")
 
     return _publishing(pages, read, tables, checkpoint, as_of, trigger)
 
