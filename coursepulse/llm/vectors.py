@@ -2,10 +2,15 @@
 
 Unit vectors are turned into the axes of their second moments, the strongest first. Two vectors of cosine c lie
 sqrt(2 - 2c) apart, so in each axis at most that far: vectors are dealt to cells of that width in the leading axes, and
-only neighbouring cells meet. Cells are cut into tiles of bounded size. A pair of tiles is compared by accumulating
-products over the leading axes first; after each stretch of axes the products that are still missing are bounded by the
-norms of the suffixes, and pairs that cannot reach the threshold are dropped. What is left after the last stretch is
-computed from the given vectors in double precision, and that value alone decides.
+only neighbouring cells meet. A cell that holds more than a tile is cut along further axes, up to ``DEEPEST``; what is still too
+large is cut into tiles of bounded size. Each tile knows the box of its vectors in the first ``BOX`` axes and the range of the
+norms of what follows; pairs of tiles whose boxes lie too far apart are dropped before any vector is joined. A pair of tiles is
+compared by accumulating products over the leading axes first; after each stretch of axes the products that are still
+missing are bounded by the norms of the suffixes, and pairs that cannot reach the threshold are dropped. What is left after
+the last stretch is computed from the given vectors in double precision, and that value alone decides.
+
+What is shuffled for vectors without leading axes, where no box rules out another, grows with the square of their number
+divided by the size of a tile, so tiles are as large as ``TILE_BYTES`` allows.
 
 Hot groups: equal vectors are one representative with a weight. A tile pair returns link counts per vector and a
 star for each linked group, so its output is bounded by its vectors, however many links there are.
@@ -23,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,11 +36,17 @@ from .links import components
 from .shared import each_row, ship, stage
 
 STRETCHES = (8, 24)  # leading axes after which the bound is applied
+DEEPEST = 6  # axes along which cells are cut at most
+BOX = 16  # axes of a tile's box
+TILE_BYTES = 2 << 20  # vectors of a tile, as given
+SUM_BYTES = 1 << 20  # moments that travel in one row
+SUM_TASKS = 256  # tasks that add up the moments of one such row before they meet
 
 
-def links(rows: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector: str = "embedding", tile: int = 2048,
-          axes: int = 2) -> DataFrame:
-    """One row per vector: id, n_links, component_id. ``axes``: leading axes that make the cells."""
+def links(rows: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vector: str = "embedding",
+          tile: int | None = None, axes: int = 2) -> DataFrame:
+    """One row per vector: id, n_links, component_id. ``tile``: vectors of a tile, by default as many as ``TILE_BYTES`` hold;
+    ``axes``: leading axes that make the cells."""
     ship(rows.sparkSession)
     numbered = each_row(rows, id_col, F.col(f"`{vector}`").cast("array<double>"), "v")
     given = stage(numbered.rows.withColumn("sound", _sound(F.col("v"))), "vectors")
@@ -48,8 +60,9 @@ def links(rows: DataFrame, threshold: float = 0.95, id_col: str = "vec_id", vect
     for n in sorted(r["n"] for r in every.select(F.size("v").alias("n")).distinct().collect()):
         classes = every.filter(F.size("v") == n)
         basis, leading = _axes(classes, n), min(axes, n)
-        tiles = stage(_tiles(classes, basis, width, leading, tile, kind), "tiles")
-        pairs = stage(_compare(tiles, basis, threshold, leading, kind), "pairs")
+        size = tile or max(256, TILE_BYTES // (n * np.dtype(kind).itemsize))
+        tiles = stage(_tiles(classes, basis, width, leading, size, kind), "tiles")
+        pairs = stage(_compare(tiles, basis, threshold, width, leading, kind), "pairs")
         found = pairs if found is None else found.unionByName(pairs)
     if found is None:
         return numbered.named(given.select("id", F.lit(0).cast("bigint").alias("n_links"), F.col("id").alias("component_id")), "id", "component_id")
@@ -77,7 +90,13 @@ def _unit(v: np.ndarray) -> np.ndarray:
 
 
 def _axes(classes: DataFrame, n: int) -> np.ndarray:
-    """Eigenvectors of the second moments of the unit vectors, the strongest first. The driver gets sums of n * n numbers."""
+    """Eigenvectors of the second moments of the unit vectors, the strongest first. The driver gets n * n numbers, packed."""
+    step = max(1, SUM_BYTES // (8 * n))
+    columns = "i int, part int, m binary"
+
+    def packed(sums: dict[int, np.ndarray], part: int) -> Iterator[pa.RecordBatch]:
+        for i, m in sums.items():
+            yield pa.RecordBatch.from_pydict({"i": pa.array([i], pa.int32()), "part": pa.array([part], pa.int32()), "m": pa.array([m.tobytes()])})
 
     def moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros((n, n))
@@ -85,44 +104,84 @@ def _axes(classes: DataFrame, n: int) -> np.ndarray:
             if len(batch):
                 u = _unit(np.array(batch["v"].flatten()).reshape(-1, n))
                 total += u.T @ u
-        yield pa.RecordBatch.from_pydict({"i": pa.array(range(n * n), pa.int32()), "m": pa.array(total.ravel())})
+        yield from packed({i: total[i:i + step] for i in range(0, n, step)}, TaskContext.get().partitionId() % SUM_TASKS)
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, m in zip(batch["i"].to_pylist(), batch["m"].to_pylist()):
+                sums[i] = sums.get(i, 0) + np.frombuffer(m)
+        yield from packed(sums, 0)
 
-    sums = classes.select("v").mapInArrow(moments, "i int, m double").groupBy("i").agg(F.sum("m").alias("m")).collect()
-    total = np.zeros(n * n)
-    total[[r["i"] for r in sums]] = [r["m"] for r in sums]
-    _, vectors = np.linalg.eigh(total.reshape(n, n))
+    sums = classes.select("v").mapInArrow(moments, columns).repartition("i", "part").mapInArrow(added, columns)
+    rows = sums.repartition("i").mapInArrow(added, columns).orderBy("i").collect()
+    _, vectors = np.linalg.eigh(np.concatenate([np.frombuffer(r["m"]) for r in rows]).reshape(n, n))
     return vectors[:, ::-1].copy()
 
 
 def _tiles(classes: DataFrame, basis: np.ndarray, width: float, axes: int, tile: int, kind: type) -> DataFrame:
-    """cell, number, ids, weights, vectors: bounded tiles of each cell, packed."""
+    """cell, number, ids, weights, vectors, low, high: bounded tiles of each cell, packed, with their boxes.
+
+    A vector's cell is its shortest one, from ``axes`` axes on, that holds no more than a tile, or the one of ``DEEPEST`` axes; so no
+    cell is a part of another.
+    """
+    deepest = min(max(axes, DEEPEST), len(basis))
 
     @F.pandas_udf("array<int>")
-    def cell(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def path(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            turned = _unit(np.stack(batch.to_numpy())) @ basis[:, :axes] if len(batch) else np.zeros((0, axes))
+            turned = _unit(np.stack(batch.to_numpy())) @ basis[:, :deepest] if len(batch) else np.zeros((0, deepest))
             yield pd.Series(list(np.floor(turned / width).astype(np.int32)), dtype=object)
 
-    placed = stage(classes.withColumn("cell", cell("v")), "cells")
-    parts = placed.groupBy("cell").agg(F.ceil(F.count("*") / tile).cast("int").alias("parts"))
+    def packed(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        vectors = np.stack(rows["v"].to_numpy())
+        turned = _unit(vectors) @ basis
+        box = np.column_stack([turned[:, :BOX], np.sqrt((turned[:, BOX:] ** 2).sum(axis=1))])
+        return pd.DataFrame({
+            "cell": [list(key[0])], "number": [key[1]], "ids": [rows["id"].to_numpy(np.int64).tobytes()],
+            "weights": [rows["weight"].to_numpy(np.int64).tobytes()], "vectors": [vectors.astype(kind).tobytes()],
+            "low": [box.min(axis=0)], "high": [box.max(axis=0)]})
 
-    dealt = placed.join(parts, "cell").withColumn("number", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    placed = stage(classes.withColumn("path", path("v")), "cells")
+    cells = (
+        placed.groupBy("path").agg(F.count("*").alias("n"))
+        .select("path", "n", F.explode(F.sequence(F.lit(axes), F.lit(deepest))).alias("depth"))
+        .withColumn("cell", F.slice("path", 1, F.col("depth")))
+    )
+    sizes = cells.groupBy("cell").agg(F.ceil(F.sum("n") / tile).cast("int").alias("parts"))
+    own = (
+        cells.join(sizes, "cell").filter((F.col("parts") == 1) | (F.col("depth") == deepest))
+        .groupBy("path").agg(F.min_by(F.struct("cell", "parts"), "depth").alias("own")).select("path", "own.*")
+    )
+    dealt = placed.join(own, "path").withColumn("number", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     return dealt.groupBy("cell", "number").applyInPandas(
-        lambda key, rows: pd.DataFrame({
-            "cell": [list(key[0])], "number": [key[1]], "ids": [rows["id"].to_numpy(np.int64).tobytes()],
-            "weights": [rows["weight"].to_numpy(np.int64).tobytes()],
-            "vectors": [np.stack(rows["v"].to_numpy()).astype(kind).tobytes()]}),
-        "cell array<int>, number int, ids binary, weights binary, vectors binary")
+        packed, "cell array<int>, number int, ids binary, weights binary, vectors binary, low array<double>, high array<double>")
+
+
+def _neighbours(cell: Column) -> Column:
+    """All cells of as many axes that touch ``cell``, itself included."""
+    return F.aggregate(cell, F.array(F.array().cast("array<int>")), lambda found, x: F.flatten(F.transform(
+        found, lambda p: F.transform(F.array(*map(F.lit, (-1, 0, 1))), lambda d: F.concat(p, F.array(x + d))))))
+
+
+def _tile_pairs(tiles: DataFrame, width: float, axes: int) -> DataFrame:
+    """left_cell, left_number, cell, number: the pairs of tiles that may hold linked vectors, each once, a tile with itself too.
+
+    The tile of the cell of more axes looks for the other, among the neighbours of what its cell is in fewer axes.
+    """
+    boxes = tiles.select("cell", "number", "low", "high")
+    near = F.flatten(F.transform(F.sequence(F.lit(axes), F.size("cell")), lambda d: _neighbours(F.slice("cell", 1, d))))
+    left = boxes.select(*[F.col(c).alias(f"left_{c}") for c in boxes.columns], F.explode(near).alias("cell"))
+    once = (F.size("left_cell") > F.size("cell")) | (F.struct("left_cell", "left_number") <= F.struct("cell", "number"))
+    after, before = (F.zip_with(a, b, lambda x, y: x - y) for a, b in (("low", "left_high"), ("left_low", "high")))
+    gaps = F.zip_with(after, before, lambda x, y: F.greatest(x, y, F.lit(0.0)))
+    apart = F.aggregate(gaps, F.lit(0.0), lambda total, gap: total + gap * gap)
+    return left.join(boxes, "cell").filter(once & (apart <= width * width)).select("left_cell", "left_number", "cell", "number")
 
 
-def _compare(tiles: DataFrame, basis: np.ndarray, threshold: float, axes: int, kind: type) -> DataFrame:
+def _compare(tiles: DataFrame, basis: np.ndarray, threshold: float, width: float, axes: int, kind: type) -> DataFrame:
     """Rows (a, null, n): vector a has n links in one pair of tiles. Rows (a, b, 0): a and b hang together in it, a star for each group."""
-    reach = tiles.select(F.col("cell").alias("left_cell"), F.col("number").alias("left_number"))
-    for axis in range(axes):
-        reach = reach.withColumn(f"c{axis}", F.explode(F.array(*[F.col("left_cell")[axis] + F.lit(d) for d in (-1, 0, 1)])))
-    reach = reach.withColumn("cell", F.array(*[F.col(f"c{axis}") for axis in range(axes)])).select("left_cell", "left_number", "cell")
-    pairs = reach.join(tiles.select("cell", "number"), "cell").filter(
-        (F.struct("left_cell", "left_number") <= F.struct("cell", "number")))
+    pairs = _tile_pairs(tiles, width, axes)
     left = tiles.select(F.col("cell").alias("left_cell"), F.col("number").alias("left_number"), F.col("ids").alias("left_ids"),
                         F.col("weights").alias("left_weights"), F.col("vectors").alias("left_vectors"))
     n = len(basis)

@@ -46,6 +46,39 @@ def test_links_equal_brute_force(spark, kind, tile):
     assert got == brute_force(rows, 0.95)
 
 
+def test_cut_cells_and_boxes(spark):
+    """Vectors with strong leading axes: full cells are cut along further axes, most pairs of tiles are dropped, no link is lost."""
+    rng = np.random.default_rng(11)
+    strength = 2.0 ** -np.arange(20)
+    centres = rng.normal(size=(30, 20)) * strength
+    rows = [(k, [float(x) for x in centres[k % 30] + rng.normal(size=20) * strength * (0.02 if k % 3 else 0.8)]) for k in range(500)]
+    got = {r.id: (r.n_links, r.component_id) for r in vectors.links(frame(spark, rows), tile=8).collect()}
+    assert got == brute_force(rows, 0.95)
+
+    classes = frame(spark, rows).select(vectors.F.col("vec_id").alias("id"), vectors.F.col("embedding").alias("v"), vectors.F.lit(1).cast("long").alias("weight"))
+    basis = vectors._axes(classes, 20)
+    unit = vectors._unit(np.array([v for _, v in rows]))
+    assert np.allclose(abs(basis.T @ (unit.T @ unit) @ basis - np.diag(np.diag(basis.T @ (unit.T @ unit) @ basis))), 0, atol=1e-9)
+    width = math.sqrt(0.1) + 1e-9
+    tiles = vectors._tiles(classes, basis, width, 2, 8, np.float64).cache()
+    cells = {tuple(r.cell) for r in tiles.collect()}
+    assert {len(c) for c in cells} > {2} and not any(c != d and d[:len(c)] == c for c in cells for d in cells)
+    assert sum(len(r.ids) // 8 for r in tiles.collect()) == 500
+    every = tiles.count()
+    assert vectors._tile_pairs(tiles, width, 2).count() < every * (every + 1) / 2 * 0.7
+    tiles.unpersist()
+
+
+def test_moments_of_many_rows_are_added_up(spark, monkeypatch):
+    monkeypatch.setattr(vectors, "SUM_BYTES", 100)  # a row or two of the moments in each row
+    rng = np.random.default_rng(2)
+    v = rng.normal(size=(50, 7)) * np.arange(1, 8)
+    classes = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>").repartition(9)
+    basis, unit = vectors._axes(classes, 7), vectors._unit(v)
+    strength = np.diag(basis.T @ (unit.T @ unit) @ basis)
+    assert np.allclose(strength, np.linalg.eigvalsh(unit.T @ unit)[::-1])
+
+
 def test_other_lengths_ids_and_empty_tables(spark):
     rows = [(1, [1.0, 0.0]), (2, [1.0, 0.01]), (3, [1.0]), (4, [1.0]), (None, [1.0, 0.0]), (2, [1.0, 0.01]), (5, [2.0, 0.0])]
     got = {r.id: (r.n_links, r.component_id) for r in vectors.links(frame(spark, rows)).collect()}
