@@ -53,6 +53,29 @@ def test_a_chain_of_one_hash_stays_together(documents, monkeypatch):
     assert sorted((r.id, r.keep_id) for r in exact.lookup(documents(*rows), index).collect()) == [(i, i % 20) for i in range(40)]
 
 
+def test_texts_of_one_hash_are_told_apart_by_bytes(documents, monkeypatch):
+    from pyspark.sql import functions as F
+    monkeypatch.setattr(exact.F, "xxhash64", lambda *columns: F.lit(5).cast("bigint"))
+    rows = [(i, f"text {i % 20}") for i in range(60)]
+    got = exact.deduplicate(documents(*rows).repartition(7), bucket_rows=4).collect()
+    assert sorted((r.id, r.keep_id, r.group_size) for r in got) == [(i, i % 20, 3) for i in range(60)]
+    assert {(r.keep_id, r.chain) for r in got} == {(i, i + 1) for i in range(20)}
+
+
+@pytest.mark.parametrize("held", [0, 700, 1 << 25])
+def test_equal_brute_force_over_many_tasks(documents, monkeypatch, held):
+    monkeypatch.setattr(exact, "HELD_BYTES", held)
+    monkeypatch.setattr(exact, "ANSWER_ROWS", 3)
+    rows = [(i * 7 % 401, "hot  text" if i % 3 == 0 else f"t{i % 90}" + " \t"[i % 2] + "x" * (i % 40)) for i in range(400)] + [(900, None), (901, ""), (None, "hot text")]
+    groups = {}
+    for i, text in rows:
+        groups.setdefault(" ".join((text or "").replace("\t", " ").split(" ")) if "hot" not in (text or "") else "hot text", []).append(i)
+    want = sorted(((i, min(x for x in ids if x is not None), len(ids)) for ids in groups.values() for i in ids), key=repr)
+    got = exact.deduplicate(documents(*rows).repartition(9), bucket_bytes=200, depth=1).collect()
+    assert sorted(((r.id, r.keep_id, r.group_size) for r in got), key=repr) == want
+    assert len({r.bucket for r in got}) > 8
+
+
 def test_kept_rows_have_their_own_columns(documents):
     df = documents((2, "x"), (1, "x"), (3, "y"), (None, "y"))
     kept = exact.keep_first(df)
