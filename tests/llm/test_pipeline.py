@@ -52,7 +52,7 @@ def test_stages_take_columns_of_their_own_names(spark, documents):
 @pytest.mark.parametrize("name", queries.ORACLE_SQL)
 def test_query_equals_its_sql(spark, name):
     db = duckdb.connect()
-    for table in ("documents", "embeddings"):
+    for table in ("documents", "embeddings", "labels"):
         db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SMALL}/{table}.parquet'")
     outcome = compare(contract.queries()[name](spark, SMALL), db, queries.ORACLE_SQL[name])
     assert outcome.same, outcome.difference
