@@ -200,9 +200,11 @@ class Views:
         In lines of odd length each sentence is a chapter and its clauses are the lectures.
         """
         def lessons(texts):
-            return F.transform(texts, lambda t: F.struct(
-                t.alias("title"), _duration(F.length(t), F.length(t) % 50).alias("duration"),
-                (F.length(t) % 2 == 0).alias("is_completed"),
+            # Lengths are counted once a text.
+            sized = F.transform(texts, lambda t: F.struct(t.alias("t"), F.length(t).alias("n")))
+            return F.transform(sized, lambda x: F.struct(
+                x["t"].alias("title"), _duration(x["n"], x["n"] % 50).alias("duration"),
+                (x["n"] % 2 == 0).alias("is_completed"),
             ))
 
         def section(line, index):
@@ -214,14 +216,13 @@ class Views:
                 F.concat(F.lit("Chapter "), (i + 1).cast("string")).alias("chapter_title"),
                 lessons(F.split(s, ", ")).alias("lessons"),
             ))
-            found = lessons(sentences)
             return F.struct(
                 F.concat(F.lit("Part "), number.cast("string")).alias("section"),
                 number.alias("section_number"),
-                F.size(F.filter(found, lambda x: x["is_completed"])).alias("complete_count"),
-                F.size(found).alias("total_count"),
+                F.size(F.filter(sentences, lambda s: F.length(s) % 2 == 0)).alias("complete_count"),
+                F.size(sentences).alias("total_count"),
                 F.when(odd, chapters).alias("chapters"),
-                F.when(~odd, found).alias("lessons"),
+                F.when(~odd, lessons(sentences)).alias("lessons"),
             )
 
         lines = F.split("text", "\n")

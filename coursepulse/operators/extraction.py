@@ -98,6 +98,8 @@ EXTRACTED = T.StructType([
     T.StructField("rejected", T.StringType()),
 ])
 LARGEST_COUNT = 2**63 - 1
+#: Markup whose results a task gathers before it hands them on.
+HELD_CHARS = 4_000_000
 #: Why a page without markup is rejected.
 NO_MARKUP = "no markup"
 
@@ -114,18 +116,21 @@ def _classroom_reader(with_chapters: bool):
     part = {name: markup.Selector(selector) for name, selector in CLASSROOM.items()}
 
     def text_of(page, element, name, default):
-        found = page.find(element, part[name])
-        return page.text(found[0]) if found else default
+        found = page.first(element, part[name])
+        return default if found is None else page.text(found)
+
+    of_title, of_time = part["lesson_title"], part["lesson_time"]
 
     def lessons_of(page, element):
-        return [
-            {
-                "title": text_of(page, lesson, "lesson_title", f"Lecture {i}"),
-                "duration": text_of(page, lesson, "lesson_time", ""),
+        first, text, lessons = page.first, page.text, []
+        for i, lesson in enumerate(page.find(element, part["lesson"]), 1):
+            title, time = first(lesson, of_title), first(lesson, of_time)
+            lessons.append({
+                "title": f"Lecture {i}" if title is None else text(title),
+                "duration": "" if time is None else text(time),
                 "is_completed": COMPLETE_CLASS in lesson.attrs.get("class", ""),
-            }
-            for i, lesson in enumerate(page.find(element, part["lesson"]), 1)
-        ]
+            })
+        return lessons
 
     def chapter_of(title):
         while title is not None and not part["chapter"].matches(title):
@@ -205,7 +210,8 @@ def _outline_reader(outline: Outline):
 
 
 def _read_rows(batches, row, arrow_schema):
-    """Apply ``row`` to every (page_id, url, html) of the batches."""
+    """Apply ``row`` to every (page_id, url, html) of the batches and give what is not None; a task holds the results of
+    ``HELD_CHARS`` of markup at most, or of one page, besides the batch it reads."""
     import gc
 
     import pyarrow as pa
@@ -214,12 +220,27 @@ def _read_rows(batches, row, arrow_schema):
     gc.disable()
     try:
         for batch in batches:
-            columns = [batch.column(name).to_pylist() for name in ("page_id", "url", "html")]
-            yield pa.RecordBatch.from_pylist([row(*values) for values in zip(*columns)], arrow_schema)
+            rows, held = [], 0
+            for values in zip(*[batch.column(name) for name in ("page_id", "url", "html")]):
+                page_id, url, html = (value.as_py() for value in values)
+                found = row(page_id, url, html)
+                if found is not None:
+                    rows.append(found)
+                held += len(html or "")
+                if held >= HELD_CHARS and rows:
+                    yield pa.RecordBatch.from_pylist(rows, arrow_schema)
+                    rows, held = [], 0
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, arrow_schema)
     finally:
         gc.enable()
 
 
+def rejected_pages(pages: DataFrame, profile: str = "classroom") -> DataFrame:
+    """page_id, url and reason of the pages that cannot be read. All fields are read, and only these pages are sent."""
+    return _extract(pages, profile, None, ("page_id", "url", "rejected"), True)
+
+
 def extract_pages(pages: DataFrame, profile: str = "classroom", fields: Sequence[str] | None = None) -> DataFrame:
     """Page title, first heading, visible text and nested curriculum of every archived page.
 
@@ -227,11 +248,16 @@ def extract_pages(pages: DataFrame, profile: str = "classroom", fields: Sequence
     asked for are looked up and sent, page_id always. A page without a curriculum has an empty ``sections``. A page
     that cannot be read does not end the job: its fields are NULL and ``rejected`` says why.
     """
+    return _extract(pages, profile, fields, fields, False)
+
+
+def _extract(pages: DataFrame, profile: str, fields: Sequence[str] | None, sent: Sequence[str] | None, rejects: bool) -> DataFrame:
+    """``extract_pages`` with ``fields`` looked up and ``sent`` sent, of all pages or of the ``rejects``."""
     if profile not in PROFILES:
         raise ValueError(f"unknown profile {profile!r}, expected one of {PROFILES}")
     outline = OUTLINES.get(profile)
     own_heading = outline.page_title if outline else "h1"
-    wanted = T.StructType([f for f in EXTRACTED if f.name == "page_id" or fields is None or f.name in fields])
+    wanted = T.StructType([f for f in EXTRACTED if f.name == "page_id" or sent is None or f.name in sent])
     arrow_schema = to_arrow_schema(wanted)
 
     def read_batches(batches):
@@ -254,7 +280,7 @@ def extract_pages(pages: DataFrame, profile: str = "classroom", fields: Sequence
             "body_text": body_of,
             "sections": lambda page: list(read(page)),
         }
-        readers = {name: reader for name, reader in readers.items() if name in arrow_schema.names}
+        readers = {name: reader for name, reader in readers.items() if fields is None or name in fields}
 
         def row(page_id, url, html):
             known = {"page_id": page_id, "url": url}
@@ -262,7 +288,8 @@ def extract_pages(pages: DataFrame, profile: str = "classroom", fields: Sequence
                 return known | {"rejected": NO_MARKUP}
             try:
                 page = markup.Page(html)
-                return known | {name: reader(page) for name, reader in readers.items()}
+                read_fields = {name: reader(page) for name, reader in readers.items()}
+                return None if rejects else known | read_fields
             except Exception as error:  # one page must not end the job; the reason is kept
                 return known | {"rejected": f"{type(error).__name__}: {error}"[:500]}
 

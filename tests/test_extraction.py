@@ -147,3 +147,46 @@ def test_visible_text(html, text):
 def test_deep_nesting_does_not_recurse():
     page = markup.Page("<b>" * 20000 + "x")
     assert page.text(page.root) == "x" and len(page.elements) == 20001
+
+
+def test_a_task_holds_the_results_of_few_pages(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(extraction, "HELD_CHARS", 100)
+    batch = pa.RecordBatch.from_pydict({"page_id": list(range(50)), "url": ["u"] * 50, "html": ["<p>" * 10] * 49 + [None]})
+    schema = pa.schema([("page_id", pa.int64())])
+    found = list(extraction._read_rows([batch], lambda page_id, url, html: {"page_id": page_id}, schema))
+    assert max(map(len, found)) <= 4 and [x for part in found for x in part["page_id"].to_pylist()] == list(range(50))
+
+
+def test_tags_are_taken_apart_once(monkeypatch):
+    seen, own = [], markup._attributes
+    monkeypatch.setattr(markup, "_attributes", lambda text: seen.append(text) or own(text))
+    markup._known.clear()
+    page = markup.Page('<i class="a b">x</i>' * 100)
+    assert seen == [' class="a b"'] and len(page.find(page.root, markup.Selector(".b"))) == 100
+    monkeypatch.setattr(markup, "KNOWN_TAGS", 3)
+    assert len(markup.Page("".join(f"<a href='{i}'>" for i in range(9))).elements) == 10 and len(markup._known) <= 3
+
+
+@pytest.mark.parametrize("html, tags, text", [
+    ("<br>x</br>y", ["br"], "xy"), ("<p>a<p>b</p>c</p>", ["p", "p"], "a b c"), ("<title>t</title>x", ["title"], "x"),
+    ("<I>a</i>b</I>", ["i"], "ab"), ("</b>x</b>", [], "x"), ("<b>x</b>y</b>z", ["b"], "xyz"), ("<li>a</li><li>b<li>c</li>", ["li"] * 3, "a b c"),
+])
+def test_elements_of_one_text(html, tags, text):
+    page = markup.Page(html)
+    assert [e.tag for e in page.elements[1:]] == tags and page.text(page.root) == text
+
+
+def test_rejected_pages_are_all_read_and_alone_sent(spark, monkeypatch):
+    class Broken(markup.Page):
+        def text(self, element):
+            if element.tag == "body":
+                raise ValueError("no body text")
+            return super().text(element)
+
+    monkeypatch.setattr(markup, "Page", Broken)
+    pages = spark.createDataFrame([(1, "u", CLASSROOM), (2, "u", None), (3, "u", "<p>x")], "page_id long, url string, html string")
+    rows = extraction.rejected_pages(pages)
+    assert rows.columns == ["page_id", "url", "rejected"]
+    assert sorted((r.page_id, r.rejected) for r in rows.collect()) == [(1, "ValueError: no body text"), (2, "no markup")]
