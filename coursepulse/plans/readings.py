@@ -15,6 +15,9 @@ from ..sources.scratch import scratch_folder
 #: Goes up with every change of what is read from a page; readings of another number are not used.
 READER = 1
 
+#: So many new pages are at most left to Spark's size checks; for more, their digests are hashed, so that no markup is sorted.
+FEW_PAGES = 50_000
+
 READING = T.StructType([T.StructField("digest", T.StringType()), *(f for f in EXTRACTED if f.name not in ("page_id", "url"))])
 
 
@@ -52,10 +55,13 @@ class StoredReadings:
         path = scratch_folder(self.spark, "new-pages")
         new.write.parquet(path)
         new = self.spark.read.schema(new.schema).parquet(path)
-        if new.isEmpty():
+        count = new.count()
+        if not count:
             return
         marked = pages.filter("html IS NOT NULL").select("page_id", _digest().alias("url"), "html")
         own = new.select(F.col("digest").alias("url"), F.col("page_id").alias("own"))
+        if count > FEW_PAGES:
+            own = own.hint("shuffle_hash")
         fresh = marked.join(own, (marked["url"] == own["url"]) & marked["page_id"].eqNullSafe(own["own"]), "left_semi")
         read = extract_pages(fresh, self.profile).drop("page_id").withColumnRenamed("url", "digest")
         read.select(*READING.fieldNames()).write.parquet(f"{self.path}/{uuid.uuid4().hex}")
@@ -65,8 +71,12 @@ class StoredReadings:
         self.add(pages)
         stored = self.read()
         values = F.struct(*[c for c in READING.fieldNames() if c != "digest"])
-        one = stored.groupBy("digest").agg(F.any_value(values).alias("reading"))
-        every = pages.select("page_id", "url", _digest().alias("digest")).join(one, "digest", "left")
+        one = stored.select("digest", values.alias("reading"))
+        # Only writers beside each other store a digest again; the readings are sorted for them alone.
+        if not stored.groupBy("digest").count().filter("count > 1").isEmpty():
+            one = one.groupBy("digest").agg(F.any_value("reading").alias("reading"))
+        # Ids and digests are hashed and the readings pass by, as they are much larger.
+        every = pages.select("page_id", "url", _digest().alias("digest")).hint("shuffle_hash").join(one, "digest", "left")
         rejected = F.when(F.col("digest").isNull(), F.lit(NO_MARKUP)).otherwise(F.col("reading.rejected"))
         columns = {"page_id": F.col("page_id"), "url": F.col("url"), "rejected": rejected}
         return every.select(*[

@@ -89,3 +89,13 @@ def test_writers_beside_each_other_and_profiles(spark, tmp_path):
         collect.page_items(pages, readings=flat)
     with pytest.raises(ValueError):
         StoredReadings(spark, root, "nothing")
+
+
+def test_readings_and_markup_are_not_sorted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("coursepulse.plans.readings.FEW_PAGES", 0)
+    readings = StoredReadings(spark, str(tmp_path / "store"))
+    pages = archive(spark, [(i, CLASSROOM + f"<p>{i}</p>") for i in range(12)] + [(50, None), (None, CLASSROOM)])
+    read = readings.extract(pages)
+    plan = read._sc._jvm.PythonSQLUtils.explainString(read._jdf.queryExecution(), "simple")
+    assert "ShuffledHashJoin" in plan and "Sort" not in plan
+    assert rows_of(read) == rows_of(extraction.extract_pages(pages))
