@@ -96,11 +96,12 @@ def _apply_items(v: Views) -> DataFrame:
 
 
 def _arrive(spark: SparkSession, folder: str, rows: DataFrame, part: Column, start: Callable[[], StreamingQuery]) -> None:
-    """Rows come to the stream's folder part by part; after each the stream takes what has come, in one micro-batch."""
-    rows.write.parquet(f"{folder}-all")
-    stored = spark.read.schema(rows.schema).parquet(f"{folder}-all")
+    """Rows come to the stream's folder part by part; after each the stream takes what has come, in one micro-batch.
+
+    A part is made when it comes, from the rows that belong to it alone.
+    """
     for number in range(STREAM_PARTS):
-        stored.filter(part == number).write.mode("append").parquet(folder)
+        rows.filter(part == number).write.mode("append").parquet(folder)
         start().awaitTermination()
 
 
@@ -229,8 +230,7 @@ def _section_counts(v: Views) -> DataFrame:
 
 def _rejected_pages(v: Views) -> DataFrame:
     """The classroom pages that could not be read, and why."""
-    return extraction.extract_pages(v.classroom_pages(), "classroom").filter("rejected IS NOT NULL").select(
-        "page_id", "rejected")
+    return extraction.rejected_pages(v.classroom_pages()).select("page_id", "rejected")
 
 
 def _read_back(v: Views) -> DataFrame:
