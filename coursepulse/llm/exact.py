@@ -19,7 +19,7 @@ repeat an id and its text get the same result; an empty table gives an empty ind
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from typing import Any, NamedTuple
 
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from .shared import SPACE, ship, stage, without
+from .shared import BATCH_BYTES, SPACE, ship, stage, without
 
 FIRST_DEPTH = 0
 BUCKET_BYTES = 16 << 20
@@ -67,7 +67,7 @@ def build(docs: DataFrame, id_col: str = "doc_id", text: str = "text", bucket_ro
     texts = gathered.filter("body IS NOT NULL").select("key", "hash", "body", "keep_id", "rows")
     directory, depth = _directory(texts, bucket_rows, bucket_bytes, depth)
     owned = texts.withColumn("slot", _leading(F.col("hash"), depth)).join(directory, "slot")
-    answers = stage(_owners(owned.drop("slot"), kind), "index")
+    answers = stage(_owners(owned.drop("slot"), kind), "index", BATCH_BYTES)
     members = gathered.filter("body IS NULL").select("id", "key").join(answers, "key").drop("key", "first")
     return Index(answers.filter("first").select("bucket", "depth", *ENTRY), directory, depth, members)
 
@@ -83,9 +83,8 @@ def _gather(rows: DataFrame, kind: T.DataType) -> DataFrame:
         held: dict[bytes, list[Any]] = {}
         size = 0
 
-        def flushed() -> pa.RecordBatch:
-            columns = list(zip(*((k, None, h, body, least, n) for body, (k, h, least, n) in held.items())))
-            return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow)], schema=arrow)
+        def flushed() -> Iterator[pa.RecordBatch]:
+            return _text_batches(((k, None, h, body, least, n) for body, (k, h, least, n) in held.items()), arrow)
 
         for batch in batches:
             keys = []
@@ -93,7 +92,7 @@ def _gather(rows: DataFrame, kind: T.DataType) -> DataFrame:
                 entry = held.get(body)
                 if entry is None:
                     if size > HELD_BYTES:
-                        yield flushed()
+                        yield from flushed()
                         held.clear()
                         size = 0
                     entry = held[body] = [key, h, i, 0]
@@ -104,11 +103,27 @@ def _gather(rows: DataFrame, kind: T.DataType) -> DataFrame:
                 keys.append(entry[0])
             nothing = [pa.nulls(len(keys), f.type) for f in arrow]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), batch["id"].cast(arrow.field("id").type), *nothing[2:]], schema=arrow)
-        if held:
-            yield flushed()
+        yield from flushed()
 
     hashed = rows.select("id", F.xxhash64("body").alias("hash"), F.col("body").cast("binary").alias("body"))
-    return stage(hashed.mapInArrow(gather, schema), "texts")
+    return stage(hashed.mapInArrow(gather, schema), "texts", BATCH_BYTES)
+
+
+def _text_batches(rows: Iterable[tuple], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about ``BATCH_BYTES`` of texts, so that what a task holds is never copied whole."""
+    at, some, size = schema.get_field_index("body"), [], 0
+
+    def packed() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*some), schema)], schema=schema)
+
+    for row in rows:
+        some.append(row)
+        size += len(row[at]) + 200
+        if size >= BATCH_BYTES:
+            yield packed()
+            some, size = [], 0
+    if some:
+        yield packed()
 
 
 def _least(a: Any, b: Any) -> Any:

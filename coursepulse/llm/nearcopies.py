@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from . import anchors as anchor
 from .links import components
 from .repeats import pack
-from .shared import each_row, keyed, ship, stage, text_digest, without
+from .shared import BATCH_BYTES, each_row, keyed, ship, stage, text_digest, without
 
 SHINGLE = 5
 BITS = 16
@@ -161,19 +161,19 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
     """One row per document: id, n_shingles, component_id (the smallest id that its links reach, itself included)."""
     given = each_row(docs, id_col, F.coalesce(F.col(f"`{text}`"), F.lit("")), "body")
     rows = given.rows
-    sketched = stage(sketches(rows), "sketches")
+    sketched = stage(sketches(rows), "sketches", BATCH_BYTES)
     classes = stage(sketched.filter("n > 0").groupBy("one", "two", "n").agg(F.min("id").alias("rep"), F.first("keys").alias("keys")), "classes")
     # Documents that share a key, found by counts that combine before they are shuffled.
     keyed = classes.select("rep", "n", F.posexplode("keys").alias("place", "key"))
     shared = keyed.groupBy("key").agg(F.min("rep").alias("leader"), F.count("*").alias("documents")).filter("documents > 1")
     members = stage(keyed.join(shared.select("key", "leader"), "key").withColumn("part", F.pmod(F.xxhash64("rep"), F.lit(PARTS))), "members")
     seconds = members.groupBy("key", "part").agg(F.min("rep").alias("second"))
-    sets = stage(full_sets(pack(rows), members.select(F.col("rep").alias("id")).distinct()), "sets")
+    sets = stage(full_sets(pack(rows), members.select(F.col("rep").alias("id")).distinct()), "sets", BATCH_BYTES)
     first_pairs = stage(
         members.join(seconds, ["key", "part"])
         .select(F.explode(F.array_distinct(F.array("leader", "second"))).alias("a"), F.col("rep").alias("b"))
         .filter("a != b").distinct(), "pairs")
-    first_links = stage(confirm(first_pairs, sets, percent), "links")
+    first_links = stage(confirm(first_pairs, sets, percent), "links", BATCH_BYTES)
     # Keys whose documents are not all in one component, with what tells two documents apart.
     labelled = stage(
         members.select("key", "place", "rep", "n").join(components(first_links).withColumnRenamed("node", "rep"), "rep", "left")
@@ -194,7 +194,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
         .select(F.col("left_rep").alias("a"), F.col("right_rep").alias("b")).distinct()
         .join(first_pairs, ["a", "b"], "left_anti")
     )
-    links = first_links.unionByName(stage(confirm(second_pairs, sets, percent), "links"))
+    links = first_links.unionByName(stage(confirm(second_pairs, sets, percent), "links", BATCH_BYTES))
     labels = components(links).withColumnRenamed("node", "rep")
     owners = classes.select("one", "two", "n", "rep").join(labels, "rep", "left").select(
         "one", "two", "n", F.coalesce("component", "rep").alias("component"))
