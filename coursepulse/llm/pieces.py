@@ -23,14 +23,13 @@ from itertools import pairwise
 from math import inf
 
 import ahocorasick
-import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import ship
+from .shared import free_name, ship
 
 MARK = "▁"
 CACHED_WORDS = 200_000
@@ -218,20 +217,29 @@ def _with(docs: DataFrame, text: str, added: list[T.StructField], make: Callable
 
 def encode(docs: DataFrame, model: bytes, text: str = "text", out: str = "pieces", round_trip: str | None = None) -> DataFrame:
     """``docs`` with ``out``, the piece ids of ``text`` in order, and, if it has a name, ``round_trip``: whether decoding
-    them gives the text again. Given columns of these names give way."""
+    them gives the text again. Given columns of these names give way.
+
+    Only texts go to the tasks, a hundred at a time; an Arrow batch would hold up to 64 MB of rows on both sides."""
     ship(docs.sparkSession)
     sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def to_ids(column: pa.Array) -> Iterator[pa.Array]:
-        encoder, texts = _once(Encoder, sent.value), column.to_pylist()
-        ids = [encoder.encode(t) for t in texts]
-        ends = np.cumsum([0, *map(len, ids)], dtype=np.int32)
-        yield pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(i.tobytes() for i in ids), np.int32)))
-        if round_trip:
-            yield pa.array([encoder.decode(i) == (t or "") for i, t in zip(ids, texts, strict=True)], pa.bool_())
-
-    added = [T.StructField(out, T.ArrayType(T.IntegerType())), *([T.StructField(round_trip, T.BooleanType())] if round_trip else [])]
-    return _with(docs, text, added, to_ids)
+    ids_type = T.ArrayType(T.IntegerType())
+
+    def to_ids(body: str | None) -> list[int]:
+        return _once(Encoder, sent.value).encode(body).tolist()
+
+    def to_ids_and_back(body: str | None) -> tuple[list[int], bool]:
+        encoder = _once(Encoder, sent.value)
+        ids = encoder.encode(body)
+        return ids.tolist(), encoder.decode(ids) == (body or "")
+
+    new = {name.lower() for name in (out, round_trip) if name}
+    given = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in new]
+    if not round_trip:
+        return docs.select(*given, F.udf(to_ids, ids_type, useArrow=False)(F.col(f"`{text}`")).alias(out))
+    both = F.udf(to_ids_and_back, T.StructType().add("ids", ids_type).add("same", "boolean"), useArrow=False)
+    found = free_name(docs, "encoded")
+    return docs.withColumn(found, both(F.col(f"`{text}`"))).select(
+        *given, F.col(f"{found}.ids").alias(out), F.col(f"{found}.same").alias(round_trip))
 
 
 def decode(rows: DataFrame, model: bytes, pieces: str = "pieces", out: str = "decoded") -> DataFrame:
