@@ -32,7 +32,7 @@ from pyspark.sql import types as T
 from .shared import free_name, ship
 
 MARK = "▁"
-CACHED_WORDS = 200_000
+CACHED_WORDS = 100_000
 CACHED_CHARS = 64
 ROWS = 256
 CACHED_PAIRS = 300_000
@@ -188,16 +188,18 @@ def read_model(path: str) -> bytes:
         return file.read()
 
 
-_made: dict[tuple, Decoder] = {}
+class Kept:
+    """A model, and what a worker has made of it. It is sent as a broadcast, which a worker gives up with its first task of
+    another job: the memory of words lasts from task to task, but not beyond the job."""
 
+    def __init__(self, model: bytes):
+        self.model = model
+        self.made: dict[type, Decoder] = {}
 
-def _once(kind: type, model: bytes) -> Decoder:
-    """One encoder or decoder per worker and model: its memory of words lasts from task to task."""
-    key = (kind, hash(model))
-    if key not in _made:
-        _made.clear()
-        _made[key] = kind(model)
-    return _made[key]
+    def once(self, kind: type) -> Decoder:
+        if kind not in self.made:
+            self.made[kind] = kind(self.model)
+        return self.made[kind]
 
 
 def _with(docs: DataFrame, text: str, added: list[T.StructField], make: Callable[[pa.Array], Iterator[pa.Array]]) -> DataFrame:
@@ -221,14 +223,14 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", out: str = "pieces
 
     Only texts go to the tasks, a hundred at a time; an Arrow batch would hold up to 64 MB of rows on both sides."""
     ship(docs.sparkSession)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(Kept(model))
     ids_type = T.ArrayType(T.IntegerType())
 
     def to_ids(body: str | None) -> list[int]:
-        return _once(Encoder, sent.value).encode(body).tolist()
+        return sent.value.once(Encoder).encode(body).tolist()
 
     def to_ids_and_back(body: str | None) -> tuple[list[int], bool]:
-        encoder = _once(Encoder, sent.value)
+        encoder = sent.value.once(Encoder)
         ids = encoder.encode(body)
         return ids.tolist(), encoder.decode(ids) == (body or "")
 
@@ -245,10 +247,10 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", out: str = "pieces
 def decode(rows: DataFrame, model: bytes, pieces: str = "pieces", out: str = "decoded") -> DataFrame:
     """``rows`` with ``out``, the text of the ids in ``pieces``; null ids give the empty text."""
     ship(rows.sparkSession)
-    sent = rows.sparkSession.sparkContext.broadcast(model)
+    sent = rows.sparkSession.sparkContext.broadcast(Kept(model))
 
     def to_text(column: pa.Array) -> Iterator[pa.Array]:
-        decoder = _once(Decoder, sent.value)
+        decoder = sent.value.once(Decoder)
         yield pa.array([decoder.decode(ids or []) for ids in column.to_pylist()], pa.string())
 
     return _with(rows, pieces, [T.StructField(out, T.StringType())], to_text)

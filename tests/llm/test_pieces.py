@@ -1,4 +1,6 @@
+import gc
 import os
+import pickle
 import random
 
 import pytest
@@ -75,3 +77,26 @@ def test_the_memory_of_words_is_bounded(model, monkeypatch):
     text = " ".join(f"word{i % 23} other{i}" for i in range(200))
     assert own.encode(text).tolist() == library.encode(text)
     assert len(own.words) <= 5 and len(own.older) <= 5 and len(own.pairs) <= 6
+
+
+def test_what_a_worker_makes_of_a_model_goes_with_the_job(spark, documents, model):
+    """Encoders are kept with the broadcast, which a worker drops at its first task of another job, not with the module."""
+    kept = pieces.Kept(model)
+    assert kept.once(pieces.Encoder) is kept.once(pieces.Encoder) and not pickle.loads(pickle.dumps(pieces.Kept(model))).made
+
+    def alive(_):
+        gc.collect()
+        yield sum(isinstance(o, pieces.Encoder) for o in gc.get_objects())
+
+    assert pieces.encode(documents(*[(n, f"the house {n}") for n in range(40)]), model).filter("size(pieces) = 0").count() == 0
+    assert set(spark.sparkContext.parallelize(range(64), 64).mapPartitions(alive).collect()) == {0}
+
+
+def test_only_texts_go_to_the_tasks(documents, model):
+    """No Arrow batch of whole rows is made, with or without the way back."""
+    docs = documents((1, "the house"), (2, None)).drop("pieces")
+    for back in (None, "back"):
+        found = pieces.encode(docs, model, round_trip=back)
+        plan = found._jdf.queryExecution().optimizedPlan().toString()
+        assert "MapInArrow" not in plan and "BatchEvalPython" in plan and plan.count("BatchEvalPython") == 1
+        assert sorted((r.doc_id, len(r.pieces)) for r in found.collect())[1] == (2, 0)
