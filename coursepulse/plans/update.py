@@ -25,19 +25,22 @@ REJECTED_ITEM = "rejected_page"
 
 
 class Routed(NamedTuple):
-    """A batch by record type; ``other`` passes through unchanged, ``rejected`` are pages that could not be read."""
+    """A batch by record type; ``other`` passes through unchanged."""
 
     courses: DataFrame
     lectures: DataFrame
     other: DataFrame
-    rejected: DataFrame
 
 
 def route_items(items: DataFrame) -> Routed:
     kind = F.col("item_type")
     known = F.coalesce(kind.isin(COURSE_ITEM, LECTURE_ITEM, REJECTED_ITEM), F.lit(False))
-    return Routed(items.filter(kind == COURSE_ITEM), items.filter(kind == LECTURE_ITEM), items.filter(~known),
-                  items.filter(kind == REJECTED_ITEM))
+    return Routed(items.filter(kind == COURSE_ITEM), items.filter(kind == LECTURE_ITEM), items.filter(~known))
+
+
+def rejected_items(items: DataFrame) -> DataFrame:
+    """The records of pages that could not be read."""
+    return items.filter(F.col("item_type") == REJECTED_ITEM)
 
 
 def rejected_rows(rejected: DataFrame, as_of: AsOf = None) -> DataFrame:
@@ -137,12 +140,12 @@ def applied(tables: PublishedTables, mark: tuple[str, int] | None) -> int | None
 def _publish(tables: PublishedTables, records: DataFrame, as_of: AsOf, mark: tuple[str, int] | None, keep_others: bool) -> int:
     """One attempt, on top of the newest commit."""
     last = tables.newest()
-    routed = route_items(records)
+    routed, rejected = route_items(records), rejected_items(records)
     week = str(records.sparkSession.range(1).select(week_start(as_of_date(as_of))).first()[0])
     # What the batch concerns, in one job: parts of tables, and whether there are records of the other kinds.
     found = tables.touched_by({
         "courses": valid_course_items(routed.courses), "lectures": valid_lecture_items(routed.lectures),
-        "rejected_pages": routed.rejected, **({OUTBOX: routed.other} if keep_others else {}),
+        "rejected_pages": rejected, **({OUTBOX: routed.other} if keep_others else {}),
     }, last)
     parts = {"courses": found["courses"], "lectures": found["lectures"], "course_progress_snapshots": [week], "crawl_logs": []}
     stored = {name: tables.read(name, parts[name], last) for name in parts}
@@ -151,7 +154,7 @@ def _publish(tables: PublishedTables, records: DataFrame, as_of: AsOf, mark: tup
     concerned = [name for name in parts if parts["lectures" if name == "lectures" else "courses"]]
     changes = {name: (changed[name], parts[name]) for name in concerned}
     if found["rejected_pages"]:
-        changes["rejected_pages"] = (rejected_rows(routed.rejected, as_of), [])
+        changes["rejected_pages"] = (rejected_rows(rejected, as_of), [])
     others = routed.other if found.get(OUTBOX) else None
     return tables.publish(changes, last, mark, others, rebase=True)
 
