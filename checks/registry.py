@@ -18,7 +18,7 @@ from coursepulse.plans.readings import StoredReadings
 from coursepulse.sources import migrations
 from coursepulse.sources.published import PublishedTables
 from coursepulse.sources.readers import read_page_archive, read_table
-from coursepulse.sources.scratch import scratch_folder
+from coursepulse.sources.scratch import PACKED, lean, scratch_folder
 from coursepulse.sources.schemas import CRAWL_LOGS, ITEMS, LECTURES, PAGES, TABLES
 from coursepulse.sources.writers import write_feed
 from coursepulse.streaming.items import stream_items, stream_pages
@@ -101,7 +101,8 @@ def _arrive(spark: SparkSession, folder: str, rows: DataFrame, part: Column, sta
     A part is made when it comes, from the rows that belong to it alone.
     """
     for number in range(STREAM_PARTS):
-        rows.filter(part == number).write.mode("append").parquet(folder)
+        with lean(spark):
+            rows.filter(part == number).write.options(**PACKED).mode("append").parquet(folder)
         start().awaitTermination()
 
 

@@ -66,6 +66,22 @@ def fold_observations(log: DataFrame, attributes: list[str], time: str) -> DataF
         *[F.col(f"k.{name}") for name in key], "last", F.col("last_open").isNotNull().alias("any_open"), "any_done", "run_start")
 
 
+def fold_batch(log: DataFrame, attributes: list[str], time: Column) -> DataFrame:
+    """``fold_observations`` of observations that were all made at ``time``, in one aggregation: whether a key has a done
+    observation after the last open one is all that has to be known."""
+    done = F.col("is_completed")
+    states = log.withColumns({"is_completed": F.coalesce(done, F.lit(False)), "arrival": arrival(log)})
+    per_key = states.groupBy(*LECTURE_KEY).agg(
+        F.max_by(F.struct(*attributes, "is_completed"), "arrival").alias("last"),
+        F.max(F.when(~done, F.col("arrival"))).alias("last_open"),
+        F.max(F.when(done, F.col("arrival"))).alias("last_done"),
+    )
+    runs = F.col("last.is_completed") & (F.col("last_open").isNull() | (F.col("last_done") > F.col("last_open")))
+    return per_key.select(
+        *LECTURE_KEY, "last", F.col("last_open").isNotNull().alias("any_open"), F.col("last_done").isNotNull().alias("any_done"),
+        F.when(runs, time).alias("run_start"))
+
+
 def compact_observations(log: DataFrame, settled: int | None = None) -> DataFrame:
     """The observations of ``log`` that can still decide a completion history, unchanged.
 

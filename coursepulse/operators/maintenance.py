@@ -16,7 +16,7 @@ from ..functions.durations import parse_duration_strict
 from ..functions.links import course_id_from_path
 from ..functions.text import whole_number
 from .curriculum import flatten_curriculum_flat
-from .history import LECTURE_KEY, arrival, fold_observations, matchable
+from .history import LECTURE_KEY, arrival, fold_batch, matchable
 
 UNKNOWN_TITLE = "Unknown Title"
 COURSE_FIELDS = ["course_title", "progress_rate", "study_time", "total_lecture_time", "url", "display_order"]
@@ -128,18 +128,29 @@ def valid_lecture_items(items: DataFrame) -> DataFrame:
     ).filter(F.col("course_id").isNotNull())
 
 
-def upsert_lectures(lectures: DataFrame, items: DataFrame, as_of: AsOf = None) -> DataFrame:
+def upsert_lectures(lectures: DataFrame, items: DataFrame, as_of: AsOf = None, any_stored: bool = True) -> DataFrame:
     """Lectures after a batch of lecture records, folded in arrival order onto the stored state.
 
     open to done sets ``completed_at`` to ``as_of``, done to open clears it, an unchanged state (and
     a stored NULL state) keeps it. New lectures get ``as_of`` when they arrive done. Chapter numbers
     match null-safely; a NULL section or lecture number never matches, so such records are inserted.
-    Of stored rows that share a key the first by ``sort_order`` is updated, the others stay.
+    Of stored rows that share a key the first by ``sort_order`` is updated, the others stay. Without ``any_stored`` the stored
+    table is known to be empty, so the records meet nothing and are not dealt out by key again.
     """
     valid = valid_lecture_items(items)
     now = as_of_time(as_of, lectures.schema["completed_at"].dataType)
-    valid = valid.withColumn("observed_at", now)
-    batch = fold_observations(valid.filter(matchable()), LECTURE_FIELDS, "observed_at")
+    batch = fold_batch(valid.filter(matchable()), LECTURE_FIELDS, now)
+    done = F.coalesce(F.col("is_completed"), F.lit(False))
+    inserted = valid.filter(~matchable()).select(*[
+        (F.when(done, now) if c == "completed_at" else done if c == "is_completed" else F.col(c))
+        .cast(lectures.schema[c].dataType).alias(c)
+        for c in lectures.columns
+    ])
+    if not any_stored:
+        own = {"completed_at": F.when(F.col("last.is_completed"), F.col("run_start"))} | {c: F.col(c) for c in LECTURE_KEY}
+        return batch.select(*[
+            (own[c] if c in own else F.col("last")[c]).cast(lectures.schema[c].dataType).alias(c) for c in lectures.columns
+        ]).unionByName(inserted)
     batch = batch.select(*LECTURE_KEY, F.struct("last", "any_open", "any_done", "run_start").alias("new"))
 
     # Stored rows and the batch's one row per key meet in one window, which groups NULL chapters too.
@@ -172,13 +183,6 @@ def upsert_lectures(lectures: DataFrame, items: DataFrame, as_of: AsOf = None) -
 
     # A key that no stored row has is new: its own row of the batch comes first.
     result = met.filter("stored OR place = 1").select(*[merged(c).alias(c) for c in lectures.columns])
-
-    done = F.coalesce(F.col("is_completed"), F.lit(False))
-    inserted = valid.filter(~matchable()).select(*[
-        (F.when(done, now) if c == "completed_at" else done if c == "is_completed" else F.col(c))
-        .cast(lectures.schema[c].dataType).alias(c)
-        for c in lectures.columns
-    ])
     return result.unionByName(lectures.filter(~matchable())).unionByName(inserted)
 
 

@@ -18,6 +18,7 @@ from ..operators.maintenance import (
 )
 from ..operators.selection import coverage_audit
 from ..sources.published import OUTBOX, CommitConflict, PublishedTables
+from ..sources.scratch import PACKED, lean
 
 COURSE_ITEM = "course"
 LECTURE_ITEM = "lecture"
@@ -48,10 +49,12 @@ def rejected_rows(rejected: DataFrame, as_of: AsOf = None) -> DataFrame:
     return rejected.select(F.col("seq").alias("page_id"), "url", F.col("payload").alias("rejected"), as_of_time(as_of).alias("logged_at"))
 
 
-def apply_items(tables: dict[str, DataFrame], items: DataFrame, as_of: AsOf = None) -> dict[str, DataFrame]:
+def apply_items(
+    tables: dict[str, DataFrame], items: DataFrame, as_of: AsOf = None, lectures_stored: bool = True,
+) -> dict[str, DataFrame]:
     """The four tables after a batch: courses, snapshots and log from course records, lectures from the rest.
 
-    Records of other types concern no table; ``route_items`` gives them.
+    Records of other types concern no table; ``route_items`` gives them. Without ``lectures_stored`` there are no lectures yet.
     """
     routed = route_items(items)
     # Ids are read and records reduced to the last of each course once, for courses and snapshots alike.
@@ -61,7 +64,7 @@ def apply_items(tables: dict[str, DataFrame], items: DataFrame, as_of: AsOf = No
         "courses": merge_courses(tables["courses"], last, as_of),
         "course_progress_snapshots": merge_snapshots(tables["course_progress_snapshots"], last, as_of),
         "crawl_logs": tables["crawl_logs"].unionByName(log_rows(valid, as_of)),
-        "lectures": upsert_lectures(tables["lectures"], routed.lectures, as_of),
+        "lectures": upsert_lectures(tables["lectures"], routed.lectures, as_of, lectures_stored),
     }
 
 
@@ -148,22 +151,25 @@ def _publish(tables: PublishedTables, records: DataFrame, as_of: AsOf, mark: tup
         "rejected_pages": rejected, **({OUTBOX: routed.other} if keep_others else {}),
     }, last)
     parts = {"courses": found["courses"], "lectures": found["lectures"], "course_progress_snapshots": [week], "crawl_logs": []}
+    # Lectures of sections that are not stored come beside those of their part, which stay where they are.
+    concerned = [name for name in parts if parts["lectures" if name == "lectures" else "courses"]]
+    parts["lectures"] = tables.to_rewrite("lectures", valid_lecture_items(routed.lectures), ["course_id", "section_number"], parts["lectures"], last)
     stored = {name: tables.read(name, parts[name], last) for name in parts}
-    changed = apply_items(stored, records, as_of)
+    changed = apply_items(stored, records, as_of, bool(parts["lectures"]))
     # Tables that no record of the batch concerns are left as they are.
-    concerned = [name for name in parts if parts["lectures" if name == "lectures" else "courses"]]
     changes = {name: (changed[name], parts[name]) for name in concerned}
     if found["rejected_pages"]:
         changes["rejected_pages"] = (rejected_rows(rejected, as_of), [])
     others = routed.other if found.get(OUTBOX) else None
-    return tables.publish(changes, last, mark, others, rebase=True)
+    return tables.publish(changes, last, mark, others, rebase=True, added=("lectures",))
 
 
 @contextmanager
 def staged(tables: PublishedTables, rows: DataFrame) -> Iterator[DataFrame]:
     """``rows`` as written beside the tables; the files go when the work on them ends."""
     folder = f"{tables.root}/staging/{uuid.uuid4().hex}"
-    rows.write.parquet(folder)
+    with lean(rows.sparkSession):
+        rows.write.options(**PACKED).parquet(folder)
     try:
         yield tables.spark.read.schema(rows.schema).parquet(folder)
     finally:

@@ -9,7 +9,8 @@ read or replaces was changed in between. What a refused commit has written is re
 
 No file that is being read is overwritten; all folders have unique names. Courses are parted by a hash of the course, lectures by a
 hash of course and section (so that a large course spreads), snapshots by week; rows of the tables that only grow are added
-as folders of their own, of which full levels are merged. Commits older than the ``keep`` newest are removed with what only
+as folders of their own, of which full levels are merged. Rows that meet nothing stored in their part may be added to it as a folder
+beside those it has; a part of ``PART_FOLDERS`` folders is due to be written whole. Commits older than the ``keep`` newest are removed with what only
 they hold, so manifests and folders stay bounded.
 
 Kept tables (``operators.kept``) follow from others. Once ``maintain`` has made one, every commit, whoever writes it, also
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 
 from ..operators.kept import RULES
 from .schemas import TABLES
+from .scratch import PACKED, lean
 
 #: Tables whose rows are only added.
 GROWING = ("crawl_logs", "rejected_pages", "rejected_lectures")
@@ -41,6 +43,8 @@ BUCKETED = ("courses", "lectures")
 OUTBOX = "outbox"
 #: Log folders of one level that are merged into one of the next.
 LOG_FOLDERS = 16
+#: Folders of a part with which it is written whole again.
+PART_FOLDERS = 16
 
 
 class CommitConflict(RuntimeError):
@@ -49,29 +53,34 @@ class CommitConflict(RuntimeError):
 
 @dataclasses.dataclass(frozen=True)
 class Commit:
-    """Newest commit: its number, (table, part) to folder, bucket counts, the last batch per stream, the folders of
-    the outbox by entry, oldest first, and the kept tables."""
+    """Newest commit: its number, (table, part) to its folders, oldest first, bucket counts, the last batch per stream, the
+    folders of the outbox by entry, oldest first, and the kept tables."""
 
     number: int = 0
-    paths: dict[tuple[str, str], str] = dataclasses.field(default_factory=dict)
+    paths: dict[tuple[str, str], tuple[str, ...]] = dataclasses.field(default_factory=dict)
     buckets: dict[str, int] = dataclasses.field(default_factory=dict)
     marks: dict[str, int] = dataclasses.field(default_factory=dict)
     outbox: dict[str, str] = dataclasses.field(default_factory=dict)
     kept: tuple[str, ...] = ()
 
     def to_text(self) -> str:
-        parts = [[table, part, path] for (table, part), path in sorted(self.paths.items())]
+        parts = [[table, part, path[0] if len(path) == 1 else path] for (table, part), path in sorted(self.paths.items())]
         return json.dumps({"number": self.number, "paths": parts, "buckets": self.buckets, "marks": self.marks,
                            "outbox": self.outbox, "kept": self.kept})
 
     @classmethod
     def from_text(cls, text: str) -> Commit:
         found = json.loads(text)
-        return cls(found["number"], {(t, p): path for t, p, path in found["paths"]}, found["buckets"], found["marks"],
+        paths = {(t, p): (path,) if isinstance(path, str) else tuple(path) for t, p, path in found["paths"]}
+        return cls(found["number"], paths, found["buckets"], found["marks"],
                    found.get("outbox", {}), tuple(found.get("kept", ())))
 
     def folders(self) -> set[str]:
-        return {*self.paths.values(), *self.outbox.values()}
+        return {*_folders(self.paths), *self.outbox.values()}
+
+
+def _folders(paths: dict[tuple[str, str], tuple[str, ...]]) -> list[str]:
+    return [folder for each in paths.values() for folder in each]
 
 
 class PublishedTables:
@@ -122,8 +131,8 @@ class PublishedTables:
     def read(self, name: str, parts: Iterable[str] | None = None, commit: Commit | None = None) -> DataFrame:
         """A table, or only the given parts of it, as of the newest or a given commit."""
         commit = commit or self.newest()
-        paths = [path for (table, part), path in sorted(commit.paths.items())
-                 if table == name and (parts is None or part in parts)]
+        paths = [folder for (table, part), path in sorted(commit.paths.items())
+                 if table == name and (parts is None or part in parts) for folder in path]
         if not paths:
             return self.spark.createDataFrame([], TABLES[name])
         return self.spark.read.schema(TABLES[name]).parquet(*paths)
@@ -140,17 +149,33 @@ class PublishedTables:
             own = rows.select(F.lit(name).alias("name"), part.alias("part"))
             found = own if found is None else found.unionByName(own)
         parts: dict[str, list[str]] = {name: [] for name in changes}
-        for r in found.distinct().collect():
-            parts[r["name"]].append(r["part"])
+        with lean(found.sparkSession):
+            for r in found.distinct().collect():
+                parts[r["name"]].append(r["part"])
         return {name: sorted(each) for name, each in parts.items()}
 
+    def to_rewrite(self, name: str, rows: DataFrame, key: list[str], parts: list[str], commit: Commit) -> list[str]:
+        """Of ``parts`` those that have to be written whole with ``rows``: they hold a row of the same ``key`` (NULL meets nothing), or
+        have ``PART_FOLDERS`` folders. Rows of the others can be added beside what is stored."""
+        folders = {part: len(commit.paths.get((name, part), ())) for part in parts}
+        due = [part for part in parts if folders[part] >= PART_FOLDERS]
+        asked = [part for part in parts if 0 < folders[part] < PART_FOLDERS]
+        if asked:
+            # Keys are made distinct before they are shuffled, and nothing else is.
+            stored = self.read(name, asked, commit).withColumn("part", self.part_of(name, self.buckets_of(commit)))
+            met = stored.select(*key, "part").distinct().join(rows.select(*key).distinct(), key, "left_semi")
+            with lean(self.spark):
+                due += [r["part"] for r in met.select("part").distinct().collect()]
+        return sorted(due)
+
     def publish(
         self, changes: dict[str, tuple[DataFrame, list[str]]], commit: Commit | None = None,
-        mark: tuple[str, int] | None = None, others: DataFrame | None = None, rebase: bool = False,
+        mark: tuple[str, int] | None = None, others: DataFrame | None = None, rebase: bool = False, added: Iterable[str] = (),
     ) -> int:
         """Replace the listed parts of each table and publish all of it under the next number.
 
-        A table's entry is its new content for those parts and the list of parts; rows of growing tables are added. ``mark`` is a
+        A table's entry is its new content for those parts and the list of parts; rows of growing tables are added, and of the
+        tables in ``added`` those that fall into parts that are not listed. ``mark`` is a
         stream's name and the batch it has come to; the marks of other streams stay. ``others`` go to the outbox. ``commit`` is
         the state that the changes were made from. If another has been published since, ``CommitConflict`` is raised, or
         with ``rebase`` only if that one changed a part that is replaced here, the buckets, or the mark of this stream;
@@ -160,20 +185,26 @@ class PublishedTables:
         buckets = self.buckets_of(base)
         replaced = {(name, part) for name, (_, parts) in changes.items() for part in parts if name not in GROWING}
         written = self._write_all(changes, buckets)
-        after = {key: path for key, path in base.paths.items() if key not in replaced} | written
+        beside = {key for key in written if key[0] in added} - replaced
+
+        def on_top(paths: dict[tuple[str, str], tuple[str, ...]]) -> dict[tuple[str, str], tuple[str, ...]]:
+            rest = {key: path for key, path in paths.items() if key not in replaced}
+            return rest | {key: rest.get(key, ()) + path if key in beside else path for key, path in written.items()}
+
+        after = on_top(base.paths)
         try:
             kept, read, made = self._follow(after, replaced | written.keys(), base.kept, buckets)
         except Exception:
-            self._remove(written.values())
+            self._remove(_folders(written))
             raise
         replaced, written = replaced | kept, written | made
         read -= replaced | written.keys()
         entry = {}
         if others is not None:
             entry[uuid.uuid4().hex] = folder = self._folder(OUTBOX)
-            others.write.parquet(folder)
+            others.write.options(**PACKED).parquet(folder)
         while True:
-            paths = {key: path for key, path in base.paths.items() if key not in replaced} | written
+            paths = on_top(base.paths)
             merged = self._merge_growing(paths)
             marks = base.marks | dict([mark] if mark else [])
             try:
@@ -185,7 +216,7 @@ class PublishedTables:
                 # Folders of this commit alone: of the merged ones another may have made use by reading only.
                 self._remove(merged)
                 if not rebase or meets:
-                    self._remove([*written.values(), *entry.values()])
+                    self._remove([*_folders(written), *entry.values()])
                     raise
                 base = newest
 
@@ -219,11 +250,11 @@ class PublishedTables:
                 self._commit(dataclasses.replace(commit, number=commit.number + 1, paths=commit.paths | made, buckets=buckets,
                                                  kept=(*commit.kept, name)))
             except CommitConflict:
-                self._remove(made.values())
+                self._remove(_folders(made))
         return commit.number
 
-    def _follow(self, after: dict[tuple[str, str], str], changed: set[tuple[str, str]], names: Iterable[str],
-                buckets: dict[str, int]) -> tuple[set[tuple[str, str]], set[tuple[str, str]], dict[tuple[str, str], str]]:
+    def _follow(self, after: dict[tuple[str, str], tuple[str, ...]], changed: set[tuple[str, str]], names: Iterable[str],
+                buckets: dict[str, int]) -> tuple[set[tuple[str, str]], set[tuple[str, str]], dict[tuple[str, str], tuple[str, ...]]]:
         """The parts of kept tables that follow from ``changed`` parts, where ``after`` are the folders of all parts then: all of
         them, the parts they were made of, and the folders of those that have rows. If this fails nothing of it is left."""
         keys, read, made = set(), set(), {}
@@ -240,7 +271,7 @@ class PublishedTables:
                     rows = self.read(rule.source, needed, Commit(paths=after)).withColumn("part", self.part_of(rule.source, buckets))
                     made |= self._write_parts(name, rule.make(rows).filter(F.col("part").isin(here)), buckets, F.col("part"))
         except Exception:
-            self._remove(made.values())
+            self._remove(_folders(made))
             raise
         return keys, read, made
 
@@ -256,36 +287,37 @@ class PublishedTables:
         try:
             return self._commit(dataclasses.replace(commit, number=commit.number + 1, paths=paths | written, buckets=changed))
         except CommitConflict:
-            self._remove(written.values())
+            self._remove(_folders(written))
             raise
 
     def _folder(self, name: str) -> str:
         return f"{self.root}/{name}/{uuid.uuid4().hex}"
 
-    def _write_all(self, changes: dict[str, tuple[DataFrame, list[str]]], buckets: dict[str, int]) -> dict[tuple[str, str], str]:
+    def _write_all(self, changes: dict[str, tuple[DataFrame, list[str]]], buckets: dict[str, int]) -> dict[tuple[str, str], tuple[str, ...]]:
         """The tables are written beside each other; if one fails, what the others have written is removed."""
-        def write(name: str, rows: DataFrame) -> dict[tuple[str, str], str]:
+        def write(name: str, rows: DataFrame) -> dict[tuple[str, str], tuple[str, ...]]:
             if name in GROWING:
-                return {(name, f"0-{uuid.uuid4().hex}"): self._write(name, rows)}
+                return {(name, f"0-{uuid.uuid4().hex}"): (self._write(name, rows),)}
             return self._write_parts(name, rows, buckets)
 
         if not changes:
             return {}
-        with ThreadPoolExecutor(len(changes)) as pool:
+        with lean(self.spark), ThreadPoolExecutor(len(changes)) as pool:
             running = [pool.submit(inheritable_thread_target(self.spark)(write), name, rows) for name, (rows, _) in changes.items()]
         written = [f.result() for f in running if not f.exception()]
         for failed in running:
             if failed.exception():
-                self._remove(path for each in written for path in each.values())
+                self._remove(folder for each in written for folder in _folders(each))
                 raise failed.exception()
         return {key: path for each in written for key, path in each.items()}
 
     def _write(self, name: str, rows: DataFrame) -> str:
         target = self._folder(name)
-        rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name]]).write.parquet(target)
+        with lean(self.spark):
+            rows.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name]]).write.options(**PACKED).parquet(target)
         return target
 
-    def _write_parts(self, name: str, rows: DataFrame, buckets: dict[str, int], part: Column | None = None) -> dict[tuple[str, str], str]:
+    def _write_parts(self, name: str, rows: DataFrame, buckets: dict[str, int], part: Column | None = None) -> dict[tuple[str, str], tuple[str, ...]]:
         target = self._folder(name)
         typed = [F.col(f.name).cast(f.dataType).alias(f.name) for f in TABLES[name]]
         # Rebalancing gives a part one file, or several where it is large.
@@ -293,11 +325,12 @@ class PublishedTables:
             parted = rows.select(typed).withColumn("part", self.part_of(name, buckets)).hint("rebalance", "part")
         else:
             parted = rows.select(*typed, part.alias("part")).hint("rebalance", "part")
-        parted.write.partitionBy("part").parquet(target)
+        with lean(self.spark):
+            parted.write.options(**PACKED).partitionBy("part").parquet(target)
         folders = (f.getPath().getName() for f in self._fs.listStatus(self._hadoop.Path(target)) if f.isDirectory())
-        return {(name, part): f"{target}/part={part}" for part in (x.removeprefix("part=") for x in folders if x.startswith("part="))}
+        return {(name, part): (f"{target}/part={part}",) for part in (x.removeprefix("part=") for x in folders if x.startswith("part="))}
 
-    def _merge_growing(self, paths: dict[tuple[str, str], str]) -> list[str]:
+    def _merge_growing(self, paths: dict[tuple[str, str], tuple[str, ...]]) -> list[str]:
         """Folders of the growing tables by level; a level of ``LOG_FOLDERS`` becomes one folder of the next, so each row is
         rewritten a few times in all and the number of folders grows with the logarithm of the commits. The new folders."""
         made = []
@@ -306,9 +339,9 @@ class PublishedTables:
             while any(key[0] == name and int(key[1].split("-")[0]) >= level for key in paths):
                 full = sorted(key for key in paths if key[0] == name and key[1].startswith(f"{level}-"))
                 if len(full) >= LOG_FOLDERS:
-                    rows = self.spark.read.schema(TABLES[name]).parquet(*[paths.pop(key) for key in full])
+                    rows = self.spark.read.schema(TABLES[name]).parquet(*[folder for key in full for folder in paths.pop(key)])
                     made.append(self._write(name, rows.hint("rebalance")))
-                    paths[name, f"{level + 1}-{uuid.uuid4().hex}"] = made[-1]
+                    paths[name, f"{level + 1}-{uuid.uuid4().hex}"] = (made[-1],)
                 level += 1
         return made
 

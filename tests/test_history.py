@@ -3,7 +3,9 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from coursepulse.operators.history import compact_observations, completion_history, merge_observations
+from coursepulse.operators.history import (
+    LECTURE_KEY, compact_observations, completion_history, fold_batch, fold_observations, merge_observations,
+)
 
 from .conftest import values
 
@@ -59,3 +61,21 @@ def test_columns_and_empty_logs(spark):
     assert compact_observations(log).columns == log.columns
     assert set(values(compact_observations(log))) <= set(values(log))
     assert compact_observations(log.limit(0)).count() == 0 and compact_observations(log.limit(0), settled=3).count() == 0
+
+
+def test_observations_of_one_time_need_no_join(spark):
+    """``fold_batch`` is ``fold_observations`` where all were made at one time."""
+    draw = random.Random(3)
+    rows = [(draw.randrange(3), 1, draw.choice([None, 1]), draw.randrange(3), draw.choice([True, False, None]), n, f"t{n}") for n in range(60)]
+    # Two observations of the same number and place, one open and one done.
+    rows += [(9, 1, None, 1, True, 100, "x"), (9, 1, None, 1, False, 100, "x"), (9, 1, None, 2, True, 101, "y")]
+    log = spark.createDataFrame(rows, "course_id long, section_number int, chapter_number int, lecture_number int, is_completed boolean, seq long, title string")
+    now = F.lit("2024-01-31 00:00:00").cast("timestamp")
+    want = fold_observations(log.withColumn("observed_at", now), ["title"], "observed_at")
+    got = fold_batch(log, ["title"], now)
+    assert got.columns == want.columns
+    certain = "NOT (course_id = 9 AND lecture_number = 1)"
+    assert sorted(map(repr, got.filter(certain).collect())) == sorted(map(repr, want.filter(certain).collect()))
+    assert got.filter(f"NOT ({certain})").select("run_start", "any_open", "any_done").collect() == [(None, True, True)]
+    assert got.count() == want.count() and "Join" not in got._sc._jvm.PythonSQLUtils.explainString(got._jdf.queryExecution(), "simple")
+    assert set(LECTURE_KEY) < set(got.columns)

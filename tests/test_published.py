@@ -352,3 +352,71 @@ def test_pages_come_as_a_stream(spark, tmp_path):
     assert tables.read("courses").count() == 3
     both = page_items(whole, rejects=True)
     assert values(both.filter("item_type <> 'rejected_page'")) == values(page_items(whole))
+
+
+def folders_of(tables, name="lectures"):
+    return {part: path for (table, part), path in tables.newest().paths.items() if table == name}
+
+
+def test_new_sections_come_beside_what_is_stored(spark, tmp_path):
+    """Only a batch that meets stored rows writes their part again; a part of many folders is written whole."""
+    tables = PublishedTables(spark, str(tmp_path), buckets=1)
+    state = {name: spark.createDataFrame([], schema) for name, schema in TABLES.items()}
+
+    def bring(n, *rows):
+        publish_items(tables, batch(spark, n * 100, *rows), NOW)
+        state["lectures"] = spark.createDataFrame(apply_items(state, batch(spark, n * 100, *rows), NOW)["lectures"].collect(), TABLES["lectures"])
+        assert values(tables.read("lectures")) == values(state["lectures"])
+        return folders_of(tables)["0"]
+
+    first = bring(0, lecture("1", 1, None, 1, False), lecture("1", 1, 2, 1, True))
+    second = bring(1, lecture("2", 1, None, 1, True), lecture("2", 1, None, 1, False), lecture("2", None, None, 1, True))
+    third = bring(2, lecture("1", 2, None, 1, True))
+    assert len(first) == 1 and second[:1] == first and third[:2] == second and len(third) == 3
+    assert len(bring(3, lecture("1", 1, None, 1, True), lecture("7", 1, None, 1, True))) == 1
+    # A key without a section meets nothing, so it stays a row of its own.
+    assert len(bring(4, lecture("2", None, None, 1, True))) == 2
+    for n in range(5, 19):
+        assert len(bring(n, lecture(str(10 + n), 1, None, 1, False))) == n - 2
+    assert len(bring(19, lecture("90", 1, None, 1, False))) == 1
+
+
+def test_a_row_that_comes_beside_does_not_hide_a_conflict(spark, tmp_path, monkeypatch):
+    tables = PublishedTables(spark, str(tmp_path), buckets=1)
+    tables.maintain("completion_days")
+    publish_items(tables, items(spark, lecture("1", 1, None, 1, False)), NOW)
+    meeting(tables, monkeypatch, lambda: publish_items(tables, items(spark, lecture("2", 1, None, 1, True)), NOW))
+    publish_items(tables, items(spark, lecture("2", 1, None, 1, True), lecture("3", 1, None, 1, True)), NOW)
+    assert ids(tables.read("lectures")) == [1, 2, 3] and ids(tables.read("completion_days")) == [1, 2, 3]
+    kept = set().union(*(tables.at(n).folders() for n in tables.numbers()))
+    assert {path.split("/part=")[0] for path in kept if "/lectures/" in path} == {
+        f"{tmp_path}/lectures/{folder}" for folder in os.listdir(f"{tmp_path}/lectures")}
+
+
+def test_manifests_with_one_folder_a_part_are_read(spark, tmp_path):
+    from coursepulse.sources.published import Commit
+    old = Commit.from_text('{"number": 3, "paths": [["lectures", "0", "/a"]], "buckets": {}, "marks": {}}')
+    assert old.paths == {("lectures", "0"): ("/a",)} and '"/a"' in old.to_text()
+    two = Commit(4, {("lectures", "0"): ("/a", "/b")})
+    assert Commit.from_text(two.to_text()) == two and two.folders() == {"/a", "/b"}
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def test_a_commit_leaves_no_shuffle_files(spark, tmp_path):
+    import time
+
+    tables = PublishedTables(spark, str(tmp_path), buckets=2)
+    before = shuffle_files(spark)
+    for n in range(2):
+        publish_items(tables, items(spark, course("https://x/classroom/1"), lecture("1", 1, None, n, True)), NOW)
+    for _ in range(20):  # they go in the background
+        if not (left := shuffle_files(spark) - before):
+            break
+        time.sleep(0.5)
+    assert not left
+    from coursepulse.sources.scratch import CLEANUP_SETTING
+    assert spark.conf.get(CLEANUP_SETTING, None) is None
