@@ -307,8 +307,8 @@ def _reread_pages(v: Views) -> DataFrame:
     readings = StoredReadings(v.spark, scratch_folder(v.spark, "readings"))
     older = F.when(F.col("page_id") % 3 == 0, F.replace("html", F.lit("Course number"), F.lit("Older number"))).otherwise(F.col("html"))
     archives = scratch_folder(v.spark, "archives")
-    files = v.spark.sparkContext.defaultParallelism
-    v.classroom_pages().select("page_id", "url", "html").repartition(files, "page_id").write.parquet(f"{archives}/new")
+    with lean(v.spark):
+        v.classroom_pages().select("page_id", "url", "html").write.options(**PACKED).parquet(f"{archives}/new")
     pages = read_page_archive(v.spark, f"{archives}/new")
     readings.add(pages.withColumn("html", older))
     return _item_columns(collect.page_items(pages, readings=readings))

@@ -19,6 +19,9 @@ from ..sources.schemas import ITEMS
 from .readings import StoredReadings
 from .update import REJECTED_ITEM
 
+#: Figures of the visible text.
+METRICS = {"progress_rate": progress_rate, "study_time": study_minutes, "total_lecture_time": total_minutes}
+
 
 def drop_unauthenticated(pages: DataFrame) -> DataFrame:
     """Pages that are not a login page; pages without a title or url are dropped too."""
@@ -30,17 +33,16 @@ def course_records(pages: DataFrame) -> DataFrame:
     return _course_fields(drop_unauthenticated(pages))
 
 
-def _course_fields(pages: DataFrame) -> DataFrame:
-    own = ("page_title", "h1", "body_text", "url")
+def _course_fields(pages: DataFrame, known: bool = False) -> DataFrame:
+    """``known``: pages have the metrics already."""
+    own = ("page_title", "h1", "body_text", "url", *(METRICS if known else ()))
     return (
         pages.withColumn("course_id", course_id_from_classroom("url"))
         .select(
             *[c for c in pages.columns if c not in own],
             "course_id",
             course_title("page_title", "h1", "course_id").alias("course_title"),
-            progress_rate("body_text").alias("progress_rate"),
-            study_minutes("body_text").alias("study_time"),
-            total_minutes("body_text").alias("total_lecture_time"),
+            *[(F.col(name) if known else of("body_text")).alias(name) for name, of in METRICS.items()],
             "url",
         )
     )
@@ -60,11 +62,14 @@ def page_items(
     if readings is not None and readings.profile != profile:
         raise ValueError(f"the readings are of profile {readings.profile!r}, not {profile!r}")
     lessons_of = lesson_array if profile == "classroom" else lesson_array_flat
-    fields = ("url", "page_title", "h1", "body_text", "sections", *(["rejected"] if rejects else []))
-    read = readings.extract(pages, fields) if readings is not None else extract_pages(pages, profile, fields)
+    fields = ("url", "page_title", "h1", "sections", *(["rejected"] if rejects else []))
+    if readings is not None:  # the metrics are made where the text is
+        read = readings.extract(pages, fields, {name: of("body_text") for name, of in METRICS.items()})
+    else:
+        read = extract_pages(pages, profile, (*fields, "body_text"))
     signed_in = F.coalesce(is_authenticated("page_title", "url"), F.lit(False))
     unread = F.col("rejected").isNotNull() if rejects else F.lit(False)
-    found = _course_fields(read.filter(signed_in | unread))
+    found = _course_fields(read.filter(signed_in | unread), readings is not None)
     raw = T.StructType([*ITEMS, T.StructField("duration", T.StringType())])
 
     def item(item_type: str, position: Column, values: dict[str, Column]) -> Column:

@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.extraction import EXTRACTED, NO_MARKUP, PROFILES, extract_pages
-from ..sources.scratch import scratch_folder
+from ..sources.scratch import PACKED, drop_folder, lean, scratch_folder
 
 #: Goes up with every change of what is read from a page; readings of another number are not used.
 READER = 1
 
-#: So many new pages are at most left to Spark's size checks; for more, their digests are hashed, so that no markup is sorted.
+#: So many new pages are at most left to Spark's size checks; more are told by a sieve, so that no markup is shuffled.
 FEW_PAGES = 50_000
 
+#: Bits of a sieve for each key, and at most (32 MB). One row in so many that are none of the keys passes, more beyond that.
+KEY_BITS = 64
+MOST_BITS = 1 << 28
+
 READING = T.StructType([T.StructField("digest", T.StringType()), *(f for f in EXTRACTED if f.name not in ("page_id", "url"))])
 
 
@@ -45,35 +49,66 @@ class StoredReadings:
     def add(self, pages: DataFrame) -> None:
         """Parse and store the markup of ``pages`` (page_id, url, html) that is not stored yet.
 
-        Only ids and digests look for what is new; the markup of known pages takes no part in a shuffle unless
-        the new ones are too many to be sent to the tasks, which Spark decides by their size.
+        Only ids and digests look for what is new, and no markup is shuffled: all pages are read where all are new, a few new ones
+        are sent to the tasks, and of many the sieve lets a few known pages pass, which are then sent.
         """
-        known = self.read().select("digest")
-        seen = pages.filter("html IS NOT NULL").select("page_id", _digest().alias("digest"))
+        folder = scratch_folder(self.spark, "new-pages")
+        try:
+            self._add(pages, folder)
+        finally:
+            drop_folder(self.spark, folder)
+
+    def _add(self, pages: DataFrame, folder: str) -> DataFrame:
+        """``add``; page_id and digest of the pages with markup, as written to ``folder``."""
+        marked = pages.filter("html IS NOT NULL").select("page_id", _digest().alias("digest"), "html")
+        seen = self._written(marked.drop("html"), f"{folder}/seen")
         # Of pages that share a markup the one of the smallest id is parsed.
-        new = seen.join(known, "digest", "left_anti").groupBy("digest").agg(F.min("page_id").alias("page_id"))
-        path = scratch_folder(self.spark, "new-pages")
-        new.write.parquet(path)
-        new = self.spark.read.schema(new.schema).parquet(path)
+        new = seen.join(self.read().select("digest"), "digest", "left_anti").groupBy("digest").agg(F.min("page_id").alias("page_id"))
+        new = self._written(new, f"{folder}/new")
         count = new.count()
-        if not count:
-            return
-        marked = pages.filter("html IS NOT NULL").select("page_id", _digest().alias("url"), "html")
-        own = new.select(F.col("digest").alias("url"), F.col("page_id").alias("own"))
-        if count > FEW_PAGES:
-            own = own.hint("shuffle_hash")
-        fresh = marked.join(own, (marked["url"] == own["url"]) & marked["page_id"].eqNullSafe(own["own"]), "left_semi")
-        read = extract_pages(fresh, self.profile).drop("page_id").withColumnRenamed("url", "digest")
-        read.select(*READING.fieldNames()).write.parquet(f"{self.path}/{uuid.uuid4().hex}")
-
-    def extract(self, pages: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
-        """What ``extract_pages`` gives for ``pages``; markup that is not stored yet is parsed and stored before."""
-        self.add(pages)
-        stored = self.read()
-        values = F.struct(*[c for c in READING.fieldNames() if c != "digest"])
-        one = stored.select("digest", values.alias("reading"))
+        if count:
+            fresh = marked if count == seen.count() else self._fresh(marked, seen, new, count, folder)
+            # A page is read without its address, which is replaced by the digest.
+            read = extract_pages(fresh.withColumnRenamed("digest", "url"), self.profile).drop("page_id").withColumnRenamed("url", "digest")
+            self._written(read.select(*READING.fieldNames()), f"{self.path}/{uuid.uuid4().hex}")
+        return seen
+
+    def _fresh(self, marked: DataFrame, seen: DataFrame, new: DataFrame, count: int, folder: str) -> DataFrame:
+        """The rows of ``marked`` that are in ``new``."""
+        if count <= FEW_PAGES:
+            return marked.join(new, _same(marked, new), "left_semi")
+        sieve, bits = self._sieve(new, ["digest", "page_id"], count, f"{folder}/sieve")
+        passed = _pass(seen, sieve, ["digest", "page_id"], bits)
+        known = self._written(passed.join(new, _same(passed, new), "left_anti").distinct(), f"{folder}/known")
+        if known.count() > FEW_PAGES:
+            known = known.hint("shuffle_hash")
+        fresh = _pass(marked, sieve, ["digest", "page_id"], bits)
+        return fresh.join(known, _same(fresh, known), "left_anti")
+
+    def extract(self, pages: DataFrame, fields: Sequence[str] | None = None, made: dict[str, Column] | None = None) -> DataFrame:
+        """What ``extract_pages`` gives for ``pages``; markup that is not stored yet is parsed and stored before.
+
+        ``made``: more columns, of the fields of a reading alone. They are made before readings meet pages, so what they are made
+        of moves only if it is among ``fields``, too.
+        """
+        made = made or {}
+        folder = scratch_folder(self.spark, "new-pages")
+        try:
+            seen = self._add(pages, folder)
+            stored, n_seen = self.read(), seen.count()
+            n_stored = stored.count()
+            # Readings of older markup do not move if they are more than a few.
+            if 8 * (n_stored - n_seen) > n_stored:
+                sieve, bits = self._sieve(seen, ["digest"], n_seen, scratch_folder(self.spark, "sieve"))
+                stored = _pass(stored, sieve, ["digest"], bits)
+        finally:
+            drop_folder(self.spark, folder)
+        kept = [c for c in READING.fieldNames() if c != "digest" and (fields is None or c in fields or c == "rejected")]
+        one = stored.select("digest", F.struct(*kept, *[column.alias(c) for c, column in made.items()]).alias("reading"))
         # Only writers beside each other store a digest again; the readings are sorted for them alone.
-        if not stored.groupBy("digest").count().filter("count > 1").isEmpty():
+        with lean(self.spark):
+            once = stored.groupBy("digest").count().filter("count > 1").isEmpty()
+        if not once:
             one = one.groupBy("digest").agg(F.any_value("reading").alias("reading"))
         # Ids and digests are hashed and the readings pass by, as they are much larger.
         every = pages.select("page_id", "url", _digest().alias("digest")).hint("shuffle_hash").join(one, "digest", "left")
@@ -81,7 +116,38 @@ class StoredReadings:
         columns = {"page_id": F.col("page_id"), "url": F.col("url"), "rejected": rejected}
         return every.select(*[
             columns.get(f.name, F.col(f"reading.{f.name}")).alias(f.name)
-            for f in EXTRACTED if f.name == "page_id" or fields is None or f.name in fields])
+            for f in EXTRACTED if f.name == "page_id" or fields is None or f.name in fields], *[F.col(f"reading.{c}").alias(c) for c in made])
+
+    def _written(self, rows: DataFrame, path: str) -> DataFrame:
+        with lean(rows.sparkSession):
+            rows.write.options(**PACKED).parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
+    def _sieve(self, keys: DataFrame, columns: list[str], count: int, path: str) -> tuple[DataFrame, int]:
+        """A bit for the hash of every key, in rows of 4 KB, and how many bits there are: as ``_pass`` takes them."""
+        bits = min(MOST_BITS, 1 << max(15, (KEY_BITS * count).bit_length()))
+        spot = _spot(columns, bits)
+        spots = keys.select(F.bitmap_bucket_number(spot).alias("sieve_row"), F.bitmap_bit_position(spot).alias("bit"))
+        rows = spots.repartition("sieve_row").groupBy("sieve_row").agg(F.bitmap_construct_agg("bit").alias("sieve_bits"))
+        return self._written(rows, path), bits
+
+
+def _spot(columns: list[str], bits: int) -> Column:
+    """Number of a key's bit, from 1 on as Spark's bitmap functions count."""
+    return F.pmod(F.xxhash64(*columns), F.lit(bits)) + 1
+
+
+def _pass(rows: DataFrame, sieve: DataFrame, columns: list[str], bits: int) -> DataFrame:
+    """The rows whose key is in the sieve, and a few others. The sieve is small by its making, so it is sent to the tasks."""
+    spot = _spot(columns, bits)
+    bit = F.bitmap_bit_position(spot)
+    byte = F.conv(F.hex(F.substring("sieve_bits", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return rows.join(F.broadcast(sieve), F.bitmap_bucket_number(spot) == F.col("sieve_row")).filter(
+        F.getbit(byte, (bit % 8).cast("int")) == 1).select(*rows.columns)
+
+
+def _same(a: DataFrame, b: DataFrame) -> Column:
+    return (a["digest"] == b["digest"]) & a["page_id"].eqNullSafe(b["page_id"])
 
 
 def _digest() -> Column:

@@ -18,7 +18,7 @@ from ..operators.maintenance import (
 )
 from ..operators.selection import coverage_audit
 from ..sources.published import OUTBOX, CommitConflict, PublishedTables
-from ..sources.scratch import PACKED, lean
+from ..sources.scratch import PACKED, drop_folder, lean
 
 COURSE_ITEM = "course"
 LECTURE_ITEM = "lecture"
@@ -173,8 +173,7 @@ def staged(tables: PublishedTables, rows: DataFrame) -> Iterator[DataFrame]:
     try:
         yield tables.spark.read.schema(rows.schema).parquet(folder)
     finally:
-        path = tables.spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(tables.spark._jsc.hadoopConfiguration()).delete(path, True)
+        drop_folder(tables.spark, folder)
 
 
 def recollect(

@@ -99,3 +99,55 @@ def test_readings_and_markup_are_not_sorted(spark, tmp_path, monkeypatch):
     plan = read._sc._jvm.PythonSQLUtils.explainString(read._jdf.queryExecution(), "simple")
     assert "ShuffledHashJoin" in plan and "Sort" not in plan
     assert rows_of(read) == rows_of(extraction.extract_pages(pages))
+
+
+def text(i, more=""):
+    return CLASSROOM + f"<p>{i}{more}</p>"
+
+
+def test_markup_does_not_move_to_tell_what_is_new(spark, tmp_path, monkeypatch):
+    """Also where new pages are too many to be sent to the tasks."""
+    from coursepulse.plans import readings as module
+
+    plans = []
+
+    def noted(pages, *args):
+        plans.append(pages._sc._jvm.PythonSQLUtils.explainString(pages._jdf.queryExecution(), "simple"))
+        return extraction.extract_pages(pages, *args)
+
+    monkeypatch.setattr(module, "FEW_PAGES", 3)
+    monkeypatch.setattr(module, "extract_pages", noted)
+    readings = StoredReadings(spark, str(tmp_path / "store"))
+    first = archive(spark, [(i, text(i)) for i in range(20)])
+    second = archive(spark, [(i, text(i, "new" if i % 2 else "")) for i in range(20)])
+    readings.add(first)
+    assert rows_of(readings.extract(second)) == rows_of(extraction.extract_pages(second))
+    assert len(plans) == 2 and not [plan for plan in plans if "Exchange hashpartitioning" in plan]
+
+
+def test_a_sieve_that_lets_others_pass_changes_nothing(spark, tmp_path, parsed, monkeypatch):
+    monkeypatch.setattr("coursepulse.plans.readings.FEW_PAGES", 0)
+    monkeypatch.setattr("coursepulse.plans.readings.MOST_BITS", 8)
+    readings = StoredReadings(spark, str(tmp_path / "store"))
+    # The archive grows old twice, so most of what is stored belongs to no page.
+    for turn in range(3):
+        rows = [(i, text(i, turn if i % 3 else "")) for i in range(12)] + [(None, text("x", turn)), (None, text(1, turn)), (90, None), (91, text(1, turn))]
+        pages = archive(spark, rows)
+        before = len(parsed())
+        got = rows_of(readings.extract(pages))
+        # Two pages share the markup of page 1; of page 0, 3, 6 and 9 it stays.
+        assert sorted(set(parsed()[before:])) == sorted({repr(html[-20:]) for i, html in rows if html and (turn == 0 or i is None or i % 3 or i == 91)})
+        assert len(parsed()) - before == (13 if turn == 0 else 9)
+        assert got == rows_of(extraction.extract_pages(pages))
+    assert readings.read().count() == 31
+
+
+def test_columns_made_of_readings(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    readings = StoredReadings(spark, str(tmp_path / "store"))
+    pages = archive(spark, [(1, text(1)), (2, text(22)), (3, None)])
+    read = readings.extract(pages, ("h1",), {"n": F.length("body_text")})
+    assert read.columns == ["page_id", "h1", "n"]
+    whole = extraction.extract_pages(pages, fields=("h1", "body_text")).select("page_id", "h1", F.length("body_text").alias("n"))
+    assert rows_of(read) == rows_of(whole)
