@@ -23,6 +23,8 @@ KEY_BITS = 64
 MOST_BITS = 1 << 28
 
 READING = T.StructType([T.StructField("digest", T.StringType()), *(f for f in EXTRACTED if f.name not in ("page_id", "url"))])
+#: A folder of readings names the pages that they were read from, for the job that has written it.
+OWNED = T.StructType([*READING, *(f for f in EXTRACTED if f.name in ("page_id", "url"))])
 
 
 class StoredReadings:
@@ -58,20 +60,24 @@ class StoredReadings:
         finally:
             drop_folder(self.spark, folder)
 
-    def _add(self, pages: DataFrame, folder: str) -> DataFrame:
-        """``add``; page_id and digest of the pages with markup, as written to ``folder``."""
-        marked = pages.filter("html IS NOT NULL").select("page_id", _digest().alias("digest"), "html")
-        seen = self._written(marked.drop("html"), f"{folder}/seen")
+    def _add(self, pages: DataFrame, folder: str) -> tuple[DataFrame, DataFrame | None]:
+        """``add``; the rows that were parsed with what they say, if any, and page_id and digest of the other pages with markup, as
+        written to ``folder``."""
+        marked = pages.filter("html IS NOT NULL").select("page_id", "url", _digest().alias("digest"), "html")
+        seen = self._written(marked.select("page_id", "digest"), f"{folder}/seen")
         # Of pages that share a markup the one of the smallest id is parsed.
         new = seen.join(self.read().select("digest"), "digest", "left_anti").groupBy("digest").agg(F.min("page_id").alias("page_id"))
         new = self._written(new, f"{folder}/new")
         count = new.count()
-        if count:
-            fresh = marked if count == seen.count() else self._fresh(marked, seen, new, count, folder)
-            # A page is read without its address, which is replaced by the digest.
-            read = extract_pages(fresh.withColumnRenamed("digest", "url"), self.profile).drop("page_id").withColumnRenamed("url", "digest")
-            self._written(read.select(*READING.fieldNames()), f"{self.path}/{uuid.uuid4().hex}")
-        return seen
+        if not count:
+            return seen, None
+        fresh = marked if count == seen.count() else self._fresh(marked, seen, new, count, folder)
+        # The digest goes through the parser before the address.
+        address = F.concat("digest", F.when(F.col("url").isNotNull(), F.concat(F.lit("+"), "url")).otherwise(F.lit("")))
+        read = extract_pages(fresh.select("page_id", address.alias("url"), "html"), self.profile).withColumns({
+            "digest": F.substring("url", 1, 64), "url": F.when(F.substring("url", 65, 1) == "+", F.expr("substring(url, 66)"))})
+        owned = self._written(read.select(*OWNED.fieldNames()), f"{self.path}/{uuid.uuid4().hex}")
+        return self._written(seen.join(new.hint("shuffle_hash"), _same(seen, new), "left_anti"), f"{folder}/others"), owned
 
     def _fresh(self, marked: DataFrame, seen: DataFrame, new: DataFrame, count: int, folder: str) -> DataFrame:
         """The rows of ``marked`` that are in ``new``."""
@@ -94,29 +100,35 @@ class StoredReadings:
         made = made or {}
         folder = scratch_folder(self.spark, "new-pages")
         try:
-            seen = self._add(pages, folder)
-            stored, n_seen = self.read(), seen.count()
+            others, owned = self._add(pages, folder)
+            stored, n_others = self.read(), others.count()
             n_stored = stored.count()
-            # Readings of older markup do not move if they are more than a few.
-            if 8 * (n_stored - n_seen) > n_stored:
-                sieve, bits = self._sieve(seen, ["digest"], n_seen, scratch_folder(self.spark, "sieve"))
+            # Readings that none of the other pages has do not move if they are more than a few.
+            if 8 * (n_stored - n_others) > n_stored:
+                sieve, bits = self._sieve(others, ["digest"], n_others, scratch_folder(self.spark, "sieve"))
                 stored = _pass(stored, sieve, ["digest"], bits)
         finally:
             drop_folder(self.spark, folder)
-        kept = [c for c in READING.fieldNames() if c != "digest" and (fields is None or c in fields or c == "rejected")]
+        sent = [f.name for f in EXTRACTED if f.name == "page_id" or fields is None or f.name in fields]
+        kept = [c for c in READING.fieldNames() if c in sent or c == "rejected"]
         one = stored.select("digest", F.struct(*kept, *[column.alias(c) for c, column in made.items()]).alias("reading"))
         # Only writers beside each other store a digest again; the readings are sorted for them alone.
         with lean(self.spark):
             once = stored.groupBy("digest").count().filter("count > 1").isEmpty()
         if not once:
             one = one.groupBy("digest").agg(F.any_value("reading").alias("reading"))
+        every = pages.select("page_id", "url", _digest().alias("digest"))
+        if owned is not None:  # what was just read has its page beside it
+            own = owned.select("digest", "page_id").hint("shuffle_hash")
+            every = every.join(own, _same(every, own), "left_anti")
         # Ids and digests are hashed and the readings pass by, as they are much larger.
-        every = pages.select("page_id", "url", _digest().alias("digest")).hint("shuffle_hash").join(one, "digest", "left")
+        every = every.hint("shuffle_hash").join(one, "digest", "left")
         rejected = F.when(F.col("digest").isNull(), F.lit(NO_MARKUP)).otherwise(F.col("reading.rejected"))
         columns = {"page_id": F.col("page_id"), "url": F.col("url"), "rejected": rejected}
-        return every.select(*[
-            columns.get(f.name, F.col(f"reading.{f.name}")).alias(f.name)
-            for f in EXTRACTED if f.name == "page_id" or fields is None or f.name in fields], *[F.col(f"reading.{c}").alias(c) for c in made])
+        found = every.select(*[columns.get(c, F.col(f"reading.{c}")).alias(c) for c in sent], *[F.col(f"reading.{c}").alias(c) for c in made])
+        if owned is None:
+            return found
+        return owned.select(*sent, *[column.alias(c) for c, column in made.items()]).unionByName(found)
 
     def _written(self, rows: DataFrame, path: str) -> DataFrame:
         with lean(rows.sparkSession):

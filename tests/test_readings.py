@@ -151,3 +151,21 @@ def test_columns_made_of_readings(spark, tmp_path):
     assert read.columns == ["page_id", "h1", "n"]
     whole = extraction.extract_pages(pages, fields=("h1", "body_text")).select("page_id", "h1", F.length("body_text").alias("n"))
     assert rows_of(read) == rows_of(whole)
+
+
+def test_what_was_just_read_does_not_move(spark, tmp_path, monkeypatch):
+    """Pages that were parsed in the same call have their reading beside them; only readings of the others are joined."""
+    from coursepulse.plans import readings as module
+
+    joined = []
+    real = module._pass
+    monkeypatch.setattr(module, "_pass", lambda rows, *args: joined.append(real(rows, *args)) or joined[-1])
+    readings = StoredReadings(spark, str(tmp_path / "store"))
+    rows = [(i, f"https://x/{i}" if i % 2 else None, text(i)) for i in range(12)] + [(3, "https://y/3", text(3)), (13, "", text(13)), (14, "+", None)]
+    first = spark.createDataFrame(rows, PAGES)
+    assert rows_of(readings.extract(first)) == rows_of(extraction.extract_pages(first))
+    assert joined.pop().count() == 0
+    rows = [(i, url, html and html + ("new" if i in (2, 3) else "")) for i, url, html in rows] + [(20, "z", text(1))]
+    second = spark.createDataFrame(rows, PAGES)
+    assert rows_of(readings.extract(second)) == rows_of(extraction.extract_pages(second))
+    assert {r.digest for r in joined.pop().collect()} == {r.digest for r in second.filter("page_id NOT IN (2, 3) AND html IS NOT NULL").selectExpr("sha2(html, 256) AS digest").collect()}
